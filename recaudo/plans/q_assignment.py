@@ -79,3 +79,268 @@ def _wide_sql() -> str:
 @register("calendar_days_wide", _wide_sql())
 def calendar_days_wide(spark, sf):
     return calendar.assignment_calendar(_purchases(spark, sf), ["user_id"], "ts", wide=True)
+
+
+# ------------------------------------------------------ portfolio view
+# The driver tables have no receivables columns, so orders x customer are
+# read as a portfolio: one account per order, the customer's market segment
+# as billing system, order priority / status as the Y/N marks, a debt-age
+# text from the order day. Spark and SQL build the same view.
+
+_CRM_BY_SEGMENT = [("AUTOMOBILE", "BSCS"), ("BUILDING", "RR"), ("FURNITURE", "SGA"),
+                   ("HOUSEHOLD", "ASCARD")]
+_DOC_LETTERS_BY_SEGMENT = [("AUTOMOBILE", "CC"), ("BUILDING", "NT"), ("FURNITURE", "CE"),
+                           ("HOUSEHOLD", "XPP")]
+
+
+def _case_spark(col, pairs, default):
+    e = None
+    for k, v in pairs:
+        e = F.when(col == k, F.lit(v)) if e is None else e.when(col == k, F.lit(v))
+    return e.otherwise(F.lit(default))
+
+
+def _case_sql(col, pairs, default):
+    return "CASE " + " ".join(f"WHEN {col} = '{k}' THEN '{v}'" for k, v in pairs) + \
+        (f" ELSE '{default}' END" if default is not None else " ELSE NULL END")
+
+
+def _portfolio(spark, sf):
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    j = o.join(c, o.o_custkey == c.c_custkey, "left")
+    pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
+    return j.select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority",
+        _case_spark(F.col("c_mktsegment"), _CRM_BY_SEGMENT, "OTRO").alias("crm"),
+        F.when(pr == "1-URGENT", "Y").when(pr == "4-NOT SPECIFIED", F.lit(None)).otherwise("N").alias("m5"),
+        F.when(pr == "2-HIGH", "Y").otherwise("N").alias("m6"),
+        F.when((st == "P") & (pr == "5-LOW"), "Y").otherwise("N").alias("m7"),
+        F.when(st == "F", "Y").otherwise("N").alias("m43"),
+        F.when(F.col("o_totalprice") > 250000, "PrePotencial Convergente Masivo_2")
+         .otherwise("Otra").alias("campaign"),
+        (F.dayofmonth("o_orderdate") % 8 * 30).cast("string").alias("debt_age"),
+        F.when(st == "P", F.lit(None)).otherwise(F.col("o_custkey").cast("string")).alias("ref_raw"),
+    )
+
+
+_PORTFOLIO_SQL = f"""
+WITH pf AS (
+  SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderstatus, o_orderpriority,
+    {_case_sql('c_mktsegment', _CRM_BY_SEGMENT, 'OTRO')} AS crm,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN 'Y' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE 'N' END AS m5,
+    CASE WHEN o_orderpriority = '2-HIGH' THEN 'Y' ELSE 'N' END AS m6,
+    CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'Y' ELSE 'N' END AS m7,
+    CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE 'N' END AS m43,
+    CASE WHEN o_totalprice > 250000 THEN 'PrePotencial Convergente Masivo_2' ELSE 'Otra' END AS campaign,
+    CAST(dayofmonth(o_orderdate) % 8 * 30 AS VARCHAR) AS debt_age,
+    CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS ref_raw
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey)
+"""
+
+# ------------------------------------------------------ first row per key
+
+
+@register("first_row_per_key", """
+SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice, o_orderstatus FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS rn
+  FROM orders) WHERE rn = 1""")
+def first_row_per_key(spark, sf):
+    o = table(spark, sf, "orders")
+    return topn.first_row_per_key(o, ["o_custkey"], ["o_orderdate", "o_orderkey"],
+                                  ["o_totalprice", "o_orderstatus"])
+
+
+# ------------------------------------------------------ brand
+
+
+def _brand_sql():
+    return f"""
+  CASE WHEN b IN ('120', '150', '180') THEN '120 - 180'
+       WHEN b = 'Prepotencial' AND crm = 'BSCS' AND campaign IN
+            ('PrePotencial Convergente Masivo_2', 'PrePotencial Convergente Pyme_2')
+       THEN 'Prepotencial Especial' ELSE b END"""
+
+
+@register("brand_classify", _PORTFOLIO_SQL + """,
+b1 AS (SELECT *,
+  CASE WHEN m5 = 'Y' AND crm = 'BSCS' THEN 'Potencial'
+       WHEN m5 = 'Y' AND crm IN ('RR', 'SGA') THEN 'Churn'
+       WHEN m5 = 'Y' AND crm = 'ASCARD' THEN 'Provision'
+       WHEN m6 = 'Y' AND crm = 'BSCS' THEN 'Prepotencial'
+       WHEN m6 = 'Y' AND crm IN ('RR', 'SGA') THEN 'Prechurn'
+       WHEN m6 = 'Y' AND crm = 'ASCARD' THEN 'Preprovision'
+       WHEN m7 = 'Y' THEN 'Castigo'
+       WHEN m5 = 'N' AND m6 = 'N' AND m7 = 'N' AND m43 = 'Y' THEN 'Potencial a Castigar'
+       ELSE debt_age END AS b FROM pf)
+SELECT o_orderkey, crm, """ + _brand_sql() + """ AS marca FROM b1""")
+def brand_classify(spark, sf):
+    p = _portfolio(spark, sf)
+    return p.select("o_orderkey", "crm",
+                    classify.brand("m5", "m6", "m7", "m43", "crm", "campaign", "debt_age").alias("marca"))
+
+
+# ------------------------------------------------------ segment
+
+
+@register("segment_flag", """
+SELECT c_custkey, CAST(c_nationkey + 70 AS VARCHAR) AS customer_type,
+  CASE WHEN CAST(c_nationkey + 70 AS VARCHAR) IN ('81', '84', '87') THEN 'Personas' ELSE 'Negocios' END AS segmento
+FROM customer""")
+def segment_flag(spark, sf):
+    c = table(spark, sf, "customer")
+    ct = (F.col("c_nationkey") + 70).cast("string")
+    return c.select("c_custkey", ct.alias("customer_type"), classify.segment(ct).alias("segmento"))
+
+
+# ------------------------------------------------------ debt band
+
+
+def _debt_band_sql(x: str, zero: bool = False) -> str:
+    parts = [f"WHEN {x} = 0 THEN '{fixed.DISCOUNT_BAND_ZERO}'"] if zero else []
+    parts += [f"WHEN {x} <= {b} THEN '{lab}'" for b, lab in fixed.DEBT_BANDS]
+    return "CASE " + " ".join(parts) + f" ELSE '{fixed.DEBT_BAND_OVER}' END"
+
+
+@register("debt_band", f"""
+SELECT rango_deuda, count(*) AS n_cuentas, CAST(sum(v) AS DECIMAL(28,2)) AS valor_deuda FROM (
+  SELECT CAST(o_totalprice AS DECIMAL(18,2)) AS v,
+         {_debt_band_sql('CAST(o_totalprice AS DECIMAL(18,2))')} AS rango_deuda FROM orders)
+GROUP BY rango_deuda""")
+def debt_band(spark, sf):
+    o = table(spark, sf, "orders")
+    v = bands.to_amount("o_totalprice")
+    return o.select(v.alias("v"), bands.debt_band(v).alias("rango_deuda")) \
+        .groupBy("rango_deuda").agg(F.count(F.lit(1)).alias("n_cuentas"),
+                                    F.sum("v").cast("decimal(28,2)").alias("valor_deuda"))
+
+
+# ------------------------------------------------------ discount
+
+
+@register("discount_value_band", f"""
+WITH d AS (
+  SELECT l_orderkey AS cuenta, max(TRY_CAST(CAST(CAST(l_discount * 100 AS DECIMAL(5,2)) AS VARCHAR) AS DECIMAL(5,2))) AS pct
+  FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey),
+j AS (
+  SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS debt, coalesce(d.pct, 0) AS porcentaje
+  FROM orders LEFT JOIN d ON o_orderkey = d.cuenta),
+v AS (
+  SELECT *, CASE WHEN porcentaje = 0 THEN CAST(0 AS DECIMAL(24,6))
+    ELSE CAST(debt * (CAST(1 AS DECIMAL(7,4)) - CAST(porcentaje / 100 AS DECIMAL(7,4))) AS DECIMAL(24,6)) END AS valor_descuento
+  FROM j)
+SELECT o_orderkey, CAST(porcentaje AS DECIMAL(5,2)) AS porcentaje, valor_descuento,
+  {_debt_band_sql('valor_descuento', zero=True)} AS rango_con_descuento,
+  CASE WHEN coalesce(porcentaje, 0) = 0 THEN 'No Aplica' ELSE 'Aplica' END AS filtro_descuento,
+  replace(CAST(valor_descuento AS VARCHAR), '.', ',') AS valor_descuento_texto
+FROM v""")
+def discount_value_band(spark, sf):
+    from ..operators.discount import apply_discounts
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", bands.to_amount("o_totalprice").alias("debt"))
+    li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R").select(
+        F.col("l_orderkey").alias("cuenta"),
+        (F.col("l_discount") * 100).cast("decimal(5,2)").cast("string").alias("pct_text"))
+    out = apply_discounts(o, li, "o_orderkey", "cuenta", "debt", "pct_text")
+    return out.select("o_orderkey", "porcentaje", "valor_descuento", "rango_con_descuento",
+                      "filtro_descuento", "valor_descuento_texto")
+
+
+# ------------------------------------------------------ reference
+
+
+@register("reference_fill", _PORTFOLIO_SQL + """
+SELECT o_orderkey, r AS referencia,
+  CASE WHEN length(r) > 3 THEN 'Con referencia' ELSE 'Sin Referencia' END AS filtro_referencia
+FROM (SELECT o_orderkey, CASE WHEN crm = 'RR' THEN CAST(o_orderkey AS VARCHAR)
+                              WHEN ref_raw IS NULL THEN '0' ELSE ref_raw END AS r FROM pf)""")
+def reference_fill(spark, sf):
+    p = _portfolio(spark, sf)
+    r = classify.reference("ref_raw", "crm", F.col("o_orderkey").cast("string"))
+    return p.select("o_orderkey", r.alias("referencia"),
+                    classify.reference_flag(r).alias("filtro_referencia"))
+
+
+# ------------------------------------------------------ account key
+
+
+@register("account_key", """
+SELECT c_custkey,
+  regexp_replace(raw, '[.-]', '', 'g') || '-' AS cuenta_next,
+  regexp_replace(raw, '[-]', '', 'g') || '-' AS cuenta_con_puntos
+FROM (SELECT c_custkey, c_name || '.' || CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS raw FROM customer)""")
+def account_key(spark, sf):
+    c = table(spark, sf, "customer")
+    raw = F.concat(F.col("c_name"), F.lit("."), F.col("c_acctbal").cast("decimal(12,2)").cast("string"))
+    return c.select("c_custkey", keys.account_key(raw).alias("cuenta_next"),
+                    keys.account_key(raw, strip="-").alias("cuenta_con_puntos"))
+
+
+# ------------------------------------------------------ document split
+
+
+@register("document_split", f"""
+SELECT c_custkey,
+  CASE WHEN letters = 'CC' THEN 'Cedula de Ciudadania' WHEN letters = 'PS' THEN 'Pasaporte'
+       WHEN letters = 'PP' THEN 'Pasaporte' WHEN letters = 'XPP' THEN 'Permiso de Permanencia'
+       WHEN letters = 'NT' THEN 'Nit' WHEN letters = 'CD' THEN 'Carnet Diplomatico'
+       WHEN letters = 'CE' THEN 'Cedula de Extranjeria' WHEN letters IS NULL THEN 'Sin tipologia'
+       ELSE 'Errado' END AS tipo_de_documento,
+  regexp_replace(doc, '[^0-9]', '', 'g') AS documento
+FROM (SELECT c_custkey, doc, regexp_replace(doc, '[^a-zA-Z]', '', 'g') AS letters FROM (
+  SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN NULL ELSE
+    {_case_sql('c_mktsegment', _DOC_LETTERS_BY_SEGMENT, '')} || CAST(c_custkey AS VARCHAR) END AS doc
+  FROM customer))""")
+def document_split(spark, sf):
+    c = table(spark, sf, "customer")
+    doc = F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(
+        F.concat(_case_spark(F.col("c_mktsegment"), _DOC_LETTERS_BY_SEGMENT, ""),
+                 F.col("c_custkey").cast("string")))
+    return c.select("c_custkey", classify.document_type(doc).alias("tipo_de_documento"),
+                    classify.document_number(doc).alias("documento"))
+
+
+# ------------------------------------------------------ name cleaning
+
+
+def _name_clean_sql(x: str) -> str:
+    s = f"replace({x}, 'ß', 'SS')"
+    s = f"upper({s})"
+    for bad in text.MISENCODED_N:
+        s = f"replace({s}, '{bad}', 'N')"
+    for bad, good in text.MISENCODED_OTHER:
+        s = f"replace({s}, '{bad}', '{good}')"
+    s = f"translate({s}, '{text.ACCENTED}', '{text.PLAIN}')"
+    s = f"regexp_replace({s}, '[^A-Z&()/. ]', ' ', 'g')"
+    s = f"regexp_replace({s}, '\\((A|AS|ES)\\)', '\\1', 'g')"
+    honor = "|".join(text.HONORIFICS)
+    s = f"regexp_replace({s}, '\\b({honor})\\b\\.?', ' ', 'g')"
+    s = f"regexp_replace({s}, '[^A-Z& ]', ' ', 'g')"
+    s = f"regexp_replace({s}, ' +', ' ', 'g')"
+    s = f"trim({s})"
+    s = f"regexp_replace({s}, '^(A )+', '')"
+    return s
+
+
+@register("name_clean", f"SELECT doc_id, {_name_clean_sql('text')} AS nombre FROM documents")
+def name_clean(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.select("doc_id", text.clean_person_name("text").alias("nombre"))
+
+
+# ------------------------------------------------------ multi-flags
+
+
+@register("multi_flags", """
+SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS documento,
+  CASE WHEN count(*) OVER w > 1 THEN 'Aplica' ELSE 'No aplica' END AS multicuenta,
+  CASE WHEN max(o_orderstatus) OVER w > min(o_orderstatus) OVER w THEN 'Aplica' ELSE 'No aplica' END AS multiproducto,
+  CASE WHEN max(o_orderpriority) OVER w > min(o_orderpriority) OVER w THEN 'Aplica' ELSE 'No aplica' END AS multimora
+FROM orders WINDOW w AS (PARTITION BY o_custkey)""")
+def multi_flags(spark, sf):
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("documento"),
+        "o_orderstatus", "o_orderpriority")
+    out = flags.multi_flags(o, "documento", "o_orderkey",
+                            {"multiproducto": "o_orderstatus", "multimora": "o_orderpriority"})
+    return out.select("o_orderkey", "documento", "multicuenta", "multiproducto", "multimora")

@@ -37,6 +37,7 @@ def get_session(master: str | None = None, app_name: str = "recaudo",
         builder = builder.master(master)
     conf = dict(RECOMMENDED_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
