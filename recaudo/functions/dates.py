@@ -17,7 +17,7 @@ def _c(c: Column | str) -> Column:
 def parse_dmy(c: Column | str) -> Column:
     """``d/M/yyyy`` or ``dd/MM/yyyy`` text -> date; impossible dates
     (31/02/2025), junk and NULL -> NULL (never an error)."""
-    return F.try_to_date(F.trim(_c(c)), F.lit(DMY))
+    return F.try_to_date(F.trim(_c(c)), DMY)
 
 
 def format_dmy(c: Column | str) -> Column:

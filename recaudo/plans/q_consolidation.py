@@ -1 +1,108 @@
-"""Catalog entries."""
+"""Catalog entries for the monthly consolidation: department lookup,
+arrears, left-chain consolidation (and its full-outer equivalent), extra
+flags, exclusion flag, prefix renames, month backfill."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import dates, fixed
+from ..operators import geo
+from ..sources.tables import table
+from .catalog import register
+
+# ------------------------------------------------------------ departments
+# City text of a customer: its nation name and region as "CITY/REGION";
+# customers with a negative balance have no city (-> VACIO). The pattern
+# dictionary is a query parameter (two ordered groups): it exercises
+# last-match-wins (NATION_12 also contains NATION_1), a group-1 hit that is
+# not a department (falls to group 2), and cities resolved by group 2 only.
+CITY_PATTERNS = [
+    (1, "NATION_1", "ANTIOQUIA", 1),
+    (2, "NATION_2", "BOLIVAR", 1),
+    (3, "NATION_12", "CALDAS", 1),
+    (4, "ATION_2", "SIN DEPARTAMENTO", 1),
+    (5, "TION_3", "CESAR", 1),
+    (1, "NATION", "META", 2),
+    (2, "_2", "HUILA", 2),
+    (3, "NATION_24", "TOLIMA", 2),
+    (4, "N_0", "NARINO", 2),
+]
+
+
+def _cities(spark, sf):
+    c = table(spark, sf, "customer")
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region")
+    nr = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    j = c.join(nr, c.c_nationkey == nr.n_nationkey, "left")
+    city = F.when(F.col("c_acctbal") < 0, F.lit("")) \
+        .otherwise(F.concat(F.lower("n_name"), F.lit("/"), F.col("r_name")))
+    return j.select("c_custkey", city.alias("ciudad_raw"))
+
+
+def _depts_sql() -> str:
+    vals = ", ".join(f"({o}, '{p}', '{d}', {g})" for o, p, d, g in CITY_PATTERNS)
+    depts = ", ".join(f"'{d}'" for d in fixed.DEPARTMENTS)
+    return f"""
+WITH c AS (
+  SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN '' ELSE lower(n_name) || '/' || r_name END AS raw
+  FROM customer LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) nr
+       ON c_nationkey = nr.n_nationkey),
+n AS (SELECT c_custkey, upper(split_part(CASE WHEN raw IS NULL OR raw = '' THEN 'VACIO' ELSE raw END, '/', 1)) AS ciudad FROM c),
+p AS (SELECT * FROM (VALUES {vals}) t(ord, pattern, department, grp)),
+m AS (SELECT ciudad, grp, arg_max(department, ord) AS dept
+      FROM (SELECT DISTINCT ciudad FROM n) JOIN p ON contains(ciudad, pattern) GROUP BY ciudad, grp),
+r AS (SELECT n.c_custkey, n.ciudad, coalesce(m1.dept, n.ciudad) AS d1, coalesce(m2.dept, n.ciudad) AS d2
+      FROM n LEFT JOIN m m1 ON m1.ciudad = n.ciudad AND m1.grp = 1
+             LEFT JOIN m m2 ON m2.ciudad = n.ciudad AND m2.grp = 2)
+SELECT c_custkey, ciudad,
+  CASE WHEN ciudad = 'VACIO' THEN 'VACIO' WHEN d1 IN ({depts}) THEN d1 WHEN d2 IN ({depts}) THEN d2
+       ELSE 'NO IDENTIFICADO' END AS departamento
+FROM r"""
+
+
+@register("substring_lookup", _depts_sql())
+def substring_lookup(spark, sf):
+    pats = geo.pattern_table(spark, CITY_PATTERNS)
+    out = geo.resolve_departments(_cities(spark, sf), "ciudad_raw", pats, out_city="ciudad")
+    return out.select("c_custkey", "ciudad", "departamento")
+
+
+# ------------------------------------------------------------ arrears
+# entry date = ship date, due date = order date, both as d/M/yyyy text (as
+# the source files carry them); pending orders carry an impossible due date.
+
+
+def _arrears_band_sql(x: str) -> str:
+    lo, hi, lab = fixed.ARREARS_BAND_LOW
+    parts = [f"WHEN {x} <= {hi} AND {x} >= {lo} THEN '{lab}'"]
+    parts += [f"WHEN {x} >= {a} AND {x} <= {b} THEN '{lab2}'" for a, b, lab2 in fixed.DAY_BANDS]
+    lo, hi, lab = fixed.ARREARS_BAND_HIGH
+    parts += [f"WHEN {x} >= {lo} AND {x} <= {hi} THEN '{lab}'", f"WHEN {x} IS NULL THEN '{fixed.ARREARS_BAND_NULL}'"]
+    return "CASE " + " ".join(parts) + f" ELSE '{fixed.DAY_BAND_OUT}' END"
+
+
+@register("arrears_days", f"""
+WITH t AS (
+  SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%-d/%-m/%Y') AS fecha_ingreso,
+         CASE WHEN o_orderstatus = 'P' THEN '31/02/' || CAST(year(o_orderdate) AS VARCHAR)
+              ELSE strftime(o_orderdate, '%-d/%-m/%Y') END AS fecha_vencimiento
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+d AS (
+  SELECT *, CAST(datediff('day', try_strptime(trim(fecha_vencimiento), '%d/%m/%Y'),
+                                 try_strptime(trim(fecha_ingreso), '%d/%m/%Y')) AS INTEGER) AS dias_mora FROM t)
+SELECT l_orderkey, l_linenumber, fecha_ingreso, fecha_vencimiento, dias_mora,
+       {_arrears_band_sql('dias_mora')} AS rango_de_dias_mora
+FROM d""")
+def arrears_days(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    due = F.when(F.col("o_orderstatus") == "P",
+                 F.concat(F.lit("31/02/"), F.year("o_orderdate").cast("string"))) \
+        .otherwise(dates.format_dmy("o_orderdate"))
+    t = j.select("l_orderkey", "l_linenumber", dates.format_dmy("l_shipdate").alias("fecha_ingreso"),
+                 due.alias("fecha_vencimiento"))
+    d, band = dates.arrears("fecha_ingreso", "fecha_vencimiento")
+    return t.select("*", d.alias("dias_mora"), band.alias("rango_de_dias_mora"))
