@@ -24,7 +24,7 @@ present, at most 120,000 rows for the whole date range) is broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +51,7 @@ def day_label(mask: Column, first: Column, last: Column, month_last: Column, d:
 
 
 def day_mask_agg(df: DataFrame, keys: Sequence[str], date_col: str,
-                 attrs: Sequence[str] = ()) -> DataFrame:
+                 attrs: Sequence[str] = (), extra_aggs: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per (keys, month): ``day_mask`` (bigint), ``first_day``,
     ``last_day`` and, when ``attrs`` are given, a struct ``first_row`` with
     those columns from the row with the earliest date (ties: smallest
@@ -65,6 +65,7 @@ def day_mask_agg(df: DataFrame, keys: Sequence[str], date_col: str,
     ]
     if attrs:
         aggs.append(F.min(F.struct(d.alias("_d"), *[F.col(a) for a in attrs])).alias("first_row"))
+    aggs += [c.alias(n) for n, c in (extra_aggs or {}).items()]
     return df.groupBy(*[F.col(k) for k in keys], F.trunc(d, "month").alias("month")).agg(*aggs)
 
 
@@ -98,11 +99,13 @@ def calendar_columns(mask: Column, first: Column, last: Column, month_last: Colu
 
 def assignment_calendar(df: DataFrame, keys: Sequence[str], date_col: str,
                         attrs: Sequence[str] = (), wide: bool = False,
-                        day_prefix: str = "dia_") -> DataFrame:
+                        day_prefix: str = "dia_", extra_aggs: Mapping[str, Column] | None = None) -> DataFrame:
     """Calendar per (keys, month). ``wide`` adds ``dia_1`` .. ``dia_31``;
     otherwise the labels come as one ``array<string>`` column
-    ``day_status`` (explode it or index it at the sink)."""
-    agg = day_mask_agg(df, keys, date_col, attrs)
+    ``day_status`` (explode it or index it at the sink). ``attrs`` come from
+    the earliest row of the month; ``extra_aggs`` ({name: aggregate})
+    ride along in the same aggregate."""
+    agg = day_mask_agg(df, keys, date_col, attrs, extra_aggs)
     months = broadcast_bounded(month_last_days(df, date_col), MAX_MONTHS,
                                reason="one row per calendar month")
     j = agg.join(months, "month", "left")
@@ -115,6 +118,7 @@ def assignment_calendar(df: DataFrame, keys: Sequence[str], date_col: str,
     out.append(day_band(cols["rango_de_dias"]).alias("grupo_rango_de_dias"))
     if attrs:
         out += [F.col("first_row")[a].alias(a) for a in attrs]
+    out += [F.col(n) for n in (extra_aggs or {})]
     if wide:
         out += [day_label(mask, first, last, mlast, d).alias(f"{day_prefix}{d}")
                 for d in range(1, fixed.DAY_SLOTS + 1)]

@@ -24,19 +24,28 @@ def outcome_group(c: Column | str, mapping: Mapping[str, str] = fixed.OUTCOME_GR
     return m[normalise_outcome(c)]
 
 
+def outcome_counts(group: Column | str) -> dict[str, Column]:
+    """Aggregate columns: how many outcomes fall in each group."""
+    g = F.col(group) if isinstance(group, str) else group
+    return {
+        "cantidad_contacto_directo": F.count_if(g == "CDIR"),
+        "cantidad_contacto_indirecto": F.count_if(g == "CIND"),
+        "cantidad_nocontacto": F.count_if(g == "NOC"),
+    }
+
+
+def outcome_label(direct: Column | str = "cantidad_contacto_directo",
+                  indirect: Column | str = "cantidad_contacto_indirecto",
+                  none: Column | str = "cantidad_nocontacto") -> Column:
+    """Present groups joined by ONE blank (D10: absent groups are NULL, not
+    '', so no double blanks)."""
+    d, i, n = [F.col(x) if isinstance(x, str) else x for x in (direct, indirect, none)]
+    return F.concat_ws(" ", F.when(d > 0, F.lit("CDIR")), F.when(i > 0, F.lit("CIND")),
+                       F.when(n > 0, F.lit("NOC")))
+
+
 def outcome_rollup(df: DataFrame, key: str, group: str) -> DataFrame:
     """Per key: counts per outcome group (unmapped outcomes count in none) and
-    ``filtro_reporte_gestion`` = present groups joined by one blank (D10)."""
-    g = F.col(group)
-    agg = df.groupBy(key).agg(
-        F.count_if(g == "CDIR").alias("cantidad_contacto_directo"),
-        F.count_if(g == "CIND").alias("cantidad_contacto_indirecto"),
-        F.count_if(g == "NOC").alias("cantidad_nocontacto"),
-    )
-    label = F.concat_ws(
-        " ",
-        F.when(F.col("cantidad_contacto_directo") > 0, F.lit("CDIR")),
-        F.when(F.col("cantidad_contacto_indirecto") > 0, F.lit("CIND")),
-        F.when(F.col("cantidad_nocontacto") > 0, F.lit("NOC")),
-    )
-    return agg.withColumn("filtro_reporte_gestion", label)
+    ``filtro_reporte_gestion``."""
+    agg = df.groupBy(key).agg(*[c.alias(n) for n, c in outcome_counts(group).items()])
+    return agg.withColumn("filtro_reporte_gestion", outcome_label())

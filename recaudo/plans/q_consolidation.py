@@ -41,28 +41,30 @@ def _cities(spark, sf):
     return j.select("c_custkey", city.alias("ciudad_raw"))
 
 
-def _depts_sql() -> str:
+def _depts_ctes() -> str:
+    """CTEs ending in ``dept(c_custkey, ciudad, departamento)``."""
     vals = ", ".join(f"({o}, '{p}', '{d}', {g})" for o, p, d, g in CITY_PATTERNS)
     depts = ", ".join(f"'{d}'" for d in fixed.DEPARTMENTS)
     return f"""
-WITH c AS (
+dc AS (
   SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN '' ELSE lower(n_name) || '/' || r_name END AS raw
   FROM customer LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) nr
        ON c_nationkey = nr.n_nationkey),
-n AS (SELECT c_custkey, upper(split_part(CASE WHEN raw IS NULL OR raw = '' THEN 'VACIO' ELSE raw END, '/', 1)) AS ciudad FROM c),
-p AS (SELECT * FROM (VALUES {vals}) t(ord, pattern, department, grp)),
-m AS (SELECT ciudad, grp, arg_max(department, ord) AS dept
-      FROM (SELECT DISTINCT ciudad FROM n) JOIN p ON contains(ciudad, pattern) GROUP BY ciudad, grp),
-r AS (SELECT n.c_custkey, n.ciudad, coalesce(m1.dept, n.ciudad) AS d1, coalesce(m2.dept, n.ciudad) AS d2
-      FROM n LEFT JOIN m m1 ON m1.ciudad = n.ciudad AND m1.grp = 1
-             LEFT JOIN m m2 ON m2.ciudad = n.ciudad AND m2.grp = 2)
-SELECT c_custkey, ciudad,
-  CASE WHEN ciudad = 'VACIO' THEN 'VACIO' WHEN d1 IN ({depts}) THEN d1 WHEN d2 IN ({depts}) THEN d2
-       ELSE 'NO IDENTIFICADO' END AS departamento
-FROM r"""
-
-
-@register("substring_lookup", _depts_sql())
+dn AS (SELECT c_custkey, upper(split_part(CASE WHEN raw IS NULL OR raw = '' THEN 'VACIO' ELSE raw END, '/', 1)) AS ciudad FROM dc),
+dp AS (SELECT * FROM (VALUES {vals}) t(ord, pattern, department, grp)),
+dm AS (SELECT ciudad, grp, arg_max(department, ord) AS dept
+       FROM (SELECT DISTINCT ciudad FROM dn) JOIN dp ON contains(ciudad, pattern) GROUP BY ciudad, grp),
+dr AS (SELECT dn.c_custkey, dn.ciudad, coalesce(m1.dept, dn.ciudad) AS d1, coalesce(m2.dept, dn.ciudad) AS d2
+       FROM dn LEFT JOIN dm m1 ON m1.ciudad = dn.ciudad AND m1.grp = 1
+               LEFT JOIN dm m2 ON m2.ciudad = dn.ciudad AND m2.grp = 2),
+dept AS (
+  SELECT c_custkey, ciudad,
+    CASE WHEN ciudad = 'VACIO' THEN 'VACIO' WHEN d1 IN ({depts}) THEN d1 WHEN d2 IN ({depts}) THEN d2
+         ELSE 'NO IDENTIFICADO' END AS departamento
+  FROM dr)"""
+
+
+@register("substring_lookup", "WITH " + _depts_ctes() + " SELECT c_custkey, ciudad, departamento FROM dept")
 def substring_lookup(spark, sf):
     pats = geo.pattern_table(spark, CITY_PATTERNS)
     out = geo.resolve_departments(_cities(spark, sf), "ciudad_raw", pats, out_city="ciudad")
@@ -106,3 +108,232 @@ def arrears_days(spark, sf):
                  due.alias("fecha_vencimiento"))
     d, band = dates.arrears("fecha_ingreso", "fecha_vencimiento")
     return t.select("*", d.alias("dias_mora"), band.alias("rango_de_dias_mora"))
+
+
+# ------------------------------------------------------------ consolidation
+# Monthly consolidated table per (account, month). Sources:
+#   base      orders -> calendar per (customer, month) + first order of the
+#             month + month balance (ONE aggregate), customer attributes,
+#             city -> department; brand from the portfolio rules
+#   lineitem  per (customer, month): returns, discount, first ship date
+#   events    per customer (all time): touches per channel, outcome rollup
+#   lists     excluded accounts (negative balance), excluded documents
+#             (nations of one region)
+# Base filters: entry date not "Manual", brand not "Castigo".
+
+from ..functions import bands, classify, keys  # noqa: E402
+from ..operators import calendar, consolidate, flags, outcomes  # noqa: E402
+from ..operators.joins import broadcast_if_small  # noqa: E402
+from .q_assignment import _CRM_BY_SEGMENT, _case_spark, _case_sql  # noqa: E402
+from .q_touch import CHANNEL_BY_EVENT, OUTCOME_BY_EVENT  # noqa: E402
+
+EXCLUDED_REGION = "MIDDLE EAST"
+
+FAMILIES = {
+    fixed.PREFIX_BASE: ["cuenta_next", "marca_asignacion", "crm_origen", "ciudad",
+                        "fecha_de_vencimiento", "saldo", "segmento_asignacion", "fecha_ingreso"],
+    fixed.PREFIX_SCIENCE: ["rango_deuda", "departamento", "rango_de_dias_asignada", "dias_en_base",
+                           "dias_asignada", "dias_retirada", "dias_mora", "rango_de_dias_mora",
+                           "cantidad_contacto_directo", "cantidad_contacto_indirecto",
+                           "cantidad_nocontacto", "filtro_reporte_gestion"],
+    fixed.PREFIX_ADDED: ["estado_cuenta", "filtro_descuento", "filtro_pagos_sin_aplicar",
+                         "exclusion_cuenta", "exclusion_documento", "toques_sms", "toques_email",
+                         "toques_bot", "toques_ivr"],
+}
+
+
+def _consolidation_parts(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
+                                          "o_orderstatus", "o_orderpriority", "o_totalprice")
+    cal = calendar.assignment_calendar(
+        o, ["o_custkey"], "o_orderdate", attrs=["o_orderkey", "o_orderstatus", "o_orderpriority"],
+        extra_aggs={"saldo": F.sum(bands.to_amount("o_totalprice")).cast("decimal(28,2)")}
+    ).drop("day_status")
+    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    cities = _cities(spark, sf)
+    cust = cust.join(cities, "c_custkey", "left")
+    cust = geo.resolve_departments(cust, "ciudad_raw", geo.pattern_table(spark, CITY_PATTERNS))
+    cust = cust.select(
+        F.col("c_custkey").alias("o_custkey"), "c_nationkey", "ciudad", "departamento",
+        _case_spark(F.col("c_mktsegment"), _CRM_BY_SEGMENT, "OTRO").alias("crm_origen"),
+        classify.segment((F.col("c_nationkey") + 70).cast("string")).alias("segmento_asignacion"))
+    base = cal.join(cust, "o_custkey", "left")
+    pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
+    marca = classify.brand(
+        F.when(pr == "1-URGENT", "Y").when(pr == "4-NOT SPECIFIED", F.lit(None)).otherwise("N"),
+        F.when(pr == "2-HIGH", "Y").otherwise("N"),
+        F.when((st == "P") & (pr == "5-LOW"), "Y").otherwise("N"),
+        F.when(st == "F", "Y").otherwise("N"),
+        F.col("crm_origen"),
+        F.when(F.col("saldo") > 250000, "PrePotencial Convergente Masivo_2").otherwise("Otra"),
+        (F.col("first_day") % 8 * 30).cast("string"))
+    base = base.select(
+        "o_custkey", F.col("month").alias("mes"), "c_nationkey",
+        keys.account_key(F.col("o_custkey").cast("string")).alias("cuenta_next"),
+        marca.alias("marca_asignacion"), "crm_origen", "ciudad", "departamento", "saldo",
+        "segmento_asignacion", "fecha_ingreso", "estado_cuenta",
+        bands.debt_band("saldo").alias("rango_deuda"),
+        F.col("grupo_rango_de_dias").alias("rango_de_dias_asignada"),
+        F.col("dias_asignada").alias("dias_en_base"),
+        F.col("rango_de_dias").alias("dias_asignada"), "dias_retirada")
+    base_filter = ~F.col("fecha_ingreso").contains("Manual") & \
+        (F.col("marca_asignacion") != fixed.BRAND_CASTIGO)
+
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_discount", "l_shipdate")
+    om = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.trunc(F.to_date("o_orderdate"), "month").alias("mes"))
+    ret = F.col("l_returnflag") == "R"
+    lside = li.join(om, li.l_orderkey == om.o_orderkey).groupBy("o_custkey", "mes").agg(
+        F.count_if(ret).alias("n_devoluciones"),
+        F.max(F.when(ret, (F.col("l_discount") * 100).cast("decimal(5,2)"))).alias("pct"),
+        F.min("l_shipdate").alias("primer_envio"))
+
+    ev = table(spark, sf, "events").select("user_id", "event_type")
+    outcome_txt = _case_spark(F.col("event_type"), OUTCOME_BY_EVENT, None)
+    grp = outcomes.outcome_group(outcome_txt)
+    eside = ev.groupBy(F.col("user_id").alias("o_custkey")).agg(
+        *[F.count_if(F.col("event_type") == e).alias(f"toques_{ch.lower()}") for e, ch in CHANNEL_BY_EVENT],
+        *[c.alias(n) for n, c in outcomes.outcome_counts(grp).items()]
+    ).withColumn("filtro_reporte_gestion", outcomes.outcome_label())
+
+    cust_all = table(spark, sf, "customer")
+    excl_acc = cust_all.where(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region").where(F.col("r_name") == EXCLUDED_REGION)
+    excl_doc = broadcast_if_small(n.join(r, n.n_regionkey == r.r_regionkey, "left_semi")
+                                  .select(F.col("n_nationkey").alias("c_nationkey")))
+    acc_marks = excl_acc.dropDuplicates(["o_custkey"]).withColumn("exclusion_cuenta", F.lit(fixed.LIST_FLAG))
+    doc_marks = excl_doc.dropDuplicates(["c_nationkey"]).withColumn("exclusion_documento",
+                                                                   F.lit(fixed.LIST_FLAG))
+    sides = [(lside, ["o_custkey", "mes"]), (eside, ["o_custkey"]), (acc_marks, ["o_custkey"]),
+             (doc_marks, ["c_nationkey"])]
+    return base, base_filter, sides
+
+
+def _finish(df):
+    venc = dates.format_dmy("primer_envio")
+    d, band = dates.arrears("fecha_ingreso", venc)
+    out = df.select(
+        "*", venc.alias("fecha_de_vencimiento"), d.alias("dias_mora"), band.alias("rango_de_dias_mora"),
+        classify.discount_filter("pct").alias("filtro_descuento"),
+        bands.count_flag("n_devoluciones").alias("filtro_pagos_sin_aplicar"))
+    return consolidate.prefix_families(out, FAMILIES, keep=["mes"])
+
+
+def _consolidation_sql() -> str:
+    from .q_assignment import _debt_band_sql, day_band_sql
+    from .q_touch import _OUT_MAP_SQL
+    brand = """
+  CASE WHEN b IN ('120', '150', '180') THEN '120 - 180'
+       WHEN b = 'Prepotencial' AND crm_origen = 'BSCS' AND campaign IN
+            ('PrePotencial Convergente Masivo_2', 'PrePotencial Convergente Pyme_2')
+       THEN 'Prepotencial Especial' ELSE b END"""
+    outcome_case = "CASE " + " ".join(f"WHEN event_type = '{a}' THEN '{b}'" for a, b in OUTCOME_BY_EVENT) + " END"
+    touches_sql = ", ".join(f"count(*) FILTER (WHERE event_type = '{e}') AS toques_{ch.lower()}"
+                            for e, ch in CHANNEL_BY_EVENT)
+    cols = ["mes"]
+    for prefix, names in FAMILIES.items():
+        cols += [f"{n} AS {prefix}{n}" for n in names]
+    return "WITH " + _depts_ctes() + f""",
+o AS (
+  SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus, o_orderpriority, o_totalprice,
+         CAST(date_trunc('month', o_orderdate) AS DATE) AS mes, CAST(dayofmonth(o_orderdate) AS INTEGER) AS d
+  FROM orders),
+agg AS (
+  SELECT o_custkey, mes, bit_or(CAST(1 AS BIGINT) << (d - 1)) AS day_mask, min(d) AS first_day, max(d) AS last_day,
+         CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS saldo
+  FROM o GROUP BY o_custkey, mes),
+fr AS (
+  SELECT o_custkey, mes, o_orderstatus, o_orderpriority FROM (
+    SELECT *, row_number() OVER (PARTITION BY o_custkey, mes ORDER BY CAST(o_orderdate AS DATE), o_orderkey) AS rn FROM o)
+  WHERE rn = 1),
+mm AS (SELECT mes, max(d) AS month_last_day FROM o GROUP BY mes),
+cal AS (
+  SELECT a.*, fr.o_orderstatus, fr.o_orderpriority, mm.month_last_day,
+         CAST(bit_count(a.day_mask) AS INTEGER) AS asg,
+         CAST(a.last_day - a.first_day + 1 - bit_count(a.day_mask)
+              + CASE WHEN a.last_day < mm.month_last_day THEN 1 ELSE 0 END AS INTEGER) AS ret
+  FROM agg a JOIN fr USING (o_custkey, mes) LEFT JOIN mm USING (mes)),
+cust AS (
+  SELECT c_custkey AS o_custkey, c_nationkey, dept.ciudad, dept.departamento,
+         {_case_sql('c_mktsegment', _CRM_BY_SEGMENT, 'OTRO')} AS crm_origen,
+         CASE WHEN CAST(c_nationkey + 70 AS VARCHAR) IN ('81', '84', '87') THEN 'Personas' ELSE 'Negocios' END AS segmento_asignacion
+  FROM customer LEFT JOIN dept USING (c_custkey)),
+b0 AS (
+  SELECT cal.*, cust.c_nationkey, cust.ciudad, cust.departamento, cust.crm_origen, cust.segmento_asignacion,
+    CASE WHEN o_orderpriority = '1-URGENT' THEN 'Y' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE 'N' END AS m5,
+    CASE WHEN o_orderpriority = '2-HIGH' THEN 'Y' ELSE 'N' END AS m6,
+    CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'Y' ELSE 'N' END AS m7,
+    CASE WHEN o_orderstatus = 'F' THEN 'Y' ELSE 'N' END AS m43,
+    CASE WHEN saldo > 250000 THEN 'PrePotencial Convergente Masivo_2' ELSE 'Otra' END AS campaign,
+    CAST(first_day % 8 * 30 AS VARCHAR) AS debt_age
+  FROM cal LEFT JOIN cust USING (o_custkey)),
+b1 AS (
+  SELECT *,
+  CASE WHEN m5 = 'Y' AND crm_origen = 'BSCS' THEN 'Potencial'
+       WHEN m5 = 'Y' AND crm_origen IN ('RR', 'SGA') THEN 'Churn'
+       WHEN m5 = 'Y' AND crm_origen = 'ASCARD' THEN 'Provision'
+       WHEN m6 = 'Y' AND crm_origen = 'BSCS' THEN 'Prepotencial'
+       WHEN m6 = 'Y' AND crm_origen IN ('RR', 'SGA') THEN 'Prechurn'
+       WHEN m6 = 'Y' AND crm_origen = 'ASCARD' THEN 'Preprovision'
+       WHEN m7 = 'Y' THEN 'Castigo'
+       WHEN m5 = 'N' AND m6 = 'N' AND m7 = 'N' AND m43 = 'Y' THEN 'Potencial a Castigar'
+       ELSE debt_age END AS b FROM b0),
+base AS (
+  SELECT o_custkey, mes, c_nationkey, CAST(o_custkey AS VARCHAR) || '-' AS cuenta_next,
+    {brand} AS marca_asignacion, crm_origen, ciudad, departamento, saldo, segmento_asignacion,
+    CAST(first_day AS VARCHAR) || '/' || strftime(mes, '%m/%Y') AS fecha_ingreso,
+    CASE WHEN last_day < month_last_day THEN 'Recuperada' ELSE 'En gestion' END AS estado_cuenta,
+    {_debt_band_sql('saldo')} AS rango_deuda,
+    {day_band_sql('asg + ret')} AS rango_de_dias_asignada,
+    asg AS dias_en_base, asg + ret AS dias_asignada, ret AS dias_retirada
+  FROM b1),
+lside AS (
+  SELECT o.o_custkey, o.mes, count(*) FILTER (WHERE l_returnflag = 'R') AS n_devoluciones,
+         max(CASE WHEN l_returnflag = 'R' THEN CAST(l_discount * 100 AS DECIMAL(5,2)) END) AS pct,
+         min(l_shipdate) AS primer_envio
+  FROM lineitem JOIN o ON l_orderkey = o.o_orderkey GROUP BY o.o_custkey, o.mes),
+ev AS (SELECT user_id, event_type, replace(lower({outcome_case}), ' ', '') AS k FROM events),
+eside0 AS (
+  SELECT user_id AS o_custkey, {touches_sql},
+    count(*) FILTER (WHERE {_OUT_MAP_SQL} = 'CDIR') AS cantidad_contacto_directo,
+    count(*) FILTER (WHERE {_OUT_MAP_SQL} = 'CIND') AS cantidad_contacto_indirecto,
+    count(*) FILTER (WHERE {_OUT_MAP_SQL} = 'NOC') AS cantidad_nocontacto
+  FROM ev GROUP BY user_id),
+eside AS (
+  SELECT *, concat_ws(' ', CASE WHEN cantidad_contacto_directo > 0 THEN 'CDIR' END,
+                           CASE WHEN cantidad_contacto_indirecto > 0 THEN 'CIND' END,
+                           CASE WHEN cantidad_nocontacto > 0 THEN 'NOC' END) AS filtro_reporte_gestion
+  FROM eside0),
+excl_acc AS (SELECT DISTINCT c_custkey AS o_custkey, 'APLICA' AS exclusion_cuenta FROM customer WHERE c_acctbal < 0),
+excl_doc AS (
+  SELECT DISTINCT n_nationkey AS c_nationkey, 'APLICA' AS exclusion_documento FROM nation
+  WHERE n_regionkey IN (SELECT r_regionkey FROM region WHERE r_name = '{EXCLUDED_REGION}')),
+j AS (
+  SELECT * FROM base
+    LEFT JOIN lside USING (o_custkey, mes)
+    LEFT JOIN eside USING (o_custkey)
+    LEFT JOIN excl_acc USING (o_custkey)
+    LEFT JOIN excl_doc USING (c_nationkey)
+  WHERE NOT contains(fecha_ingreso, 'Manual') AND marca_asignacion <> 'Castigo'),
+f AS (
+  SELECT *, strftime(primer_envio, '%-d/%-m/%Y') AS fecha_de_vencimiento,
+    CAST(datediff('day', try_strptime(strftime(primer_envio, '%-d/%-m/%Y'), '%d/%m/%Y'),
+                         try_strptime(trim(fecha_ingreso), '%d/%m/%Y')) AS INTEGER) AS dias_mora,
+    CASE WHEN coalesce(pct, 0) = 0 THEN 'No Aplica' ELSE 'Aplica' END AS filtro_descuento,
+    CASE WHEN n_devoluciones >= 1 THEN 'Aplica' ELSE '' END AS filtro_pagos_sin_aplicar
+  FROM j),
+g AS (SELECT *, {_arrears_band_sql('dias_mora')} AS rango_de_dias_mora FROM f)
+SELECT {', '.join(cols)} FROM g"""
+
+
+@register("consolidate_left", _consolidation_sql())
+def consolidate_left(spark, sf):
+    base, flt, sides = _consolidation_parts(spark, sf)
+    return _finish(consolidate.consolidate(base, flt, sides))
+
+
+@register("consolidate_full_outer_filtered", _consolidation_sql())
+def consolidate_full_outer_filtered(spark, sf):
+    base, flt, sides = _consolidation_parts(spark, sf)
+    return _finish(consolidate.consolidate_full_outer(base, flt, sides, "cuenta_next"))
