@@ -37,19 +37,6 @@ from .joins import broadcast_bounded
 MAX_MONTHS = 9999 * 12
 
 
-def _bit(mask: Column, d: int) -> Column:
-    return F.shiftright(mask, d - 1).bitwiseAND(F.lit(1).cast("bigint")) == 1
-
-
-def day_label(mask: Column, first: Column, last: Column, month_last: Column, d: int) -> Column:
-    return (
-        F.when(_bit(mask, d), F.lit(fixed.DAY_ASSIGNED))
-        .when((first < d) & (last > d), F.lit(fixed.DAY_GAP))
-        .when((last + 1 == d) & (month_last >= d), F.lit(fixed.DAY_WITHDRAWN))
-        .otherwise(F.lit(""))
-    )
-
-
 def day_mask_agg(df: DataFrame, keys: Sequence[str], date_col: str,
                  attrs: Sequence[str] = (), extra_aggs: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per (keys, month): ``day_mask`` (bigint), ``first_day``,
@@ -97,32 +84,52 @@ def calendar_columns(mask: Column, first: Column, last: Column, month_last: Colu
     }
 
 
+_LABEL_SQL = (
+    "CASE WHEN shiftright({m}, d - 1) & 1 = 1 THEN '" + fixed.DAY_ASSIGNED + "' "
+    "WHEN {f} < d AND {l} > d THEN '" + fixed.DAY_GAP + "' "
+    "WHEN {l} + 1 = d AND {ml} >= d THEN '" + fixed.DAY_WITHDRAWN + "' ELSE '' END")
+
+
+def day_status_array(mask: str, first: str, last: str, month_last: str) -> Column:
+    """All 31 day labels as one ``array<string>`` (one expression, built by
+    the SQL parser in a single call instead of 31 CASE trees)."""
+    body = _LABEL_SQL.format(m=mask, f=first, l=last, ml=month_last)
+    return F.expr(f"transform(sequence(1, {fixed.DAY_SLOTS}), d -> {body})")
+
+
 def assignment_calendar(df: DataFrame, keys: Sequence[str], date_col: str,
-                        attrs: Sequence[str] = (), wide: bool = False,
-                        day_prefix: str = "dia_", extra_aggs: Mapping[str, Column] | None = None) -> DataFrame:
-    """Calendar per (keys, month). ``wide`` adds ``dia_1`` .. ``dia_31``;
-    otherwise the labels come as one ``array<string>`` column
-    ``day_status`` (explode it or index it at the sink). ``attrs`` come from
-    the earliest row of the month; ``extra_aggs`` ({name: aggregate})
-    ride along in the same aggregate."""
+                        attrs: Sequence[str] = (), labels: str | None = "array",
+                        day_prefix: str = "dia_", extra_aggs: Mapping[str, Column] | None = None,
+                        wide: bool = False) -> DataFrame:
+    """Calendar per (keys, month).
+
+    ``labels``: ``"array"`` adds ``day_status`` (array of 31 labels),
+    ``"wide"`` adds ``dia_1`` .. ``dia_31``, ``None`` adds no labels (the
+    counts, dates and status do not need them). ``attrs`` come from the
+    earliest row of the month; ``extra_aggs`` ({name: aggregate}) ride along
+    in the same aggregate.
+    """
+    if wide:
+        labels = "wide"
     agg = day_mask_agg(df, keys, date_col, attrs, extra_aggs)
     months = broadcast_bounded(month_last_days(df, date_col), MAX_MONTHS,
                                reason="one row per calendar month")
-    j = agg.join(months, "month", "left")
-    mask = F.coalesce(F.col("day_mask"), F.lit(0).cast("bigint"))
+    j = agg.join(months, "month", "left") \
+        .withColumn("day_mask", F.coalesce(F.col("day_mask"), F.lit(0).cast("bigint")))
+    mask = F.col("day_mask")
     first, last, mlast = F.col("first_day"), F.col("last_day"), F.col("month_last_day")
     cols = calendar_columns(mask, first, last, mlast, F.col("month"))
-    out = [*[F.col(k) for k in keys], F.col("month"), mask.alias("day_mask"),
-           first, last, mlast]
+    out = [*[F.col(k) for k in keys], F.col("month"), mask, first, last, mlast]
     out += [c.alias(n) for n, c in cols.items()]
     out.append(day_band(cols["rango_de_dias"]).alias("grupo_rango_de_dias"))
     if attrs:
         out += [F.col("first_row")[a].alias(a) for a in attrs]
     out += [F.col(n) for n in (extra_aggs or {})]
-    if wide:
-        out += [day_label(mask, first, last, mlast, d).alias(f"{day_prefix}{d}")
-                for d in range(1, fixed.DAY_SLOTS + 1)]
-    else:
-        labels = [day_label(mask, first, last, mlast, d) for d in range(1, fixed.DAY_SLOTS + 1)]
-        out.append(F.array(*labels).alias("day_status"))
-    return j.select(*out)
+    if labels:
+        out.append(day_status_array("day_mask", "first_day", "last_day", "month_last_day")
+                   .alias("day_status"))
+    res = j.select(*out)
+    if labels == "wide":
+        res = res.select("*", *[F.col("day_status")[d - 1].alias(f"{day_prefix}{d}")
+                                for d in range(1, fixed.DAY_SLOTS + 1)]).drop("day_status")
+    return res

@@ -11,7 +11,8 @@ Plan (no nested CASE of ~1,100 branches, no nested-loop join):
 1. distinct normalised cities (shuffle of a small, partially aggregated set);
 2. each distinct city explodes into its substrings of exactly the lengths
    that occur among the patterns;
-3. equi-join with the pattern table (broadcast after a bounded size check);
+3. equi-join with the pattern table (broadcast: its size is known, or
+   checked by a bounded count);
 4. highest ``ord`` per (city, group) via ``max(struct(ord, department))``;
 5. the resolved city table joins back to the rows on the city (AQE splits a
    hot city; the table has one row per distinct city).
@@ -19,11 +20,13 @@ Plan (no nested CASE of ~1,100 branches, no nested-loop join):
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .joins import broadcast_if_small
+from .joins import broadcast_bounded, broadcast_if_small
 
 PATTERN_SCHEMA = "ord int, pattern string, department string, grp int"
 
@@ -34,26 +37,43 @@ def normalise_city(c: Column | str) -> Column:
     return F.upper(F.split(filled, "/").getItem(0))
 
 
-def pattern_table(spark: SparkSession, rows) -> DataFrame:
-    """rows: iterable of (ord, pattern, department, grp)."""
-    return spark.createDataFrame(list(rows), PATTERN_SCHEMA)
+@dataclass
+class PatternDictionary:
+    """The (ord, pattern, department, grp) table plus what the plan needs to
+    know about it: the distinct pattern lengths and, when known, its size."""
+    df: DataFrame
+    lengths: list[int]
+    rows: int | None = None
+
+    def broadcast(self) -> DataFrame:
+        if self.rows is not None:
+            return broadcast_bounded(self.df, self.rows, reason="pattern dictionary of known size")
+        return broadcast_if_small(self.df)
+
+
+def pattern_table(spark: SparkSession, rows) -> PatternDictionary:
+    """rows: iterable of (ord, pattern, department, grp) - configuration held
+    by the driver, so lengths and size are known without a Spark job."""
+    rows = [r for r in rows if r[1]]
+    return PatternDictionary(spark.createDataFrame(rows, PATTERN_SCHEMA),
+                             sorted({len(r[1]) for r in rows}), len(rows))
 
 
-def read_pattern_table(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
-    """Pattern dictionary from a CSV file with header ord;pattern;department;grp."""
-    return spark.read.schema(PATTERN_SCHEMA).option("header", True).option("sep", sep).csv(path)
+def read_pattern_table(spark: SparkSession, path: str, sep: str = ";") -> PatternDictionary:
+    """Pattern dictionary from a CSV file with header ord;pattern;department;grp.
+    One small job reads the distinct pattern lengths (bounded by the longest
+    pattern); the table is broadcast after a bounded size check."""
+    df = spark.read.schema(PATTERN_SCHEMA).option("header", True).option("sep", sep).csv(path) \
+        .where(F.col("pattern").isNotNull() & (F.length("pattern") > 0))
+    lengths = sorted(r[0] for r in df.select(F.length("pattern")).distinct().collect())
+    return PatternDictionary(df, lengths)
 
 
-def city_hits(cities: DataFrame, city: str, patterns: DataFrame,
-              pattern_lengths: list[int] | None = None) -> DataFrame:
+def city_hits(cities: DataFrame, city: str, patterns: PatternDictionary) -> DataFrame:
     """``cities``: one row per distinct normalised city (column ``city``).
     Returns (``_city``, ``_d1``, ``_d2``) for the cities with at least one
     matching pattern: the winning department per group."""
-    pats = patterns.where(F.col("pattern").isNotNull() & (F.length("pattern") > 0))
-    if pattern_lengths is None:
-        # bounded: at most as many values as the longest pattern is long
-        pattern_lengths = sorted(r[0] for r in
-                                 pats.select(F.length("pattern")).distinct().collect())
+    pattern_lengths = patterns.lengths
     c = F.col(city)
 
     def substrings_of_length(n: int) -> Column:
@@ -66,7 +86,7 @@ def city_hits(cities: DataFrame, city: str, patterns: DataFrame,
     subs = F.flatten(F.array(*([substrings_of_length(n) for n in pattern_lengths]
                                or [F.array().cast("array<string>")])))
     exploded = cities.select(c.alias("_city"), F.explode(F.array_distinct(subs)).alias("_sub"))
-    p = broadcast_if_small(pats.select(F.col("pattern").alias("_sub"), "ord", "department", "grp"))
+    p = patterns.broadcast().select(F.col("pattern").alias("_sub"), "ord", "department", "grp")
     # highest ord per group: max of (ord, department) structs, NULL for the
     # other group (max skips NULLs)
     return exploded.join(p, "_sub").groupBy("_city").agg(*[
@@ -85,7 +105,7 @@ def department(city: Column, d1: Column, d2: Column) -> Column:
             .otherwise(F.lit(fixed.CITY_UNRESOLVED)))
 
 
-def resolve_departments(df: DataFrame, city_col: str, patterns: DataFrame,
+def resolve_departments(df: DataFrame, city_col: str, patterns: PatternDictionary,
                         out_city: str = "ciudad") -> DataFrame:
     """Adds ``out_city`` (normalised) and ``departamento`` to every row.
 

@@ -61,8 +61,7 @@ _CAL_SQL_COLS = f"""
 
 @register("calendar_status", _CAL_SQL_CTE + "SELECT " + _CAL_SQL_COLS + " FROM j")
 def calendar_status(spark, sf):
-    return calendar.assignment_calendar(_purchases(spark, sf), ["user_id"], "ts") \
-        .drop("day_status")
+    return calendar.assignment_calendar(_purchases(spark, sf), ["user_id"], "ts", labels=None)
 
 
 def _wide_sql() -> str:
@@ -78,7 +77,7 @@ def _wide_sql() -> str:
 
 @register("calendar_days_wide", _wide_sql())
 def calendar_days_wide(spark, sf):
-    return calendar.assignment_calendar(_purchases(spark, sf), ["user_id"], "ts", wide=True)
+    return calendar.assignment_calendar(_purchases(spark, sf), ["user_id"], "ts", labels="wide")
 
 
 # ------------------------------------------------------ portfolio view

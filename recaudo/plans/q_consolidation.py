@@ -123,7 +123,6 @@ def arrears_days(spark, sf):
 
 from ..functions import bands, classify, keys  # noqa: E402
 from ..operators import calendar, consolidate, flags, outcomes  # noqa: E402
-from ..operators.joins import broadcast_if_small  # noqa: E402
 from .q_assignment import _CRM_BY_SEGMENT, _case_spark, _case_sql  # noqa: E402
 from .q_touch import CHANNEL_BY_EVENT, OUTCOME_BY_EVENT  # noqa: E402
 
@@ -147,8 +146,8 @@ def _consolidation_parts(spark, sf):
                                           "o_orderstatus", "o_orderpriority", "o_totalprice")
     cal = calendar.assignment_calendar(
         o, ["o_custkey"], "o_orderdate", attrs=["o_orderkey", "o_orderstatus", "o_orderpriority"],
-        extra_aggs={"saldo": F.sum(bands.to_amount("o_totalprice")).cast("decimal(28,2)")}
-    ).drop("day_status")
+        extra_aggs={"saldo": F.sum(bands.to_amount("o_totalprice")).cast("decimal(28,2)")},
+        labels=None)
     cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     cities = _cities(spark, sf)
     cust = cust.join(cities, "c_custkey", "left")
@@ -200,8 +199,9 @@ def _consolidation_parts(spark, sf):
     excl_acc = cust_all.where(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
     n = table(spark, sf, "nation")
     r = table(spark, sf, "region").where(F.col("r_name") == EXCLUDED_REGION)
-    excl_doc = broadcast_if_small(n.join(r, n.n_regionkey == r.r_regionkey, "left_semi")
-                                  .select(F.col("n_nationkey").alias("c_nationkey")))
+    # small dimension-derived list: AQE broadcasts it from runtime statistics
+    excl_doc = n.join(r, n.n_regionkey == r.r_regionkey, "left_semi") \
+        .select(F.col("n_nationkey").alias("c_nationkey"))
     acc_marks = excl_acc.dropDuplicates(["o_custkey"]).withColumn("exclusion_cuenta", F.lit(fixed.LIST_FLAG))
     doc_marks = excl_doc.dropDuplicates(["c_nationkey"]).withColumn("exclusion_documento",
                                                                    F.lit(fixed.LIST_FLAG))

@@ -10,9 +10,20 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+_HANDLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table; column pruning and filters reach the parquet scan because
-    every query selects / filters declaratively on top of this."""
+    every query selects / filters declaratively on top of this. The handle
+    (a plan, not data) is kept per session so that the footer/schema is read
+    once per path."""
     if name not in TABLES:
         raise KeyError(name)
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    df = _HANDLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _HANDLES[key] = df
+    return df
