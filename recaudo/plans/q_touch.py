@@ -80,7 +80,15 @@ def _report(spark, sf):
                     t.alias("tipificacion"))
 
 
-_OUT_MAP_SQL = "CASE " + " ".join(f"WHEN k = '{a}' THEN '{b}'" for a, b in fixed.OUTCOME_GROUPS.items()) + " END"
+def outcome_group_sql(x: str) -> str:
+    return "CASE " + " ".join(f"WHEN {x} = '{a}' THEN '{b}'" for a, b in fixed.OUTCOME_GROUPS.items()) + " END"
+
+
+def outcome_text_sql(event_type: str = "event_type") -> str:
+    return "CASE " + " ".join(f"WHEN {event_type} = '{a}' THEN '{b}'" for a, b in OUTCOME_BY_EVENT) + " END"
+
+
+_OUT_MAP_SQL = outcome_group_sql("k")
 _REPORT_SQL = """
 WITH r AS (
   SELECT event_id, user_id AS cuenta, ts AS fecha_gestion,
