@@ -1 +1,75 @@
-"""Catalog entries."""
+"""Catalog entries for delimited sources/sinks and the contact-log stream.
+
+Each run writes into a fresh sub-folder of the session's shared checkpoint
+folder (``spark.checkpoint.dir``), never a machine-local temp folder.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import functions as F
+
+from ..session import scratch_path
+from ..sources import delimited
+from ..sources.tables import table
+from .catalog import register
+
+_CUST_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal decimal(12,2), c_mktsegment string"
+
+
+@register("csv_roundtrip", """
+SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal, c_mktsegment,
+       CAST(c_nationkey AS VARCHAR) AS nacion
+FROM customer""")
+def csv_roundtrip(spark, sf):
+    base = scratch_path(spark, "csv-roundtrip")
+    c = table(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_nationkey", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"),
+        "c_mktsegment", F.col("c_nationkey").cast("string").alias("nacion"))
+    # ';' CSV, one folder per nation (partitionBy), no success markers
+    delimited.write_delimited(c, base, sep=";", partition_by=["nacion"])
+    back = delimited.read_delimited(spark, base, _CUST_SCHEMA + ", nacion string", sep=";",
+                                    suffix=None)
+    return back.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment", "nacion")
+
+
+@register("csv_drift_merge", """
+SELECT DISTINCT Cuenta_Real || '-' AS Cuenta_Real, Cuenta_Sin_Punto || '-' AS Cuenta_Sin_Punto,
+       nombre, saldo, proveedor, nacion, 6 AS mes_de_asignacion, 2024 AS periodo_de_asignacion
+FROM (
+  SELECT CAST(c_custkey AS VARCHAR) AS Cuenta_Real, CAST(c_custkey AS VARCHAR) AS Cuenta_Sin_Punto,
+         c_name AS nombre, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS saldo FROM customer
+  UNION ALL BY NAME
+  SELECT CAST(c_custkey AS VARCHAR) AS Cuenta_Real, CAST(c_custkey AS VARCHAR) AS Cuenta_Sin_Punto,
+         c_name AS nombre, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS saldo FROM customer
+  WHERE c_mktsegment = 'BUILDING'
+  UNION ALL BY NAME
+  SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS Cuenta_Real, 'S' || CAST(s_suppkey AS VARCHAR) AS Cuenta_Sin_Punto,
+         s_name AS proveedor, CAST(s_nationkey AS VARCHAR) AS nacion FROM supplier)""")
+def csv_drift_merge(spark, sf):
+    base = scratch_path(spark, "csv-drift")
+    c = table(spark, sf, "customer")
+    s = table(spark, sf, "supplier")
+    cust = c.select(F.col("c_custkey").cast("string").alias("Cuenta_Real"),
+                    F.col("c_custkey").cast("string").alias("Cuenta_Sin_Punto"),
+                    F.col("c_name").alias("nombre"),
+                    F.col("c_acctbal").cast("decimal(12,2)").cast("string").alias("saldo"))
+    sup = s.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("Cuenta_Real"),
+                   F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("Cuenta_Sin_Punto"),
+                   F.col("s_name").alias("proveedor"), F.col("s_nationkey").cast("string").alias("nacion"))
+    # a folder written by different exports: ',' and ';' files, two column
+    # sets, exact duplicates across files, and a file without any separator
+    delimited.write_delimited(cust, os.path.join(base, "a"), sep=",")
+    delimited.write_delimited(cust.where(F.col("nombre").isNotNull()).join(
+        c.where(F.col("c_mktsegment") == "BUILDING").select(F.col("c_custkey").cast("string").alias("Cuenta_Real")),
+        "Cuenta_Real", "left_semi"), os.path.join(base, "b"), sep=";")
+    delimited.write_delimited(sup, os.path.join(base, "c"), sep=";")
+    delimited.write_delimited(s.select(F.col("s_name").alias("solo")), os.path.join(base, "d"), sep="|")
+    files = [f for x in "abcd" for f in delimited.list_files(spark, os.path.join(base, x))]
+    scan = delimited.read_drifting_folder(spark, files)
+    out = scan.df.withColumns({
+        "Cuenta_Real": F.concat("Cuenta_Real", F.lit("-")),
+        "Cuenta_Sin_Punto": F.concat("Cuenta_Sin_Punto", F.lit("-")),
+        "mes_de_asignacion": F.lit(6), "periodo_de_asignacion": F.lit(2024)})
+    return out.dropDuplicates()
