@@ -73,3 +73,30 @@ def csv_drift_merge(spark, sf):
         "Cuenta_Sin_Punto": F.concat("Cuenta_Sin_Punto", F.lit("-")),
         "mes_de_asignacion": F.lit(6), "periodo_de_asignacion": F.lit(2024)})
     return out.dropDuplicates()
+
+
+# ------------------------------------------------------------ streaming log
+# events play the contact-attempt log: they land as parquet files one week
+# at a time (each week a separate write, so file times follow event time),
+# the stream counts attempts per hour and status, then the current table is
+# read back. Same answer as the batch query contact_log_hourly.
+
+@register("contact_log_stream", """
+SELECT date_trunc('hour', ts) AS hora, CASE WHEN event_type = 'error' THEN 'Not sent' ELSE 'Sent' END AS estado,
+       count(*) AS n
+FROM events GROUP BY ALL""")
+def contact_log_stream(spark, sf):
+    from ..streaming.contact_log import current_counts, start_hourly_counts
+    base = scratch_path(spark, "contact-log-stream")
+    src, sink, ckpt = (os.path.join(base, x) for x in ("in", "out", "ckpt"))
+    e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
+    week = F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 7)
+    files_per_week = 4
+    weeks = [r[0] for r in e.select(week.alias("w")).distinct().orderBy("w").collect()]
+    for w in weeks:   # bounded: one write per calendar week of the log
+        e.where(week == w).repartition(files_per_week).write.mode("append").parquet(src)
+    status = F.when(F.col("event_type") == "error", "Not sent").otherwise("Sent")
+    q = start_hourly_counts(spark, src, e.schema, "ts", "event_id", {"estado": status}, sink, ckpt,
+                            files_per_trigger=files_per_week)
+    q.awaitTermination()
+    return current_counts(spark, sink, ["hora", "estado"])
