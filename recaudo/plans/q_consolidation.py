@@ -30,7 +30,7 @@ CITY_PATTERNS = [
 ]
 
 
-def _cities(spark, sf):
+def _cities(spark, sf, keep=()):
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation")
     r = table(spark, sf, "region")
@@ -38,7 +38,7 @@ def _cities(spark, sf):
     j = c.join(nr, c.c_nationkey == nr.n_nationkey, "left")
     city = F.when(F.col("c_acctbal") < 0, F.lit("")) \
         .otherwise(F.concat(F.lower("n_name"), F.lit("/"), F.col("r_name")))
-    return j.select("c_custkey", city.alias("ciudad_raw"))
+    return j.select("c_custkey", *keep, city.alias("ciudad_raw"))
 
 
 def _depts_ctes() -> str:
@@ -148,9 +148,9 @@ def _consolidation_parts(spark, sf):
         o, ["o_custkey"], "o_orderdate", attrs=["o_orderkey", "o_orderstatus", "o_orderpriority"],
         extra_aggs={"saldo": F.sum(bands.to_amount("o_totalprice")).cast("decimal(28,2)")},
         labels=None)
-    cust = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    cities = _cities(spark, sf)
-    cust = cust.join(cities, "c_custkey", "left")
+    # customer attributes in one pass: the nation/region dimension joins in
+    # (tiny, broadcast by the planner), no second scan of customer
+    cust = _cities(spark, sf, keep=["c_nationkey", "c_mktsegment"])
     cust = geo.resolve_departments(cust, "ciudad_raw", geo.pattern_table(spark, CITY_PATTERNS))
     cust = cust.select(
         F.col("c_custkey").alias("o_custkey"), "c_nationkey", "ciudad", "departamento",
@@ -178,14 +178,20 @@ def _consolidation_parts(spark, sf):
     base_filter = ~F.col("fecha_ingreso").contains("Manual") & \
         (F.col("marca_asignacion") != fixed.BRAND_CASTIGO)
 
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_discount", "l_shipdate")
-    om = table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", F.trunc(F.to_date("o_orderdate"), "month").alias("mes"))
+    # lineitem is pre-aggregated per order BEFORE the join with orders: the
+    # shuffle carries one row per order instead of one per line, and a hot
+    # order collapses map-side
+    li = table(spark, sf, "lineitem")
     ret = F.col("l_returnflag") == "R"
-    lside = li.join(om, li.l_orderkey == om.o_orderkey).groupBy("o_custkey", "mes").agg(
+    per_order = li.groupBy("l_orderkey").agg(
         F.count_if(ret).alias("n_devoluciones"),
         F.max(F.when(ret, (F.col("l_discount") * 100).cast("decimal(5,2)"))).alias("pct"),
         F.min("l_shipdate").alias("primer_envio"))
+    om = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", F.trunc(F.to_date("o_orderdate"), "month").alias("mes"))
+    lside = per_order.join(om, per_order.l_orderkey == om.o_orderkey).groupBy("o_custkey", "mes").agg(
+        F.sum("n_devoluciones").alias("n_devoluciones"), F.max("pct").alias("pct"),
+        F.min("primer_envio").alias("primer_envio"))
 
     ev = table(spark, sf, "events").select("user_id", "event_type")
     outcome_txt = _case_spark(F.col("event_type"), OUTCOME_BY_EVENT, None)

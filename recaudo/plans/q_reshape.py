@@ -142,10 +142,12 @@ SELECT c_custkey, r.n AS recuento_pagos_sin_aplicar, p.n AS recuento_no_gestion,
 FROM customer LEFT JOIN r ON c_custkey = r.o_custkey LEFT JOIN p ON c_custkey = p.o_custkey""")
 def flags_extra(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey")
-    li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R").select("l_orderkey")
+    # returned lines counted per order first (pre-aggregation before the join)
+    li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R") \
+        .groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
     o = table(spark, sf, "orders")
     r = li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey) \
-        .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("recuento_pagos_sin_aplicar"))
+        .groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum("n").alias("recuento_pagos_sin_aplicar"))
     p = o.where(F.col("o_orderstatus") == "P").groupBy(F.col("o_custkey").alias("c_custkey")) \
         .agg(F.count(F.lit(1)).alias("recuento_no_gestion"))
     out = c.join(r, "c_custkey", "left").join(p, "c_custkey", "left")
