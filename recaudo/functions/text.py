@@ -48,8 +48,8 @@ def clean_person_name(c: Column | str) -> Column:
     x = F.regexp_replace(x, r"\((A|AS|ES)\)", "$1")
     honor = "|".join(HONORIFICS)
     x = F.regexp_replace(x, rf"\b({honor})\b\.?", " ")
-    x = F.regexp_replace(x, r"[^A-Z& ]", " ")
-    x = F.regexp_replace(x, r" +", " ")
+    # every run of characters other than A-Z and & becomes one blank
+    x = F.regexp_replace(x, r"[^A-Z&]+", " ")
     x = F.trim(x)
     x = F.regexp_replace(x, r"^(A )+", "")
     return x

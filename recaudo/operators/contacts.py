@@ -42,13 +42,17 @@ def contact_slots(df: DataFrame, keys: Sequence[str], value: str,
                   phone_slots: int = fixed.PHONE_SLOTS, email_slots: int = fixed.EMAIL_SLOTS,
                   phone_prefix: str = "phone", email_prefix: str = "email",
                   mobile_count=fixed.MOBILE_COUNT_RANGE,
-                  landline_count=fixed.LANDLINE_COUNT_RANGE) -> DataFrame:
+                  landline_count=fixed.LANDLINE_COUNT_RANGE,
+                  counted_phone_slots: int | None = None) -> DataFrame:
     """``df`` has ``keys``, ``value`` and ``kind`` (see classify_contacts).
 
     One row per key with phone slots (distinct numbers in text order, mobiles
     and landlines together), e-mail slots, and the counts ``num_movil``,
-    ``num_fijo``, ``num_email`` over all slots (D3: every slot counts).
+    ``num_fijo``, ``num_email`` over all slots (D3: every slot counts;
+    ``counted_phone_slots=16`` reproduces the old reports that counted
+    phone slots 1..16 only).
     """
+    counted = counted_phone_slots or phone_slots
     grp = F.when(F.col("kind") == EMAIL, F.lit(EMAIL)).otherwise(F.lit("phone"))
     d = df.withColumn("_grp", grp)
     n = max(phone_slots, email_slots)
@@ -61,8 +65,8 @@ def contact_slots(df: DataFrame, keys: Sequence[str], value: str,
     aggs += [F.max(F.when(is_mail & (slot == i), v)).alias(f"{email_prefix}{i}")
              for i in range(1, email_slots + 1)]
     aggs += [
-        F.count_if(is_phone & (slot <= phone_slots) & num.between(*mobile_count)).cast("int").alias("num_movil"),
-        F.count_if(is_phone & (slot <= phone_slots) & num.between(*landline_count)).cast("int").alias("num_fijo"),
+        F.count_if(is_phone & (slot <= counted) & num.between(*mobile_count)).cast("int").alias("num_movil"),
+        F.count_if(is_phone & (slot <= counted) & num.between(*landline_count)).cast("int").alias("num_fijo"),
         F.count_if(is_mail & (slot <= email_slots) & v.contains("@")).cast("int").alias("num_email"),
     ]
     return r.groupBy(*keys).agg(*aggs)
@@ -124,13 +128,14 @@ def contact_profile(phones: DataFrame, emails: DataFrame, keys: Sequence[str]) -
 # inside prose)
 EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE_PATTERN = r"\(\d{3}\) \d{3}-\d{4}"
+CONTACT_PATTERN = PHONE_PATTERN + "|" + EMAIL_PATTERN
 
 
 def extract_contacts(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
-    """Whole-text extraction of e-mails and phone numbers (digits only), one
-    row per occurrence: ``keep`` columns + ``dato``."""
-    t = F.col(text_col)
-    mails = F.regexp_extract_all(t, F.lit(EMAIL_PATTERN), 0)
-    phones = F.transform(F.regexp_extract_all(t, F.lit(PHONE_PATTERN), 0),
-                         lambda p: F.regexp_replace(p, r"[^0-9]", ""))
-    return df.select(*keep, F.explode(F.concat(mails, phones)).alias("dato"))
+    """Whole-text extraction of e-mails and phone numbers in ONE regex pass
+    (alternation, leftmost match first); phone numbers keep their digits
+    only. One row per occurrence: ``keep`` columns + ``dato``."""
+    found = F.regexp_extract_all(F.col(text_col), F.lit(CONTACT_PATTERN), 0)
+    norm = F.transform(found, lambda x: F.when(x.contains("@"), x)
+                       .otherwise(F.regexp_replace(x, r"[^0-9]", "")))
+    return df.select(*keep, F.explode(norm).alias("dato"))

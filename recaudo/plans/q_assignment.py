@@ -314,8 +314,7 @@ def _name_clean_sql(x: str) -> str:
     s = f"regexp_replace({s}, '\\((A|AS|ES)\\)', '\\1', 'g')"
     honor = "|".join(text.HONORIFICS)
     s = f"regexp_replace({s}, '\\b({honor})\\b\\.?', ' ', 'g')"
-    s = f"regexp_replace({s}, '[^A-Z& ]', ' ', 'g')"
-    s = f"regexp_replace({s}, ' +', ' ', 'g')"
+    s = f"regexp_replace({s}, '[^A-Z&]+', ' ', 'g')"
     s = f"trim({s})"
     s = f"regexp_replace({s}, '^(A )+', '')"
     return s

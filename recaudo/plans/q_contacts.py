@@ -37,10 +37,9 @@ def _slots(spark, sf, kinds=None):
 _SQL_CL = f"""
 WITH src AS (SELECT CAST(doc_id AS VARCHAR) AS cuenta, source AS identificacion, text FROM documents),
 ex AS (
-  SELECT cuenta, identificacion, unnest(list_concat(
-      regexp_extract_all(text, '{contacts.EMAIL_PATTERN}'),
-      list_transform(regexp_extract_all(text, '{contacts.PHONE_PATTERN}'),
-                     lambda p: regexp_replace(p, '[^0-9]', '', 'g')))) AS dato
+  SELECT cuenta, identificacion, unnest(list_transform(
+      regexp_extract_all(text, '{contacts.CONTACT_PATTERN}'),
+      lambda p: CASE WHEN contains(p, '@') THEN p ELSE regexp_replace(p, '[^0-9]', '', 'g') END)) AS dato
   FROM src),
 cl AS (
   SELECT *, CASE WHEN TRY_CAST(trim(dato) AS BIGINT) BETWEEN {DOC_MOBILE[0]} AND {DOC_MOBILE[1]} THEN 'mobile'

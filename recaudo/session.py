@@ -49,6 +49,9 @@ def get_session(master: str | None = None, app_name: str = "recaudo",
     return spark
 
 
+_LOCAL_CKPT: str | None = None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
@@ -60,8 +63,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="recaudo-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        global _LOCAL_CKPT
+        if _LOCAL_CKPT is None:
+            _LOCAL_CKPT = tempfile.mkdtemp(prefix="recaudo-ckpt-")
+        path = _LOCAL_CKPT
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
+            pass
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(path)
     return path

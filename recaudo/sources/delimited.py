@@ -28,10 +28,23 @@ def string_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
+CORRUPT = "_corrupt_record"
+
+
 def read_delimited(spark: SparkSession, path: str | list[str], schema: StructType | str | None = None,
                    sep: str = ";", header: bool = True, encoding: str | None = None,
-                   infer: bool = False, suffix: str | None = ".csv") -> DataFrame:
-    r = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
+                   infer: bool = False, suffix: str | None = ".csv",
+                   keep_corrupt: bool = False) -> DataFrame:
+    """``keep_corrupt``: rows that do not fit the schema keep their raw text
+    in ``_corrupt_record`` (count them with :func:`corrupt_rows`) instead of
+    failing the job; unreadable files are skipped (``ignoreCorruptFiles``)."""
+    r = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE") \
+        .option("ignoreCorruptFiles", True)
+    if keep_corrupt and schema is not None:
+        st = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
+        if CORRUPT not in st.fieldNames():
+            schema = StructType(st.fields + [StructField(CORRUPT, StringType(), True)])
+        r = r.option("columnNameOfCorruptRecord", CORRUPT)
     if encoding:
         r = r.option("encoding", encoding)
     if suffix and isinstance(path, str):
@@ -43,6 +56,13 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: StructTyp
     return r.csv(path)
 
 
+def corrupt_rows(df: DataFrame) -> DataFrame:
+    """The rows that did not parse (requires ``keep_corrupt=True``); select
+    data columns together with ``_corrupt_record`` (Spark rejects queries
+    that read only the corrupt-record column of a raw file)."""
+    return df.where(F.col(CORRUPT).isNotNull())
+
+
 # ------------------------------------------------------------ file sniffing
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -119,16 +139,27 @@ def read_drifting_folder(spark: SparkSession, folder: str | list[str], suffix: s
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite",
                     partition_by: list[str] | None = None, files_per_partition: int | None = None,
-                    skip_empty: bool = True) -> bool:
+                    max_records_per_file: int | None = None, skip_empty: bool = True) -> bool:
     """Write with header and separator. Returns False (and writes nothing)
-    for an empty result when ``skip_empty``."""
+    for an empty result when ``skip_empty``.
+
+    ``files_per_partition`` with ``partition_by``: rows are shuffled by
+    (partition columns, a deterministic salt in [0, n)), so each output
+    partition (e.g. a month) is written by up to n tasks - never one task
+    per month - and holds at most n files. ``max_records_per_file`` bounds
+    file size independently."""
     if skip_empty and df.isEmpty():
         return False
     out = df
     if files_per_partition:
-        keys = [F.col(c) for c in (partition_by or [])]
-        out = out.repartition(files_per_partition, *keys) if keys else out.repartition(files_per_partition)
+        if partition_by:
+            salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
+            out = out.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
+        else:
+            out = out.repartition(files_per_partition)
     w = out.write.mode(mode).option("header", True).option("sep", sep)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

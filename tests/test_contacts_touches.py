@@ -93,3 +93,12 @@ def test_touch_table_brand_filter_before_dedup(spark):
     assert out["11"].marca == "potencial"
     assert (out["11"]["Toques por SMS"], out["11"]["Toques por EMAIL"], out["11"]["Toques por BOT"]) == (5, 2, 0)
     assert out["22"]["Toques por IVR"] == 2 and out["33"].marca == "castigo"
+
+
+def test_counted_slots_compat_and_sort(spark):
+    rows = [("D", "1", str(3000000100 + i)) for i in range(18)] + [("D", "2", "6010000000"), ("D", "2", "3000000100")]
+    df = spark.createDataFrame(rows, "identificacion string, cuenta string, dato string")
+    out = {r.cuenta: r for r in contact_table(df, 1, 2025, counted_phone_slots=16).collect()}
+    assert out["1-"].NumMovil == "16"
+    ordered = [r.cuenta for r in contact_table(df, 1, 2025, order_by_slot_code=True).collect()]
+    assert ordered == ["1-", "2-"]          # 111...1 sorts before 12...

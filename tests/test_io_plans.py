@@ -102,3 +102,12 @@ def test_contact_log_stream_dedups(spark):
     q.awaitTermination()
     got = sorted((r.hora, r.estado, r.n) for r in current_counts(spark, base + "/out", ["hora", "estado"]).collect())
     assert got == [(t0, "Not sent", 1), (t0, "Sent", 1), (t0 + dt.timedelta(hours=1), "Sent", 1)]
+
+
+def test_corrupt_rows_are_kept_and_counted(spark):
+    base = scratch_path(spark, "corrupt-test")
+    _write(f"{base}/x.csv", "a;b\n1;2\nnot-a-number;3\n4;5\n")
+    df = delimited.read_delimited(spark, base, "a int, b int", keep_corrupt=True)
+    bad = delimited.corrupt_rows(df).select("a", "b", "_corrupt_record").collect()
+    assert [r._corrupt_record for r in bad] == ["not-a-number;3"]
+    assert df.where("a is not null").count() == 2
