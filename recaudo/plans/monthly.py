@@ -17,7 +17,7 @@ from dataclasses import dataclass, fields
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import bands, classify, dates, fixed, keys
+from ..functions import bands, classify, dates, fixed
 from ..operators import consolidate, geo, outcomes
 from ..operators.topn import keyed_distinct
 from ..sources.delimited import read_delimited
@@ -89,17 +89,18 @@ def month_range(start: tuple[int, int], end: tuple[int, int]) -> list[tuple[int,
 def read_months(spark: SparkSession, folder: str, months: list[tuple[int, int]],
                 layout: dict[str, str] = DEFAULT_LAYOUT, sep: str = ";",
                 encoding: str | None = None) -> MonthlySources:
-    """All months of every source as one DataFrame per source; the month is
-    taken from the file path (``_metadata.file_path``), so each source is ONE
-    scan over all its monthly files."""
+    """All months of every source as one DataFrame per source: ONE scan over
+    all monthly files of a source; the month comes from the file name
+    (``{year}-{month}`` in the layout, read back from
+    ``_metadata.file_path``, whose URI encoding leaves digits and '-' alone)."""
     out = {}
     for f in fields(MonthlySources):
-        paths = {os.path.join(folder, layout[f.name].format(year=y, month=f"{m:02d}")): f"{y}-{m:02d}"
-                 for y, m in months}
-        df = read_delimited(spark, list(paths), None, sep=sep, encoding=encoding, suffix=None)
-        path_month = F.create_map(*[F.lit(x) for kv in paths.items() for x in kv])
-        file_path = F.regexp_replace(F.col("_metadata.file_path"), "^file:", "")
-        out[f.name] = df.withColumn(MONTH, path_month[file_path])
+        if "{year}-{month}" not in layout[f.name]:
+            raise ValueError(f"layout for {f.name} must contain '{{year}}-{{month}}'")
+        paths = [os.path.join(folder, layout[f.name].format(year=y, month=f"{m:02d}")) for y, m in months]
+        df = read_delimited(spark, paths, None, sep=sep, encoding=encoding, suffix=None)
+        month = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}-\d{2})[^/]*$", 1)
+        out[f.name] = df.withColumn(MONTH, month)
     return MonthlySources(**out)
 
 

@@ -6,10 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import dates, fixed
-from ..operators import geo
+from ..functions import bands, classify, dates, fixed, keys
+from ..operators import calendar, consolidate, geo, outcomes
 from ..sources.tables import table
 from .catalog import register
+from .q_assignment import _CRM_BY_SEGMENT, _case_spark, _case_sql
+from .q_touch import CHANNEL_BY_EVENT, OUTCOME_BY_EVENT
 
 # ------------------------------------------------------------ departments
 # City text of a customer: its nation name and region as "CITY/REGION";
@@ -121,11 +123,6 @@ def arrears_days(spark, sf):
 #             (nations of one region)
 # Base filters: entry date not "Manual", brand not "Castigo".
 
-from ..functions import bands, classify, keys  # noqa: E402
-from ..operators import calendar, consolidate, flags, outcomes  # noqa: E402
-from .q_assignment import _CRM_BY_SEGMENT, _case_spark, _case_sql  # noqa: E402
-from .q_touch import CHANNEL_BY_EVENT, OUTCOME_BY_EVENT  # noqa: E402
-
 EXCLUDED_REGION = "MIDDLE EAST"
 
 FAMILIES = {

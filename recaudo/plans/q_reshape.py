@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import bands, fixed, keys
+from ..functions import bands, fixed
 from ..operators import consolidate, flags, reshape
 from ..sources.tables import table
 from .catalog import register

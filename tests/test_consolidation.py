@@ -2,6 +2,7 @@
 chain with the base filters at the end; the monthly pipeline on literal
 fixtures of the eleven sources."""
 
+import os
 import random
 
 from pyspark.sql import functions as F
@@ -104,3 +105,20 @@ def test_month_range_rolls_over():
     assert monthly.month_range((2024, 9), (2025, 3)) == [
         (2024, 9), (2024, 10), (2024, 11), (2024, 12), (2025, 1), (2025, 2), (2025, 3)]
     assert monthly.month_range((2024, 12), (2024, 12)) == [(2024, 12)]
+
+
+def test_read_months_backfill_in_one_job(spark, tmp_path):
+    src = _src(spark)
+    folder = str(tmp_path)
+    for name, layout in monthly.DEFAULT_LAYOUT.items():
+        pdf = getattr(src, name).drop("mes").toPandas()
+        for y, m in ((2025, 3), (2025, 4)):
+            path = os.path.join(folder, layout.format(year=y, month=f"{m:02d}"))
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            pdf.to_csv(path, sep=";", index=False)
+    months = monthly.month_range((2025, 3), (2025, 4))
+    read = monthly.read_months(spark, folder, months)
+    pats = geo.pattern_table(spark, [(1, "BOGOTA", "CUNDINAMARCA", 2)])
+    out = monthly.monthly_consolidation(read, pats)
+    got = sorted((r["mes"], r["BG_cuenta_next"]) for r in out.collect())
+    assert got == [(m, k) for m in ("2025-03", "2025-04") for k in ("100-", "400-", "500-")]

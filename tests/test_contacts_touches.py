@@ -3,8 +3,6 @@ fixtures."""
 
 import random
 
-from pyspark.sql import functions as F
-
 from recaudo.operators import contacts, touches
 from recaudo.plans.contact_plan import contact_table
 from recaudo.plans.touch_plan import touch_table

@@ -2,11 +2,8 @@
 
 from decimal import Decimal
 
-from pyspark.sql import functions as F
-
 from recaudo.functions import bands, classify, dates, fixed, keys, text
 from recaudo.operators import outcomes
-from tests.conftest import rows
 
 
 def test_brand_rules_first_match_and_refinement(spark):
