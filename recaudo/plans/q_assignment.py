@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import bands, classify, keys, text
+from ..functions import bands, classify, dates, keys, text
 from ..functions import fixed
 from ..operators import calendar, flags, topn
 from ..sources.tables import table
@@ -342,3 +342,160 @@ def multi_flags(spark, sf):
     out = flags.multi_flags(o, "documento", "o_orderkey",
                             {"multiproducto": "o_orderstatus", "multimora": "o_orderpriority"})
     return out.select("o_orderkey", "documento", "multicuenta", "multiproducto", "multimora")
+
+
+# ------------------------------------------------------ whole assignment base
+# The reference's main pipeline end to end: orders x customer rendered in
+# the positional 57-column text layout of the daily assignment files (one
+# row per order = one assigned day of the customer's account), discounts
+# from returned lines; plans.assignment.assignment_base does the rest.
+
+def _raw_assignment(spark, sf):
+    from pyspark.sql.types import StringType
+    p = _portfolio(spark, sf)
+    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal",
+                                            "c_mktsegment")
+    j = p.join(c, p.o_custkey == c.c_custkey, "left")
+    acc = F.concat(F.col("o_custkey").cast("string"), F.lit("."), (F.col("o_custkey") % 7).cast("string"))
+    cols = {f"{i}_": F.lit(None).cast(StringType()) for i in range(1, 58)}
+    cols.update({
+        "1_": F.when(F.col("c_acctbal") < 0, F.lit(None)).otherwise(
+            F.concat(_case_spark(F.col("c_mktsegment"), _DOC_LETTERS_BY_SEGMENT, ""),
+                     F.col("c_custkey").cast("string"))),
+        "2_": acc, "3_": F.col("crm"), "5_": F.col("m5"), "6_": F.col("m6"), "7_": F.col("m7"),
+        "9_": F.col("o_totalprice").cast("decimal(18,2)").cast("string"),
+        "12_": F.col("campaign"), "13_": F.col("debt_age"), "24_": F.col("c_name"),
+        "26_": dates.format_dmy(F.date_add(F.to_date("o_orderdate"), 30)),
+        "27_": F.col("ref_raw"), "42_": (F.col("c_nationkey") + 70).cast("string"), "43_": F.col("m43"),
+        "57_": dates.format_dmy("o_orderdate"),
+    })
+    raw = j.select(*[v.alias(k) for k, v in cols.items()])
+    li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    disc = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.concat(F.col("o_custkey").cast("string"), (F.col("o_custkey") % 7).cast("string")).alias("CUENTA"),
+        (F.col("l_discount") * 100).cast("decimal(5,2)").cast("string").alias("PORCENTAJE"))
+    return raw, disc
+
+
+def _doc_type_sql(letters: str) -> str:
+    parts = " ".join(f"WHEN {letters} = '{code}' THEN '{name}'" for code, name in fixed.DOCUMENT_TYPES)
+    return f"CASE {parts} WHEN {letters} IS NULL THEN 'Sin tipologia' ELSE 'Errado' END"
+
+
+def _assignment_sql() -> str:
+    from .assignment import DAY_COLUMNS, LAYOUT, TAIL
+    attrs = ["DOCUMENTO", "TIPO DE DOCUMENTO", "CUENTA_NEXT", "MARCA", "CRM", "SEGMENTO", "CUSTOMER TYPE",
+             "RANGO DEUDA", "VALOR DEUDA", "FECHA VENCIMIENTO", "REFERENCIA", "FILTRO REFERENCIA", "NOMBRE"]
+    order = ", ".join(["_fecha NULLS FIRST"] + [f'"{a}" NULLS FIRST' for a in attrs])
+    labels = ", ".join(
+        f"CASE WHEN (day_mask >> {d - 1}) & 1 = 1 THEN 'Asignada' "
+        f"WHEN first_day < {d} AND last_day > {d} THEN 'Sin reasignar' "
+        f"WHEN last_day + 1 = {d} AND month_last_day >= {d} THEN 'Retirada' ELSE '' END AS \"Dia_{d}\""
+        for d in range(1, 32))
+    out_cols = ", ".join(f'"{c}"' for c in LAYOUT + DAY_COLUMNS + TAIL)
+    return _PORTFOLIO_SQL + f""",
+raw AS (
+  SELECT
+    CASE WHEN c_acctbal < 0 THEN NULL ELSE
+      {_case_sql('c_mktsegment', _DOC_LETTERS_BY_SEGMENT, '')} || CAST(c_custkey AS VARCHAR) END AS d1,
+    CAST(pf.o_custkey AS VARCHAR) || '.' || CAST(pf.o_custkey % 7 AS VARCHAR) AS a2,
+    crm AS c3, m5, m6, m7, m43,
+    CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS debt9,
+    campaign AS c12, debt_age AS c13, c_name AS n24,
+    strftime(CAST(o_orderdate AS DATE) + INTERVAL 30 DAY, '%-d/%-m/%Y') AS due26,
+    ref_raw AS r27, CAST(c_nationkey + 70 AS VARCHAR) AS t42,
+    strftime(o_orderdate, '%-d/%-m/%Y') AS f57
+  FROM pf LEFT JOIN customer ON pf.o_custkey = c_custkey),
+r0 AS (
+  SELECT *, regexp_replace(d1, '[^0-9]', '', 'g') AS docnum, regexp_replace(d1, '[^a-zA-Z]', '', 'g') AS letters,
+         TRY_CAST(debt9 AS DECIMAL(18,2)) AS debt,
+         CASE WHEN c3 = 'RR' THEN a2 WHEN r27 IS NULL THEN '0' ELSE r27 END AS ref
+  FROM raw WHERE c3 <> 'CRM Origen'),
+r1 AS (
+  SELECT *, CASE WHEN m5 = 'Y' AND c3 = 'BSCS' THEN 'Potencial'
+       WHEN m5 = 'Y' AND c3 IN ('RR', 'SGA') THEN 'Churn'
+       WHEN m5 = 'Y' AND c3 = 'ASCARD' THEN 'Provision'
+       WHEN m6 = 'Y' AND c3 = 'BSCS' THEN 'Prepotencial'
+       WHEN m6 = 'Y' AND c3 IN ('RR', 'SGA') THEN 'Prechurn'
+       WHEN m6 = 'Y' AND c3 = 'ASCARD' THEN 'Preprovision'
+       WHEN m7 = 'Y' THEN 'Castigo'
+       WHEN m5 = 'N' AND m6 = 'N' AND m7 = 'N' AND m43 = 'Y' THEN 'Potencial a Castigar'
+       ELSE c13 END AS b, c3 AS crm_, c12 AS campaign_ FROM r0),
+rows AS (
+  SELECT
+    CASE WHEN trim(docnum) = '' THEN NULL ELSE docnum END AS "DOCUMENTO",
+    {_doc_type_sql('letters')} AS "TIPO DE DOCUMENTO",
+    a2 || '-' AS "CUENTA",
+    regexp_replace(a2, '[.\\-]', '', 'g') || '-' AS "CUENTA_NEXT",
+    CASE WHEN b IN ('120', '150', '180') THEN '120 - 180'
+         WHEN b = 'Prepotencial' AND crm_ = 'BSCS' AND campaign_ IN
+              ('PrePotencial Convergente Masivo_2', 'PrePotencial Convergente Pyme_2')
+         THEN 'Prepotencial Especial' ELSE b END AS "MARCA",
+    c3 AS "CRM",
+    CASE WHEN t42 IN ('81', '84', '87') THEN 'Personas' ELSE 'Negocios' END AS "SEGMENTO",
+    t42 AS "CUSTOMER TYPE",
+    {_debt_band_sql('debt')} AS "RANGO DEUDA",
+    debt AS "VALOR DEUDA",
+    due26 AS "FECHA VENCIMIENTO",
+    ref AS "REFERENCIA",
+    CASE WHEN length(ref) > 3 THEN 'Con referencia' ELSE 'Sin Referencia' END AS "FILTRO REFERENCIA",
+    {_name_clean_sql('n24')} AS "NOMBRE",
+    CAST(try_strptime(trim(f57), '%d/%m/%Y') AS DATE) AS _fecha
+  FROM r1),
+ev AS (SELECT *, CAST(date_trunc('month', _fecha) AS DATE) AS month, CAST(dayofmonth(_fecha) AS INTEGER) AS d FROM rows),
+agg AS (SELECT "CUENTA", month, bit_or(CAST(1 AS BIGINT) << (d - 1)) AS day_mask, min(d) AS first_day,
+               max(d) AS last_day FROM ev GROUP BY "CUENTA", month),
+fr AS (SELECT * EXCLUDE (rn) FROM (
+         SELECT *, row_number() OVER (PARTITION BY "CUENTA", month ORDER BY {order}) AS rn FROM ev)
+       WHERE rn = 1),
+mm AS (SELECT month, max(d) AS month_last_day FROM ev GROUP BY month),
+cal AS (
+  SELECT fr.* EXCLUDE (d, _fecha), a.day_mask, a.first_day, a.last_day, mm.month_last_day,
+         CAST(bit_count(a.day_mask) AS INTEGER) AS asg,
+         CAST(a.last_day - a.first_day + 1 - bit_count(a.day_mask)
+              + CASE WHEN a.last_day < mm.month_last_day THEN 1 ELSE 0 END AS INTEGER) AS ret
+  FROM agg a JOIN fr ON a."CUENTA" = fr."CUENTA" AND a.month IS NOT DISTINCT FROM fr.month
+  LEFT JOIN mm ON a.month = mm.month),
+c2 AS (
+  SELECT *,
+    CAST(first_day AS VARCHAR) || '/' || strftime(month, '%m/%Y') AS "FECHA INGRESO",
+    CASE WHEN last_day < month_last_day THEN CAST(last_day + 1 AS VARCHAR) || '/' || strftime(month, '%m/%Y')
+         ELSE '-' END AS "FECHA RETIRO",
+    {day_band_sql('asg + ret')} AS "GRUPO RANGO DE DIAS",
+    asg + ret AS "RANGO DE DIAS", asg AS "DIAS ASIGNADA", ret AS "DIAS RETIRADA",
+    CASE WHEN last_day < month_last_day THEN 'Recuperada' ELSE 'En gestion' END AS "ESTADO CUENTA",
+    strftime(month, '%m') AS "MES DE ASIGNACION", strftime(month, '%Y') AS "PERIODO DE ASIGNACION",
+    {labels}
+  FROM cal),
+disc AS (
+  SELECT CAST(o_custkey AS VARCHAR) || CAST(o_custkey % 7 AS VARCHAR) || '-' AS dk,
+         max(TRY_CAST(CAST(CAST(l_discount * 100 AS DECIMAL(5,2)) AS VARCHAR) AS DECIMAL(5,2))) AS pct
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' GROUP BY 1),
+c3t AS (
+  SELECT c2.*, CAST(coalesce(disc.pct, 0) AS DECIMAL(5,2)) AS "PORCENTAJE"
+  FROM c2 LEFT JOIN disc ON c2."CUENTA_NEXT" = disc.dk),
+c4 AS (
+  SELECT *, CASE WHEN "PORCENTAJE" = 0 THEN CAST(0 AS DECIMAL(24,6))
+    ELSE CAST("VALOR DEUDA" * (CAST(1 AS DECIMAL(7,4)) - CAST("PORCENTAJE" / 100 AS DECIMAL(7,4))) AS DECIMAL(24,6)) END AS vd
+  FROM c3t),
+c5 AS (
+  SELECT * EXCLUDE ("VALOR DEUDA"),
+    replace(CAST("VALOR DEUDA" AS VARCHAR), '.', ',') AS "VALOR DEUDA",
+    replace(CAST(CAST(vd AS DECIMAL(18,2)) AS VARCHAR), '.', ',') AS "VALOR DESCUENTO",
+    {_debt_band_sql('vd', zero=True)} AS "RANGO CON DESCUENTO",
+    CASE WHEN "DOCUMENTO" IS NULL THEN 'No aplica'
+         WHEN count(*) OVER w > 1 THEN 'Aplica' ELSE 'No aplica' END AS "MULTICUENTA",
+    CASE WHEN "DOCUMENTO" IS NULL THEN 'No aplica'
+         WHEN max("CRM") OVER w > min("CRM") OVER w THEN 'Aplica' ELSE 'No aplica' END AS "MULTIPRODUCTO",
+    CASE WHEN "DOCUMENTO" IS NULL THEN 'No aplica'
+         WHEN max("MARCA") OVER w > min("MARCA") OVER w THEN 'Aplica' ELSE 'No aplica' END AS "MULTIMORA"
+  FROM c4 WINDOW w AS (PARTITION BY month, "DOCUMENTO"))
+SELECT {out_cols} FROM c5"""
+
+
+@register("assignment_table", _assignment_sql())
+def assignment_table(spark, sf):
+    from .assignment import assignment_base
+    raw, disc = _raw_assignment(spark, sf)
+    return assignment_base(raw, disc)
