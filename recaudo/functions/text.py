@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 MISENCODED_N = ["ÃƒÂ‘", "Ã‚Â¦", "Ã‘", "Ñ"]
 MISENCODED_OTHER = [("Ã‡", "A"), ("ÃƒÂ", "I")]
 # Accented capitals and their plain letters (translate tables, same length).
-ACCENTED = "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕØÚÙÛÜÝÇ"
-PLAIN = "AAAAAAEEEEIIIIOOOOOOUUUUYC"
+ACCENTED = "ÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕØÚÙÛÜÝÇÑ"
+PLAIN = "AAAAAAEEEEIIIIOOOOOOUUUUYCN"
 # Honorifics removed as whole words (after accents are folded).
 HONORIFICS = ["SENORES", "SENORAS", "SENORA", "SENOR", "SRES", "SRTA", "SRA", "SR"]
 
@@ -26,8 +26,8 @@ def _c(c: Column | str) -> Column:
 def clean_person_name(c: Column | str) -> Column:
     """Upper-case person name with only ``A-Z``, ``&`` and single blanks.
 
-    Steps: repair mis-encoded letters, upper case (``ß`` -> ``SS`` first so
-    that every engine agrees), fold accents, drop honorifics on word
+    Steps: ``ß`` -> ``SS`` (so that every engine agrees on upper case),
+    repair mis-encoded letters, upper case, fold accents, drop honorifics on word
     boundaries (``SR.``, ``SRA``, ``SR(A)``, ``SEÑOR(A)`` ...), turn every
     other character into a blank (so words never glue together), collapse
     blanks, drop leading ``A `` words.
@@ -37,17 +37,23 @@ def clean_person_name(c: Column | str) -> Column:
     dots, accented vowels deleted instead of folded).
     """
     x = F.replace(_c(c), F.lit("ß"), F.lit("SS"))
-    x = F.upper(x)
+    # repair before upper(): the mis-encodings contain lower-case letters
+    fixed_enc = x
     for bad in MISENCODED_N:
-        x = F.replace(x, F.lit(bad), F.lit("N"))
+        fixed_enc = F.replace(fixed_enc, F.lit(bad), F.lit("N"))
     for bad, good in MISENCODED_OTHER:
-        x = F.replace(x, F.lit(bad), F.lit(good))
+        fixed_enc = F.replace(fixed_enc, F.lit(bad), F.lit(good))
+    # every mis-encoding starts with 'Ã' or is 'Ñ': skip the passes otherwise
+    x = F.when(x.contains("Ã") | x.contains("Ñ"), fixed_enc).otherwise(x)
+    x = F.upper(x)
     x = F.translate(x, ACCENTED, PLAIN)
     # keep only what the honorific rule needs; the rest becomes a blank
     x = F.regexp_replace(x, r"[^A-Z&()/. ]", " ")
-    x = F.regexp_replace(x, r"\((A|AS|ES)\)", "$1")
+    x = F.when(x.contains("("), F.regexp_replace(x, r"\((A|AS|ES)\)", "$1")).otherwise(x)
     honor = "|".join(HONORIFICS)
-    x = F.regexp_replace(x, rf"\b({honor})\b\.?", " ")
+    # every honorific contains "SR" or "SENOR": the regex runs only then
+    x = F.when(x.contains("SR") | x.contains("SENOR"),
+               F.regexp_replace(x, rf"\b({honor})\b\.?", " ")).otherwise(x)
     # every run of characters other than A-Z and & becomes one blank
     x = F.regexp_replace(x, r"[^A-Z&]+", " ")
     x = F.trim(x)

@@ -128,14 +128,17 @@ def contact_profile(phones: DataFrame, emails: DataFrame, keys: Sequence[str]) -
 # inside prose)
 EMAIL_PATTERN = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE_PATTERN = r"\(\d{3}\) \d{3}-\d{4}"
-CONTACT_PATTERN = PHONE_PATTERN + "|" + EMAIL_PATTERN
 
 
 def extract_contacts(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataFrame:
-    """Whole-text extraction of e-mails and phone numbers in ONE regex pass
-    (alternation, leftmost match first); phone numbers keep their digits
-    only. One row per occurrence: ``keep`` columns + ``dato``."""
-    found = F.regexp_extract_all(F.col(text_col), F.lit(CONTACT_PATTERN), 0)
-    norm = F.transform(found, lambda x: F.when(x.contains("@"), x)
-                       .otherwise(F.regexp_replace(x, r"[^0-9]", "")))
-    return df.select(*keep, F.explode(norm).alias("dato"))
+    """Whole-text extraction of e-mails and phone numbers (digits only), one
+    row per occurrence: ``keep`` columns + ``dato``. Each regex runs only on
+    texts that contain its mandatory character ('@', ') '): a substring test
+    is far cheaper than a regex scan, and the result is the same."""
+    t = F.col(text_col)
+    none = F.array().cast("array<string>")
+    mails = F.when(t.contains("@"), F.regexp_extract_all(t, F.lit(EMAIL_PATTERN), 0)).otherwise(none)
+    phones = F.when(t.contains(") "), F.transform(
+        F.regexp_extract_all(t, F.lit(PHONE_PATTERN), 0),
+        lambda p: F.regexp_replace(p, r"[^0-9]", ""))).otherwise(none)
+    return df.select(*keep, F.explode(F.concat(mails, phones)).alias("dato"))

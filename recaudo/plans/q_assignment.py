@@ -304,11 +304,11 @@ def document_split(spark, sf):
 
 def _name_clean_sql(x: str) -> str:
     s = f"replace({x}, 'ß', 'SS')"
-    s = f"upper({s})"
     for bad in text.MISENCODED_N:
         s = f"replace({s}, '{bad}', 'N')"
     for bad, good in text.MISENCODED_OTHER:
         s = f"replace({s}, '{bad}', '{good}')"
+    s = f"upper({s})"
     s = f"translate({s}, '{text.ACCENTED}', '{text.PLAIN}')"
     s = f"regexp_replace({s}, '[^A-Z&()/. ]', ' ', 'g')"
     s = f"regexp_replace({s}, '\\((A|AS|ES)\\)', '\\1', 'g')"
