@@ -8,27 +8,6 @@ with the same column names. ``QUERIES[name](spark, sf_dir) -> DataFrame``;
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-    return deco
-
-
-def _load_all() -> None:
-    # importing the modules fills the registry
-    from . import (q_assignment, q_contacts, q_consolidation, q_touch,  # noqa: F401
-                   q_reshape, q_campaign, q_io)
-
-
-_load_all()
+from . import (q_assignment, q_campaign, q_consolidation, q_contacts, q_io,  # noqa: F401
+               q_reshape, q_touch)
+from .registry import ORACLES, QUERIES, register  # noqa: F401

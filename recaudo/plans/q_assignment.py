@@ -9,7 +9,7 @@ from ..functions import bands, classify, dates, keys, text
 from ..functions import fixed
 from ..operators import calendar, flags, topn
 from ..sources.tables import table
-from .catalog import register
+from .registry import register
 
 
 def _purchases(spark, sf):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import classify
 from ..operators import campaign, outcomes
 from ..sources.tables import table
-from .catalog import register
+from .registry import register
 from .q_assignment import _CRM_BY_SEGMENT, _case_spark, _case_sql
 from .q_touch import OUTCOME_BY_EVENT, outcome_group_sql, outcome_text_sql
 

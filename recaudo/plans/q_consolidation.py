@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import bands, classify, dates, fixed, keys
 from ..operators import calendar, consolidate, geo, outcomes
 from ..sources.tables import table
-from .catalog import register
+from .registry import register
 from .q_assignment import _CRM_BY_SEGMENT, _case_spark, _case_sql
 from .q_touch import CHANNEL_BY_EVENT, OUTCOME_BY_EVENT
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import contacts, topn
 from ..sources.tables import table
-from .catalog import register
+from .registry import register
 
 # The driver documents carry North-American style numbers; these ranges play
 # the role of the mobile / landline ranges for them (query parameters).

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources import delimited
 from ..sources.tables import table
-from .catalog import register
+from .registry import register
 
 _CUST_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal decimal(12,2), c_mktsegment string"
 

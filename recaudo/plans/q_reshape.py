@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import bands, fixed
 from ..operators import consolidate, flags, reshape
 from ..sources.tables import table
-from .catalog import register
+from .registry import register
 
 
 # ------------------------------------------------------------ union by name

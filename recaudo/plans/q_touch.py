@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..operators import outcomes, touches
 from ..sources.tables import table
-from .catalog import register
+from .registry import register
 
 # events as touch logs: four event types play the four channels
 CHANNEL_BY_EVENT = [("click", "SMS"), ("view", "EMAIL"), ("signup", "BOT"), ("purchase", "IVR")]
