@@ -43,6 +43,15 @@ ADDED = ["ESTADO CUENTA", "FILTRO DESCUENTO", "FILTRO_PAGOS_SIN_APLICAR", "FILTR
          "RECUENTO PAGOS SIN APLICAR", "RECUENTO NO GESTION", "FILTRO COLAS"] + \
     [f"Toques por {ch}" for ch in fixed.TOUCH_CHANNELS]
 FINAL = ["FECHA INGRESO DATA", "FECHA RETIRO DATA", "CUENTA", "DOCUMENTO", "NOMBRE"]
+# renames applied after the joins (names the monthly reports use)
+RENAMES = {"CRM Origen": "CRM_ORIGEN", "TIPO DE DOCUMENTO": "TIPO_DE_DOCUMENTO",
+           "Marca": "MARCA_ASIGNACION", "MARCA DATA": "NOMBRE_CAMPANA",
+           "SEGMENTO": "SEGMENTO_ASIGNACION", "RANGO DEUDA": "RANGO_DEUDA",
+           "GRUPO RANGO DE DIAS": "RANGO_DE_DIAS_ASIGNADA", "FILTRO REFERENCIA": "FILTRO_REFERENCIA",
+           "Filtro Demografico": "FILTRO_DEMOGRAFICOS", "CUSTOMER TYPE": "CUSTOMER_TYPE",
+           "DIAS ASIGNADA": "DIAS_EN_BASE", "RANGO DE DIAS": "DIAS_ASIGNADA",
+           "DIAS RETIRADA": "DIAS_RETIRADA", "NumMovil": "CANTIDAD_MOVILES",
+           "NumFijo": "CANTIDAD_FIJOS", "NumEmail": "CANTIDAD_EMAILS"}
 
 
 @dataclass
@@ -171,15 +180,8 @@ def monthly_consolidation(src: MonthlySources, patterns: geo.PatternDictionary,
     df = df.withColumn("FILTRO DESCUENTO", classify.discount_filter(F.col("PORCENTAJE").try_cast("decimal(5,2)")))
     df = geo.resolve_departments(df, "Ciudad", patterns, out_city="_ciudad") \
         .withColumnRenamed("departamento", "DEPARTAMENTO").drop("_ciudad")
-    df = consolidate.rename(df, {"CRM Origen": "CRM_ORIGEN", "TIPO DE DOCUMENTO": "TIPO_DE_DOCUMENTO",
-                                 "Marca": "MARCA_ASIGNACION", "MARCA DATA": "NOMBRE_CAMPANA",
-                                 "SEGMENTO": "SEGMENTO_ASIGNACION", "RANGO DEUDA": "RANGO_DEUDA",
-                                 "GRUPO RANGO DE DIAS": "RANGO_DE_DIAS_ASIGNADA",
-                                 "FILTRO REFERENCIA": "FILTRO_REFERENCIA",
-                                 "Filtro Demografico": "FILTRO_DEMOGRAFICOS", "CUSTOMER TYPE": "CUSTOMER_TYPE",
-                                 "DIAS ASIGNADA": "DIAS_EN_BASE", "RANGO DE DIAS": "DIAS_ASIGNADA",
-                                 "DIAS RETIRADA": "DIAS_RETIRADA", "NumMovil": "CANTIDAD_MOVILES",
-                                 "NumFijo": "CANTIDAD_FIJOS", "NumEmail": "CANTIDAD_EMAILS"})
+    df = consolidate.rename(df, RENAMES)
+    base_cols = [RENAMES.get(c, c) for c in base_cols]
     counts = [F.coalesce(F.col(c).try_cast("int"), F.lit(0)) if c in df.columns else F.lit(0)
               for c in ("CANTIDAD_MOVILES", "CANTIDAD_FIJOS", "CANTIDAD_EMAILS")]
     mora_entry = F.col("`FECHA INGRESO DATA`") if "FECHA INGRESO DATA" in df.columns else F.lit(None)

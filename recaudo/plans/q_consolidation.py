@@ -340,3 +340,103 @@ def consolidate_left(spark, sf):
 def consolidate_full_outer_filtered(spark, sf):
     base, flt, sides = _consolidation_parts(spark, sf)
     return _finish(consolidate.consolidate_full_outer(base, flt, sides, "cuenta_next"))
+
+
+# ------------------------------------------------------------ monthly pipeline
+# The eleven monthly sources of plans.monthly derived from the driver tables
+# (month = order month; account text = custkey followed by custkey % 7, so
+# that the assignment table's account key matches):
+#   base        per (customer, month) from orders: brand from the month's
+#               order statuses, billing system, city, due and entry dates
+#               (entry "Manual" for months whose orders are all low priority)
+#   assignment  the whole assignment-base pipeline (assignment_table)
+#   contacts    contact table from the documents (doc_id as customer), month
+#               of the customer's first order
+#   touches, report   events per user (user as customer), same month rule
+#   queues      lines with return flag A; ranking: orders per month
+#   exclusions  documents of one region, accounts with negative balance
+#   counts      returned lines (unapplied payments), pending orders
+# No DuckDB twin: its pieces are checked one by one (assignment_table,
+# contact_slots, touch_union_agg, outcome_rollup, substring_lookup,
+# arrears_days, consolidate_left) and the pipeline on fixtures.
+
+
+def _monthly_sources(spark, sf):
+    from .assignment import assignment_base
+    from .contact_plan import contact_table
+    from .monthly import MonthlySources
+    from .q_assignment import _raw_assignment
+    o = table(spark, sf, "orders")
+    cust = table(spark, sf, "customer")
+    mes = F.date_format(F.trunc(F.to_date("o_orderdate"), "month"), "yyyy-MM")
+
+    def acc(c):
+        return F.concat(F.col(c).cast("string"), (F.col(c) % 7).cast("string"))
+
+    cities = _cities(spark, sf, keep=["c_mktsegment"])
+    base = o.groupBy("o_custkey", mes.alias("mes")).agg(
+        F.min("o_orderstatus").alias("_st"), F.min("o_orderpriority").alias("_pr"),
+        F.min(F.to_date("o_orderdate")).alias("_d"))
+    base = base.join(cities, base.o_custkey == cities.c_custkey, "left").select(
+        acc("o_custkey").alias("CUENTA_NEXT"), "mes",
+        F.when(F.col("_st") == "F", "Potencial").when(F.col("_st") == "O", "Churn")
+         .otherwise(fixed.BRAND_CASTIGO).alias("Marca"),
+        _case_spark(F.col("c_mktsegment"), _CRM_BY_SEGMENT, "OTRO").alias("CRM Origen"),
+        F.col("ciudad_raw").alias("Ciudad"),
+        dates.format_dmy(F.date_add("_d", 30)).alias("Fecha de Vencimiento"),
+        F.when(F.col("_pr") == "5-LOW", F.lit("Manual")).otherwise(dates.format_dmy("_d")).alias("FECHA INGRESO"))
+
+    raw, disc = _raw_assignment(spark, sf)
+    asg = assignment_base(raw, disc)
+    asg = asg.withColumn("mes", F.concat_ws("-", "PERIODO DE ASIGNACION", "MES DE ASIGNACION"))
+
+    first_month = o.groupBy(F.col("o_custkey").alias("_k")).agg(F.min(mes).alias("mes"))
+    docs = table(spark, sf, "documents")
+    clist = docs.select(F.col("source").alias("identificacion"), acc("doc_id").alias("cuenta"), "text")
+    from ..operators.contacts import extract_contacts
+    clist = extract_contacts(clist, "text", ["identificacion", "cuenta"])
+    from .q_contacts import DOC_LANDLINE, DOC_MOBILE
+    ct = contact_table(clist, 0, 0, DOC_MOBILE, DOC_LANDLINE).drop("MES DE ASIGNACION", "PERIODO DE ASIGNACION")
+    ct = ct.join(docs.select(acc("doc_id").alias("_c"), F.col("doc_id").alias("_k")),
+                 F.col("cuenta") == F.concat(F.col("_c"), F.lit("-")), "left") \
+        .join(first_month, "_k", "left").drop("_k", "_c")
+
+    ev = table(spark, sf, "events").join(first_month, F.col("user_id") == F.col("_k"))
+    touches = ev.groupBy(F.concat(F.col("user_id").cast("string"), F.lit("."),
+                                  (F.col("user_id") % 7).cast("string")).alias("Cuenta_Real"), "mes").agg(
+        *[F.count_if(F.col("event_type") == e).cast("string").alias(f"Toques por {ch}")
+          for e, ch in CHANNEL_BY_EVENT])
+    report = ev.select(F.concat(F.col("user_id").cast("string"), F.lit("."),
+                                (F.col("user_id") % 7).cast("string")).alias(" Cuenta "),
+                       F.date_format("ts", "d/M/yyyy").alias("fecha_gestion"),
+                       _case_spark(F.col("event_type"), OUTCOME_BY_EVENT, None).alias("tipificacion "), "mes")
+
+    li = table(spark, sf, "lineitem")
+    lo = li.join(o.select("o_orderkey", "o_custkey", mes.alias("mes")), li.l_orderkey == o.o_orderkey)
+    queues = lo.where(F.col("l_returnflag") == "A").select(
+        acc("o_custkey").alias("Cuenta"), dates.format_dmy("l_shipdate").alias("Fecha"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string").alias("Valor"),
+        F.col("l_orderkey").cast("string").alias("Referencia"), "mes")
+    ranking = o.groupBy(acc("o_custkey").alias("CUENTA"), mes.alias("mes")).agg(
+        F.count(F.lit(1)).cast("string").alias("SERVICIOS"),
+        F.when(F.count_if(F.col("o_orderstatus") == "O") > 0, "ACTIVO").otherwise("INACTIVO").alias("ESTADO"))
+    n = table(spark, sf, "nation")
+    r = table(spark, sf, "region").where(F.col("r_name") == EXCLUDED_REGION)
+    region_nations = n.join(r, n.n_regionkey == r.r_regionkey, "left_semi").select("n_nationkey")
+    months_of = o.select(F.col("o_custkey").alias("_k"), mes.alias("mes")).distinct()
+    exc_doc = cust.join(region_nations, cust.c_nationkey == region_nations.n_nationkey, "left_semi") \
+        .join(months_of, F.col("c_custkey") == F.col("_k")) \
+        .select(F.col("c_custkey").cast("string").alias("DOCUMENTO"), "mes")
+    exc_acc = cust.where(F.col("c_acctbal") < 0).join(months_of, F.col("c_custkey") == F.col("_k")) \
+        .select(acc("c_custkey").alias("CUENTA"), "mes")
+    psa = lo.where(F.col("l_returnflag") == "R").groupBy(acc("o_custkey").alias("CUENTA"), "mes") \
+        .agg(F.count(F.lit(1)).cast("string").alias("RECUENTO"))
+    ng = o.where(F.col("o_orderstatus") == "P").groupBy(acc("o_custkey").alias("CUENTA"), mes.alias("mes")) \
+        .agg(F.count(F.lit(1)).cast("string").alias("RECUENTO"))
+    return MonthlySources(base, asg, ct, touches, queues, ranking, exc_doc, exc_acc, psa, ng, report)
+
+
+@register("monthly_consolidation")
+def monthly_consolidation(spark, sf):
+    from .monthly import monthly_consolidation as run
+    return run(_monthly_sources(spark, sf), geo.pattern_table(spark, CITY_PATTERNS))

@@ -122,3 +122,10 @@ def test_read_months_backfill_in_one_job(spark, tmp_path):
     out = monthly.monthly_consolidation(read, pats)
     got = sorted((r["mes"], r["BG_cuenta_next"]) for r in out.collect())
     assert got == [(m, k) for m in ("2025-03", "2025-04") for k in ("100-", "400-", "500-")]
+
+
+def test_monthly_base_family_keeps_renamed_base_columns(spark):
+    pats = geo.pattern_table(spark, [(1, "BOGOTA", "CUNDINAMARCA", 2)])
+    cols = monthly.monthly_consolidation(_src(spark), pats).columns
+    for c in ("BG_marca_asignacion", "BG_crm_origen", "BG_ciudad", "BG_cuenta_next", "BG_fecha_ingreso"):
+        assert c in cols
