@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from .joins import spread_small_input
 from .topn import ranked_values
 
 MOBILE, LANDLINE, EMAIL = "mobile", "landline", "email"
@@ -135,6 +136,7 @@ def extract_contacts(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataF
     row per occurrence: ``keep`` columns + ``dato``. Each regex runs only on
     texts that contain its mandatory character ('@', ') '): a substring test
     is far cheaper than a regex scan, and the result is the same."""
+    df = spread_small_input(df)
     t = F.col(text_col)
     none = F.array().cast("array<string>")
     mails = F.when(t.contains("@"), F.regexp_extract_all(t, F.lit(EMAIL_PATTERN), 0)).otherwise(none)

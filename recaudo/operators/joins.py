@@ -94,3 +94,15 @@ def spread_null_key(key: Column, spread: Column) -> Column:
     column of the row (e.g. the account)."""
     return F.when(key.isNull(), F.concat(F.lit("\u0000"), spread.cast("string"))) \
         .otherwise(key.cast("string"))
+
+
+def spread_small_input(df: DataFrame, slots: int | None = None) -> DataFrame:
+    """Before CPU-heavy row work (regex cleaning, text extraction, date
+    parsing): when the input has fewer partitions than task slots - a few
+    large files or single-row-group files give one task per file - deal its
+    rows round-robin over the slots. Inputs that already have at least as
+    many partitions (any cluster-scale scan) are returned unchanged, so no
+    shuffle is added there. Spark sorts before a round-robin repartition, so
+    a retried task sees the same rows."""
+    target = slots or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import bands, classify, dates, fixed, keys, text
 from ..operators import calendar, flags
 from ..operators.discount import apply_discounts
+from ..operators.joins import spread_small_input
 
 HEADER_MARK = "CRM Origen"
 
@@ -66,7 +67,7 @@ def classify_rows(raw: DataFrame) -> DataFrame:
 
 
 def assignment_base(raw: DataFrame, discounts: DataFrame) -> DataFrame:
-    rows = classify_rows(raw)
+    rows = classify_rows(spread_small_input(raw))
     cal = calendar.assignment_calendar(rows, ["CUENTA"], "_fecha", attrs=_ROW_ATTRS, labels="array")
     out = cal.select(
         "CUENTA", "month", *_ROW_ATTRS,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import bands, classify, dates, keys, text
 from ..functions import fixed
 from ..operators import calendar, flags, topn
+from ..operators.joins import spread_small_input
 from ..sources.tables import table
 from .registry import register
 
@@ -322,7 +323,7 @@ def _name_clean_sql(x: str) -> str:
 
 @register("name_clean", f"SELECT doc_id, {_name_clean_sql('text')} AS nombre FROM documents")
 def name_clean(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread_small_input(table(spark, sf, "documents").select("doc_id", "text"))
     return d.select("doc_id", text.clean_person_name("text").alias("nombre"))
 
 

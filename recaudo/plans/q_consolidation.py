@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands, classify, dates, fixed, keys
 from ..operators import calendar, consolidate, geo, outcomes
+from ..operators.joins import spread_small_input
 from ..sources.tables import table
 from .registry import register
 from .q_assignment import _CRM_BY_SEGMENT, _case_spark, _case_sql
@@ -100,7 +101,7 @@ SELECT l_orderkey, l_linenumber, fecha_ingreso, fecha_vencimiento, dias_mora,
        {_arrears_band_sql('dias_mora')} AS rango_de_dias_mora
 FROM d""")
 def arrears_days(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
+    li = spread_small_input(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"))
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     due = F.when(F.col("o_orderstatus") == "P",
