@@ -71,7 +71,8 @@ def calendar_columns(mask: Column, first: Column, last: Column, month_last: Colu
     left_early = last < month_last
     gaps = (last - first + 1 - assigned)
     retired = (gaps + F.when(left_early, 1).otherwise(0)).cast("int")
-    mm_yyyy = F.date_format(month, "MM/yyyy")
+    # month/year as the day-of-assignment text writes them (d/M/yyyy)
+    mm_yyyy = F.date_format(month, "M/yyyy")
     return {
         "dias_asignada": F.coalesce(assigned, F.lit(0)),
         "dias_retirada": F.coalesce(retired, F.lit(0)),

@@ -78,7 +78,7 @@ def assignment_base(raw: DataFrame, discounts: DataFrame) -> DataFrame:
         F.col("dias_asignada").alias("DIAS ASIGNADA"),
         F.col("dias_retirada").alias("DIAS RETIRADA"),
         F.col("estado_cuenta").alias("ESTADO CUENTA"),
-        F.date_format("month", "MM").alias("MES DE ASIGNACION"),
+        F.date_format("month", "M").alias("MES DE ASIGNACION"),
         F.date_format("month", "yyyy").alias("PERIODO DE ASIGNACION"),
         *[F.col("day_status")[d - 1].alias(f"Dia_{d}") for d in range(1, fixed.DAY_SLOTS + 1)],
     )

@@ -52,9 +52,9 @@ def day_band_sql(x: str) -> str:
 _CAL_SQL_COLS = f"""
   user_id, month, day_mask, first_day, last_day, month_last_day,
   asg AS dias_asignada, ret AS dias_retirada, asg + ret AS rango_de_dias,
-  CAST(first_day AS VARCHAR) || '/' || strftime(month, '%m/%Y') AS fecha_ingreso,
+  CAST(first_day AS VARCHAR) || '/' || strftime(month, '%-m/%Y') AS fecha_ingreso,
   CASE WHEN last_day < month_last_day
-       THEN CAST(last_day + 1 AS VARCHAR) || '/' || strftime(month, '%m/%Y') ELSE '-' END AS fecha_retiro,
+       THEN CAST(last_day + 1 AS VARCHAR) || '/' || strftime(month, '%-m/%Y') ELSE '-' END AS fecha_retiro,
   CASE WHEN last_day < month_last_day THEN 'Recuperada' ELSE 'En gestion' END AS estado_cuenta,
   {day_band_sql('asg + ret')} AS grupo_rango_de_dias
 """
@@ -460,13 +460,13 @@ cal AS (
   LEFT JOIN mm ON a.month = mm.month),
 c2 AS (
   SELECT *,
-    CAST(first_day AS VARCHAR) || '/' || strftime(month, '%m/%Y') AS "FECHA INGRESO",
-    CASE WHEN last_day < month_last_day THEN CAST(last_day + 1 AS VARCHAR) || '/' || strftime(month, '%m/%Y')
+    CAST(first_day AS VARCHAR) || '/' || strftime(month, '%-m/%Y') AS "FECHA INGRESO",
+    CASE WHEN last_day < month_last_day THEN CAST(last_day + 1 AS VARCHAR) || '/' || strftime(month, '%-m/%Y')
          ELSE '-' END AS "FECHA RETIRO",
     {day_band_sql('asg + ret')} AS "GRUPO RANGO DE DIAS",
     asg + ret AS "RANGO DE DIAS", asg AS "DIAS ASIGNADA", ret AS "DIAS RETIRADA",
     CASE WHEN last_day < month_last_day THEN 'Recuperada' ELSE 'En gestion' END AS "ESTADO CUENTA",
-    strftime(month, '%m') AS "MES DE ASIGNACION", strftime(month, '%Y') AS "PERIODO DE ASIGNACION",
+    strftime(month, '%-m') AS "MES DE ASIGNACION", strftime(month, '%Y') AS "PERIODO DE ASIGNACION",
     {labels}
   FROM cal),
 disc AS (

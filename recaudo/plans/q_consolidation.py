@@ -286,7 +286,7 @@ b1 AS (
 base AS (
   SELECT o_custkey, mes, c_nationkey, CAST(o_custkey AS VARCHAR) || '-' AS cuenta_next,
     {brand} AS marca_asignacion, crm_origen, ciudad, departamento, saldo, segmento_asignacion,
-    CAST(first_day AS VARCHAR) || '/' || strftime(mes, '%m/%Y') AS fecha_ingreso,
+    CAST(first_day AS VARCHAR) || '/' || strftime(mes, '%-m/%Y') AS fecha_ingreso,
     CASE WHEN last_day < month_last_day THEN 'Recuperada' ELSE 'En gestion' END AS estado_cuenta,
     {_debt_band_sql('saldo')} AS rango_deuda,
     {day_band_sql('asg + ret')} AS rango_de_dias_asignada,
@@ -389,7 +389,8 @@ def _monthly_sources(spark, sf):
 
     raw, disc = _raw_assignment(spark, sf)
     asg = assignment_base(raw, disc)
-    asg = asg.withColumn("mes", F.concat_ws("-", "PERIODO DE ASIGNACION", "MES DE ASIGNACION"))
+    asg = asg.withColumn("mes", F.concat_ws("-", "PERIODO DE ASIGNACION",
+                                            F.lpad("MES DE ASIGNACION", 2, "0")))
 
     first_month = o.groupBy(F.col("o_custkey").alias("_k")).agg(F.min(mes).alias("mes"))
     docs = table(spark, sf, "documents")

@@ -90,9 +90,9 @@ def test_spark_operator_matches_closed_form(spark):
         if e["exit"] is None:
             assert r.fecha_retiro == "-" and r.estado_cuenta == "En gestion"
         else:
-            assert r.fecha_retiro == f"{e['exit']}/{r.month.month:02d}/2025"
+            assert r.fecha_retiro == f"{e['exit']}/{r.month.month}/2025"
             assert r.estado_cuenta == "Recuperada"
-        assert r.fecha_ingreso == f"{r.first_day}/{r.month.month:02d}/2025"
+        assert r.fecha_ingreso == f"{r.first_day}/{r.month.month}/2025"
 
 
 def test_representative_row_is_earliest_and_deterministic(spark):
