@@ -96,7 +96,8 @@ def contact_log_stream(spark, sf):
     for w in weeks:   # bounded: one write per calendar week of the log
         e.where(week == w).repartition(files_per_week).write.mode("append").parquet(src)
     status = F.when(F.col("event_type") == "error", "Not sent").otherwise("Sent")
+    # two weeks of log files per micro-batch: batches still follow event time
     q = start_hourly_counts(spark, src, e.schema, "ts", "event_id", {"estado": status}, sink, ckpt,
-                            files_per_trigger=files_per_week)
+                            files_per_trigger=2 * files_per_week)
     q.awaitTermination()
     return current_counts(spark, sink, ["hora", "estado"])
