@@ -37,7 +37,7 @@ def multi_flags(df: DataFrame, doc: str, spread: str,
         .groupBy("_doc")
         .agg(F.count(F.lit(1)).alias("_n"),
              *[(F.max(f"_v_{n}") > F.min(f"_v_{n}")).alias(f"_m_{n}") for n in distinct_flags])
-        .withColumnRenamed("_doc", "_jk")
+        .withColumn("_doc", F.col("_doc").cast("string")).withColumnRenamed("_doc", "_jk")
     )
     detail = df.withColumn("_jk", spread_null_key(key, F.col(spread)))
     j = detail.join(per_doc, "_jk", "left")

@@ -53,3 +53,12 @@ def test_list_flag_no_fanout(spark):
     lst = spark.createDataFrame([("1",), ("1",), (None,), ("9",)], "k string")
     out = {r.k: r.f for r in flags.list_flag(base, lst, ["k"], "f").collect()}
     assert out == {"1": "APLICA", "2": None, "3": None}
+
+
+def test_multi_flags_numeric_document(spark):
+    rows = [(1, 10, "RR"), (2, 10, "SGA"), (3, None, "RR"), (4, 20, "RR")]
+    df = spark.createDataFrame(rows, "cuenta bigint, doc bigint, crm string")
+    out = {r.cuenta: (r.multicuenta, r.multiproducto) for r in
+           flags.multi_flags(df, "doc", "cuenta", {"multiproducto": "crm"}).collect()}
+    assert out == {1: ("Aplica", "Aplica"), 2: ("Aplica", "Aplica"), 3: ("No aplica", "No aplica"),
+                   4: ("No aplica", "No aplica")}
