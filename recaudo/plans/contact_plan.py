@@ -21,7 +21,9 @@ from ..operators.topn import slot_columns
 def contact_table(raw: DataFrame, month: int, year: int,
                   mobile=fixed.MOBILE_RANGE, landline=fixed.LANDLINE_RANGE,
                   phone_slots: int = fixed.PHONE_SLOTS, email_slots: int = fixed.EMAIL_SLOTS,
-                  counted_phone_slots: int | None = None, order_by_slot_code: bool = False) -> DataFrame:
+                  counted_phone_slots: int | None = None, order_by_slot_code: bool = False,
+                  mobile_count=fixed.MOBILE_COUNT_RANGE,
+                  landline_count=fixed.LANDLINE_COUNT_RANGE) -> DataFrame:
     """``order_by_slot_code`` sorts the sink by the per-slot code (mobiles
     first, then landlines, then empty slots) - a global sort, only when the
     file is meant to be read in that order."""
@@ -29,6 +31,7 @@ def contact_table(raw: DataFrame, month: int, year: int,
                    F.trim(F.col("dato")).alias("dato"))
     c = contacts.classify_contacts(d, "dato", mobile, landline)
     s = contacts.contact_slots(c, ["cuenta", "identificacion"], "dato", phone_slots, email_slots,
+                               mobile_count=mobile_count, landline_count=landline_count,
                                counted_phone_slots=counted_phone_slots)
     label = contacts.profile_label("num_movil", "num_fijo", "num_email")
     counts = {n: F.when(F.coalesce(F.col(c_), F.lit(0)) == 0, F.lit("")).otherwise(F.col(c_).cast("string"))

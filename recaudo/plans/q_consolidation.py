@@ -398,7 +398,8 @@ def _monthly_sources(spark, sf):
     from ..operators.contacts import extract_contacts
     clist = extract_contacts(clist, "text", ["identificacion", "cuenta"])
     from .q_contacts import DOC_LANDLINE, DOC_MOBILE
-    ct = contact_table(clist, 0, 0, DOC_MOBILE, DOC_LANDLINE).drop("MES DE ASIGNACION", "PERIODO DE ASIGNACION")
+    ct = contact_table(clist, 0, 0, DOC_MOBILE, DOC_LANDLINE, mobile_count=DOC_MOBILE,
+                       landline_count=DOC_LANDLINE).drop("MES DE ASIGNACION", "PERIODO DE ASIGNACION")
     ct = ct.join(docs.select(acc("doc_id").alias("_c"), F.col("doc_id").alias("_k")),
                  F.col("cuenta") == F.concat(F.col("_c"), F.lit("-")), "left") \
         .join(first_month, "_k", "left").drop("_k", "_c")
@@ -438,7 +439,206 @@ def _monthly_sources(spark, sf):
     return MonthlySources(base, asg, ct, touches, queues, ranking, exc_doc, exc_acc, psa, ng, report)
 
 
-@register("monthly_consolidation")
+def _monthly_sql() -> str:
+    """DuckDB twin of monthly_consolidation (same derived sources, same
+    chain, same column catalogue)."""
+    from .monthly import ADDED, FINAL, SCIENCE, SLOT_COLUMNS
+    from .q_assignment import _assignment_sql, day_band_sql
+    from .q_contacts import DOC_LANDLINE, DOC_MOBILE, PHONES, EMAILS
+    from .q_touch import outcome_group_sql
+    from ..functions.text import snake
+    asg_sql = _assignment_sql()
+    asg_ctes = asg_sql[asg_sql.index("WITH") + 4:asg_sql.rindex("SELECT")].strip().rstrip(",")
+    asg_final = asg_sql[asg_sql.rindex("SELECT"):]
+    acc = lambda c: f"(CAST({c} AS VARCHAR) || CAST({c} % 7 AS VARCHAR))"
+    mes = "strftime(o_orderdate, '%Y-%m')"
+    depts = ", ".join(f"'{d}'" for d in fixed.DEPARTMENTS)
+    vals = ", ".join(f"({o}, '{p}', '{d}', {g})" for o, p, d, g in CITY_PATTERNS)
+    n = "TRY_CAST(trim(dato) AS BIGINT)"
+    slot_cols = [f"max(CASE WHEN grp = 'phone' AND slot = {i} THEN dato END) AS phone{i}" for i in range(1, PHONES + 1)]
+    slot_cols += [f"max(CASE WHEN grp = 'email' AND slot = {i} THEN dato END) AS email{i}" for i in range(1, EMAILS + 1)]
+    slot_cols += [
+        f"CAST(count(*) FILTER (WHERE grp = 'phone' AND slot <= {PHONES} AND {n} BETWEEN {DOC_MOBILE[0]} AND {DOC_MOBILE[1]}) AS INTEGER) AS nm",
+        f"CAST(count(*) FILTER (WHERE grp = 'phone' AND slot <= {PHONES} AND {n} BETWEEN {DOC_LANDLINE[0]} AND {DOC_LANDLINE[1]}) AS INTEGER) AS nf",
+        f"CAST(count(*) FILTER (WHERE grp = 'email' AND slot <= {EMAILS} AND contains(dato, '@')) AS INTEGER) AS ne"]
+    profile = """CASE WHEN nm > 0 AND nf > 0 AND ne > 0 THEN 'Celular Fijo Email'
+       WHEN nm > 0 AND nf > 0 THEN 'Celular Fijo' WHEN nm > 0 AND ne > 0 THEN 'Celular Email'
+       WHEN nm > 0 THEN 'Celular' WHEN nf > 0 AND ne > 0 THEN 'Fijo Email' WHEN nf > 0 THEN 'Fijo'
+       WHEN ne > 0 THEN 'Email' ELSE 'No posee Demograficos' END"""
+    touch_cols = ", ".join(f"CAST(count(*) FILTER (WHERE event_type = '{e}') AS VARCHAR) AS \"Toques por {ch}\""
+                           for e, ch in CHANNEL_BY_EVENT)
+    outcome_txt = "CASE " + " ".join(f"WHEN event_type = '{a}' THEN '{b}'" for a, b in OUTCOME_BY_EVENT) + " END"
+    grp = outcome_group_sql(f"replace(lower({outcome_txt}), ' ', '')")
+    # output catalogue
+    base_cols = {"CUENTA_NEXT": "m_chain.CUENTA_NEXT", "MARCA_ASIGNACION": "Marca", "CRM_ORIGEN": '"CRM Origen"',
+                 "Ciudad": "Ciudad", "Fecha de Vencimiento": '"Fecha de Vencimiento"',
+                 "FECHA INGRESO": '"FECHA INGRESO"'}
+    science = {
+        "NOMBRE_CAMPANA": '"MARCA DATA"', "CRM": '"CRM"', "MULTIPRODUCTO": '"MULTIPRODUCTO"',
+        "MULTIMORA": '"MULTIMORA"', "MULTICUENTA": '"MULTICUENTA"', "RANGO_DEUDA": '"RANGO DEUDA"',
+        "RANGO CON DESCUENTO": '"RANGO CON DESCUENTO"', "TIPO_DE_DOCUMENTO": '"TIPO DE DOCUMENTO"',
+        "DEPARTAMENTO": "DEPARTAMENTO", "RANGO_DE_DIAS_ASIGNADA": '"GRUPO RANGO DE DIAS"',
+        "RANGO_DE_DIAS_EN_BASE": day_band_sql('TRY_CAST("DIAS ASIGNADA" AS INTEGER)'),
+        "RANGO_DE_DIAS_RETIRADA": day_band_sql('TRY_CAST("DIAS RETIRADA" AS INTEGER)'),
+        "RANGO_DE_DIAS_MORA": _arrears_band_sql("dias_mora"),
+        "FILTRO_REPORTE_GESTION": "FILTRO_REPORTE_GESTION", "FILTRO_REFERENCIA": '"FILTRO REFERENCIA"',
+        "FILTRO_DEMOGRAFICOS": '"Filtro Demografico"',
+        "CANTIDAD_DEMOGRAFICOS": "coalesce(TRY_CAST(NumMovil AS INTEGER), 0) + coalesce(TRY_CAST(NumFijo AS INTEGER), 0)"
+                                 " + coalesce(TRY_CAST(NumEmail AS INTEGER), 0)",
+        "CANTIDAD_MOVILES": "NumMovil", "CANTIDAD_FIJOS": "NumFijo", "CANTIDAD_EMAILS": "NumEmail",
+        "CANTIDAD_CONTACTO_DIRECTO": "CANTIDAD_CONTACTO_DIRECTO",
+        "CANTIDAD_CONTACTO_INDIRECTO": "CANTIDAD_CONTACTO_INDIRECTO", "CANTIDAD_NOCONTACTO": "CANTIDAD_NOCONTACTO",
+        "CUSTOMER_TYPE": '"CUSTOMER TYPE"', "DIAS_ASIGNADA": '"RANGO DE DIAS"', "DIAS_EN_BASE": '"DIAS ASIGNADA"',
+        "DIAS_RETIRADA": '"DIAS RETIRADA"', "DIAS_MORA": "dias_mora"}
+    added = {
+        "ESTADO CUENTA": '"ESTADO CUENTA"',
+        "FILTRO DESCUENTO": """CASE WHEN coalesce(TRY_CAST("PORCENTAJE" AS DECIMAL(5,2)), 0) = 0 THEN 'No Aplica' ELSE 'Aplica' END""",
+        "FILTRO_PAGOS_SIN_APLICAR": """CASE WHEN TRY_CAST("RECUENTO PAGOS SIN APLICAR" AS BIGINT) >= 1 THEN 'Aplica' ELSE '' END""",
+        "FILTRO_PAGOS_NO_GESTION": """CASE WHEN TRY_CAST("RECUENTO NO GESTION" AS BIGINT) >= 1 THEN 'Aplica' ELSE '' END""",
+        "EXCLUSION CUENTA": '"EXCLUSION CUENTA"', "EXCLUSION DOCUMENTO": '"EXCLUSION DOCUMENTO"',
+        "ESTADO RANKING": '"ESTADO RANKING"', "SERVICIOS RANKING": '"SERVICIOS RANKING"',
+        "RECUENTO PAGOS SIN APLICAR": '"RECUENTO PAGOS SIN APLICAR"', "RECUENTO NO GESTION": '"RECUENTO NO GESTION"',
+        "FILTRO COLAS": '"FILTRO COLAS"'}
+    added.update({f"Toques por {ch}": f'"Toques por {ch}"' for ch in fixed.TOUCH_CHANNELS})
+    assert set(science) == set(SCIENCE) and set(added) == set(ADDED)
+    sel = ["m_chain.mes AS mes"] + [f'"{c}" AS "{c}"' for c in FINAL]
+    sel += [f'{e} AS "{fixed.PREFIX_BASE}{snake(c)}"' for c, e in base_cols.items()]
+    sel += [f'{e} AS "{fixed.PREFIX_SCIENCE}{snake(c)}"' for c, e in science.items()]
+    sel += [f'{e} AS "{fixed.PREFIX_ADDED}{snake(c)}"' for c, e in added.items()]
+    sel += [f'"{c}" AS "{fixed.PREFIX_SLOTS}{snake(c)}"' for c in SLOT_COLUMNS]
+    return f"""WITH {asg_ctes},
+asg AS ({asg_final}),
+m_first AS (SELECT o_custkey AS k, min({mes}) AS mes FROM orders GROUP BY o_custkey),
+m_city AS (
+  SELECT c_custkey, c_mktsegment, CASE WHEN c_acctbal < 0 THEN '' ELSE lower(n_name) || '/' || r_name END AS ciudad_raw
+  FROM customer LEFT JOIN (SELECT n_nationkey, n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey) nr
+       ON c_nationkey = nr.n_nationkey),
+m_base0 AS (
+  SELECT o_custkey, {mes} AS mes, min(o_orderstatus) AS st, min(o_orderpriority) AS pr,
+         min(CAST(o_orderdate AS DATE)) AS d
+  FROM orders GROUP BY o_custkey, {mes}),
+m_base AS (
+  SELECT {acc('o_custkey')} || '-' AS CUENTA_NEXT, mes,
+    CASE WHEN st = 'F' THEN 'Potencial' WHEN st = 'O' THEN 'Churn' ELSE 'Castigo' END AS Marca,
+    {_case_sql('c_mktsegment', _CRM_BY_SEGMENT, 'OTRO')} AS "CRM Origen",
+    ciudad_raw AS Ciudad,
+    strftime(d + INTERVAL 30 DAY, '%-d/%-m/%Y') AS "Fecha de Vencimiento",
+    CASE WHEN pr = '5-LOW' THEN 'Manual' ELSE strftime(d, '%-d/%-m/%Y') END AS "FECHA INGRESO"
+  FROM m_base0 LEFT JOIN m_city ON o_custkey = c_custkey),
+m_base_f AS (SELECT * FROM m_base WHERE NOT contains("FECHA INGRESO", 'Manual') AND Marca <> 'Castigo'),
+m_data AS (
+  SELECT * EXCLUDE (rn, "MES DE ASIGNACION", "PERIODO DE ASIGNACION", "MARCA", "FECHA INGRESO", "FECHA RETIRO"),
+         "MARCA" AS "MARCA DATA", "FECHA INGRESO" AS "FECHA INGRESO DATA", "FECHA RETIRO" AS "FECHA RETIRO DATA"
+  FROM (SELECT *, "PERIODO DE ASIGNACION" || '-' || lpad("MES DE ASIGNACION", 2, '0') AS mes,
+               row_number() OVER (PARTITION BY "CUENTA_NEXT", "PERIODO DE ASIGNACION" || '-' || lpad("MES DE ASIGNACION", 2, '0')
+                                  ORDER BY "CUENTA" NULLS FIRST) AS rn FROM asg) WHERE rn = 1),
+m_src AS (SELECT source AS identificacion, {acc('doc_id')} AS cuenta0, doc_id, text FROM documents),
+m_ex AS (
+  SELECT identificacion, regexp_replace(cuenta0, '-', '', 'g') || '-' AS cuenta, doc_id, trim(dato) AS dato FROM (
+    SELECT identificacion, cuenta0, doc_id, unnest(list_concat(
+        regexp_extract_all(text, '{EMAIL_PATTERN_SQL}'),
+        list_transform(regexp_extract_all(text, '{PHONE_PATTERN_SQL}'),
+                       lambda p: regexp_replace(p, '[^0-9]', '', 'g')))) AS dato
+    FROM m_src)),
+m_cl AS (
+  SELECT *, CASE WHEN TRY_CAST(trim(dato) AS BIGINT) BETWEEN {DOC_MOBILE[0]} AND {DOC_MOBILE[1]} THEN 'mobile'
+                 WHEN TRY_CAST(trim(dato) AS BIGINT) BETWEEN {DOC_LANDLINE[0]} AND {DOC_LANDLINE[1]} THEN 'landline'
+                 WHEN contains(dato, '@') THEN 'email' END AS kind
+  FROM m_ex),
+m_slots AS (
+  SELECT cuenta, identificacion, {', '.join(slot_cols)}
+  FROM (SELECT cuenta, identificacion, grp, dato,
+               row_number() OVER (PARTITION BY cuenta, identificacion, grp ORDER BY dato) AS slot
+        FROM (SELECT DISTINCT cuenta, identificacion, CASE WHEN kind = 'email' THEN 'email' ELSE 'phone' END AS grp, dato
+              FROM m_cl WHERE kind IS NOT NULL AND dato IS NOT NULL))
+  WHERE slot <= {max(PHONES, EMAILS)} GROUP BY cuenta, identificacion),
+m_contacts AS (
+  SELECT s.cuenta AS CUENTA_NEXT, f.mes, s.identificacion,
+    CASE WHEN coalesce(nm, 0) = 0 THEN '' ELSE CAST(nm AS VARCHAR) END AS NumMovil,
+    CASE WHEN coalesce(nf, 0) = 0 THEN '' ELSE CAST(nf AS VARCHAR) END AS NumFijo,
+    CASE WHEN coalesce(ne, 0) = 0 THEN '' ELSE CAST(ne AS VARCHAR) END AS NumEmail,
+    {profile} AS "Filtro Demografico",
+    {', '.join(f's.phone{i}' for i in range(1, PHONES + 1))}, {', '.join(f's.email{i}' for i in range(1, EMAILS + 1))}
+  FROM m_slots s LEFT JOIN (SELECT DISTINCT {acc('doc_id')} || '-' AS c, doc_id FROM documents) dd ON s.cuenta = dd.c
+  LEFT JOIN m_first f ON dd.doc_id = f.k),
+m_demo AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY CUENTA_NEXT, mes ORDER BY identificacion NULLS FIRST) AS rn FROM m_contacts) WHERE rn = 1),
+m_ev AS (SELECT e.*, f.mes FROM events e JOIN m_first f ON e.user_id = f.k),
+m_touch0 AS (
+  SELECT CAST(user_id AS VARCHAR) || '.' || CAST(user_id % 7 AS VARCHAR) AS Cuenta_Real, mes, {touch_cols}
+  FROM m_ev GROUP BY 1, mes),
+m_touch AS (
+  SELECT regexp_replace(Cuenta_Real, '\\.', '', 'g') || '-' AS CUENTA_NEXT, mes,
+    {', '.join(f'CAST(sum(TRY_CAST("Toques por {ch}" AS BIGINT)) AS BIGINT) AS "Toques por {ch}"' for ch in fixed.TOUCH_CHANNELS)}
+  FROM m_touch0 GROUP BY 1, mes),
+m_report AS (
+  SELECT CUENTA_NEXT, mes, CANTIDAD_CONTACTO_DIRECTO, CANTIDAD_CONTACTO_INDIRECTO, CANTIDAD_NOCONTACTO,
+    concat_ws(' ', CASE WHEN CANTIDAD_CONTACTO_DIRECTO > 0 THEN 'CDIR' END,
+                   CASE WHEN CANTIDAD_CONTACTO_INDIRECTO > 0 THEN 'CIND' END,
+                   CASE WHEN CANTIDAD_NOCONTACTO > 0 THEN 'NOC' END) AS FILTRO_REPORTE_GESTION
+  FROM (SELECT CAST(user_id AS VARCHAR) || CAST(user_id % 7 AS VARCHAR) || '-' AS CUENTA_NEXT, mes,
+          count(*) FILTER (WHERE {grp} = 'CDIR') AS CANTIDAD_CONTACTO_DIRECTO,
+          count(*) FILTER (WHERE {grp} = 'CIND') AS CANTIDAD_CONTACTO_INDIRECTO,
+          count(*) FILTER (WHERE {grp} = 'NOC') AS CANTIDAD_NOCONTACTO
+        FROM m_ev GROUP BY 1, mes)),
+m_lo AS (SELECT l.*, o.o_custkey, {mes} AS mes FROM lineitem l JOIN orders o ON l_orderkey = o_orderkey),
+m_queues AS (SELECT DISTINCT {acc('o_custkey')} || '-' AS CUENTA_NEXT, mes, 'APLICA' AS "FILTRO COLAS"
+             FROM m_lo WHERE l_returnflag = 'A'),
+m_ranking AS (
+  SELECT {acc('o_custkey')} || '-' AS CUENTA_NEXT, {mes} AS mes, CAST(count(*) AS VARCHAR) AS "SERVICIOS RANKING",
+         CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'O') > 0 THEN 'ACTIVO' ELSE 'INACTIVO' END AS "ESTADO RANKING"
+  FROM orders GROUP BY 1, 2),
+m_months AS (SELECT DISTINCT o_custkey AS k, {mes} AS mes FROM orders),
+m_exc_doc AS (
+  SELECT DISTINCT CAST(c_custkey AS VARCHAR) AS "DOCUMENTO", mes, 'APLICA' AS "EXCLUSION DOCUMENTO"
+  FROM customer JOIN m_months ON c_custkey = k
+  WHERE c_nationkey IN (SELECT n_nationkey FROM nation JOIN region ON n_regionkey = r_regionkey
+                        WHERE r_name = '{EXCLUDED_REGION}')),
+m_exc_acc AS (
+  SELECT DISTINCT {acc('c_custkey')} || '-' AS CUENTA_NEXT, mes, 'APLICA' AS "EXCLUSION CUENTA"
+  FROM customer JOIN m_months ON c_custkey = k WHERE c_acctbal < 0),
+m_psa AS (SELECT {acc('o_custkey')} || '-' AS CUENTA_NEXT, mes, CAST(count(*) AS BIGINT) AS "RECUENTO PAGOS SIN APLICAR"
+          FROM m_lo WHERE l_returnflag = 'R' GROUP BY 1, 2),
+m_ng AS (SELECT {acc('o_custkey')} || '-' AS CUENTA_NEXT, {mes} AS mes, CAST(count(*) AS BIGINT) AS "RECUENTO NO GESTION"
+         FROM orders WHERE o_orderstatus = 'P' GROUP BY 1, 2),
+m_pats AS (SELECT * FROM (VALUES {vals}) t(ord, pattern, department, grp)),
+m_chain AS (
+  SELECT b.*, d.* EXCLUDE (CUENTA_NEXT, mes), c.* EXCLUDE (CUENTA_NEXT, mes), t.* EXCLUDE (CUENTA_NEXT, mes),
+         q."FILTRO COLAS", r."SERVICIOS RANKING", r."ESTADO RANKING", xa."EXCLUSION CUENTA", xd."EXCLUSION DOCUMENTO",
+         p."RECUENTO PAGOS SIN APLICAR", g."RECUENTO NO GESTION", rp.* EXCLUDE (CUENTA_NEXT, mes),
+         upper(split_part(CASE WHEN b.Ciudad IS NULL OR b.Ciudad = '' THEN 'VACIO' ELSE b.Ciudad END, '/', 1)) AS city_n
+  FROM m_base_f b
+  LEFT JOIN m_demo c ON b.CUENTA_NEXT = c.CUENTA_NEXT AND b.mes = c.mes
+  LEFT JOIN m_touch t ON b.CUENTA_NEXT = t.CUENTA_NEXT AND b.mes = t.mes
+  LEFT JOIN m_data d ON b.CUENTA_NEXT = d."CUENTA_NEXT" AND b.mes = d.mes
+  LEFT JOIN m_queues q ON b.CUENTA_NEXT = q.CUENTA_NEXT AND b.mes = q.mes
+  LEFT JOIN m_ranking r ON b.CUENTA_NEXT = r.CUENTA_NEXT AND b.mes = r.mes
+  LEFT JOIN m_exc_acc xa ON b.CUENTA_NEXT = xa.CUENTA_NEXT AND b.mes = xa.mes
+  LEFT JOIN m_exc_doc xd ON d."DOCUMENTO" = xd."DOCUMENTO" AND b.mes = xd.mes
+  LEFT JOIN m_psa p ON b.CUENTA_NEXT = p.CUENTA_NEXT AND b.mes = p.mes
+  LEFT JOIN m_ng g ON b.CUENTA_NEXT = g.CUENTA_NEXT AND b.mes = g.mes
+  LEFT JOIN m_report rp ON b.CUENTA_NEXT = rp.CUENTA_NEXT AND b.mes = rp.mes),
+m_hits AS (
+  SELECT city_n, grp, arg_max(department, ord) AS dept
+  FROM (SELECT DISTINCT city_n FROM m_chain) JOIN m_pats ON contains(city_n, pattern) GROUP BY city_n, grp),
+m_full AS (
+  SELECT m_chain.*,
+    CASE WHEN m_chain.city_n = 'VACIO' THEN 'VACIO'
+         WHEN coalesce(h1.dept, m_chain.city_n) IN ({depts}) THEN coalesce(h1.dept, m_chain.city_n)
+         WHEN coalesce(h2.dept, m_chain.city_n) IN ({depts}) THEN coalesce(h2.dept, m_chain.city_n)
+         ELSE 'NO IDENTIFICADO' END AS DEPARTAMENTO,
+    CAST(datediff('day', try_strptime(trim(CAST("Fecha de Vencimiento" AS VARCHAR)), '%d/%m/%Y'),
+                         try_strptime(trim(CAST("FECHA INGRESO DATA" AS VARCHAR)), '%d/%m/%Y')) AS INTEGER) AS dias_mora
+  FROM m_chain LEFT JOIN m_hits h1 ON h1.city_n = m_chain.city_n AND h1.grp = 1
+               LEFT JOIN m_hits h2 ON h2.city_n = m_chain.city_n AND h2.grp = 2)
+SELECT {', '.join(sel)} FROM m_full m_chain"""
+
+
+from .q_contacts import _contact_patterns_sql  # noqa: E402
+
+EMAIL_PATTERN_SQL, PHONE_PATTERN_SQL = _contact_patterns_sql()
+
+
+@register("monthly_consolidation", _monthly_sql())
 def monthly_consolidation(spark, sf):
     from .monthly import monthly_consolidation as run
     return run(_monthly_sources(spark, sf), geo.pattern_table(spark, CITY_PATTERNS))

@@ -163,3 +163,7 @@ def contact_profile(spark, sf):
     emails = contacts.contact_slots(c.where(F.col("kind") == "email"), keys, "dato", 0, EMAILS) \
         .drop("num_movil", "num_fijo")
     return contacts.contact_profile(phones, emails, keys)
+
+
+def _contact_patterns_sql():
+    return contacts.EMAIL_PATTERN, contacts.PHONE_PATTERN
