@@ -164,6 +164,3 @@ def contact_profile(spark, sf):
         .drop("num_movil", "num_fijo")
     return contacts.contact_profile(phones, emails, keys)
 
-
-def _contact_patterns_sql():
-    return contacts.EMAIL_PATTERN, contacts.PHONE_PATTERN
