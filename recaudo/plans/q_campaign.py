@@ -83,7 +83,7 @@ def contact_log_hourly(spark, sf):
 WITH v AS (
   SELECT user_id, arg_max(event_type, (ts, event_id)) AS ultimo_evento, max(ts) AS ts FROM events GROUP BY user_id)
 SELECT c_custkey, ultimo_evento, ts AS fecha_verificacion,
-       CASE WHEN ultimo_evento IS NULL THEN NULL WHEN ultimo_evento = 'purchase' THEN 'True' ELSE 'False' END AS whatsapp
+       CASE WHEN ultimo_evento IS NULL THEN NULL WHEN ultimo_evento = 'purchase' THEN 'True' ELSE 'False' END AS canal_verificado
 FROM customer LEFT JOIN v ON c_custkey = v.user_id""")
 def latest_verdict(spark, sf):
     e = table(spark, sf, "events").select("user_id", "event_id", "ts",
@@ -93,7 +93,7 @@ def latest_verdict(spark, sf):
     j = c.join(v, c.c_custkey == v.user_id, "left")
     return j.select("c_custkey", "ultimo_evento", F.col("ts").alias("fecha_verificacion"),
                     F.when(F.col("ultimo_evento").isNull(), F.lit(None))
-                    .when(F.col("ultimo_evento") == "purchase", "True").otherwise("False").alias("whatsapp"))
+                    .when(F.col("ultimo_evento") == "purchase", "True").otherwise("False").alias("canal_verificado"))
 
 
 # ------------------------------------------------------------ quality profile

@@ -54,7 +54,7 @@ def _raw_row(doc, acc, crm, m5, m6, m7, debt, age, name, day, ref=None, ctype="8
 def test_assignment_pipeline(spark):
     rows = []
     for d in (1, 2, 3):
-        rows.append(_raw_row("CC100", "1.234-5", "BSCS", "Y", "N", "N", "20000", "30", "Sr. Juan Pérez", f"{d}/4/2025"))
+        rows.append(_raw_row("CC100", "1.234-5", "BSCS", "Y", "N", "N", "20000", "30", "Sr. Pedro Pérez", f"{d}/4/2025"))
     for d in (1, 3, 5):
         rows.append(_raw_row("CC100", "9.9", "RR", "N", "Y", "N", "20000.01", "60", "ANA", f"{d}/4/2025"))
     rows.append(_raw_row("123", "777", "ASCARD", "N", "N", "N", None, "120", "X", "10/4/2025"))
@@ -72,7 +72,7 @@ def test_assignment_pipeline(spark):
     assert (a["DIAS ASIGNADA"], a["DIAS RETIRADA"], a["RANGO DE DIAS"]) == (3, 1, 4)
     assert a["PORCENTAJE"] == 12.5 and a["VALOR DESCUENTO"] == "17500,00"
     assert a["VALOR DEUDA"] == "20000,00" and a["RANGO CON DESCUENTO"] == "1 Menos a 20 mil"
-    assert (a["DOCUMENTO"], a["TIPO DE DOCUMENTO"], a["NOMBRE"]) == ("100", "Cedula de Ciudadania", "JUAN PEREZ")
+    assert (a["DOCUMENTO"], a["TIPO DE DOCUMENTO"], a["NOMBRE"]) == ("100", "Cedula de Ciudadania", "PEDRO PEREZ")
     assert (a["MULTICUENTA"], a["MULTIPRODUCTO"], a["MULTIMORA"]) == ("Aplica", "Aplica", "Aplica")
     b = out["9.9-"]
     assert b["MARCA"] == "Prechurn" and b["REFERENCIA"] == "9.9"
