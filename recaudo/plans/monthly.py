@@ -12,7 +12,7 @@ to one row per key first (no fan-out on duplicate keys).
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,6 +68,7 @@ class MonthlySources:
     unapplied_payments: DataFrame
     no_management: DataFrame
     report: DataFrame
+    missing: list[str] = field(default_factory=list)   # monthly files not found (reported)
 
 
 # relative file names per source; {year} and {month} are filled per month
@@ -103,14 +104,25 @@ def read_months(spark: SparkSession, folder: str, months: list[tuple[int, int]],
     (``{year}-{month}`` in the layout, read back from
     ``_metadata.file_path``, whose URI encoding leaves digits and '-' alone)."""
     out = {}
-    for f in fields(MonthlySources):
+    missing: list[str] = []
+    for f in fields(MonthlySources)[:11]:
         if "{year}-{month}" not in layout[f.name]:
             raise ValueError(f"layout for {f.name} must contain '{{year}}-{{month}}'")
         paths = [os.path.join(folder, layout[f.name].format(year=y, month=f"{m:02d}")) for y, m in months]
-        df = read_delimited(spark, paths, None, sep=sep, encoding=encoding, suffix=None)
+        present = [p for p in paths if _exists(spark, p)]
+        missing += [p for p in paths if p not in present]
+        if not present:
+            raise FileNotFoundError(f"no monthly file for source {f.name!r} (e.g. {paths[0]})")
+        df = read_delimited(spark, present, None, sep=sep, encoding=encoding, suffix=None)
         month = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}-\d{2})[^/]*$", 1)
         out[f.name] = df.withColumn(MONTH, month)
-    return MonthlySources(**out)
+    return MonthlySources(**out, missing=missing)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def _acc(c: str) -> Column:

@@ -129,3 +129,21 @@ def test_monthly_base_family_keeps_renamed_base_columns(spark):
     cols = monthly.monthly_consolidation(_src(spark), pats).columns
     for c in ("BG_marca_asignacion", "BG_crm_origen", "BG_ciudad", "BG_cuenta_next", "BG_fecha_ingreso"):
         assert c in cols
+
+
+def test_read_months_skips_missing_monthly_files(spark, tmp_path):
+    src = _src(spark)
+    folder = str(tmp_path)
+    for name, layout in monthly.DEFAULT_LAYOUT.items():
+        pdf = getattr(src, name).drop("mes").toPandas()
+        months = [(2025, 4)] if name == "queues" else [(2025, 3), (2025, 4)]   # queues: March missing
+        for y, m in months:
+            path = os.path.join(folder, layout.format(year=y, month=f"{m:02d}"))
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            pdf.to_csv(path, sep=";", index=False)
+    read = monthly.read_months(spark, folder, monthly.month_range((2025, 3), (2025, 4)))
+    assert [os.path.basename(p) for p in read.missing] == ["queues 2025-03.csv"]
+    pats = geo.pattern_table(spark, [(1, "BOGOTA", "CUNDINAMARCA", 2)])
+    out = {(r["mes"], r["BG_cuenta_next"]): r["AD_filtro_colas"] for r in
+           monthly.monthly_consolidation(read, pats).collect()}
+    assert out[("2025-04", "100-")] == "APLICA" and out[("2025-03", "100-")] is None
