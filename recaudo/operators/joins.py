@@ -106,3 +106,41 @@ def spread_small_input(df: DataFrame, slots: int | None = None) -> DataFrame:
     a retried task sees the same rows."""
     target = slots or df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def skew_split_left_join(detail: DataFrame, per_key: DataFrame, key: str, spread: Column,
+                         rows_col: str, hot_rows: int = 5_000_000, salts: int = 64,
+                         max_hot_keys: int = 100_000) -> DataFrame:
+    """Left join of detail rows to a one-row-per-key table whose ``rows_col``
+    says how many detail rows each key has, robust to keys holding a large
+    share of all rows (with or without AQE).
+
+    Keys with more than ``hot_rows`` rows are hot. There are at most
+    total_rows / hot_rows of them, and the list is broadcast only after a
+    bounded count (``max_hot_keys``); beyond that the plain join is used and
+    AQE's skew handling applies. A hot key is split into ``salts`` sub-keys:
+    its detail rows go to sub-key hash(spread) mod salts, and its per-key
+    row is repeated once per sub-key. Every other key keeps sub-key 0. The
+    result is exactly the plain left join; no partition holds more than
+    about hot_rows / salts rows of one key.
+
+    Cost: the per-key table is materialised once (checkpoint), which
+    evaluates its upstream one extra time; with AQE enabled, its skew join
+    gives the same protection without that pass, so this is opt-in.
+    """
+    # the per-key table is materialised once (reliable checkpoint in the
+    # shared checkpoint folder): the hot-key count and the join both read it,
+    # so the detail is not aggregated twice
+    from ..session import cut_lineage
+    per_key = cut_lineage(per_key)
+    hot = per_key.where(F.col(rows_col) > hot_rows).select(key).withColumn("_hot", F.lit(True))
+    n_hot = hot.limit(max_hot_keys + 1).count()
+    if n_hot == 0 or n_hot > max_hot_keys:
+        return detail.join(per_key, key, "left")
+    hot = F.broadcast(hot)
+    d = detail.join(hot, key, "left").withColumn(
+        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0).cast("bigint")))
+    p = per_key.join(hot, key, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
+                           .otherwise(F.array(F.lit(0).cast("bigint")))))
+    return d.drop("_hot").join(p.drop("_hot"), [key, "_salt"], "left").drop("_salt")

@@ -62,3 +62,17 @@ def test_multi_flags_numeric_document(spark):
            flags.multi_flags(df, "doc", "cuenta", {"multiproducto": "crm"}).collect()}
     assert out == {1: ("Aplica", "Aplica"), 2: ("Aplica", "Aplica"), 3: ("No aplica", "No aplica"),
                    4: ("No aplica", "No aplica")}
+
+
+def test_multi_flags_hot_document_split_is_exact(spark):
+    import random
+    rnd = random.Random(5)
+    rows = [(f"a{i}", "HOT" if i % 3 else f"d{i % 17}", rnd.choice(["RR", "SGA"]), rnd.choice(["x", "y"]))
+            for i in range(300)] + [(f"n{i}", None, "RR", "x") for i in range(5)]
+    df = spark.createDataFrame(rows, "cuenta string, doc string, crm string, marca string")
+    plain = flags.multi_flags(df, "doc", "cuenta", {"mp": "crm", "mm": "marca"}, hot_rows=10**9)
+    split = flags.multi_flags(df, "doc", "cuenta", {"mp": "crm", "mm": "marca"}, hot_rows=50)
+    a = sorted(tuple(r) for r in plain.collect())
+    b = sorted(tuple(r) for r in split.collect())
+    assert a == b and len(b) == 305
+    assert "_salt" in split._jdf.queryExecution().analyzed().toString()
