@@ -9,15 +9,16 @@ campaign, ``13_`` debt age, ``24_`` name, ``26_`` due date, ``27_``
 reference, ``42_`` customer type, ``43_`` refinanced mark, ``57_`` day of
 assignment (``d/M/yyyy``). Discounts: ``CUENTA``, ``PORCENTAJE``.
 
-Plan: filter the embedded header rows first, compute every row-level column
-in one projection, ONE aggregate per (account, month) for the calendar and
-the representative row, one left join for the discounts (reduced to one row
-per account), one aggregate + join for the multi-flags.
+Plan: filter the embedded header rows first; ONE aggregate per (account,
+month) for the calendar and the representative (earliest) raw row; the
+row-level rules run on that row only (once per account and month, not once
+per assigned day); one left join for the discounts (reduced to one row per
+account); one aggregate + join for the multi-flags.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bands, classify, dates, fixed, keys, text
@@ -40,35 +41,50 @@ TAIL = ["PORCENTAJE", "VALOR DESCUENTO", "RANGO CON DESCUENTO", "MULTICUENTA", "
 _ROW_ATTRS = ["DOCUMENTO", "TIPO DE DOCUMENTO", "CUENTA_NEXT", "MARCA", "CRM", "SEGMENTO",
               "CUSTOMER TYPE", "RANGO DEUDA", "VALOR DEUDA", "FECHA VENCIMIENTO", "REFERENCIA",
               "FILTRO REFERENCIA", "NOMBRE"]
+# raw columns the row-level rules read (kept from the earliest row of the month)
+RAW_USED = ["1_", "2_", "3_", "5_", "6_", "7_", "9_", "12_", "13_", "24_", "26_", "27_", "42_", "43_"]
 
 
-def classify_rows(raw: DataFrame) -> DataFrame:
-    """Row-level columns of the assignment base (one projection)."""
+def row_columns() -> dict[str, Column]:
+    """Row-level columns of the assignment base from the raw text columns."""
     c = F.col
     debt = bands.to_amount("9_")
     ref = classify.reference("27_", "3_", "2_")
-    return raw.where(c("3_") != HEADER_MARK).select(
-        keys.blank_to_null(classify.document_number("1_")).alias("DOCUMENTO"),
-        classify.document_type("1_").alias("TIPO DE DOCUMENTO"),
-        F.concat(c("2_"), F.lit("-")).alias("CUENTA"),
-        keys.account_key("2_").alias("CUENTA_NEXT"),
-        classify.brand("5_", "6_", "7_", "43_", "3_", "12_", "13_").alias("MARCA"),
-        c("3_").alias("CRM"),
-        classify.segment("42_").alias("SEGMENTO"),
-        c("42_").alias("CUSTOMER TYPE"),
-        bands.debt_band(debt).alias("RANGO DEUDA"),
-        debt.alias("VALOR DEUDA"),
-        c("26_").alias("FECHA VENCIMIENTO"),
-        ref.alias("REFERENCIA"),
-        classify.reference_flag(ref).alias("FILTRO REFERENCIA"),
-        text.clean_person_name("24_").alias("NOMBRE"),
-        dates.parse_dmy("57_").alias("_fecha"),
-    )
+    return {
+        "DOCUMENTO": keys.blank_to_null(classify.document_number("1_")),
+        "TIPO DE DOCUMENTO": classify.document_type("1_"),
+        "CUENTA_NEXT": keys.account_key("2_"),
+        "MARCA": classify.brand("5_", "6_", "7_", "43_", "3_", "12_", "13_"),
+        "CRM": c("3_"),
+        "SEGMENTO": classify.segment("42_"),
+        "CUSTOMER TYPE": c("42_"),
+        "RANGO DEUDA": bands.debt_band(debt),
+        "VALOR DEUDA": debt,
+        "FECHA VENCIMIENTO": c("26_"),
+        "REFERENCIA": ref,
+        "FILTRO REFERENCIA": classify.reference_flag(ref),
+        "NOMBRE": text.clean_person_name("24_"),
+    }
+
+
+def classify_rows(raw: DataFrame) -> DataFrame:
+    """Row-level columns for every raw row (header lines dropped)."""
+    cols = row_columns()
+    return raw.where(F.col("3_") != HEADER_MARK).select(
+        F.concat(F.col("2_"), F.lit("-")).alias("CUENTA"),
+        *[e.alias(n) for n, e in cols.items()], dates.parse_dmy("57_").alias("_fecha"))
 
 
 def assignment_base(raw: DataFrame, discounts: DataFrame) -> DataFrame:
-    rows = classify_rows(spread_small_input(raw))
-    cal = calendar.assignment_calendar(rows, ["CUENTA"], "_fecha", attrs=_ROW_ATTRS, labels="array")
+    """Only the earliest row of an account's month reaches the report, so the
+    raw row is picked first (inside the calendar aggregate) and the
+    row-level rules run once per account and month instead of once per
+    assigned day."""
+    days = spread_small_input(raw).where(F.col("3_") != HEADER_MARK).select(
+        F.concat(F.col("2_"), F.lit("-")).alias("CUENTA"), dates.parse_dmy("57_").alias("_fecha"),
+        *RAW_USED)
+    cal = calendar.assignment_calendar(days, ["CUENTA"], "_fecha", attrs=RAW_USED, labels="array")
+    cal = cal.select("*", *[e.alias(n) for n, e in row_columns().items()])
     out = cal.select(
         "CUENTA", "month", *_ROW_ATTRS,
         F.col("fecha_ingreso").alias("FECHA INGRESO"),

@@ -386,9 +386,13 @@ def _doc_type_sql(letters: str) -> str:
 
 def _assignment_sql() -> str:
     from .assignment import DAY_COLUMNS, LAYOUT, TAIL
-    attrs = ["DOCUMENTO", "TIPO DE DOCUMENTO", "CUENTA_NEXT", "MARCA", "CRM", "SEGMENTO", "CUSTOMER TYPE",
-             "RANGO DEUDA", "VALOR DEUDA", "FECHA VENCIMIENTO", "REFERENCIA", "FILTRO REFERENCIA", "NOMBRE"]
-    order = ", ".join(["_fecha NULLS FIRST"] + [f'"{a}" NULLS FIRST' for a in attrs])
+    # earliest day first, then the raw columns in the order the Spark side
+    # compares them (plans.assignment.RAW_USED)
+    raw_sql = {"1_": "d1", "2_": "a2", "3_": "c3", "5_": "m5", "6_": "m6", "7_": "m7", "9_": "debt9",
+               "12_": "c12", "13_": "c13", "24_": "n24", "26_": "due26", "27_": "r27", "42_": "t42", "43_": "m43"}
+    from .assignment import RAW_USED
+    order = ", ".join(["_fecha NULLS FIRST"] + [f"raw_{raw_sql[a]} NULLS FIRST" for a in RAW_USED])
+    raw_cols = ", ".join(f"{raw_sql[a]} AS raw_{raw_sql[a]}" for a in RAW_USED)
     labels = ", ".join(
         f"CASE WHEN (day_mask >> {d - 1}) & 1 = 1 THEN 'Asignada' "
         f"WHEN first_day < {d} AND last_day > {d} THEN 'Sin reasignar' "
@@ -442,7 +446,8 @@ rows AS (
     ref AS "REFERENCIA",
     CASE WHEN length(ref) > 3 THEN 'Con referencia' ELSE 'Sin Referencia' END AS "FILTRO REFERENCIA",
     {_name_clean_sql('n24')} AS "NOMBRE",
-    CAST(try_strptime(trim(f57), '%d/%m/%Y') AS DATE) AS _fecha
+    CAST(try_strptime(trim(f57), '%d/%m/%Y') AS DATE) AS _fecha,
+    {raw_cols}
   FROM r1),
 ev AS (SELECT *, CAST(date_trunc('month', _fecha) AS DATE) AS month, CAST(dayofmonth(_fecha) AS INTEGER) AS d FROM rows),
 agg AS (SELECT "CUENTA", month, bit_or(CAST(1 AS BIGINT) << (d - 1)) AS day_mask, min(d) AS first_day,
