@@ -111,3 +111,35 @@ def test_corrupt_rows_are_kept_and_counted(spark):
     bad = delimited.corrupt_rows(df).select("a", "b", "_corrupt_record").collect()
     assert [r._corrupt_record for r in bad] == ["not-a-number;3"]
     assert df.where("a is not null").count() == 2
+
+
+def test_command_line_contacts_and_folder_merge(spark):
+    from recaudo.__main__ import main
+    base = scratch_path(spark, "cli")
+    _write(f"{base}/contacts.csv", "identificacion;cuenta;dato\nD1;1-2;3001234567\nD1;1-2;a@b.co\nD2;9;junk\n")
+    assert main(["contacts", "--input", f"{base}/contacts.csv", "--month", "3", "--year", "2025",
+                 "--out", f"{base}/out_contacts"]) == 0
+    back = delimited.read_delimited(spark, f"{base}/out_contacts", None, sep=";", suffix=None)
+    got = {r.cuenta: r["Filtro Demografico"] for r in back.collect()}
+    assert got == {"12-": "Celular Email"}
+    _write(f"{base}/exports/a.csv", "Cuenta_Real,Cuenta_Sin_Punto,Marca\n1.1,11,churn\n")
+    _write(f"{base}/exports/b.csv", "Cuenta_Real;Cuenta_Sin_Punto\n2.2;22\n")
+    assert main(["folder-merge", "--input", f"{base}/exports", "--month", "6", "--year", "2024",
+                 "--out", f"{base}/out_merge"]) == 0
+    merged = delimited.read_delimited(spark, f"{base}/out_merge", None, sep=";", suffix=None)
+    assert sorted(r.Cuenta_Real for r in merged.collect()) == ["1.1-", "2.2-"]
+
+
+def test_command_line_assignment(spark):
+    import pandas as pd
+    from recaudo.__main__ import main
+    base = scratch_path(spark, "cli-asg")
+    rows = [_raw_row("CC7", "55", "BSCS", "Y", "N", "N", "1000", "30", "Ana", f"{d}/4/2025") for d in (1, 2)]
+    os.makedirs(f"{base}/bases")
+    pd.DataFrame(rows).to_csv(f"{base}/bases/day1.csv", sep=";", index=False)
+    _write(f"{base}/disc/d.csv", "CUENTA;PORCENTAJE\n55;10\n")
+    assert main(["assignment", "--bases", f"{base}/bases", "--discounts", f"{base}/disc",
+                 "--out", f"{base}/out"]) == 0
+    assert os.listdir(f"{base}/out") == ["mes=2025-04"]
+    back = delimited.read_delimited(spark, f"{base}/out", None, sep=";", suffix=None).collect()
+    assert len(back) == 1 and back[0]["MARCA"] == "Potencial" and back[0]["VALOR DESCUENTO"] == "900,00"
