@@ -143,3 +143,14 @@ def test_command_line_assignment(spark):
     assert os.listdir(f"{base}/out") == ["mes=2025-04"]
     back = delimited.read_delimited(spark, f"{base}/out", None, sep=";", suffix=None).collect()
     assert len(back) == 1 and back[0]["MARCA"] == "Potencial" and back[0]["VALOR DESCUENTO"] == "900,00"
+
+
+def test_command_line_touches(spark):
+    from recaudo.__main__ import main
+    base = scratch_path(spark, "cli-touch")
+    for ch, n in (("SMS", 3), ("EMAIL", 1), ("BOT", 0), ("IVR", 2)):
+        body = "Cuenta_Real,Cuenta_Sin_Punto,Marca,Cantidad\n" + (f"1.5,15,CHURN,{n}\n" if n else "")
+        _write(f"{base}/in/Consolidado {ch}.csv", body)
+    assert main(["touches", "--input", f"{base}/in", "--month", "3", "--year", "2025", "--out", f"{base}/out"]) == 0
+    r = delimited.read_delimited(spark, f"{base}/out", None, sep=";", suffix=None).collect()
+    assert len(r) == 1 and (r[0]["Toques por SMS"], r[0]["Toques por BOT"], r[0]["Toques por IVR"]) == ("3", "0", "2")
