@@ -37,12 +37,15 @@ def month_sequence(df: DataFrame, date_col: str, name: str = "mes") -> DataFrame
 
 
 def monthly_backfill(df: DataFrame, date_col: str, aggs: Mapping[str, object],
-                     fill: Mapping[str, object] | None = None, name: str = "mes") -> DataFrame:
-    """Aggregates per month over the whole month range; months without rows
-    get ``fill`` values. The month table is bounded by the calendar (at most
-    12 rows per year), so it is broadcast."""
+                     fill: Mapping[str, object] | None = None, name: str = "mes",
+                     where=None) -> DataFrame:
+    """Aggregates per month over the whole month range of ``df``; ``where``
+    restricts the rows that are aggregated (not the month range), so months
+    without such rows appear with ``fill`` values. The month table is bounded
+    by the calendar (at most 12 rows per year), so it is broadcast."""
     d = F.trunc(F.to_date(F.col(date_col)), "month")
-    per = df.groupBy(d.alias(name)).agg(*[c.alias(n) for n, c in aggs.items()])
+    rows = df if where is None else df.where(where)
+    per = rows.groupBy(d.alias(name)).agg(*[c.alias(n) for n, c in aggs.items()])
     months = F.broadcast(month_sequence(df, date_col, name))
     out = months.join(per, name, "left")
     if fill:

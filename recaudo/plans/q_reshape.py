@@ -109,14 +109,13 @@ def month_backfill(spark, sf):
     o = table(spark, sf, "orders")
     urgent_pending = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
     # months come from ALL orders; the counted subset leaves months empty
-    d = F.trunc(F.to_date("o_orderdate"), "month")
-    per = o.where(urgent_pending).groupBy(d.alias("mes")).agg(
-        F.count(F.lit(1)).alias("n_pedidos"),
-        F.sum(bands.to_amount("o_totalprice")).cast("decimal(28,2)").alias("valor"))
-    months = F.broadcast(reshape.month_sequence(o, "o_orderdate"))
-    return months.join(per, "mes", "left").select(
-        "mes", F.coalesce("n_pedidos", F.lit(0).cast("bigint")).alias("n_pedidos"),
-        F.coalesce("valor", F.lit(0).cast("decimal(28,2)")).alias("valor"))
+    out = reshape.monthly_backfill(
+        o, "o_orderdate",
+        {"n_pedidos": F.count(F.lit(1)),
+         "valor": F.sum(bands.to_amount("o_totalprice")).cast("decimal(28,2)")},
+        where=urgent_pending)
+    return out.select("mes", F.coalesce("n_pedidos", F.lit(0).cast("bigint")).alias("n_pedidos"),
+                      F.coalesce("valor", F.lit(0).cast("decimal(28,2)")).alias("valor"))
 
 
 # ------------------------------------------------------------ list flags
