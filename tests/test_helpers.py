@@ -59,3 +59,23 @@ def test_cut_lineage_uses_the_shared_checkpoint_dir(spark):
     cut = cut_lineage(df)
     assert sorted(r.y for r in cut.collect()) == [0, 2, 4, 6, 8]
     assert "LogicalRDD" in cut._jdf.queryExecution().logical().toString() or cut.count() == 5
+
+
+def test_monthly_backfill_fills_empty_months(spark):
+    import datetime as dt
+    from recaudo.operators.reshape import monthly_backfill
+    df = spark.createDataFrame([(dt.date(2024, 11, 3), 5), (dt.date(2025, 2, 1), 7), (dt.date(2025, 2, 9), 1)],
+                               "d date, v int")
+    out = monthly_backfill(df, "d", {"n": F.count(F.lit(1)), "s": F.sum("v")}, fill={"n": 0, "s": 0},
+                           where=F.col("v") > 1)
+    got = sorted((r.mes.isoformat(), r.n, r.s) for r in out.collect())
+    assert got == [("2024-11-01", 1, 5), ("2024-12-01", 0, 0), ("2025-01-01", 0, 0), ("2025-02-01", 1, 7)]
+
+
+def test_append_log_keeps_earlier_rows(spark):
+    from recaudo.sources.delimited import append_log, read_delimited
+    path = scratch_path(spark, "log")
+    append_log(spark.createDataFrame([("1", "Sent")], "n string, estado string"), path)
+    append_log(spark.createDataFrame([("2", "Not sent")], "n string, estado string"), path)
+    back = read_delimited(spark, path, "n string, estado string", suffix=None)
+    assert sorted(tuple(r) for r in back.collect()) == [("1", "Sent"), ("2", "Not sent")]
