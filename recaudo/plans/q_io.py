@@ -96,8 +96,16 @@ def contact_log_stream(spark, sf):
     for w in weeks:   # bounded: one write per calendar week of the log
         e.where(week == w).repartition(files_per_week).write.mode("append").parquet(src)
     status = F.when(F.col("event_type") == "error", "Not sent").otherwise("Sent")
-    # two weeks of log files per micro-batch: batches still follow event time
-    q = start_hourly_counts(spark, src, e.schema, "ts", "event_id", {"estado": status}, sink, ckpt,
-                            files_per_trigger=2 * files_per_week)
-    q.awaitTermination()
+    # two weeks of log files per micro-batch: batches still follow event time.
+    # The state-store partition count is fixed at the stream's first start
+    # from spark.sql.shuffle.partitions: size it to the task slots for this
+    # run and give the session its own value back afterwards.
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    try:
+        q = start_hourly_counts(spark, src, e.schema, "ts", "event_id", {"estado": status}, sink, ckpt,
+                                files_per_trigger=2 * files_per_week)
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     return current_counts(spark, sink, ["hora", "estado"])
