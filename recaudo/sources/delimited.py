@@ -72,20 +72,27 @@ def _hadoop_fs(spark: SparkSession, path: str):
 
 
 def list_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
+    """Data files of a folder with the suffix (also compressed: ``.csv.gz``)."""
     fs, p = _hadoop_fs(spark, folder)
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isFile() and name.endswith(suffix) and not name.startswith((".", "_")):
+        base = name.rsplit(".", 1)[0] if name.endswith((".gz", ".bz2", ".zst", ".deflate")) else name
+        if st.isFile() and base.endswith(suffix) and not name.startswith((".", "_")):
             out.append(st.getPath().toString())
     return sorted(out)
 
 
 def header_line(spark: SparkSession, path: str, encoding: str = "UTF-8", limit: int = 1 << 20) -> str:
-    """First line of a file (at most ``limit`` bytes are read)."""
+    """First line of a file (at most ``limit`` characters); compressed files
+    (.gz, .bz2, ... by extension) are read through their Hadoop codec, as the
+    CSV reader does."""
     jvm = spark.sparkContext._jvm
     fs, p = _hadoop_fs(spark, path)
-    stream = fs.open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    raw = fs.open(p)
+    stream = codec.createInputStream(raw) if codec is not None else raw
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding), 65536)
         line = reader.readLine()

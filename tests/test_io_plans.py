@@ -154,3 +154,15 @@ def test_command_line_touches(spark):
     assert main(["touches", "--input", f"{base}/in", "--month", "3", "--year", "2025", "--out", f"{base}/out"]) == 0
     r = delimited.read_delimited(spark, f"{base}/out", None, sep=";", suffix=None).collect()
     assert len(r) == 1 and (r[0]["Toques por SMS"], r[0]["Toques por BOT"], r[0]["Toques por IVR"]) == ("3", "0", "2")
+
+
+def test_drifting_folder_reads_gzipped_exports(spark):
+    import gzip
+    base = scratch_path(spark, "drift-gz")
+    os.makedirs(base)
+    with gzip.open(f"{base}/a.csv.gz", "wt", encoding="utf-8") as f:
+        f.write("Cuenta_Real;Cuenta_Sin_Punto;Marca\n7.7;77;churn\n")
+    _write(f"{base}/b.csv", "Cuenta_Real,Cuenta_Sin_Punto\n8.8,88\n")
+    scan = merge_export_folder(spark, base, 6, 2024)
+    assert scan.skipped == []
+    assert sorted((r.Cuenta_Real, r.Marca) for r in scan.df.collect()) == [("7.7-", "churn"), ("8.8-", None)]
