@@ -147,3 +147,25 @@ def test_read_months_skips_missing_monthly_files(spark, tmp_path):
     out = {(r["mes"], r["BG_cuenta_next"]): r["AD_filtro_colas"] for r in
            monthly.monthly_consolidation(read, pats).collect()}
     assert out[("2025-04", "100-")] == "APLICA" and out[("2025-03", "100-")] is None
+
+
+def test_command_line_monthly(spark, tmp_path):
+    from recaudo.__main__ import main
+    src = _src(spark)
+    folder = str(tmp_path / "in")
+    for name, layout in monthly.DEFAULT_LAYOUT.items():
+        pdf = getattr(src, name).drop("mes").toPandas()
+        for y, m in ((2025, 3), (2025, 4)):
+            path = os.path.join(folder, layout.format(year=y, month=f"{m:02d}"))
+            os.makedirs(os.path.dirname(path), exist_ok=True)
+            pdf.to_csv(path, sep=";", index=False)
+    pats = tmp_path / "dict.csv"
+    pats.write_text("ord;pattern;department;grp\n1;BOGOTA;CUNDINAMARCA;2\n", encoding="utf-8")
+    out = str(tmp_path / "out")
+    assert main(["monthly", "--input", folder, "--start", "2025-03", "--end", "2025-04",
+                 "--patterns", str(pats), "--out", out]) == 0
+    assert sorted(os.listdir(out)) == ["mes=2025-03", "mes=2025-04"]
+    from recaudo.sources.delimited import read_delimited
+    back = read_delimited(spark, out, None, sep=";", suffix=None)
+    assert sorted((r["mes"], r["BG_cuenta_next"]) for r in back.collect()) == \
+        [(m, k) for m in ("2025-03", "2025-04") for k in ("100-", "400-", "500-")]
