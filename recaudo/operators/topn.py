@@ -7,7 +7,7 @@
   pivot to ``n`` slot columns. Spark plans the rank filter as a partial
   WindowGroupLimit *before* the shuffle, so each map task ships at most ``n``
   rows per key; values beyond the first ``n`` get no slot (the report layout
-  has fixed slots) but are still counted in ``n_values``.
+  has fixed slots, as in the reference).
 """
 
 from __future__ import annotations
