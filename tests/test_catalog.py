@@ -5,12 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from recaudo.plans.catalog import ORACLES, QUERIES
 from recaudo.sources.tables import TABLES
 from tools.check_oracle import spark_type, table_hash
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
 
 
 @pytest.fixture(scope="module")
