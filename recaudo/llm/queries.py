@@ -1,4 +1,4 @@
 """Imports every operator, which registers its query."""
 
-from . import chat, exact_dedup, mixing  # noqa: F401
+from . import chat, exact_dedup, mixing, near_dedup  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
