@@ -117,7 +117,7 @@ def fit(sample: DataFrame, buckets: int, dim: int, epochs: int, rate: float, see
         weights, bias = train([(t.encode("utf-8", "surrogatepass"), int(y)) for t, y in zip(group.text, group.label)], buckets, dim, epochs, rate, seed)
         return pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias]})
 
-    got = sample.groupBy(F.lit(0)).applyInPandas(run, "weights binary, bias double").collect()
+    got = sample.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(run, "weights binary, bias double").collect()
     return (np.frombuffer(got[0].weights), got[0].bias) if got else (np.zeros(buckets), 0.0)
 
 
