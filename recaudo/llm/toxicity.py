@@ -1,23 +1,26 @@
 """Toxicity by maximum-scoring segments.
 
-Token scores are log-odds of toxic against other training texts with an
-informative Dirichlet prior (the words' share in both, worth ``prior``
-tokens); a term whose log-odds are less than ``z_min`` standard deviations
-from zero counts as any other. A constant drift is taken off, so a text
-without toxic terms has a falling sum. One linear scan (Ruzzo and Tompa)
-finds all maximal-scoring segments, however many. Sums of such scores follow
-an extreme-value law: the segment of score s in a text of n tokens has
-E = K n exp(-lambda s), with lambda the root of E[exp(lambda s)] = 1 over the
-tokens of non-toxic training texts and K fitted to their best segments.
-Segments with E <= ``e_max`` are the significant passages. A document's
-evidence is -log of the chance that a text of its length holds its best
-segment, 1 - exp(-E); a logistic curve, fitted on the training rows, turns it
-into a probability.
+A token's units are the word and its prefixes of ``PREFIXES`` letters, so that
+inflected forms share what is learned. A unit's score is the log-odds of its
+share in toxic against other training texts, with an informative Dirichlet
+prior in the proportions of both (``prior`` of their tokens). An occurrence
+counts once for each word before it, so copies of a toxic text don't teach
+its neutral words. Units whose log-odds are under ``min_odds`` or under
+``z_min`` standard deviations count as any other. A token takes its highest
+unit, less a constant drift, so a text without toxic terms has a falling sum.
+One linear scan (Ruzzo and Tompa) finds all maximal-scoring segments, however
+many. Sums of such scores follow an extreme-value law: a segment of score s
+in n tokens has E = K n exp(-lambda s), with lambda the root of
+E[exp(lambda s)] = 1 over the tokens of non-toxic training texts and K fitted
+to their best segments. Segments with E <= ``e_max`` are the significant
+passages. The evidence of a document is the largest -log P of its r best
+segments together (Karlin and Altschul's sum statistic, any r); a logistic
+curve fitted on the training rows turns it into a probability.
 
 Tokens are runs of letters, digits and underscores, in lower case. At most
 ``max_train`` labelled rows are used for fitting (a documented sample) and at
-most ``max_terms`` terms with the largest |z| are broadcast. Whole texts of
-all documents are scored, each in its task with memory for one text.
+most ``max_terms`` units with the largest z are broadcast. Whole texts of all
+documents are scored, each in its task with memory for one text.
 
 Null and empty texts have no tokens: no passage, zero evidence, the score of
 that evidence. Repeated rows are scored each. Without labelled rows of both
@@ -29,7 +32,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -42,17 +44,31 @@ from .folds import fold_is, labelled_sample
 from .registry import register
 
 WORD = re.compile(r"\w+")
+PREFIXES = (4, 5, 6)
+KNOWN = 200_000          # words whose scores a task remembers
 
 
 @dataclass
 class Model:
-    terms: dict[str, float] = field(default_factory=dict)     # score of a term, drift taken off
-    drift: float = 0.5
+    terms: dict[str, float] = field(default_factory=dict)     # score of a unit, drift taken off
+    drift: float = 0.1
     lam: float = 1.0
     k: float = 1.0
     a: float = 0.0                                            # logistic curve of the evidence
     b: float = 0.0
     e_max: float = 0.01
+    known: dict[str, float | None] = field(default_factory=dict)
+
+    def word(self, word: str) -> float | None:
+        """The score of a word that holds a toxic unit."""
+        found = [s for u in (word, *(f"{word[:k]}*" for k in PREFIXES if len(word) > k)) if (s := self.terms.get(u)) is not None]
+        if len(self.known) >= KNOWN:
+            self.known.clear()
+        self.known[word] = score = max(found, default=None)
+        return score
+
+
+_NEW = object()
 
 
 def maximal_segments(runs: list[tuple[int, int, float]]) -> list[tuple[int, int, float]]:
@@ -79,8 +95,8 @@ def maximal_segments(runs: list[tuple[int, int, float]]) -> list[tuple[int, int,
 def scan(text: str, model: Model) -> tuple[int, list[tuple[int, int, float]]]:
     """(number of tokens, maximal segments by token number)."""
     tokens = WORD.findall(text.lower())
-    get = model.terms.get
-    hits = [(i, s) for i, s in enumerate(map(get, tokens)) if s is not None]
+    get, word = model.known.get, model.word
+    hits = [(i, s) for i, t in enumerate(tokens) if (s := x if (x := get(t, _NEW)) is not _NEW else word(t)) is not None]
     runs, last = [], 0
     for i, s in hits:
         if i > last:
@@ -91,58 +107,65 @@ def scan(text: str, model: Model) -> tuple[int, list[tuple[int, int, float]]]:
 
 
 def evidence(n: int, segments: list[tuple[int, int, float]], model: Model) -> float:
-    best = max((s for *_, s in segments), default=0.0)
-    if best <= 0:
-        return 0.0
-    e = model.k * n * math.exp(-min(700.0, model.lam * best))
-    return -math.log(max(1e-300, -math.expm1(-e)))
+    """-log of the chance of the r best segments together, for the best r."""
+    floor = math.log(max(1e-300, model.k * n)) if n else 0.0
+    total, best = 0.0, 0.0
+    for r, s in enumerate(sorted((s for *_, s in segments), reverse=True), 1):
+        x = model.lam * s - floor
+        if x <= 0:
+            break
+        total += x
+        best = max(best, total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r))
+    return best
 
 
 def _counts(sample: DataFrame) -> DataFrame:
-    """token, toxic and other: occurrences in the labelled rows, pre-aggregated per batch."""
+    """unit, toxic and other: distinct (word before, word) pairs in the labelled rows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = (Counter(), Counter())
+            seen = set()
             for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[label].update(WORD.findall(text.lower()))
-            for label, counts in enumerate(seen):
-                yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array([label] * len(counts), pa.int32()),
-                                                  pa.array(list(counts.values()), pa.int64())], ["token", "label", "n"])
-    n = lambda y: F.sum(F.when(F.col("label") == y, F.col("n")).otherwise(0)).cast("double")
-    return (sample.select("label", "text").mapInArrow(run, "token string, label int, n long")
-            .groupBy("token").agg(n(1).alias("toxic"), n(0).alias("other")))
-
-
-def fit(sample: DataFrame, prior: float = 2000.0, z_min: float = 4.0, max_terms: int = 20_000, drift: float = 0.5, e_max: float = 0.01) -> Model:
-    """Learns terms, extreme-value law and curve from (doc_id, label, text)."""
+                words = WORD.findall(text.lower())
+                seen.update(zip(["", *words], words, [label] * len(words)))
+            before, word, label = zip(*seen) if seen else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(before, pa.string()), pa.array(word, pa.string()), pa.array(label, pa.int32())], ["before", "word", "label"])
+    prefixes = [F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in PREFIXES]
+    n = lambda y: F.sum((F.col("label") == y).cast("double"))
+    return (sample.select("label", "text").mapInArrow(run, "before string, word string, label int").distinct()
+            .select("label", F.explode(F.array("word", *prefixes)).alias("unit")).filter("unit is not null")
+            .groupBy("unit").agg(n(1).alias("toxic"), n(0).alias("other")))
+
+
+def fit(sample: DataFrame, prior: float = 0.05, min_odds: float = 1.5, z_min: float = 6.0, max_terms: int = 20_000,
+        drift: float = 0.1, e_max: float = 0.01) -> Model:
+    """Learns units, extreme-value law and curve from (doc_id, label, text)."""
     sample = written(sample, "toxic-sample")
     counts = written(_counts(sample), "toxic-counts")
-    all_ = counts.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).first()
+    words = counts.filter(~F.col("unit").endswith("*"))
+    all_ = words.agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")).first()
     if not all_.toxic or not all_.other:
         return Model(drift=drift, e_max=e_max)
-    alpha = (F.col("toxic") + F.col("other")) * F.lit(prior / (all_.toxic + all_.other))
-    odds = lambda y, n: F.log((y + alpha) / (F.lit(n + prior) - y - alpha))
+    alpha = (F.col("toxic") + F.col("other")) * prior
+    odds = lambda y, n: F.log((y + alpha) / (F.lit(n + prior * (all_.toxic + all_.other)) - y - alpha))
     delta = odds(F.col("toxic"), all_.toxic) - odds(F.col("other"), all_.other)
     deviation = F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("other") + alpha))
-    terms = (counts.withColumn("delta", delta).withColumn("z", F.col("delta") / deviation).filter(F.abs("z") >= z_min)
-             .orderBy(F.desc(F.abs("z")), "token").limit(max_terms).select("token", "delta", "other").collect())
-    model = Model({r.token: r.delta - drift for r in terms}, drift, e_max=e_max)
+    terms = (counts.withColumn("delta", delta).withColumn("z", F.col("delta") / deviation).filter((F.col("z") >= z_min) & (F.col("delta") >= min_odds))
+             .orderBy(F.desc("z"), "unit").limit(max_terms).select("unit", "delta", "other").collect())
+    model = Model({r.unit: r.delta - drift for r in terms}, drift, e_max=e_max)
     # lambda: the positive root of E[exp(lambda s)] = 1 over the tokens of other texts
-    share = np.array([r.other for r in terms] + [all_.other - sum(r.other for r in terms)]) / all_.other
-    value = np.array([r.delta - drift for r in terms] + [-drift])
-    if not (share[value > 0].sum() > 0 and share @ value < 0):
-        share, value = np.append(share, 1 / all_.other), np.append(value, max(value.max(), drift))
+    share = np.array([r.other + 1.0 for r in terms] + [1.0])      # one more occurrence each, as unseen ones aren't impossible
+    share = np.append(share, max(all_.other - share.sum(), 1.0)) / max(all_.other, share.sum() + 1.0)
+    value = np.array([r.delta - drift for r in terms] + [drift, -drift])
     low, high = 0.0, 50.0 / max(1e-9, value.max())
     for _ in range(200):
         mid = (low + high) / 2
         low, high = (mid, high) if share @ np.exp(mid * value) < 1 else (low, mid)
     model.lam = max(low, 1e-3)
-    found = _evidence(sample.select("label", "text"), model, "label int", lambda n, segs: (float(n), max((s for *_, s in segs), default=0.0)),
-                      ["n double", "best double"]).toPandas()                # at most max_train rows of numbers
-    calm = found[(found.label == 0) & (found.n > 0)]
-    model.k = float(len(calm) / max(1e-9, (calm.n * np.exp(-model.lam * calm.best)).sum())) if len(calm) else 1.0
-    x = np.array([evidence(n, [(0, 0, best)], model) for n, best in zip(found.n, found.best)])
-    model.a, model.b = _logistic(x, found.label.to_numpy(np.float64))
+    found = _evidence(sample.select("label", "text"), model, "label int", lambda n, segments: (float(n), max((s for *_, s in segments), default=0.0)), ["n double", "best double"])
+    calm = found.filter("label = 0 and n > 0").agg(F.count("*").alias("docs"), F.sum(F.col("n") * F.exp(-F.lit(model.lam) * F.col("best"))).alias("e")).first()
+    model.k = calm.docs / calm.e if calm.docs and calm.e else 1.0
+    curve = _evidence(sample.select("label", "text"), model, "label int", lambda n, segments: (evidence(n, segments, model),), ["x double"]).toPandas()   # at most max_train pairs
+    model.a, model.b = _logistic(curve.x.to_numpy(np.float64), curve.label.to_numpy(np.float64))
     return model
 
 
@@ -203,7 +226,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             .mapInArrow(run, "doc_id long, score double, evidence double, passages array<struct<start:long,end:long,score:double,e_value:double>>"))
 
 
-MAX_TRAIN = 20_000
+MAX_TRAIN = 10_000
 FOLDS, HELD_OUT = 5, 0
 
 
