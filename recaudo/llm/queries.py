@@ -1,4 +1,4 @@
 """Imports every operator, which registers its query."""
 
-from . import chat, exact_dedup, mixing, near_dedup, quality, sentencepieces, toxicity, vp_search  # noqa: F401
+from . import chat, exact_dedup, mixing, near_dedup, pii, quality, secret_scan, sentencepieces, toxicity, vp_search  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
