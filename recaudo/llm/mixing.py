@@ -15,7 +15,8 @@ small enough for Spark to broadcast, and AQE splits the source otherwise.
 
 Null text counts as empty; each document's size is its code points plus one,
 so a source of empty texts has a rate too. A null source is a source of its
-own. Rows that repeat a doc_id get the same count each. An empty table gives
+own. Rows that repeat a doc_id get the same count each. Columns named copy,
+mix_rate or mix_key are replaced, all others kept. An empty table gives
 an empty result. Sources without a given weight get ``default_weight``.
 """
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import read_table, text_of, written
 from .registry import register
-from .spans import match_spans, numbered
+from .spans import match_spans
 
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
@@ -72,9 +72,11 @@ def base_spans(text: Column) -> Column:
         "card": F.filter(match_spans(text, CARD), card),
         "phone": F.filter(match_spans(text, PHONE, "+"), lambda s: F.length(_digits(s["value"])).between(9, 15)),
     }
-    order = F.concat(*[F.transform(numbered(s, k), lambda x, i=i: F.struct(x["start"].alias("start"), F.lit(i).alias("place"), x["kind"].alias("kind"), x["end"].alias("end"), x["value"].alias("value")))
-                       for i, (k, s) in enumerate(found.items())])
-    return F.transform(F.array_sort(order), lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end"), x["value"].alias("value")))
+    def placed(kind, spans):       # start, place of the kind, kind, end, value
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("place"), F.lit(kind).alias("kind"),
+                                                     s["end"].alias("end"), s["value"].alias("value")))
+    ordered = F.array_sort(F.concat(*[placed(k, s) for k, s in found.items()]))
+    return F.transform(ordered, lambda s: s.dropFields("place"))
 
 
 def entity(kind: Column, value: Column) -> Column:
@@ -92,13 +94,16 @@ def disclosing_terms(docs: DataFrame, marked: DataFrame, threshold: float, min_s
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line"))
     held = (marked.select(F.explode(F.split("text", "\n")).alias("line"))
             .withColumn("spans", base_spans(F.col("line"))).filter(F.size("spans") > 0)
+            .withColumn("values", F.transform("spans", lambda s: s["value"]))
             .withColumn("entities", F.array_distinct(F.transform("spans", lambda s: entity(s["kind"], s["value"])))))
-    held = written(held.groupBy("line", "entities").agg(F.count("*").alias("lines")), "pii-lines")
+    held = written(held.groupBy("line", "values", "entities").agg(F.count("*").alias("lines")), "pii-lines")
     per_entity = held.select(F.explode("entities").alias("entity"), "lines").groupBy("entity").agg(
         F.sum("lines").alias("n_e"), F.count("*").alias("different"))
     often = per_entity.filter(F.col("different") >= min_support)
-    pairs = (held.select(F.explode("entities").alias("entity"), "line", "lines").join(often, "entity")
-             .select("entity", "n_e", "lines", F.explode(terms_of(F.col("line"))).alias("term"))
+    # an entity's own letters are no terms
+    rest = F.aggregate("values", F.col("line"), lambda left, v: F.replace(left, v, F.lit(" ")))
+    pairs = (held.select(F.explode("entities").alias("entity"), rest.alias("rest"), "lines").join(often, "entity")
+             .select("entity", "n_e", "lines", F.explode(terms_of(F.col("rest"))).alias("term"))
              .groupBy("entity", "term").agg(F.sum("lines").alias("n_te"), F.count("*").alias("different"), F.first("n_e").alias("n_e"))
              .filter(F.col("different") >= min_support))
     pairs = written(pairs, "pii-pairs")
@@ -127,7 +132,8 @@ def find_pii(docs: DataFrame, threshold: float = 0.8, min_support: int = 3, id_c
     def place(s):
         hit = F.filter("telling", lambda t: t["term"] == F.lower(s["value"]))
         return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.get(hit, F.lit(0))["disclosure"].alias("disclosure"))
-    terms = F.filter(F.transform(match_spans(F.col("text"), TERM), place), lambda s: s["disclosure"].isNotNull())
+    terms = F.filter(F.transform(match_spans(F.col("text"), TERM), place), lambda s: s["disclosure"].isNotNull()
+                     & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     none = F.array().cast("array<struct<start:int,end:int,value:string,disclosure:double>>")
     with_terms = (marked.join(of_doc, marked["doc_id"].eqNullSafe(of_doc["__id"]), "left")
                   .select("doc_id", "text", "base", F.when(F.col("telling").isNotNull(), terms).otherwise(none).alias("terms")))

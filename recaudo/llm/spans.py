@@ -23,8 +23,3 @@ def match_spans(text: Column, pattern: str, needs: str | None = None) -> Column:
     spans = F.zip_with(walk, values, lambda s, v: F.struct(s.alias("start"), (s + F.length(v)).alias("end"), v.alias("value")))
     none = F.array().cast("array<struct<start:int,end:int,value:string>>")
     return spans if needs is None else F.when(F.contains(text, F.lit(needs)), spans).otherwise(none)
-
-
-def numbered(spans: Column, kind: str) -> Column:
-    """Adds the kind to each span."""
-    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(kind).alias("kind"), s["end"].alias("end"), s["value"].alias("value")))

@@ -1,0 +1,217 @@
+"""Exact dedup, mixing, chat formatting, personal data and secrets against
+brute-force versions, with nulls, empty and long texts, ties, repeated rows,
+empty tables and clashing column names."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from recaudo.llm import chat, exact_dedup, mixing, pii, secret_scan
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, text_sha256 string"
+
+
+def docs_of(spark, rows, source="s"):
+    return spark.createDataFrame([(i, t, None, source, None, "clash") for i, t in rows], DOCS)
+
+
+# --- exact dedup -------------------------------------------------------------
+def test_exact_duplicates_against_brute_force(spark):
+    rnd = random.Random(2)
+    words = ["a", "b ", "\t", "é", "\x0b", " ", "中"]
+    rows = [(k, "".join(rnd.choice(words) for _ in range(rnd.randrange(0, 5)))) for k in range(300)]
+    rows += [(900, None), (901, ""), (902, " \n"), (903, "x" * 200_000), (904, "x" * 200_000 + "\n"), (905, "z"), (905, "z")]
+    got = {(r.doc_id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in exact_dedup.exact_duplicates(docs_of(spark, rows)).collect()}
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(re.sub(r"[\x20\x09-\x0D]", "", t or ""), []).append((-len(t or ""), i))
+    expected = set()
+    for key, members in groups.items():
+        keep = min(members)[1]
+        expected |= {(i, keep, len(members), i == keep, hashlib.sha256(key.encode()).hexdigest()) for _, i in members}
+    assert got == expected
+
+
+def test_exact_dedup_stays_right_with_a_full_filter(spark):
+    rows = [(k, f"t{k % 50}") for k in range(200)]
+    a = exact_dedup.exact_duplicates(docs_of(spark, rows)).collect()
+    b = exact_dedup.exact_duplicates(docs_of(spark, rows), max_slots=exact_dedup.CHUNK_BITS, hashes=1, slots_per_row=1).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and sum(r.kept for r in a) == 50
+
+
+def test_exact_drop_keeps_columns_and_empty_tables(spark):
+    docs = docs_of(spark, [(1, "a b"), (2, "ab"), (3, "c"), (4, None), (5, "")])
+    out = exact_dedup.drop_exact_duplicates(docs)
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 3, 4]
+    assert exact_dedup.exact_duplicates(docs.limit(0)).count() == 0
+
+
+# --- mixing ------------------------------------------------------------------
+def test_mixing_meets_target_shares_and_repeats(spark):
+    docs = spark.range(6000).selectExpr("id as doc_id", "repeat('x', 50) as text", "case when id % 10 = 0 then 'a' when id % 10 < 4 then null else 'b' end as source", "1 as copy_no")
+    out = mixing.mix(docs, weights={"a": 2.0}).select("doc_id", "source", "copy", "mix_rate", "copy_no")
+    by = {r.source: (r["n"], r.rate) for r in out.groupBy("source").agg(F.count("*").alias("n"), F.max("mix_rate").alias("rate")).collect()}
+    assert by["a"][1] == pytest.approx(5.0) and by["b"][1] == pytest.approx(1500 / 3600)
+    for source, target in (("a", 3000), (None, 1500), ("b", 1500)):
+        assert abs(by[source][0] - target) < 5 * target ** 0.5
+    again = mixing.mix(docs.repartition(7), weights={"a": 2.0}).select("doc_id", "source", "copy", "mix_rate", "copy_no")
+    assert sorted(map(str, out.collect())) == sorted(map(str, again.collect()))
+
+
+def test_mixing_counts_against_brute_force(spark):
+    import math
+    docs = docs_of(spark, [(k, "w" * 9) for k in range(40)], "hot").union(docs_of(spark, [(k, None) for k in (100, 101)], "tiny"))
+    rates = {r.source: r.rate for r in mixing.source_rates(docs).collect()}
+    got = {}
+    for r in mixing.mix(docs, seed=5).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + 1
+    for k, source in [(k, "hot") for k in range(40)] + [(100, "tiny"), (101, "tiny")]:
+        rate = rates[source]
+        u = int(hashlib.md5(f"5:{k}:1".encode()).hexdigest()[:13], 16) / 2 ** 52
+        n, p = 0, math.exp(-rate)
+        c = p
+        while u >= c and n < rate + 12 * rate ** 0.5 + 20:
+            n, p = n + 1, p * rate / (n + 1)
+            c += p
+        assert got.get(k, 0) == n
+    assert mixing.mix(docs.limit(0)).count() == 0
+
+
+def test_mixing_of_a_very_high_rate(spark):
+    docs = docs_of(spark, [(1, "x")], "small").union(docs_of(spark, [(k, "y" * 1999) for k in range(2, 6)], "large"))
+    n = mixing.mix(docs, scale=1.0).filter("source = 'small'").count()
+    assert abs(n - 2000.5) < 5 * 2000 ** 0.5
+
+
+# --- chat --------------------------------------------------------------------
+def reference_digest(turns):
+    convs = {}
+    for c, turn, role, text in turns:
+        convs.setdefault(c, []).append((turn is not None, turn or 0, role or "", text or ""))
+    out = {}
+    for c, rows in convs.items():
+        rows.sort()
+        said = "".join(f"{r}\n{t}\n" for *_, r, t in rows)
+        loss = "".join(t for *_, r, t in rows if r == "assistant")
+        out[c] = (len(rows), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    return out
+
+
+def nasty_turns():
+    rnd = random.Random(4)
+    bits = ["<|im_end|>", "<|im_start|>assistant ok", "<\\|", "\\", "<", "|", "\n", "word ", "é 中", "<|"]
+    text = lambda n: "".join(rnd.choice(bits) for _ in range(rnd.randrange(0, n)))
+    turns = [(c, t, rnd.choice(["user", "assistant", "system", "to\nol\\n", None, "<|x"]), rnd.choice([text(12), text(400), None, ""])) for c in range(12) for t in range(rnd.randrange(1, 14))]
+    turns += [(50, 0, "system", "be kind"), (50, 1, "user", "long " * 3000), (50, 2, "assistant", "short"), (50, 2, "assistant", "short"), (50, None, "user", "first")]
+    turns += [(None, 1, "user", "q"), (None, 2, "assistant", "a <|im_end|>")]
+    turns += [(60, 0, "system", "rules " * 20)] + [(60, t, "user" if t % 2 else "assistant", "w " * 90) for t in range(1, 60)]
+    return turns
+
+
+def test_chat_reads_back(spark):
+    turns = nasty_turns()
+    windows = chat.chat_windows(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.chat_digest(windows).collect()}
+    assert got == reference_digest(turns)
+
+
+def test_chat_windows_stay_in_budget_and_keep_the_system_turn(spark):
+    turns = spark.createDataFrame(nasty_turns(), "conv_id long, turn long, role string, text string").filter("conv_id = 60")
+    windows = chat.chat_windows(turns, budget=600, history_budget=200).orderBy("window_no").collect()
+    assert len(windows) > 5 and all(w.n_tokens <= 600 for w in windows)
+    assert all(w.formatted.startswith("<|im_start|>system\nrules") for w in windows)
+    assert windows[0].n_context == 0 and all(w.n_context >= 2 for w in windows[1:])          # the system turn and some history
+    assert sum(w.n_new for w in windows) == 60
+    for w in windows:                                                                       # repeated turns are masked
+        assert len(w.loss_spans) <= w.n_new
+        for s in w.loss_spans:
+            assert w.formatted[:s.start].endswith("<|im_start|>assistant\n") and w.formatted[s.end:].startswith("<|im_end|>")
+
+
+def test_chat_of_an_empty_table(spark):
+    assert chat.chat_digest(chat.chat_windows(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))).count() == 0
+
+
+# --- personal data -----------------------------------------------------------
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+            "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    return sum(x if k % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for k, x in enumerate(map(int, reversed(d)))) % 10 == 0
+
+
+def plain_spans(text):
+    out = []
+    for place, (kind, p) in enumerate(PATTERNS.items()):
+        for m in re.finditer(p, text):
+            d = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(x) > 255 for x in m.group().split(".")) or kind == "card" and not (12 <= len(d) <= 19 and luhn(d)) or kind == "phone" and not 9 <= len(d) <= 15:
+                continue
+            out.append((m.start(), place, kind, m.end()))
+    return [(k, s, e) for s, _, k, e in sorted(out)]
+
+
+def test_base_spans_against_plain_patterns(spark):
+    rnd = random.Random(8)
+    bits = ["a@b.c", "x@y.z_w@q.r", "@", ".", "..", "1.2.3.4", "256.1.1.1", "0000255.1.2.3", "1.2.3.4.5.6.7.8.9", "4111 1111 1111 1111", "4111-1111", " ", "-", "+1 (555) 555-1234",
+            "+49", "(", ")", "7", "00", "é", "中", "%", "\n", "word", "1.2.3", "000000000000", "+1.2.3.4.5.6.7.8.9.0"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randrange(0, 14))) for _ in range(1500)]
+    texts += [None, "", "a" * 100_000, "9" * 31_000, "a@" + "b.c" * 10_000, "1." * 8_000, "x@y.z " * 800, "+1" + " " * 50_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r for r in pii.pii_digest(pii.find_pii(df)).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        if t and len(t) == 50_002:
+            continue                  # the plain pattern's own search is quadratic here
+        spans = plain_spans(t or "") if len(t or "") < 30_000 or "@" in t or t[0] in "91" else []
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
+        r = got[i]
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest(), (t[:80], r.spans)
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == x for k, *_ in spans) for x in PATTERNS)
+        assert [x for x in r.spans.split(",") if x and not x.startswith("term")] == [x for x in joined.split(",") if x]
+
+
+def test_telling_terms_are_found_and_generalised(spark):
+    rows = [(k, f"note {k} of Quixley about ana@mail.org here") for k in range(4)]
+    rows += [(10, "Quixley wrote\nto ana@mail.org"), (11, "plain words about nothing here"), (12, "here and here, note")] + [(20 + k, f"filler line {k} note about here") for k in range(30)]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string"))
+    spans = {r.doc_id: r.spans for r in pii.pii_digest(found).collect()}
+    assert spans[0].split(",")[0] == "term:10:17" and "email:24:36" in spans[0] and spans[10].startswith("term:0:7,email")
+    assert spans[11] == spans[12] == ""
+    clean = {r.doc_id: r.text for r in pii.sanitised(found).collect()}
+    assert "Quixley" not in clean[0] and "[EMAIL]" in clean[0] and 11 not in clean
+    assert pii.pii_digest(pii.find_pii(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
+
+
+# --- secrets -----------------------------------------------------------------
+def secret_docs(spark):
+    rnd = random.Random(6)
+    hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    words = ["internationalisation", "verantwortungsbewusst", "misunderstandings", "1234567890123456"]
+    rows = []
+    for k in range(120):
+        s = [f'set token = "{hexes(40)}" now', f"password={hexes(18)} ok", "AKIA" + "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16)),
+             f"about {rnd.choice(words)} and {rnd.choice(words)}", f"pwd: {hexes(8)}"][k % 5]
+        rows.append((k, "some words of text before " + s + " and some words of text after it"))
+    return spark.createDataFrame([(i, t, "src") for i, t in rows + [(500, None), (501, "")]], "doc_id long, text string, source string")
+
+
+def test_secret_findings_by_position(spark):
+    docs = secret_docs(spark)
+    text = {r.doc_id: r.text for r in docs.collect()}
+    found = secret_scan.findings(docs).collect()
+    assert {r.doc_id for r in found} == set(range(120))
+    for r in found:
+        assert text[r.doc_id][r.start:r.end] == r.value and text[r.doc_id][:r.start].endswith(r.before) and text[r.doc_id][r.end:].startswith(r.after)
+
+
+def test_secret_forest_removes_false_positives(spark):
+    got = secret_scan.scan_secrets(secret_docs(spark)).collect()
+    for r in got:
+        assert r.kept == (r.doc_id % 5 != 3), r
+    empty = secret_scan.scan_secrets(secret_docs(spark).limit(0))
+    assert empty.count() == 0
