@@ -121,6 +121,11 @@ def fit(sample: DataFrame, buckets: int, dim: int, epochs: int, rate: float, see
     return (np.frombuffer(got[0].weights), got[0].bias) if got else (np.zeros(buckets), 0.0)
 
 
+def _logit(text: str, weights: np.ndarray, bias: float) -> float:
+    at = features(text.encode("utf-8", "surrogatepass"), len(weights))
+    return bias + (float(weights[at].mean()) if len(at) else 0.0)
+
+
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score for every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -128,15 +133,25 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
         for batch in batches:
-            logits = []
-            for text in batch.column(1):
-                at = features((text.as_py() or "").encode("utf-8", "surrogatepass"), len(weights))
-                logits.append(bias + (weights[at].mean() if len(at) else 0.0))
+            logits = [_logit(t.as_py() or "", weights, bias) for t in batch.column(1)]
             p = 1.0 / (1.0 + np.exp(-np.clip(logits, -500, 500)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.asarray(p, np.float64))], ["doc_id", "score"])
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, score double")
 
 
+def keep_good(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with a score of at least 0.5, with all their columns. Only a flag passes
+    between Python and Spark, so the rows are never copied through Python or shuffled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("boolean")
+    def good(texts: pd.Series) -> pd.Series:
+        weights, bias = shared.value
+        return texts.map(lambda t: bool(_logit(t, weights, bias) >= 0))
+
+    return docs.filter(good(F.coalesce(F.col(text_col), F.lit(""))))
+
+
 #: Production parameters of op6 and of the pipeline. ``max_train`` bounds the labelled rows the classifier is fitted on.
 PARAMETERS = {"buckets": 1 << 16, "dim": 8, "epochs": 6, "rate": 0.5, "seed": 3}
 MAX_TRAIN = 4000
