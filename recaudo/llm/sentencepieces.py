@@ -58,6 +58,22 @@ def load_model(path: str = MODEL) -> dict:
             "pieces": [(p.piece, p.score, p.type) for p in model.pieces]}
 
 
+class _Count:
+    count = 0
+
+
+class _Arcs(dict):
+    """What is known of the pieces that may follow one piece."""
+
+    def __init__(self, pieces: "Pieces", before: str | None):
+        self.pieces, self.before = pieces, before
+
+    def __missing__(self, piece: str) -> bool:
+        self.pieces.known.count += 1
+        self[piece] = known = self.pieces.may_follow(self.before, piece)
+        return known
+
+
 class Pieces:
     """Encoder and decoder over one piece table."""
 
@@ -68,13 +84,18 @@ class Pieces:
         self.byte = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(model["pieces"]) if kind == BYTE}
         self.unknown = min(self.score.values()) - 10
         self.longest = max(map(len, usable))
+        self.reach: dict[str, int] = {}          # the longest piece that ends with these three characters
+        for p in usable:
+            if len(p) > 2:
+                self.reach[p[-3:]] = max(len(p), self.reach.get(p[-3:], 0))
         joined = {c for p in usable if len(p) > 1 for c in p}
         inner = any(MARK in p.lstrip(MARK) for p in usable)
         letters = "[" + "".join(map(re.escape, sorted(joined - {MARK}))) + "]" if joined - {MARK} else "(?!)"
         self.unit = re.compile("(?s).+" if inner else f"{MARK}*{letters}+|{MARK}+|(?s:.)")
         self.text = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() if kind in (NORMAL, USER_DEFINED) else b""
                      for p, _, kind in model["pieces"]]
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.arcs: dict[str | None, _Arcs] = {}
+        self.known = _Count()
         self.units: dict[str, bytes] = {}
         self.table_size = table_size
 
@@ -92,13 +113,35 @@ class Pieces:
                 return parts
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def stay_apart(self, left: str, right: str) -> bool:
-        known = self.apart.get((left, right))
-        if known is None:
-            if len(self.apart) > self.table_size:
-                self.apart.clear()
-            known = self.apart[left, right] = self.merged(left + right) == [left, right]
-        return known
+    def may_follow(self, before: str | None, piece: str) -> bool:
+        """Whether the arc ``piece`` may follow ``before`` (None: the start of a unit)."""
+        return before is None or self.merged(before + piece) == [before, piece]
+
+    def _behind(self, before: str | None) -> "_Arcs":
+        arcs = self.arcs.get(before)
+        if arcs is None:
+            if self.known.count > 2 * self.table_size:
+                self.arcs.clear()
+                self.known.count = 0
+            arcs = self.arcs[before] = _Arcs(self, before)
+        return arcs
+
+    def _window(self, unit: str) -> list[str]:
+        """Pieces of a BPE unit that fits into one window."""
+        behind, last, ids, reach = [self._behind(None)], [""], self.ids, self.reach.get
+        for end in range(1, len(unit) + 1):
+            first = end - reach(unit[end - 3:end], 2) if end > 2 else 0
+            for node in range(first if first > 0 else 0, end):
+                piece = unit[node:end]
+                if (piece in ids or node + 1 == end) and behind[node][piece]:
+                    break
+            last.append(piece)
+            behind.append(self._behind(piece))
+        out, end = [], len(unit)
+        while end:
+            out.append(last[end])
+            end -= len(last[end])
+        return out[::-1]
 
     def stream(self, chars: Iterable[str]) -> Iterator[str]:
         """Pieces of a stream of characters, each as soon as it is certain.
@@ -111,11 +154,10 @@ class Pieces:
             best, take = None, 1
             for size in range(min(self.longest, end), 0, -1):
                 piece, node = held[end - size:], end - size
-                if size > 1 and piece not in self.ids or back[node] is None:
+                if size > 1 and piece not in self.ids:
                     continue
                 if self.kind == BPE:
-                    before = held[node - back[node]:node] if node else start
-                    if before is None or self.stay_apart(before, piece):
+                    if self._behind(held[node - back[node]:node] if node else start)[piece]:
                         take = size
                         break
                 else:
@@ -156,7 +198,8 @@ class Pieces:
         return [known] if known is not None else [self.byte[b] for b in piece.encode("utf-8", "surrogatepass")]
 
     def _unit(self, unit: str) -> bytes:
-        ids = np.array([i for p in self.stream(unit) for i in self.piece_ids(p)], np.int32).tobytes()
+        pieces = self._window(unit) if self.kind == BPE and len(unit) <= 2 * self.longest else self.stream(unit)
+        ids = np.array([i for p in pieces for i in self.piece_ids(p)], np.int32).tobytes()
         if len(self.units) >= self.table_size:
             self.units.clear()
         if len(unit) <= 64:
@@ -182,10 +225,10 @@ class Pieces:
 
 def encode(docs: DataFrame, model_path: str = MODEL, id_col: str = "doc_id", text_col: str = "text", rows: int = 256) -> DataFrame:
     """doc_id, n_tokens, ids, round_trip (the ids decode to the same text)."""
-    model = docs.sparkSession.sparkContext.broadcast(load_model(model_path))
+    model = docs.sparkSession.sparkContext.broadcast(Pieces(load_model(model_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model.value)
+        pieces = model.value             # a worker's tasks share what it has learned
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
@@ -202,10 +245,10 @@ def encode(docs: DataFrame, model_path: str = MODEL, id_col: str = "doc_id", tex
 
 def decode(encoded: DataFrame, model_path: str = MODEL, id_col: str = "doc_id", ids_col: str = "ids", rows: int = 256) -> DataFrame:
     """doc_id, text from ids; null or empty ids give the empty text."""
-    model = encoded.sparkSession.sparkContext.broadcast(load_model(model_path))
+    model = encoded.sparkSession.sparkContext.broadcast(Pieces(load_model(model_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model.value)
+        pieces = model.value             # a worker's tasks share what it has learned
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
