@@ -51,6 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     f.add_argument("--month", type=int, required=True)
     f.add_argument("--year", type=int, required=True)
     f.add_argument("--out", required=True)
+    f.add_argument("--skip-unreadable", action="store_true", help="leave out and report files that can't be read")
     m = sub.add_parser("monthly")
     m.add_argument("--input", required=True)
     m.add_argument("--start", required=True, help="yyyy-mm")
@@ -62,24 +63,24 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_session(args.master)
     if args.cmd == "assignment":
         from .plans.assignment import assignment_base
-        raw = delimited.read_delimited(spark, args.bases, None, sep=";")
-        raw = raw.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in raw.columns])
-        disc = delimited.read_delimited(spark, args.discounts, "CUENTA string, PORCENTAJE string", sep=";")
+        raw = delimited.read_by_header(spark, args.bases)
+        disc = delimited.read_by_header(spark, args.discounts, ["CUENTA", "PORCENTAJE"])
         out = assignment_base(raw, disc)
         delimited.write_delimited(out.withColumn("mes", F.concat_ws("-", "PERIODO DE ASIGNACION",
                                                                     F.lpad("MES DE ASIGNACION", 2, "0"))),
                                   args.out, partition_by=["mes"])
     elif args.cmd == "contacts":
         from .plans.contact_plan import contact_table
-        raw = delimited.read_delimited(spark, args.input, "identificacion string, cuenta string, dato string",
-                                       sep=";", suffix=None)
+        raw = delimited.read_by_header(spark, args.input, ["identificacion", "cuenta", "dato"])
         delimited.write_delimited(contact_table(raw, args.month, args.year), args.out)
     elif args.cmd == "touches":
         from .plans.touch_plan import read_channels, touch_table
         delimited.write_delimited(touch_table(read_channels(spark, args.input), args.month, args.year), args.out)
     elif args.cmd == "folder-merge":
         from .plans.folder_merge import merge_export_folder
-        scan = merge_export_folder(spark, args.input, args.month, args.year)
+        scan = merge_export_folder(spark, args.input, args.month, args.year, skip_unreadable=args.skip_unreadable)
+        for p in scan.unreadable:
+            print(f"skipped (can't be read): {p}", file=sys.stderr)
         for p in scan.skipped:
             print(f"skipped (no ',' or ';' in the header): {p}", file=sys.stderr)
         if scan.df is not None:

@@ -95,11 +95,15 @@ def document_type(doc: Column | str) -> Column:
         .otherwise(F.lit(fixed.DOCUMENT_TYPE_OTHER))
 
 
+#: Percentages keep eight decimals, and the source text stays beside them.
+PERCENTAGE = "decimal(12,8)"
+
+
 def discounted_value(debt: Column | str, pct: Column | str) -> Column:
     """Debt after a percentage discount, exact decimal arithmetic; 0 when
-    there is no discount. ``debt`` decimal(18,2), ``pct`` decimal(5,2)."""
+    there is no discount. ``debt`` decimal(18,2), ``pct`` PERCENTAGE."""
     debt, pct = _c(debt), _c(pct)
-    factor = (F.lit(1).cast("decimal(7,4)") - (pct / F.lit(100)).cast("decimal(7,4)"))
+    factor = (F.lit(1).cast("decimal(14,10)") - (pct / F.lit(100)).cast("decimal(14,10)"))
     return F.when(pct == 0, F.lit(0).cast("decimal(24,6)")) \
         .otherwise((debt * factor).cast("decimal(24,6)"))
 

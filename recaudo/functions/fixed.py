@@ -61,7 +61,6 @@ PREPOTENCIAL_ESPECIAL_CAMPAIGNS = (
     "PrePotencial Convergente Masivo_2",
     "PrePotencial Convergente Pyme_2",
 )
-CRM_SYSTEMS = ("ASCARD", "RR", "BSCS", "SGA")
 
 # Customer segment: these customer-type codes are persons, the rest business.
 PERSON_CUSTOMER_TYPES = ("81", "84", "87")
@@ -181,4 +180,65 @@ PREFIX_SCIENCE = "DS_VAR_"
 PREFIX_ADDED = "AD_"
 PREFIX_SLOTS = "FLT_"
 
+# ---- report column names (fixed values)
+
+# assignment base: leading and trailing columns of the report
+ASSIGNMENT_LAYOUT = ["DOCUMENTO", "TIPO DE DOCUMENTO", "CUENTA", "CUENTA_NEXT", "MARCA", "CRM", "SEGMENTO",
+          "CUSTOMER TYPE", "RANGO DEUDA", "VALOR DEUDA", "FECHA INGRESO", "FECHA RETIRO",
+          "FECHA VENCIMIENTO", "GRUPO RANGO DE DIAS", "RANGO DE DIAS", "DIAS ASIGNADA",
+          "DIAS RETIRADA", "REFERENCIA", "FILTRO REFERENCIA", "NOMBRE", "ESTADO CUENTA",
+          "MES DE ASIGNACION", "PERIODO DE ASIGNACION"]
+ASSIGNMENT_TAIL = ["PORCENTAJE", "VALOR DESCUENTO", "RANGO CON DESCUENTO", "MULTICUENTA", "MULTIPRODUCTO",
+        "MULTIMORA"]
+
+# monthly consolidation: base columns that are dropped first
+BASE_DROP = ["COLUMNA 2", " COLUMNA 3", "COLUMNA 4", "SEGMENTO55", "SEGMENTO", "MULTIPRODUCTO"]
+# the base's columns that the monthly report keeps (after renames and header cleaning)
+BASE_COLUMNS = [
+    "Nmero de Cliente", "[AccountAccountCode?]", "CRM_ORIGEN", "Edad de Deuda", "[PotencialMark?]",
+    "[PrePotencialMark?]", "[WriteOffMark?]", "Monto inicial", "[ModInitCta?]", "[DeudaRealCuenta?]",
+    "[BillCycleName?]", "Nombre Campaa", "[DebtAgeInicial?]", "Nombre Casa de Cobro", "Fecha de asignacin",
+    "Deuda Gestionable", "Direccin Completa", "[Documento?]", "[AccStsName?]", "Ciudad", "[InboxName?]",
+    "Nombre del Cliente", "Id de Ejecucion", "Fecha de Vencimiento", "Numero Referencia de Pago", "MIN", "Plan",
+    "Cuotas Aceleradas", "Fecha de Aceleracion", "Valor Acelerado", "Intereses Contingentes",
+    "Intereses Corrientes Facturados", "Intereses por mora facturados", "Cuotas Facturadas",
+    "Iva Intereses Contigentes Facturado", "Iva Intereses Corrientes Facturados",
+    "Iva Intereses por Mora Facturado", "Precio Subscripcion", "Cdigo de proceso", "[CustomerTypeId?]",
+    "[RefinanciedMark?]", "[Discount?]", "[Permanencia?]", "[DeudaSinPermanencia?]", "Telefono 1", "Telefono 2",
+    "Telefono 3", "Telefono 4", "Email", "[ActivesLines?]", "MARCA_ASIGNACION", "CUENTA_NEXT", "SALDO",
+    "SEGMENTO_ASIGNACION", "RANGO", "FECHA INGRESO", "FECHA SALIDA", "VALOR PAGO", "VALOR PAGO REAL",
+    "FECHA ULT PAGO", "DESCUENTO", "EXCLUSION DCTO", "LIQUIDACION", "TIPO DE PAGO", "PAGO"]
+# output catalogue of the derived columns (names the monthly reports use)
+SCIENCE = ["NOMBRE_CAMPANA", "CRM", "MULTIPRODUCTO", "MULTIMORA", "MULTICUENTA", "RANGO_DEUDA",
+           "RANGO CON DESCUENTO", "TIPO_DE_DOCUMENTO", "DEPARTAMENTO", "RANGO_DE_DIAS_ASIGNADA",
+           "RANGO_DE_DIAS_EN_BASE", "RANGO_DE_DIAS_RETIRADA", "RANGO_DE_DIAS_MORA",
+           "FILTRO_REPORTE_GESTION", "FILTRO_REFERENCIA", "FILTRO_DEMOGRAFICOS", "CANTIDAD_DEMOGRAFICOS",
+           "CANTIDAD_MOVILES", "CANTIDAD_FIJOS", "CANTIDAD_EMAILS", "CANTIDAD_CONTACTO_DIRECTO",
+           "CANTIDAD_CONTACTO_INDIRECTO", "CANTIDAD_NOCONTACTO", "CUSTOMER_TYPE", "DIAS_ASIGNADA",
+           "DIAS_EN_BASE", "DIAS_RETIRADA", "DIAS_MORA"]
+ADDED = ["ESTADO CUENTA", "FILTRO DESCUENTO", "FILTRO_PAGOS_SIN_APLICAR", "FILTRO_PAGOS_NO_GESTION",
+         "EXCLUSION CUENTA", "EXCLUSION DOCUMENTO", "ESTADO RANKING", "SERVICIOS RANKING",
+         "RECUENTO PAGOS SIN APLICAR", "RECUENTO NO GESTION", "FILTRO COLAS"] + \
+    [f"Toques por {ch}" for ch in TOUCH_CHANNELS]
+FINAL = ["FECHA INGRESO DATA", "FECHA RETIRO DATA", "CUENTA", "DOCUMENTO", "NOMBRE"]
+# renames applied after the joins (names the monthly reports use)
+RENAMES = {"CRM Origen": "CRM_ORIGEN", "TIPO DE DOCUMENTO": "TIPO_DE_DOCUMENTO",
+           "Marca": "MARCA_ASIGNACION", "MARCA DATA": "NOMBRE_CAMPANA",
+           "SEGMENTO": "SEGMENTO_ASIGNACION", "RANGO DEUDA": "RANGO_DEUDA",
+           "GRUPO RANGO DE DIAS": "RANGO_DE_DIAS_ASIGNADA", "FILTRO REFERENCIA": "FILTRO_REFERENCIA",
+           "Filtro Demografico": "FILTRO_DEMOGRAFICOS", "CUSTOMER TYPE": "CUSTOMER_TYPE",
+           "DIAS ASIGNADA": "DIAS_EN_BASE", "RANGO DE DIAS": "DIAS_ASIGNADA",
+           "DIAS RETIRADA": "DIAS_RETIRADA", "NumMovil": "CANTIDAD_MOVILES",
+           "NumFijo": "CANTIDAD_FIJOS", "NumEmail": "CANTIDAD_EMAILS"}
+
+# strict name cleaning: letters repaired, then texts (regular expressions) deleted one after the other
+STRICT_N = ["\\ÃƒÂ‘", "\\Ã‚Â¦", "\\Ã‘", "Ñ", "ÃƒÂ‘", "Ã‚Â¦", "Ã‘"]
+STRICT_LETTERS = [("Ã‡", "A"), ("ÃƒÂ", "I")]
+STRICT_DELETED = [
+    "SR/SRA", "SR./SRA.", "SR/SRA.", "SR.", "SRA.", "SR(A).", "SR ", "SRA ", "SR(A)", "\\.", "#", "$", "/", "<", ">",
+    "\\*", "SEÑORES ", "SEÑOR(A) ", "SEÑOR ", "SEÑORA ", "SENORES ", "SENOR(A) ", "SENOR ", "SENORA ", "¡", "!", "\\?",
+    "¿", "_", "-", "}", "\\{", "\\+", "0 ", "1 ", "2 ", "3 ", "4 ", "5 ", "6 ", "7 ", "8 ", "9 ", "0", "1", "2", "3", "4",
+    "5", "6", "7", "8", "9", "  "]
+STRICT_DELETED_LAST = ["SEORES ", "SEORA ", "SEOR ", "SEORA "]
+
 # --- FIXED VALUES (end) ---------------------------------------------------

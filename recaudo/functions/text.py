@@ -8,6 +8,8 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import fixed
+
 # FIXED VALUES: wrong spellings of the letter N-tilde and two other letters
 # that appear when Latin-1 files are read as UTF-8 (and read twice).
 MISENCODED_N = ["ÃƒÂ‘", "Ã‚Â¦", "Ã‘", "Ñ"]
@@ -23,7 +25,25 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def clean_person_name(c: Column | str) -> Column:
+def strict_person_name(c: Column | str) -> Column:
+    """The reports' own pass order, letter for letter: each fixed text is
+    deleted where it stands, so words may glue together and accented vowels
+    vanish. For comparing with old reports; :func:`clean_person_name` is the
+    cleaned rule."""
+    x = F.upper(_c(c))
+    for wrong in fixed.STRICT_N:
+        x = F.regexp_replace(x, wrong, "N")
+    for wrong, right in fixed.STRICT_LETTERS:
+        x = F.regexp_replace(x, wrong, right)
+    for text in fixed.STRICT_DELETED:
+        x = F.regexp_replace(x, text, "")
+    x = F.regexp_replace(x, "[^A-Z& ]", "")
+    for text in fixed.STRICT_DELETED_LAST:
+        x = F.regexp_replace(x, text, "")
+    return F.regexp_replace(x, r"^(A\s+| )+", "")
+
+
+def clean_person_name(c: Column | str, strict: bool = False) -> Column:
     """Upper-case person name with only ``A-Z``, ``&`` and single blanks.
 
     Steps: ``ß`` -> ``SS`` (so that every engine agrees on upper case),
@@ -36,6 +56,8 @@ def clean_person_name(c: Column | str) -> Column:
     side effects (words glued at double blanks, letters eaten by unescaped
     dots, accented vowels deleted instead of folded).
     """
+    if strict:
+        return strict_person_name(c)
     x = F.replace(_c(c), F.lit("ß"), F.lit("SS"))
     # repair before upper(): the mis-encodings contain lower-case letters
     fixed_enc = x

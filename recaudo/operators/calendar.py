@@ -43,6 +43,7 @@ def day_mask_agg(df: DataFrame, keys: Sequence[str], date_col: str,
     ``last_day`` and, when ``attrs`` are given, a struct ``first_row`` with
     those columns from the row with the earliest date (ties: smallest
     values, so the choice is deterministic)."""
+    df = df.where(F.col(date_col).isNotNull())
     d = F.to_date(F.col(date_col))
     day = F.dayofmonth(d)
     aggs = [
@@ -56,11 +57,17 @@ def day_mask_agg(df: DataFrame, keys: Sequence[str], date_col: str,
     return df.groupBy(*[F.col(k) for k in keys], F.trunc(d, "month").alias("month")).agg(*aggs)
 
 
+def undated_rows(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
+    """Rows without a date have no day in any month: the calendar leaves them
+    out, and this reports how many each key has (``undated``)."""
+    return df.where(F.col(date_col).isNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("undated"))
+
+
 def month_last_days(df: DataFrame, date_col: str) -> DataFrame:
     """Last day of each month that is present in the data (D15: per month,
     not one global maximum)."""
     d = F.to_date(F.col(date_col))
-    return df.groupBy(F.trunc(d, "month").alias("month")) \
+    return df.where(F.col(date_col).isNotNull()).groupBy(F.trunc(d, "month").alias("month")) \
         .agg(F.max(F.dayofmonth(d)).alias("month_last_day"))
 
 
@@ -101,8 +108,11 @@ def day_status_array(mask: str, first: str, last: str, month_last: str) -> Colum
 def assignment_calendar(df: DataFrame, keys: Sequence[str], date_col: str,
                         attrs: Sequence[str] = (), labels: str | None = "array",
                         day_prefix: str = "dia_", extra_aggs: Mapping[str, Column] | None = None,
-                        wide: bool = False) -> DataFrame:
-    """Calendar per (keys, month).
+                        wide: bool = False, dates: DataFrame | None = None) -> DataFrame:
+    """Calendar per (keys, month); rows without a date are left out (see
+    :func:`undated_rows`). ``dates``: the date column alone, where it is
+    cheaper to read than from ``df`` (the last day of each month needs no
+    more than that).
 
     ``labels``: ``"array"`` adds ``day_status`` (array of 31 labels),
     ``"wide"`` adds ``dia_1`` .. ``dia_31``, ``None`` adds no labels (the
@@ -113,7 +123,7 @@ def assignment_calendar(df: DataFrame, keys: Sequence[str], date_col: str,
     if wide:
         labels = "wide"
     agg = day_mask_agg(df, keys, date_col, attrs, extra_aggs)
-    months = broadcast_bounded(month_last_days(df, date_col), MAX_MONTHS,
+    months = broadcast_bounded(month_last_days(df if dates is None else dates, date_col), MAX_MONTHS,
                                reason="one row per calendar month")
     j = agg.join(months, "month", "left") \
         .withColumn("day_mask", F.coalesce(F.col("day_mask"), F.lit(0).cast("bigint")))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .joins import broadcast_bounded
+from .joins import broadcast_if_small
 
 TEMPLATE_SCHEMA = "template_id string, texto string"
 PLACEHOLDERS = ("cuenta", "nombre", "saldo_total", "valor_pago", "entidad")
@@ -30,11 +30,10 @@ def template_table(spark: SparkSession, templates: Mapping[str, str]) -> DataFra
 
 def render_messages(df: DataFrame, templates: DataFrame, template_col: str,
                     fields: Mapping[str, Column | str], max_templates: int = 10_000) -> DataFrame:
-    """Join each row with its template (broadcast: a template table is small
-    configuration; ``max_templates`` states the bound) and replace every
-    ``{name}`` by the row's value (NULL -> '')."""
-    t = broadcast_bounded(templates.withColumnRenamed("template_id", "_tid"), max_templates,
-                          reason="template table")
+    """Join each row with its template (broadcast when a bounded count finds
+    at most ``max_templates`` of them, a shuffle join otherwise) and replace
+    every ``{name}`` by the row's value (NULL -> '')."""
+    t = broadcast_if_small(templates.withColumnRenamed("template_id", "_tid"), max_templates)
     j = df.join(t, df[template_col] == t["_tid"], "left").drop("_tid")
     msg = F.col("texto")
     for name, c in fields.items():

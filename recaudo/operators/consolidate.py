@@ -39,18 +39,18 @@ def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in mapping.items() if k in df.columns})
 
 
-def prefix_families(df: DataFrame, families: Mapping[str, Sequence[str]],
+def prefix_families(df: DataFrame, families: Mapping[str | None, Sequence[str]],
                     keep: Sequence[str] = ()) -> DataFrame:
     """One projection: every listed column that exists becomes
-    ``prefix + lower_snake(name)``; ``keep`` columns pass unchanged; other
-    columns are dropped (catalogue order: families in the given order)."""
+    ``prefix + lower_snake(name)``, those of the family ``None`` keep their
+    names; ``keep`` columns come first, unchanged; other columns are dropped (catalogue order: families in the given order)."""
     have = set(df.columns)
     sel: list[Column] = [F.col(f"`{k}`") for k in keep if k in have]
     seen = set(keep)
     for prefix, cols in families.items():
         for c in cols:
             if c in have and c not in seen:
-                sel.append(F.col(f"`{c}`").alias(prefix + snake(c)))
+                sel.append(F.col(f"`{c}`").alias(c if prefix is None else prefix + snake(c)))
                 seen.add(c)
     return df.select(*sel)
 

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .joins import spread_small_input
 from .topn import ranked_values
 
 MOBILE, LANDLINE, EMAIL = "mobile", "landline", "email"
@@ -113,16 +112,29 @@ def profile_label(num_movil: Column | str, num_fijo: Column | str, num_email: Co
     return expr.otherwise(F.lit(fixed.PROFILE_NONE))
 
 
-def contact_profile(phones: DataFrame, emails: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Full outer join of the per-key phone and e-mail aggregates (both hash
-    partitioned by the keys, so the join adds no exchange), the profile
-    label, and counts as text with '' for zero / missing."""
-    j = phones.join(emails, list(keys), "full_outer")
-    j = j.withColumn("filtro_demografico", profile_label("num_movil", "num_fijo", "num_email"))
-    for c in ("num_movil", "num_fijo", "num_email"):
-        j = j.withColumn(c, F.when(F.coalesce(F.col(c), F.lit(0)) == 0, F.lit(""))
-                         .otherwise(F.col(c).cast("string")))
-    return j
+def contact_profile(slots: DataFrame) -> DataFrame:
+    """The profile label of :func:`contact_slots` rows, and counts as text
+    with '' for zero / missing."""
+    out = slots.withColumn("filtro_demografico", profile_label("num_movil", "num_fijo", "num_email"))
+    return out.withColumns({c: F.when(F.coalesce(F.col(c), F.lit(0)) == 0, F.lit("")).otherwise(F.col(c).cast("string"))
+                            for c in ("num_movil", "num_fijo", "num_email")})
+
+
+def merged_slots(df: DataFrame, keys: Sequence[str], phones: Sequence[str], emails: Sequence[str],
+                 mobile_count=fixed.MOBILE_COUNT_RANGE, landline_count=fixed.LANDLINE_COUNT_RANGE) -> DataFrame:
+    """Slot rows of several documents merged into one row per key: the
+    distinct values of all of them, ranked into the same slots anew."""
+    have = set(df.columns)
+
+    def values(cols, kind):
+        cols = [c for c in cols if c in have]
+        if not cols:
+            return F.array().cast("array<struct<dato:string,kind:string>>")
+        return F.transform(F.filter(F.array(*[F.col(c) for c in cols]), lambda v: v.isNotNull()),
+                           lambda v: F.struct(v.alias("dato"), F.lit(kind).alias("kind")))
+    one = df.select(*keys, F.explode(F.concat(values(phones, "phone"), values(emails, EMAIL))).alias("v")) \
+        .select(*keys, "v.dato", "v.kind")
+    return contact_slots(one, keys, "dato", len(phones), len(emails), mobile_count=mobile_count, landline_count=landline_count)
 
 
 # extraction patterns for free text (the driver's documents carry contacts
@@ -136,7 +148,6 @@ def extract_contacts(df: DataFrame, text_col: str, keep: Sequence[str]) -> DataF
     row per occurrence: ``keep`` columns + ``dato``. Each regex runs only on
     texts that contain its mandatory character ('@', ') '): a substring test
     is far cheaper than a regex scan, and the result is the same."""
-    df = spread_small_input(df)
     t = F.col(text_col)
     none = F.array().cast("array<string>")
     mails = F.when(t.contains("@"), F.regexp_extract_all(t, F.lit(EMAIL_PATTERN), 0)).otherwise(none)

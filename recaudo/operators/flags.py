@@ -4,9 +4,8 @@ Multi-flags per document: several rows (accounts), several billing systems,
 several brands. "More than one distinct value" is ``max(c) > min(c)`` - an
 O(1) partial aggregate, so no distinct sets are ever built, and a document
 holding a third of all rows is pre-aggregated map-side. The per-document row
-is joined back to the detail (hot documents: AQE skew-join splitting, or the
-explicit sub-key split ``joins.skew_split_left_join`` with ``hot_rows``);
-NULL / empty documents are spread over all partitions with a key that never
+is joined back to the detail by a plain left join, whose hot documents AQE
+splits from runtime sizes; NULL / empty documents are spread over all partitions with a key that never
 matches (they get "No aplica").
 """
 
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.keys import blank_to_null
-from .joins import skew_split_left_join, spread_null_key
+from .joins import spread_null_key
 
 
 def _flag(cond: Column) -> Column:
@@ -27,8 +26,7 @@ def _flag(cond: Column) -> Column:
 
 
 def multi_flags(df: DataFrame, doc: str, spread: str,
-                distinct_flags: dict[str, str], rows_flag: str = "multicuenta",
-                hot_rows: int | None = None) -> DataFrame:
+                distinct_flags: dict[str, str], rows_flag: str = "multicuenta") -> DataFrame:
     """Adds ``rows_flag`` (more than one row for the document) and, for each
     ``{flag_name: column}``, a flag that the column takes more than one
     distinct non-NULL value within the document. ``spread`` is a near-unique
@@ -43,14 +41,7 @@ def multi_flags(df: DataFrame, doc: str, spread: str,
         .withColumn("_doc", F.col("_doc").cast("string")).withColumnRenamed("_doc", "_jk")
     )
     detail = df.withColumn("_jk", spread_null_key(key, F.col(spread)))
-    # default: plain left join; AQE's skew join splits a hot document's
-    # partition from runtime shuffle statistics (no extra pass). With
-    # ``hot_rows`` the split is explicit (sessions without AQE): it costs one
-    # extra evaluation of the per-document table.
-    if hot_rows is None:
-        j = detail.join(per_doc, "_jk", "left")
-    else:
-        j = skew_split_left_join(detail, per_doc, "_jk", F.col(spread), "_n", hot_rows=hot_rows)
+    j = detail.join(per_doc, "_jk", "left")
     out = j.withColumn(rows_flag, _flag(F.col("_n") > 1))
     for n in distinct_flags:
         out = out.withColumn(n, _flag(F.col(f"_m_{n}")))

@@ -15,7 +15,8 @@ Plan (no nested CASE of ~1,100 branches, no nested-loop join):
    checked by a bounded count);
 4. highest ``ord`` per (city, group) via ``max(struct(ord, department))``;
 5. the resolved city table joins back to the rows on the city (AQE splits a
-   hot city; the table has one row per distinct city).
+   hot city; the table has one row per distinct city that matched; rows
+   without a city are spread, as they match nothing).
 """
 
 from __future__ import annotations
@@ -113,7 +114,11 @@ def resolve_departments(df: DataFrame, city_col: str, patterns: PatternDictionar
     table of matched cities joins back to the rows.
     """
     rows = df.withColumn(out_city, normalise_city(city_col))
-    hits = city_hits(rows.select(out_city).distinct(), out_city, patterns)
-    j = rows.join(hits, rows[out_city] == hits["_city"], "left")
+    empty = F.col(out_city) == fixed.CITY_EMPTY
+    hits = city_hits(rows.where(~empty).select(out_city).distinct(), out_city, patterns)
+    # rows without a city match nothing: each gets a key of its own, so they don't meet in one task
+    key = F.when(empty, F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).cast("string"))).otherwise(F.col(out_city))
+    rows = rows.withColumn("_city_key", key)
+    j = rows.join(hits, rows["_city_key"] == hits["_city"], "left")
     return j.withColumn("departamento", department(F.col(out_city), F.col("_d1"), F.col("_d2"))) \
-        .drop("_city", "_d1", "_d2")
+        .drop("_city", "_city_key", "_d1", "_d2")

@@ -1,5 +1,4 @@
-"""Join helpers: bounded / checked broadcast, one-row-per-key right sides,
-left chains from a base, union-aggregate instead of full outer chains, and
+"""Join helpers: bounded / checked broadcast, one-row-per-key right sides and
 null-key spreading.
 
 Rules the library follows:
@@ -28,7 +27,8 @@ def broadcast_bounded(df: DataFrame, max_rows: int, reason: str) -> DataFrame:
     ``max_rows`` and ``reason`` document the bound (e.g. "one row per
     calendar month"); nothing is counted at runtime.
     """
-    assert max_rows <= 10_000_000, f"bound too large to broadcast: {reason}"
+    if max_rows > 10_000_000:
+        raise ValueError(f"bound too large to broadcast: {reason}")
     return F.broadcast(df)
 
 
@@ -46,47 +46,6 @@ def one_row_per_key(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column])
     return df.groupBy(*keys).agg(*aggs)
 
 
-def left_chain(base: DataFrame, sides: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
-    """Left-join each (side, keys) onto ``base`` in order. Sides must hold one
-    row per key (use :func:`one_row_per_key`)."""
-    out = base
-    for side, keys in sides:
-        out = out.join(side, list(keys), "left")
-    return out
-
-
-def union_aggregate(parts: Sequence[tuple[DataFrame, dict[str, Column]]],
-                    keys: Sequence[str]) -> DataFrame:
-    """Full outer join of several one-row-per-key tables, as ONE shuffle:
-    tag-union the parts (each contributes its own value columns, NULL for the
-    others) and aggregate once by key. ``parts`` = [(df, {out_name: col})].
-
-    Rows with a NULL key component would be merged by the group-by while a
-    full outer join keeps them apart; callers filter or split NULL keys first.
-    """
-    names = [n for _, cols in parts for n in cols]
-    pieces = []
-    for df, cols in parts:
-        sel = [F.col(k) for k in keys]
-        for n in names:
-            sel.append(cols[n].alias(n) if n in cols else F.lit(None).alias(n))
-        pieces.append(df.select(*sel))
-    # make the NULL placeholders typed like the real columns
-    typed = []
-    dtypes = {}
-    for p in pieces:
-        for f in p.schema.fields:
-            if f.dataType.typeName() != "void":
-                dtypes.setdefault(f.name, f.dataType)
-    for p in pieces:
-        typed.append(p.select(*[F.col(f.name).cast(dtypes.get(f.name, f.dataType)).alias(f.name)
-                                for f in p.schema.fields]))
-    u = typed[0]
-    for p in typed[1:]:
-        u = u.unionByName(p)
-    return u.groupBy(*keys).agg(*[F.max(n).alias(n) for n in names])
-
-
 def spread_null_key(key: Column, spread: Column) -> Column:
     """Join key that never matches when ``key`` is NULL and spreads such rows
     over all partitions (instead of one hot NULL partition):
@@ -94,53 +53,3 @@ def spread_null_key(key: Column, spread: Column) -> Column:
     column of the row (e.g. the account)."""
     return F.when(key.isNull(), F.concat(F.lit("\u0000"), spread.cast("string"))) \
         .otherwise(key.cast("string"))
-
-
-def spread_small_input(df: DataFrame, slots: int | None = None) -> DataFrame:
-    """Before CPU-heavy row work (regex cleaning, text extraction, date
-    parsing): when the input has fewer partitions than task slots - a few
-    large files or single-row-group files give one task per file - deal its
-    rows round-robin over the slots. Inputs that already have at least as
-    many partitions (any cluster-scale scan) are returned unchanged, so no
-    shuffle is added there. Spark sorts before a round-robin repartition, so
-    a retried task sees the same rows."""
-    target = slots or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
-def skew_split_left_join(detail: DataFrame, per_key: DataFrame, key: str, spread: Column,
-                         rows_col: str, hot_rows: int = 5_000_000, salts: int = 64,
-                         max_hot_keys: int = 100_000) -> DataFrame:
-    """Left join of detail rows to a one-row-per-key table whose ``rows_col``
-    says how many detail rows each key has, robust to keys holding a large
-    share of all rows (with or without AQE).
-
-    Keys with more than ``hot_rows`` rows are hot. There are at most
-    total_rows / hot_rows of them, and the list is broadcast only after a
-    bounded count (``max_hot_keys``); beyond that the plain join is used and
-    AQE's skew handling applies. A hot key is split into ``salts`` sub-keys:
-    its detail rows go to sub-key hash(spread) mod salts, and its per-key
-    row is repeated once per sub-key. Every other key keeps sub-key 0. The
-    result is exactly the plain left join; no partition holds more than
-    about hot_rows / salts rows of one key.
-
-    Cost: the per-key table is materialised once (checkpoint), which
-    evaluates its upstream one extra time; with AQE enabled, its skew join
-    gives the same protection without that pass, so this is opt-in.
-    """
-    # the per-key table is materialised once (reliable checkpoint in the
-    # shared checkpoint folder): the hot-key count and the join both read it,
-    # so the detail is not aggregated twice
-    from ..session import cut_lineage
-    per_key = cut_lineage(per_key)
-    hot = per_key.where(F.col(rows_col) > hot_rows).select(key).withColumn("_hot", F.lit(True))
-    n_hot = hot.limit(max_hot_keys + 1).count()
-    if n_hot == 0 or n_hot > max_hot_keys:
-        return detail.join(per_key, key, "left")
-    hot = F.broadcast(hot)
-    d = detail.join(hot, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(F.lit(0).cast("bigint")))
-    p = per_key.join(hot, key, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
-                           .otherwise(F.array(F.lit(0).cast("bigint")))))
-    return d.drop("_hot").join(p.drop("_hot"), [key, "_salt"], "left").drop("_salt")

@@ -25,18 +25,19 @@ def _cols(xs: Sequence[str | Column]) -> list[Column]:
 def first_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       cols: Sequence[str]) -> DataFrame:
     """For each key the row with the smallest ``order`` tuple (then smallest
-    ``cols``); returns keys + order + cols."""
+    ``cols``), a NULL after every value; returns keys + order + cols."""
     rest = [c for c in cols if c not in order and c not in keys]
-    s = F.struct(*[F.col(c) for c in [*order, *rest]])
-    agg = df.groupBy(*keys).agg(F.min(s).alias("_first"))
-    return agg.select(*keys, *[F.col("_first")[c].alias(c) for c in [*order, *rest]])
+    out = [*order, *rest]
+    s = F.struct(*[x for i, c in enumerate(out) for x in (F.col(f"`{c}`").isNull().alias(f"_n{i}"), F.col(f"`{c}`").alias(f"_v{i}"))])
+    agg = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(F.min(s).alias("_first"))
+    return agg.select(*[F.col(f"`{k}`") for k in keys], *[F.col("_first")[f"_v{i}"].alias(c) for i, c in enumerate(out)])
 
 
 def keyed_distinct(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the survivor chosen by ``order`` (deterministic
     replacement of ``dropDuplicates(keys)``)."""
     cols = [c for c in df.columns]
-    return first_row_per_key(df, keys, order, cols).select(*cols)
+    return first_row_per_key(df, keys, order, cols).select(*[F.col(f"`{c}`") for c in cols])
 
 
 def ranked_values(df: DataFrame, keys: Sequence[str], value: str, n: int,

@@ -24,20 +24,11 @@ from pyspark.sql import functions as F
 from ..functions import bands, classify, dates, fixed, keys, text
 from ..operators import calendar, flags
 from ..operators.discount import apply_discounts
-from ..operators.joins import spread_small_input
 
 HEADER_MARK = "CRM Origen"
 
-# output layout (reference column names)
-LAYOUT = ["DOCUMENTO", "TIPO DE DOCUMENTO", "CUENTA", "CUENTA_NEXT", "MARCA", "CRM", "SEGMENTO",
-          "CUSTOMER TYPE", "RANGO DEUDA", "VALOR DEUDA", "FECHA INGRESO", "FECHA RETIRO",
-          "FECHA VENCIMIENTO", "GRUPO RANGO DE DIAS", "RANGO DE DIAS", "DIAS ASIGNADA",
-          "DIAS RETIRADA", "REFERENCIA", "FILTRO REFERENCIA", "NOMBRE", "ESTADO CUENTA",
-          "MES DE ASIGNACION", "PERIODO DE ASIGNACION"]
+LAYOUT, TAIL = fixed.ASSIGNMENT_LAYOUT, fixed.ASSIGNMENT_TAIL
 DAY_COLUMNS = [f"Dia_{d}" for d in range(1, fixed.DAY_SLOTS + 1)]
-TAIL = ["PORCENTAJE", "VALOR DESCUENTO", "RANGO CON DESCUENTO", "MULTICUENTA", "MULTIPRODUCTO",
-        "MULTIMORA"]
-
 _ROW_ATTRS = ["DOCUMENTO", "TIPO DE DOCUMENTO", "CUENTA_NEXT", "MARCA", "CRM", "SEGMENTO",
               "CUSTOMER TYPE", "RANGO DEUDA", "VALOR DEUDA", "FECHA VENCIMIENTO", "REFERENCIA",
               "FILTRO REFERENCIA", "NOMBRE"]
@@ -67,23 +58,24 @@ def row_columns() -> dict[str, Column]:
     }
 
 
-def classify_rows(raw: DataFrame) -> DataFrame:
-    """Row-level columns for every raw row (header lines dropped)."""
-    cols = row_columns()
+def assignment_days(raw: DataFrame) -> DataFrame:
+    """One row per account and assigned day; a day that is no date is NULL
+    (``calendar.undated_rows(assignment_days(raw), ["CUENTA"], "_fecha")``
+    reports such rows, which the calendar leaves out)."""
     return raw.where(F.col("3_") != HEADER_MARK).select(
-        F.concat(F.col("2_"), F.lit("-")).alias("CUENTA"),
-        *[e.alias(n) for n, e in cols.items()], dates.parse_dmy("57_").alias("_fecha"))
+        F.concat(F.col("2_"), F.lit("-")).alias("CUENTA"), dates.parse_dmy("57_").alias("_fecha"), *RAW_USED)
 
 
-def assignment_base(raw: DataFrame, discounts: DataFrame) -> DataFrame:
+def assignment_base(raw: DataFrame, discounts: DataFrame, dates_of: DataFrame | None = None) -> DataFrame:
     """Only the earliest row of an account's month reaches the report, so the
     raw row is picked first (inside the calendar aggregate) and the
     row-level rules run once per account and month instead of once per
-    assigned day."""
-    days = spread_small_input(raw).where(F.col("3_") != HEADER_MARK).select(
-        F.concat(F.col("2_"), F.lit("-")).alias("CUENTA"), dates.parse_dmy("57_").alias("_fecha"),
-        *RAW_USED)
-    cal = calendar.assignment_calendar(days, ["CUENTA"], "_fecha", attrs=RAW_USED, labels="array")
+    assigned day. ``dates_of``: columns ``3_`` and ``57_`` of ``raw``, where
+    they can be read without the joins that build the other columns."""
+    days = assignment_days(raw)
+    cal = calendar.assignment_calendar(days, ["CUENTA"], "_fecha", attrs=RAW_USED, labels="array",
+                                       dates=(raw if dates_of is None else dates_of).where(F.col("3_") != HEADER_MARK)
+                                       .select(dates.parse_dmy("57_").alias("_fecha")))
     cal = cal.select("*", *[e.alias(n) for n, e in row_columns().items()])
     out = cal.select(
         "CUENTA", "month", *_ROW_ATTRS,
@@ -98,12 +90,12 @@ def assignment_base(raw: DataFrame, discounts: DataFrame) -> DataFrame:
         F.date_format("month", "yyyy").alias("PERIODO DE ASIGNACION"),
         *[F.col("day_status")[d - 1].alias(f"Dia_{d}") for d in range(1, fixed.DAY_SLOTS + 1)],
     )
-    disc = discounts.select(F.concat(F.col("CUENTA"), F.lit("-")).alias("_dk"),
+    disc = discounts.select(keys.account_key("CUENTA").alias("_dk"),
                             F.col("PORCENTAJE").alias("_pt"))
     out = apply_discounts(out, disc, "CUENTA_NEXT", "_dk", "VALOR DEUDA", "_pt")
-    out = out.withColumnsRenamed({"porcentaje": "PORCENTAJE", "valor_descuento": "VALOR DESCUENTO",
-                                  "rango_con_descuento": "RANGO CON DESCUENTO"}) \
-        .drop("filtro_descuento", "valor_descuento_texto")
+    out = out.drop("porcentaje", "filtro_descuento", "valor_descuento_texto")
+    out = out.withColumnsRenamed({"porcentaje_texto": "PORCENTAJE", "valor_descuento": "VALOR DESCUENTO",
+                                  "rango_con_descuento": "RANGO CON DESCUENTO"})
     # flags per document within the month (one file set = one month)
     out = out.withColumn("_doc_month", F.when(F.col("DOCUMENTO").isNotNull(),
                                               F.concat_ws("|", F.col("month").cast("string"), F.col("DOCUMENTO"))))

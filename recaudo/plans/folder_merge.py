@@ -11,8 +11,8 @@ from ..sources.delimited import FolderScan, read_drifting_folder
 
 
 def merge_export_folder(spark: SparkSession, folder: str | list[str], month: int, year: int,
-                        encoding: str = "UTF-8") -> FolderScan:
-    scan = read_drifting_folder(spark, folder, encoding=encoding)
+                        encoding: str = "UTF-8", skip_unreadable: bool = False) -> FolderScan:
+    scan = read_drifting_folder(spark, folder, encoding=encoding, skip_unreadable=skip_unreadable)
     if scan.df is None:
         return scan
     df = scan.df

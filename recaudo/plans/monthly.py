@@ -12,46 +12,27 @@ to one row per key first (no fan-out on duplicate keys).
 from __future__ import annotations
 
 import os
+import re
 from dataclasses import dataclass, field, fields
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import bands, classify, dates, fixed
-from ..operators import consolidate, geo, outcomes
-from ..operators.topn import keyed_distinct
-from ..sources.delimited import read_delimited
+from ..functions import bands, classify, dates, fixed, keys
+from ..functions.text import clean_header
+from ..operators import consolidate, contacts, geo, joins, outcomes
+from ..operators.topn import keyed_distinct, slot_columns
+from ..sources.delimited import data_files, read_by_header
 
 MONTH = "mes"
 KEY = ["CUENTA_NEXT", MONTH]
 MONTH_CONSTANTS = ["MES DE ASIGNACION", "PERIODO DE ASIGNACION"]
-BASE_DROP = ["COLUMNA 2", " COLUMNA 3", "COLUMNA 4", "SEGMENTO55", "SEGMENTO", "MULTIPRODUCTO"]
+BASE_DROP, SCIENCE, ADDED, FINAL, RENAMES = fixed.BASE_DROP, fixed.SCIENCE, fixed.ADDED, fixed.FINAL, fixed.RENAMES
 DAY_COLUMNS = [f"Dia_{d}" for d in range(1, fixed.DAY_SLOTS + 1)]
 SLOT_COLUMNS = DAY_COLUMNS + [f"phone{i}" for i in range(1, fixed.PHONE_SLOTS + 1)] + \
     [f"email{i}" for i in range(1, fixed.EMAIL_SLOTS + 1)]
 
-# output catalogue of the derived columns (names the monthly reports use)
-SCIENCE = ["NOMBRE_CAMPANA", "CRM", "MULTIPRODUCTO", "MULTIMORA", "MULTICUENTA", "RANGO_DEUDA",
-           "RANGO CON DESCUENTO", "TIPO_DE_DOCUMENTO", "DEPARTAMENTO", "RANGO_DE_DIAS_ASIGNADA",
-           "RANGO_DE_DIAS_EN_BASE", "RANGO_DE_DIAS_RETIRADA", "RANGO_DE_DIAS_MORA",
-           "FILTRO_REPORTE_GESTION", "FILTRO_REFERENCIA", "FILTRO_DEMOGRAFICOS", "CANTIDAD_DEMOGRAFICOS",
-           "CANTIDAD_MOVILES", "CANTIDAD_FIJOS", "CANTIDAD_EMAILS", "CANTIDAD_CONTACTO_DIRECTO",
-           "CANTIDAD_CONTACTO_INDIRECTO", "CANTIDAD_NOCONTACTO", "CUSTOMER_TYPE", "DIAS_ASIGNADA",
-           "DIAS_EN_BASE", "DIAS_RETIRADA", "DIAS_MORA"]
-ADDED = ["ESTADO CUENTA", "FILTRO DESCUENTO", "FILTRO_PAGOS_SIN_APLICAR", "FILTRO_PAGOS_NO_GESTION",
-         "EXCLUSION CUENTA", "EXCLUSION DOCUMENTO", "ESTADO RANKING", "SERVICIOS RANKING",
-         "RECUENTO PAGOS SIN APLICAR", "RECUENTO NO GESTION", "FILTRO COLAS"] + \
-    [f"Toques por {ch}" for ch in fixed.TOUCH_CHANNELS]
-FINAL = ["FECHA INGRESO DATA", "FECHA RETIRO DATA", "CUENTA", "DOCUMENTO", "NOMBRE"]
-# renames applied after the joins (names the monthly reports use)
-RENAMES = {"CRM Origen": "CRM_ORIGEN", "TIPO DE DOCUMENTO": "TIPO_DE_DOCUMENTO",
-           "Marca": "MARCA_ASIGNACION", "MARCA DATA": "NOMBRE_CAMPANA",
-           "SEGMENTO": "SEGMENTO_ASIGNACION", "RANGO DEUDA": "RANGO_DEUDA",
-           "GRUPO RANGO DE DIAS": "RANGO_DE_DIAS_ASIGNADA", "FILTRO REFERENCIA": "FILTRO_REFERENCIA",
-           "Filtro Demografico": "FILTRO_DEMOGRAFICOS", "CUSTOMER TYPE": "CUSTOMER_TYPE",
-           "DIAS ASIGNADA": "DIAS_EN_BASE", "RANGO DE DIAS": "DIAS_ASIGNADA",
-           "DIAS RETIRADA": "DIAS_RETIRADA", "NumMovil": "CANTIDAD_MOVILES",
-           "NumFijo": "CANTIDAD_FIJOS", "NumEmail": "CANTIDAD_EMAILS"}
 
 
 @dataclass
@@ -99,26 +80,38 @@ def month_range(start: tuple[int, int], end: tuple[int, int]) -> list[tuple[int,
 def read_months(spark: SparkSession, folder: str, months: list[tuple[int, int]],
                 layout: dict[str, str] = DEFAULT_LAYOUT, sep: str = ";",
                 encoding: str | None = None) -> MonthlySources:
-    """All months of every source as one DataFrame per source: ONE scan over
-    all monthly files of a source; the month comes from the file name
+    """All months of every source as one DataFrame per source, by column
+    name: one scan for all monthly files with the same header, unioned by
+    name; the month comes from the file name
     (``{year}-{month}`` in the layout, read back from
     ``_metadata.file_path``, whose URI encoding leaves digits and '-' alone)."""
     out = {}
     missing: list[str] = []
     for f in fields(MonthlySources)[:11]:
-        if "{year}-{month}" not in layout[f.name]:
-            raise ValueError(f"layout for {f.name} must contain '{{year}}-{{month}}'")
-        paths = [os.path.join(folder, layout[f.name].format(year=y, month=f"{m:02d}")) for y, m in months]
-        present = [p for p in paths if _exists(spark, p)]
-        missing += [p for p in paths if p not in present]
-        if not present:
-            raise FileNotFoundError(f"no monthly file for source {f.name!r} (e.g. {paths[0]})")
-        df = read_delimited(spark, present, None, sep=sep, encoding=encoding, suffix=None)
-        month = F.regexp_extract(F.col("_metadata.file_path"), r"(\d{4}-\d{2})[^/]*$", 1)
-        out[f.name] = df.withColumn(MONTH, month)
+        out[f.name] = read_source(spark, folder, f.name, months, layout, sep, encoding, missing)
     return MonthlySources(**out, missing=missing)
 
 
+def read_source(spark: SparkSession, folder: str, name: str, months: list[tuple[int, int]],
+                layout: dict[str, str] = DEFAULT_LAYOUT, sep: str = ";", encoding: str | None = None,
+                missing: list[str] | None = None) -> DataFrame:
+    """The months of one source (a file, or a folder of files, each);
+    ``missing`` collects the paths that don't exist."""
+    if "{year}-{month}" not in layout[name]:
+        raise ValueError(f"layout for {name} must contain '{{year}}-{{month}}'")
+    paths = [os.path.join(folder, layout[name].format(year=y, month=f"{m:02d}")) for y, m in months]
+    present = [p for p in paths if _exists(spark, p)]
+    if missing is not None:
+        missing += [p for p in paths if p not in present]
+    if not present:
+        raise FileNotFoundError(f"no monthly file for source {name!r} (e.g. {paths[0]})")
+    files = [f for p in present for f in data_files(spark, p)]
+    df = read_by_header(spark, files, sep=sep, encoding=encoding or "UTF-8", file_column="_file")
+    # the year-month stands in the path where the layout has it (paths are URI-encoded)
+    before, after = (re.escape(quote(part)) for part in layout[name].split("{year}-{month}", 1))
+    return df.withColumn(MONTH, F.regexp_extract("_file", rf"{before}(\d{{4}}-\d{{2}}){after}", 1)).drop("_file")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -126,43 +119,49 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def _acc(c: str) -> Column:
-    return F.concat(F.col(f"`{c}`"), F.lit("-"))
+    """Every source's account goes through the one key function, so that all spellings meet."""
+    return keys.account_key(F.col(f"`{c}`"))
 
 
-def _one_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    return keyed_distinct(df, key, order)
+def contact_rows(contacts_: DataFrame, mobile_count, landline_count) -> DataFrame:
+    """One row per account and month: the contacts of all its documents,
+    merged and ranked into the slots anew, with the counts and the label."""
+    wide = contacts_.withColumn("CUENTA_NEXT", _acc("cuenta"))
+    merged = contacts.merged_slots(wide, KEY, slot_columns("phone", fixed.PHONE_SLOTS), slot_columns("email", fixed.EMAIL_SLOTS),
+                                   mobile_count, landline_count)
+    profile = contacts.contact_profile(merged)
+    return profile.withColumnsRenamed({"num_movil": "NumMovil", "num_fijo": "NumFijo", "num_email": "NumEmail",
+                                       "filtro_demografico": "Filtro Demografico"})
 
 
-def prepare_sources(src: MonthlySources) -> tuple[DataFrame, list[tuple[DataFrame, list[str]]]]:
+def prepare_sources(src: MonthlySources, mobile_count=fixed.MOBILE_COUNT_RANGE, landline_count=fixed.LANDLINE_COUNT_RANGE
+                    ) -> tuple[DataFrame, list[tuple[DataFrame, list[str]]], DataFrame]:
+    """The filtered base, the sides that join on (account, month), and the
+    excluded documents, which join on (document, month) when all else is done."""
     base = src.base.drop(*BASE_DROP).withColumn("CUENTA_NEXT", _acc("CUENTA_NEXT"))
     base = base.where(~F.col("`FECHA INGRESO`").contains("Manual") & (F.col("Marca") != fixed.BRAND_CASTIGO))
 
-    demo = src.contacts.drop(*MONTH_CONSTANTS).withColumnRenamed("cuenta", "CUENTA_NEXT")
-    demo = _one_per_key(demo, KEY, ["identificacion"])
+    demo = contact_rows(src.contacts, mobile_count, landline_count)
 
     touch = src.touches.select(
-        F.concat(F.regexp_replace("Cuenta_Real", r"\.", ""), F.lit("-")).alias("CUENTA_NEXT"), MONTH,
+        _acc("Cuenta_Real").alias("CUENTA_NEXT"), MONTH,
         *[F.col(f"`Toques por {ch}`").try_cast("bigint").alias(f"Toques por {ch}")
           for ch in fixed.TOUCH_CHANNELS])
     touch = touch.groupBy(*KEY).agg(*[F.sum(f"`Toques por {ch}`").alias(f"Toques por {ch}")
                                       for ch in fixed.TOUCH_CHANNELS])
 
-    data = src.assignment.drop(*MONTH_CONSTANTS).withColumnsRenamed(
+    data = src.assignment.drop(*MONTH_CONSTANTS).withColumn("CUENTA_NEXT", _acc("CUENTA_NEXT")).withColumnsRenamed(
         {"MARCA": "MARCA DATA", "FECHA INGRESO": "FECHA INGRESO DATA", "FECHA RETIRO": "FECHA RETIRO DATA"})
-    data = _one_per_key(data, KEY, ["CUENTA"])
-
-    q = src.queues.select(_acc("Cuenta").alias("CUENTA_NEXT"), MONTH,
-                          F.col("Fecha").alias("FECHA PAGO DE COLA"), F.col("Valor").alias("VALOR PAGO DE COLAS"),
-                          F.col("Referencia").alias("REFERENCIA DE COLAS"),
-                          dates.parse_dmy("Fecha").alias("_f"))
-    queues = _one_per_key(q.withColumn("_nf", -F.datediff("_f", F.lit("1970-01-01").cast("date"))),
-                          KEY, ["_nf", "REFERENCIA DE COLAS"]).drop("_f", "_nf") \
+    data = keyed_distinct(data, KEY, ["CUENTA"])
+
+    # only the fact of a queued payment reaches the report
+    queues = src.queues.select(_acc("Cuenta").alias("CUENTA_NEXT"), MONTH).dropDuplicates() \
         .withColumn("FILTRO COLAS", F.lit(fixed.LIST_FLAG))
 
-    ranking = _one_per_key(src.ranking.select(_acc("CUENTA").alias("CUENTA_NEXT"), MONTH,
-                                              F.col("SERVICIOS").alias("SERVICIOS RANKING"),
-                                              F.col("ESTADO").alias("ESTADO RANKING")),
-                           KEY, ["ESTADO RANKING", "SERVICIOS RANKING"])
+    ranking = keyed_distinct(src.ranking.select(_acc("CUENTA").alias("CUENTA_NEXT"), MONTH,
+                                                F.col("SERVICIOS").alias("SERVICIOS RANKING"),
+                                                F.col("ESTADO").alias("ESTADO RANKING")),
+                             KEY, ["ESTADO RANKING", "SERVICIOS RANKING"])
     exc_doc = src.excluded_documents.select("DOCUMENTO", MONTH).where(F.col("DOCUMENTO").isNotNull()) \
         .dropDuplicates().withColumn("EXCLUSION DOCUMENTO", F.lit(fixed.LIST_FLAG))
     exc_acc = src.excluded_accounts.select(_acc("CUENTA").alias("CUENTA_NEXT"), MONTH).dropDuplicates() \
@@ -173,27 +172,42 @@ def prepare_sources(src: MonthlySources) -> tuple[DataFrame, list[tuple[DataFram
         .agg(F.sum(F.col("RECUENTO").try_cast("bigint")).alias("RECUENTO NO GESTION"))
 
     rep = consolidate.trim_headers(src.report)
-    rep = rep.select(F.concat(F.regexp_replace("Cuenta", r"\.", ""), F.lit("-")).alias("CUENTA_NEXT"),  # D7
+    rep = rep.select(_acc("Cuenta").alias("CUENTA_NEXT"),  # D7
                      MONTH, outcomes.outcome_group("tipificacion").alias("_g"))
     report = rep.groupBy(*KEY).agg(*[c.alias(n.upper()) for n, c in outcomes.outcome_counts("_g").items()]) \
         .withColumn("FILTRO_REPORTE_GESTION", outcomes.outcome_label(
             "CANTIDAD_CONTACTO_DIRECTO", "CANTIDAD_CONTACTO_INDIRECTO", "CANTIDAD_NOCONTACTO"))
 
-    sides = [(demo, KEY), (touch, KEY), (data, KEY), (queues, KEY), (ranking, KEY), (exc_acc, KEY),
-             (exc_doc, ["DOCUMENTO", MONTH]), (psa, KEY), (ng, KEY), (report, KEY)]
-    return base, sides
+    return base, [(side, KEY) for side in (demo, touch, data, queues, ranking, exc_acc, psa, ng, report)], exc_doc
+
+
+def exclude_documents(df: DataFrame, exc_doc: DataFrame) -> DataFrame:
+    """Marks the documents on the month's list. Rows without a document (no
+    assignment row) are spread over all partitions by their account."""
+    key = joins.spread_null_key(F.col("DOCUMENTO"), F.col("CUENTA_NEXT"))
+    marks = exc_doc.withColumnsRenamed({"DOCUMENTO": "_doc", MONTH: "_mes"})
+    j = df.withColumn("_key", key)
+    return j.join(marks, (j["_key"] == marks["_doc"]) & (j[MONTH] == marks["_mes"]), "left").drop("_key", "_doc", "_mes")
 
 
 def monthly_consolidation(src: MonthlySources, patterns: geo.PatternDictionary,
-                          base_columns: list[str] | None = None) -> DataFrame:
-    base, sides = prepare_sources(src)
-    base_cols = base_columns or [c for c in base.columns if c not in (MONTH,)]
-    df = consolidate.consolidate(base, None, sides)
-    df = df.withColumn("FILTRO DESCUENTO", classify.discount_filter(F.col("PORCENTAJE").try_cast("decimal(5,2)")))
-    df = geo.resolve_departments(df, "Ciudad", patterns, out_city="_ciudad") \
+                          base_columns: list[str] | None = None, mobile_count=fixed.MOBILE_COUNT_RANGE,
+                          landline_count=fixed.LANDLINE_COUNT_RANGE) -> DataFrame:
+    """``base_columns``: names, after the renames and header cleaning, of the
+    base's columns that the report keeps (default: the report's catalogue).
+
+    The department is resolved on the narrow, filtered base; then one chain
+    on (account, month), which needs one shuffle of the growing row; the
+    document exclusion, on another key, comes last."""
+    base, sides, exc_doc = prepare_sources(src, mobile_count, landline_count)
+    wanted = fixed.BASE_COLUMNS if base_columns is None else base_columns
+    kept = {clean_header(RENAMES.get(c, c)) for c in base.columns}
+    df = geo.resolve_departments(base, "Ciudad", patterns, out_city="_ciudad") \
         .withColumnRenamed("departamento", "DEPARTAMENTO").drop("_ciudad")
+    df = consolidate.consolidate(df, None, sides)
+    df = exclude_documents(df, exc_doc)
+    df = df.withColumn("FILTRO DESCUENTO", classify.discount_filter(F.col("PORCENTAJE").try_cast(classify.PERCENTAGE)))
     df = consolidate.rename(df, RENAMES)
-    base_cols = [RENAMES.get(c, c) for c in base_cols]
     counts = [F.coalesce(F.col(c).try_cast("int"), F.lit(0)) if c in df.columns else F.lit(0)
               for c in ("CANTIDAD_MOVILES", "CANTIDAD_FIJOS", "CANTIDAD_EMAILS")]
     mora_entry = F.col("`FECHA INGRESO DATA`") if "FECHA INGRESO DATA" in df.columns else F.lit(None)
@@ -211,15 +225,14 @@ def monthly_consolidation(src: MonthlySources, patterns: geo.PatternDictionary,
         "FILTRO_PAGOS_NO_GESTION": bands.count_flag("RECUENTO NO GESTION"),
     })
     df = consolidate.clean_headers(df)
-    from ..functions.text import clean_header
     families = {
-        fixed.PREFIX_BASE: [clean_header(c) for c in base_cols if c != "CUENTA_NEXT"] + ["CUENTA_NEXT"],
+        fixed.PREFIX_BASE: [c for c in wanted if c in kept],
         fixed.PREFIX_SCIENCE: SCIENCE,
         fixed.PREFIX_ADDED: ADDED,
+        None: FINAL,
         fixed.PREFIX_SLOTS: SLOT_COLUMNS,
     }
-    out = consolidate.prefix_families(df, families, keep=[MONTH] + FINAL)
-    return out
+    return consolidate.prefix_families(df, families, keep=[MONTH])
 
 
 def write_monthly(df: DataFrame, path: str, sep: str = ";", files_per_month: int | None = None) -> bool:

@@ -8,30 +8,26 @@ from pyspark.sql import functions as F
 from ..functions import bands, classify, dates, keys, text
 from ..functions import fixed
 from ..operators import calendar, flags, topn
-from ..operators.joins import spread_small_input
 from ..sources.tables import table
 from .registry import register
 
 
-def _purchases(spark, sf):
-    # one row per (user, purchase): a user "assigned" on every day with a
-    # purchase; the other event types fill nearly every day, so they would
-    # leave no gaps to find
-    return table(spark, sf, "events").where(F.col("event_type") == "purchase") \
-        .select("user_id", "ts")
+def _assigned(spark, sf):
+    # all events: a (user, event type) is "assigned" on every day it has one
+    return table(spark, sf, "events").select("user_id", "event_type", "ts")
 
 
 # ---------------------------------------------------------------- calendar
 
 _CAL_SQL_CTE = """
 WITH ev AS (
-  SELECT user_id, CAST(date_trunc('month', ts) AS DATE) AS month,
+  SELECT user_id, event_type, CAST(date_trunc('month', ts) AS DATE) AS month,
          CAST(dayofmonth(ts) AS INTEGER) AS d
-  FROM events WHERE event_type = 'purchase'),
+  FROM events),
 agg AS (
-  SELECT user_id, month, bit_or(CAST(1 AS BIGINT) << (d - 1)) AS day_mask,
+  SELECT user_id, event_type, month, bit_or(CAST(1 AS BIGINT) << (d - 1)) AS day_mask,
          min(d) AS first_day, max(d) AS last_day
-  FROM ev GROUP BY user_id, month),
+  FROM ev GROUP BY user_id, event_type, month),
 mm AS (SELECT month, max(d) AS month_last_day FROM ev GROUP BY month),
 j AS (
   SELECT a.*, m.month_last_day, CAST(bit_count(a.day_mask) AS INTEGER) AS asg,
@@ -50,7 +46,7 @@ def day_band_sql(x: str) -> str:
 
 
 _CAL_SQL_COLS = f"""
-  user_id, month, day_mask, first_day, last_day, month_last_day,
+  user_id, event_type, month, day_mask, first_day, last_day, month_last_day,
   asg AS dias_asignada, ret AS dias_retirada, asg + ret AS rango_de_dias,
   CAST(first_day AS VARCHAR) || '/' || strftime(month, '%-m/%Y') AS fecha_ingreso,
   CASE WHEN last_day < month_last_day
@@ -62,7 +58,7 @@ _CAL_SQL_COLS = f"""
 
 @register("calendar_status", _CAL_SQL_CTE + "SELECT " + _CAL_SQL_COLS + " FROM j")
 def calendar_status(spark, sf):
-    return calendar.assignment_calendar(_purchases(spark, sf), ["user_id"], "ts", labels=None)
+    return calendar.assignment_calendar(_assigned(spark, sf), ["user_id", "event_type"], "ts", labels=None)
 
 
 def _wide_sql() -> str:
@@ -78,7 +74,7 @@ def _wide_sql() -> str:
 
 @register("calendar_days_wide", _wide_sql())
 def calendar_days_wide(spark, sf):
-    return calendar.assignment_calendar(_purchases(spark, sf), ["user_id"], "ts", labels="wide")
+    return calendar.assignment_calendar(_assigned(spark, sf), ["user_id", "event_type"], "ts", labels="wide")
 
 
 # ------------------------------------------------------ portfolio view
@@ -105,9 +101,9 @@ def _case_sql(col, pairs, default):
         (f" ELSE '{default}' END" if default is not None else " ELSE NULL END")
 
 
-def _portfolio(spark, sf):
+def _portfolio(spark, sf, customer=()):
     o = table(spark, sf, "orders")
-    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
+    c = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", *customer)
     j = o.join(c, o.o_custkey == c.c_custkey, "left")
     pr, st = F.col("o_orderpriority"), F.col("o_orderstatus")
     return j.select(
@@ -121,6 +117,7 @@ def _portfolio(spark, sf):
          .otherwise("Otra").alias("campaign"),
         (F.dayofmonth("o_orderdate") % 8 * 30).cast("string").alias("debt_age"),
         F.when(st == "P", F.lit(None)).otherwise(F.col("o_custkey").cast("string")).alias("ref_raw"),
+        *(["c_custkey", "c_mktsegment", *customer] if customer else []),
     )
 
 
@@ -220,16 +217,16 @@ def debt_band(spark, sf):
 
 @register("discount_value_band", f"""
 WITH d AS (
-  SELECT l_orderkey AS cuenta, max(TRY_CAST(CAST(CAST(l_discount * 100 AS DECIMAL(5,2)) AS VARCHAR) AS DECIMAL(5,2))) AS pct
+  SELECT l_orderkey AS cuenta, max(TRY_CAST(CAST(CAST(l_discount * 100 + l_tax AS DECIMAL(7,4)) AS VARCHAR) AS DECIMAL(12,8))) AS pct
   FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey),
 j AS (
   SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS debt, coalesce(d.pct, 0) AS porcentaje
   FROM orders LEFT JOIN d ON o_orderkey = d.cuenta),
 v AS (
   SELECT *, CASE WHEN porcentaje = 0 THEN CAST(0 AS DECIMAL(24,6))
-    ELSE CAST(debt * (CAST(1 AS DECIMAL(7,4)) - CAST(porcentaje / 100 AS DECIMAL(7,4))) AS DECIMAL(24,6)) END AS valor_descuento
+    ELSE CAST(debt * (CAST(1 AS DECIMAL(14,10)) - CAST(porcentaje * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,10))) AS DECIMAL(24,6)) END AS valor_descuento
   FROM j)
-SELECT o_orderkey, CAST(porcentaje AS DECIMAL(5,2)) AS porcentaje, valor_descuento,
+SELECT o_orderkey, CAST(porcentaje AS DECIMAL(12,8)) AS porcentaje, valor_descuento,
   {_debt_band_sql('valor_descuento', zero=True)} AS rango_con_descuento,
   CASE WHEN coalesce(porcentaje, 0) = 0 THEN 'No Aplica' ELSE 'Aplica' END AS filtro_descuento,
   replace(CAST(valor_descuento AS VARCHAR), '.', ',') AS valor_descuento_texto
@@ -240,7 +237,7 @@ def discount_value_band(spark, sf):
         "o_orderkey", bands.to_amount("o_totalprice").alias("debt"))
     li = table(spark, sf, "lineitem").where(F.col("l_returnflag") == "R").select(
         F.col("l_orderkey").alias("cuenta"),
-        (F.col("l_discount") * 100).cast("decimal(5,2)").cast("string").alias("pct_text"))
+        (F.col("l_discount") * 100 + F.col("l_tax")).cast("decimal(7,4)").cast("string").alias("pct_text"))
     out = apply_discounts(o, li, "o_orderkey", "cuenta", "debt", "pct_text")
     return out.select("o_orderkey", "porcentaje", "valor_descuento", "rango_con_descuento",
                       "filtro_descuento", "valor_descuento_texto")
@@ -323,10 +320,30 @@ def _name_clean_sql(x: str) -> str:
 
 @register("name_clean", f"SELECT doc_id, {_name_clean_sql('text')} AS nombre FROM documents")
 def name_clean(spark, sf):
-    d = spread_small_input(table(spark, sf, "documents").select("doc_id", "text"))
+    d = table(spark, sf, "documents").select("doc_id", "text")
     return d.select("doc_id", text.clean_person_name("text").alias("nombre"))
 
 
+def _strict_name_sql(x: str) -> str:
+    q = lambda t: t.replace("'", "''")
+    s = f"upper(replace({x}, 'ß', 'SS'))"
+    for wrong in fixed.STRICT_N:
+        s = f"regexp_replace({s}, '{q(wrong.lstrip(chr(92)))}', 'N', 'g')"
+    for wrong, right in fixed.STRICT_LETTERS:
+        s = f"regexp_replace({s}, '{q(wrong)}', '{right}', 'g')"
+    for t in [*fixed.STRICT_DELETED, "[^A-Z& ]", *fixed.STRICT_DELETED_LAST]:
+        s = f"regexp_replace({s}, '{q(t)}', '', 'g')"
+    return f"regexp_replace({s}, '^(A\\s+| )+', '')"
+
+
+@register("name_clean_strict", f"SELECT o_orderkey, {_strict_name_sql('n')} AS nombre FROM (SELECT o_orderkey, "
+          "'sr. ' || o_orderpriority || ' señor(a) peña  ' || o_orderstatus || '_' || CAST(o_custkey AS VARCHAR) AS n FROM orders)")
+def name_clean_strict(spark, sf):
+    n = F.concat(F.lit("sr. "), F.col("o_orderpriority"), F.lit(" señor(a) peña  "), F.col("o_orderstatus"), F.lit("_"),
+                 F.col("o_custkey").cast("string"))
+    return table(spark, sf, "orders").select("o_orderkey", text.clean_person_name(n, strict=True).alias("nombre"))
+
+
 # ------------------------------------------------------ multi-flags
 
 
@@ -353,10 +370,7 @@ def multi_flags(spark, sf):
 
 def _raw_assignment(spark, sf):
     from pyspark.sql.types import StringType
-    p = _portfolio(spark, sf)
-    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal",
-                                            "c_mktsegment")
-    j = p.join(c, p.o_custkey == c.c_custkey, "left")
+    j = _portfolio(spark, sf, ["c_name", "c_nationkey", "c_acctbal"])
     acc = F.concat(F.col("o_custkey").cast("string"), F.lit("."), (F.col("o_custkey") % 7).cast("string"))
     cols = {f"{i}_": F.lit(None).cast(StringType()) for i in range(1, 58)}
     cols.update({
@@ -375,8 +389,10 @@ def _raw_assignment(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     disc = li.join(o, li.l_orderkey == o.o_orderkey).select(
         F.concat(F.col("o_custkey").cast("string"), (F.col("o_custkey") % 7).cast("string")).alias("CUENTA"),
-        (F.col("l_discount") * 100).cast("decimal(5,2)").cast("string").alias("PORCENTAJE"))
-    return raw, disc
+        (F.col("l_discount") * 100 + F.col("l_tax")).cast("decimal(7,4)").cast("string").alias("PORCENTAJE"))
+    # the days alone, for the last day of each month: no join is needed to know them
+    days = table(spark, sf, "orders").select(F.lit("").alias("3_"), dates.format_dmy("o_orderdate").alias("57_"))
+    return raw, disc, days
 
 
 def _doc_type_sql(letters: str) -> str:
@@ -476,14 +492,14 @@ c2 AS (
   FROM cal),
 disc AS (
   SELECT CAST(o_custkey AS VARCHAR) || CAST(o_custkey % 7 AS VARCHAR) || '-' AS dk,
-         max(TRY_CAST(CAST(CAST(l_discount * 100 AS DECIMAL(5,2)) AS VARCHAR) AS DECIMAL(5,2))) AS pct
+         max(CAST(l_discount * 100 + l_tax AS DECIMAL(7,4))) AS pct
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' GROUP BY 1),
 c3t AS (
-  SELECT c2.*, CAST(coalesce(disc.pct, 0) AS DECIMAL(5,2)) AS "PORCENTAJE"
+  SELECT c2.*, coalesce(disc.pct, 0) AS pct, coalesce(CAST(disc.pct AS VARCHAR), '0') AS "PORCENTAJE"
   FROM c2 LEFT JOIN disc ON c2."CUENTA_NEXT" = disc.dk),
 c4 AS (
-  SELECT *, CASE WHEN "PORCENTAJE" = 0 THEN CAST(0 AS DECIMAL(24,6))
-    ELSE CAST("VALOR DEUDA" * (CAST(1 AS DECIMAL(7,4)) - CAST("PORCENTAJE" / 100 AS DECIMAL(7,4))) AS DECIMAL(24,6)) END AS vd
+  SELECT *, CASE WHEN pct = 0 THEN CAST(0 AS DECIMAL(24,6))
+    ELSE CAST("VALOR DEUDA" * (CAST(1 AS DECIMAL(14,10)) - CAST(pct * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(14,10))) AS DECIMAL(24,6)) END AS vd
   FROM c3t),
 c5 AS (
   SELECT * EXCLUDE ("VALOR DEUDA"),
@@ -503,5 +519,4 @@ SELECT {out_cols} FROM c5"""
 @register("assignment_table", _assignment_sql())
 def assignment_table(spark, sf):
     from .assignment import assignment_base
-    raw, disc = _raw_assignment(spark, sf)
-    return assignment_base(raw, disc)
+    return assignment_base(*_raw_assignment(spark, sf))

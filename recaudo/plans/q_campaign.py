@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import classify
-from ..operators import campaign, outcomes
+from ..operators import campaign, outcomes, profile
 from ..sources.tables import table
 from .registry import register
 from .q_assignment import _CRM_BY_SEGMENT, _case_spark, _case_sql
@@ -118,17 +118,23 @@ def quality_profile(spark, sf):
     c = table(spark, sf, "customer")
     tipif = _case_spark(F.col("event_type"), OUTCOME_BY_EVENT, None)
 
-    def prof(df, name, date, key, unmapped):
-        return df.agg(F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("filas"),
-                      (F.count_distinct(F.to_date(date)) if date is not None
-                       else F.lit(None).cast("bigint")).alias("fechas_distintas"),
-                      F.count_if(F.col(key).isNull()).alias("claves_nulas"),
-                      F.count_if(unmapped).alias("sin_mapear"))
-    parts = [prof(o, "orders", "o_orderdate", "o_custkey", F.lit(False)),
-             prof(li, "lineitem", "l_shipdate", "l_orderkey", ~F.col("l_returnflag").isin("A", "N", "R")),
-             prof(e, "events", "ts", "user_id", outcomes.outcome_group(tipif).isNull()),
-             prof(c, "customer", None, "c_custkey", F.col("c_acctbal") < 0)]
+    parts = [profile.source_profile(o, "orders", "o_custkey", "o_orderdate"),
+             profile.source_profile(li, "lineitem", "l_orderkey", "l_shipdate", ~F.col("l_returnflag").isin("A", "N", "R")),
+             profile.source_profile(e, "events", "user_id", "ts", outcomes.outcome_group(tipif).isNull()),
+             profile.source_profile(c, "customer", "c_custkey", None, F.col("c_acctbal") < 0)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+# texts of a due date (pending orders have an impossible one) that are no date
+
+@register("unparsable_dates", """
+SELECT '31/02/' || CAST(year(o_orderdate) AS VARCHAR) AS valor, count(*) AS filas
+FROM orders WHERE o_orderstatus = 'P' GROUP BY 1""")
+def unparsable_dates(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderstatus", "o_orderdate")
+    due = F.when(F.col("o_orderstatus") == "P", F.concat(F.lit("31/02/"), F.year("o_orderdate").cast("string"))) \
+        .otherwise(F.date_format("o_orderdate", "d/M/yyyy"))
+    return profile.unparsable_dates(o.select(due.alias("vencimiento")), "vencimiento")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..functions import bands, classify, dates, fixed, keys
 from ..operators import calendar, consolidate, geo, outcomes
-from ..operators.joins import spread_small_input
 from ..sources.tables import table
 from .registry import register
 from .q_assignment import _CRM_BY_SEGMENT, _case_spark, _case_sql
@@ -44,9 +43,9 @@ def _cities(spark, sf, keep=()):
     return j.select("c_custkey", *keep, city.alias("ciudad_raw"))
 
 
-def _depts_ctes() -> str:
+def _depts_ctes(patterns=CITY_PATTERNS) -> str:
     """CTEs ending in ``dept(c_custkey, ciudad, departamento)``."""
-    vals = ", ".join(f"({o}, '{p}', '{d}', {g})" for o, p, d, g in CITY_PATTERNS)
+    vals = ", ".join(f"({o}, '{p}', '{d}', {g})" for o, p, d, g in patterns)
     depts = ", ".join(f"'{d}'" for d in fixed.DEPARTMENTS)
     return f"""
 dc AS (
@@ -79,6 +78,13 @@ def substring_lookup(spark, sf):
 # the source files carry them); pending orders carry an impossible due date.
 
 
+@register("unidentified_cities", "WITH " + _depts_ctes(CITY_PATTERNS[:5]) + """
+SELECT raw AS valor, count(*) AS filas FROM dept JOIN dc USING (c_custkey) WHERE departamento = 'NO IDENTIFICADO' GROUP BY 1""")
+def unidentified_cities(spark, sf):
+    from ..operators.profile import unidentified_cities as run
+    return run(_cities(spark, sf), "ciudad_raw", geo.pattern_table(spark, CITY_PATTERNS[:5]))
+
+
 def _arrears_band_sql(x: str) -> str:
     lo, hi, lab = fixed.ARREARS_BAND_LOW
     parts = [f"WHEN {x} <= {hi} AND {x} >= {lo} THEN '{lab}'"]
@@ -101,7 +107,7 @@ SELECT l_orderkey, l_linenumber, fecha_ingreso, fecha_vencimiento, dias_mora,
        {_arrears_band_sql('dias_mora')} AS rango_de_dias_mora
 FROM d""")
 def arrears_days(spark, sf):
-    li = spread_small_input(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate"))
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     due = F.when(F.col("o_orderstatus") == "P",
@@ -357,9 +363,6 @@ def consolidate_full_outer_filtered(spark, sf):
 #   queues      lines with return flag A; ranking: orders per month
 #   exclusions  documents of one region, accounts with negative balance
 #   counts      returned lines (unapplied payments), pending orders
-# No DuckDB twin: its pieces are checked one by one (assignment_table,
-# contact_slots, touch_union_agg, outcome_rollup, substring_lookup,
-# arrears_days, consolidate_left) and the pipeline on fixtures.
 
 
 def _monthly_sources(spark, sf):
@@ -387,20 +390,22 @@ def _monthly_sources(spark, sf):
         dates.format_dmy(F.date_add("_d", 30)).alias("Fecha de Vencimiento"),
         F.when(F.col("_pr") == "5-LOW", F.lit("Manual")).otherwise(dates.format_dmy("_d")).alias("FECHA INGRESO"))
 
-    raw, disc = _raw_assignment(spark, sf)
-    asg = assignment_base(raw, disc)
+    asg = assignment_base(*_raw_assignment(spark, sf))
     asg = asg.withColumn("mes", F.concat_ws("-", "PERIODO DE ASIGNACION",
                                             F.lpad("MES DE ASIGNACION", 2, "0")))
 
     first_month = o.groupBy(F.col("o_custkey").alias("_k")).agg(F.min(mes).alias("mes"))
     docs = table(spark, sf, "documents")
-    clist = docs.select(F.col("source").alias("identificacion"), acc("doc_id").alias("cuenta"), "text")
+    # two documents make one account: their contacts meet in its slots
+    pair = F.col("doc_id") - F.col("doc_id") % 2
+    clist = docs.select(F.col("doc_id").cast("string").alias("identificacion"),
+                        F.concat(pair.cast("string"), (pair % 7).cast("string")).alias("cuenta"), "text")
     from ..operators.contacts import extract_contacts
     clist = extract_contacts(clist, "text", ["identificacion", "cuenta"])
     from .q_contacts import DOC_LANDLINE, DOC_MOBILE
     ct = contact_table(clist, 0, 0, DOC_MOBILE, DOC_LANDLINE, mobile_count=DOC_MOBILE,
                        landline_count=DOC_LANDLINE).drop("MES DE ASIGNACION", "PERIODO DE ASIGNACION")
-    ct = ct.join(docs.select(acc("doc_id").alias("_c"), F.col("doc_id").alias("_k")),
+    ct = ct.join(docs.select(pair.alias("_k")).distinct().withColumn("_c", acc("_k")),
                  F.col("cuenta") == F.concat(F.col("_c"), F.lit("-")), "left") \
         .join(first_month, "_k", "left").drop("_k", "_c")
 
@@ -493,7 +498,7 @@ def _monthly_sql() -> str:
         "DIAS_RETIRADA": '"DIAS RETIRADA"', "DIAS_MORA": "dias_mora"}
     added = {
         "ESTADO CUENTA": '"ESTADO CUENTA"',
-        "FILTRO DESCUENTO": """CASE WHEN coalesce(TRY_CAST("PORCENTAJE" AS DECIMAL(5,2)), 0) = 0 THEN 'No Aplica' ELSE 'Aplica' END""",
+        "FILTRO DESCUENTO": """CASE WHEN coalesce(TRY_CAST("PORCENTAJE" AS DECIMAL(12,8)), 0) = 0 THEN 'No Aplica' ELSE 'Aplica' END""",
         "FILTRO_PAGOS_SIN_APLICAR": """CASE WHEN TRY_CAST("RECUENTO PAGOS SIN APLICAR" AS BIGINT) >= 1 THEN 'Aplica' ELSE '' END""",
         "FILTRO_PAGOS_NO_GESTION": """CASE WHEN TRY_CAST("RECUENTO NO GESTION" AS BIGINT) >= 1 THEN 'Aplica' ELSE '' END""",
         "EXCLUSION CUENTA": '"EXCLUSION CUENTA"', "EXCLUSION DOCUMENTO": '"EXCLUSION DOCUMENTO"',
@@ -533,10 +538,10 @@ m_data AS (
   FROM (SELECT *, "PERIODO DE ASIGNACION" || '-' || lpad("MES DE ASIGNACION", 2, '0') AS mes,
                row_number() OVER (PARTITION BY "CUENTA_NEXT", "PERIODO DE ASIGNACION" || '-' || lpad("MES DE ASIGNACION", 2, '0')
                                   ORDER BY "CUENTA" NULLS FIRST) AS rn FROM asg) WHERE rn = 1),
-m_src AS (SELECT source AS identificacion, {acc('doc_id')} AS cuenta0, doc_id, text FROM documents),
+m_src AS (SELECT {acc('(doc_id - doc_id % 2)')} AS cuenta0, doc_id, text FROM documents),
 m_ex AS (
-  SELECT identificacion, regexp_replace(cuenta0, '-', '', 'g') || '-' AS cuenta, doc_id, trim(dato) AS dato FROM (
-    SELECT identificacion, cuenta0, doc_id, unnest(list_concat(
+  SELECT regexp_replace(cuenta0, '-', '', 'g') || '-' AS cuenta, doc_id, trim(dato) AS dato FROM (
+    SELECT cuenta0, doc_id, unnest(list_concat(
         regexp_extract_all(text, '{contacts.EMAIL_PATTERN}'),
         list_transform(regexp_extract_all(text, '{contacts.PHONE_PATTERN}'),
                        lambda p: regexp_replace(p, '[^0-9]', '', 'g')))) AS dato
@@ -547,22 +552,22 @@ m_cl AS (
                  WHEN contains(dato, '@') THEN 'email' END AS kind
   FROM m_ex),
 m_slots AS (
-  SELECT cuenta, identificacion, {', '.join(slot_cols)}
-  FROM (SELECT cuenta, identificacion, grp, dato,
-               row_number() OVER (PARTITION BY cuenta, identificacion, grp ORDER BY dato) AS slot
-        FROM (SELECT DISTINCT cuenta, identificacion, CASE WHEN kind = 'email' THEN 'email' ELSE 'phone' END AS grp, dato
+  SELECT cuenta, {', '.join(slot_cols)}
+  FROM (SELECT cuenta, grp, dato,
+               row_number() OVER (PARTITION BY cuenta, grp ORDER BY dato) AS slot
+        FROM (SELECT DISTINCT cuenta, CASE WHEN kind = 'email' THEN 'email' ELSE 'phone' END AS grp, dato
               FROM m_cl WHERE kind IS NOT NULL AND dato IS NOT NULL))
-  WHERE slot <= {max(PHONES, EMAILS)} GROUP BY cuenta, identificacion),
+  WHERE slot <= {max(PHONES, EMAILS)} GROUP BY cuenta),
 m_contacts AS (
-  SELECT s.cuenta AS CUENTA_NEXT, f.mes, s.identificacion,
+  SELECT s.cuenta AS CUENTA_NEXT, f.mes,
     CASE WHEN coalesce(nm, 0) = 0 THEN '' ELSE CAST(nm AS VARCHAR) END AS NumMovil,
     CASE WHEN coalesce(nf, 0) = 0 THEN '' ELSE CAST(nf AS VARCHAR) END AS NumFijo,
     CASE WHEN coalesce(ne, 0) = 0 THEN '' ELSE CAST(ne AS VARCHAR) END AS NumEmail,
     {profile} AS "Filtro Demografico",
     {', '.join(f's.phone{i}' for i in range(1, PHONES + 1))}, {', '.join(f's.email{i}' for i in range(1, EMAILS + 1))}
-  FROM m_slots s LEFT JOIN (SELECT DISTINCT {acc('doc_id')} || '-' AS c, doc_id FROM documents) dd ON s.cuenta = dd.c
-  LEFT JOIN m_first f ON dd.doc_id = f.k),
-m_demo AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY CUENTA_NEXT, mes ORDER BY identificacion NULLS FIRST) AS rn FROM m_contacts) WHERE rn = 1),
+  FROM m_slots s LEFT JOIN (SELECT DISTINCT {acc('(doc_id - doc_id % 2)')} || '-' AS c, doc_id - doc_id % 2 AS k FROM documents) dd ON s.cuenta = dd.c
+  LEFT JOIN m_first f ON dd.k = f.k),
+m_demo AS (SELECT * FROM m_contacts),
 m_ev AS (SELECT e.*, f.mes FROM events e JOIN m_first f ON e.user_id = f.k),
 m_touch0 AS (
   SELECT CAST(user_id AS VARCHAR) || '.' || CAST(user_id % 7 AS VARCHAR) AS Cuenta_Real, mes, {touch_cols}
@@ -638,4 +643,6 @@ SELECT {', '.join(sel)} FROM m_full m_chain"""
 @register("monthly_consolidation", _monthly_sql())
 def monthly_consolidation(spark, sf):
     from .monthly import monthly_consolidation as run
-    return run(_monthly_sources(spark, sf), geo.pattern_table(spark, CITY_PATTERNS))
+    from .q_contacts import DOC_LANDLINE, DOC_MOBILE
+    return run(_monthly_sources(spark, sf), geo.pattern_table(spark, CITY_PATTERNS),
+               mobile_count=DOC_MOBILE, landline_count=DOC_LANDLINE)

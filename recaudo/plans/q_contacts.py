@@ -156,11 +156,4 @@ FROM j"""
 
 @register("contact_profile", _profile_sql())
 def contact_profile(spark, sf):
-    c = _classified(spark, sf)
-    keys = ["cuenta", "identificacion"]
-    phones = contacts.contact_slots(c.where(F.col("kind") != "email"), keys, "dato", PHONES, 0,
-                                    mobile_count=DOC_MOBILE, landline_count=DOC_LANDLINE).drop("num_email")
-    emails = contacts.contact_slots(c.where(F.col("kind") == "email"), keys, "dato", 0, EMAILS) \
-        .drop("num_movil", "num_fijo")
-    return contacts.contact_profile(phones, emails, keys)
-
+    return contacts.contact_profile(_slots(spark, sf))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources import delimited
 from ..sources.tables import table
+from .folder_merge import merge_export_folder
 from .registry import register
 
 _CUST_SCHEMA = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal decimal(12,2), c_mktsegment string"
@@ -67,45 +68,48 @@ def csv_drift_merge(spark, sf):
     delimited.write_delimited(sup, os.path.join(base, "c"), sep=";")
     delimited.write_delimited(s.select(F.col("s_name").alias("solo")), os.path.join(base, "d"), sep="|")
     files = [f for x in "abcd" for f in delimited.list_files(spark, os.path.join(base, x))]
-    scan = delimited.read_drifting_folder(spark, files)
-    out = scan.df.withColumns({
-        "Cuenta_Real": F.concat("Cuenta_Real", F.lit("-")),
-        "Cuenta_Sin_Punto": F.concat("Cuenta_Sin_Punto", F.lit("-")),
-        "mes_de_asignacion": F.lit(6), "periodo_de_asignacion": F.lit(2024)})
-    return out.dropDuplicates()
+    merged = merge_export_folder(spark, files, 6, 2024).df
+    return merged.withColumnsRenamed({"MES DE ASIGNACION": "mes_de_asignacion", "PERIODO DE ASIGNACION": "periodo_de_asignacion"})
+
+
+# ------------------------------------------------------------ months that drift
+# two months of orders as monthly files: the second has its columns in
+# another order and one more; every other source is a one-line list.
+
+@register("csv_month_drift", """
+SELECT mes, CAST(o_orderkey AS VARCHAR) AS "CUENTA_NEXT", o_orderpriority AS "Marca", o_orderstatus AS "Ciudad",
+       CASE WHEN mes = '2025-02' THEN CAST(o_custkey AS VARCHAR) END AS "Extra"
+FROM (SELECT *, CASE WHEN o_orderkey % 2 = 0 THEN '2025-01' ELSE '2025-02' END AS mes FROM orders)""")
+def csv_month_drift(spark, sf):
+    from . import monthly
+    base = scratch_path(spark, "csv-months")
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderkey").cast("string").alias("CUENTA_NEXT"), F.col("o_orderpriority").alias("Marca"),
+        F.col("o_orderstatus").alias("Ciudad"), F.col("o_custkey").cast("string").alias("Extra"), (F.col("o_orderkey") % 2).alias("odd"))
+    layout = {k: v.replace(".csv", "") for k, v in monthly.DEFAULT_LAYOUT.items()}
+    months = [(2025, 1), (2025, 2)]
+    at = lambda name, month: os.path.join(base, layout[name].format(year=2025, month=month))
+    delimited.write_delimited(o.where("odd = 0").select("CUENTA_NEXT", "Marca", "Ciudad"), at("base", "01"))
+    delimited.write_delimited(o.where("odd = 1").select("Ciudad", "Extra", "CUENTA_NEXT", "Marca"), at("base", "02"))
+    base_only = monthly.read_source(spark, base, "base", months, layout)
+    return base_only.select("mes", "CUENTA_NEXT", "Marca", "Ciudad", "Extra")
 
 
 # ------------------------------------------------------------ streaming log
-# events play the contact-attempt log: they land as parquet files one week
-# at a time (each week a separate write, so file times follow event time),
-# the stream counts attempts per hour and status, then the current table is
-# read back. Same answer as the batch query contact_log_hourly.
+# events play the contact-attempt log: the stream reads the given table as it
+# stands (one scan, no staging copy), counts attempts per hour and status,
+# and the current table is read back. Same answer as the batch query
+# contact_log_hourly.
 
 @register("contact_log_stream", """
 SELECT date_trunc('hour', ts) AS hora, CASE WHEN event_type = 'error' THEN 'Not sent' ELSE 'Sent' END AS estado,
        count(*) AS n
 FROM events GROUP BY ALL""")
 def contact_log_stream(spark, sf):
-    from ..streaming.contact_log import current_counts, start_hourly_counts
+    from ..streaming.contact_log import current_counts, run_hourly_counts
     base = scratch_path(spark, "contact-log-stream")
-    src, sink, ckpt = (os.path.join(base, x) for x in ("in", "out", "ckpt"))
-    e = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type")
-    week = F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 7)
-    files_per_week = 4
-    weeks = [r[0] for r in e.select(week.alias("w")).distinct().orderBy("w").collect()]
-    for w in weeks:   # bounded: one write per calendar week of the log
-        e.where(week == w).repartition(files_per_week).write.mode("append").parquet(src)
+    sink, ckpt = (os.path.join(base, x) for x in ("out", "ckpt"))
     status = F.when(F.col("event_type") == "error", "Not sent").otherwise("Sent")
-    # two weeks of log files per micro-batch: batches still follow event time.
-    # The state-store partition count is fixed at the stream's first start
-    # from spark.sql.shuffle.partitions: size it to the task slots for this
-    # run and give the session its own value back afterwards.
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    try:
-        q = start_hourly_counts(spark, src, e.schema, "ts", "event_id", {"estado": status}, sink, ckpt,
-                                files_per_trigger=2 * files_per_week)
-        q.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    run_hourly_counts(spark, os.path.join(sf, "events.parquet"), table(spark, sf, "events").schema, "ts", "event_id",
+                      {"estado": status}, sink, ckpt)
     return current_counts(spark, sink, ["hora", "estado"])

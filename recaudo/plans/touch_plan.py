@@ -11,15 +11,14 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import touches
-from ..sources.delimited import read_delimited
+from ..sources.delimited import read_by_header
 
-CHANNEL_SCHEMA = "Cuenta_Real string, Cuenta_Sin_Punto string, Marca string, Cantidad string"
+CHANNEL_COLUMNS = ["Cuenta_Real", "Cuenta_Sin_Punto", "Marca", "Cantidad"]
 
 
 def read_channels(spark: SparkSession, folder: str, pattern: str = "Consolidado {ch}.csv",
                   sep: str = ",") -> dict[str, DataFrame]:
-    return {ch: read_delimited(spark, os.path.join(folder, pattern.format(ch=ch)), CHANNEL_SCHEMA,
-                               sep=sep, suffix=None)
+    return {ch: read_by_header(spark, os.path.join(folder, pattern.format(ch=ch)), CHANNEL_COLUMNS, sep=sep)
             for ch in fixed.TOUCH_CHANNELS}
 
 

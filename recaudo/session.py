@@ -8,6 +8,7 @@ convenience for scripts, tests and the benchmark.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -56,13 +57,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the submitter sets it to a shared file system; it is read
-    from the session and never replaced. Only when it is unset (tests, local
-    runs) a fresh folder is created.
+    from the session and never replaced. Only where it is unset and the
+    master is local (tests, local runs) a fresh folder is created; on a
+    cluster a folder of the driver's machine would be of no use, so that is
+    an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         global _LOCAL_CKPT
         if _LOCAL_CKPT is None:
             _LOCAL_CKPT = tempfile.mkdtemp(prefix="recaudo-ckpt-")

@@ -1,28 +1,39 @@
 """Delimited-text sources and sinks.
 
-* ``read_delimited``: one file, a folder or a list, header, separator,
-  explicit schema (inference only on request), optional encoding for
-  Latin-1 exports, corrupt records kept and counted instead of failing.
-* ``read_drifting_folder``: a folder whose files differ in separator and
-  column set. Only the header line of each file is read on the driver
-  (metadata, through the Hadoop file system so any cluster store works);
-  files are grouped by (separator, header) and each group is read by ONE
-  distributed CSV scan; the groups are unioned by name (missing columns ->
-  NULL). A file whose header has neither ``,`` nor ``;`` is reported as
-  skipped; a comma in the header wins over a semicolon.
+* ``read_by_header``: files whose columns may be reordered, added or missing
+  from one file to the next. The header line of every file is read (metadata,
+  in parallel, through the Hadoop file system so any cluster store works);
+  files with the same separator and header share ONE distributed CSV scan;
+  the scans are unioned by name (missing columns -> NULL). ``columns`` are
+  selected by name, and a name that no file has is an error.
+* ``read_drifting_folder``: the same for a folder of ``,`` and ``;`` files. A
+  file whose header has neither is reported as skipped; a comma in the header
+  wins over a semicolon. ``skip_unreadable`` reads every file once beforehand
+  and reports those that can't be read to their end; without it they fail the
+  read.
+* ``read_delimited``: one plain CSV scan: all files have one header, or an
+  explicit schema in the order of the file's columns (what this library's own
+  sink writes). A file that can't be read raises.
 * ``write_delimited``: header, separator, overwrite/append, optional
-  ``partitionBy`` (e.g. year/month) and number of files per partition;
-  empty results write nothing (``isEmpty``, no full count).
+  ``partitionBy`` (e.g. year/month) with the rows rebalanced by it, so that a
+  partition gets few files and a large one several writers. The plan runs
+  once: the rows are counted while they are written.
 """
 
 from __future__ import annotations
 
+import csv
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+#: Header lines (metadata) that are read at a time.
+HEADER_THREADS = 16
+
 
 def string_schema(columns: list[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
@@ -37,9 +48,8 @@ def read_delimited(spark: SparkSession, path: str | list[str], schema: StructTyp
                    keep_corrupt: bool = False) -> DataFrame:
     """``keep_corrupt``: rows that do not fit the schema keep their raw text
     in ``_corrupt_record`` (count them with :func:`corrupt_rows`) instead of
-    failing the job; unreadable files are skipped (``ignoreCorruptFiles``)."""
-    r = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE") \
-        .option("ignoreCorruptFiles", True)
+    becoming NULLs."""
+    r = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
     if keep_corrupt and schema is not None:
         st = spark.createDataFrame([], schema).schema if isinstance(schema, str) else schema
         if CORRUPT not in st.fieldNames():
@@ -65,7 +75,7 @@ def corrupt_rows(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ file sniffing
 
-def _hadoop_fs(spark: SparkSession, path: str):
+def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
@@ -73,7 +83,7 @@ def _hadoop_fs(spark: SparkSession, path: str):
 
 def list_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
     """Data files of a folder with the suffix (also compressed: ``.csv.gz``)."""
-    fs, p = _hadoop_fs(spark, folder)
+    fs, p = hadoop_fs(spark, folder)
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
@@ -83,20 +93,24 @@ def list_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[s
     return sorted(out)
 
 
-def header_line(spark: SparkSession, path: str, encoding: str = "UTF-8", limit: int = 1 << 20) -> str:
-    """First line of a file (at most ``limit`` characters); compressed files
-    (.gz, .bz2, ... by extension) are read through their Hadoop codec, as the
+def data_files(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the data files of a folder."""
+    fs, p = hadoop_fs(spark, path)
+    return list_files(spark, path) if fs.getFileStatus(p).isDirectory() else [path]
+
+
+def header_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
+    """First line of a file, whole; compressed files (.gz, .bz2, ... by extension) are read through their Hadoop codec, as the
     CSV reader does."""
     jvm = spark.sparkContext._jvm
-    fs, p = _hadoop_fs(spark, path)
+    fs, p = hadoop_fs(spark, path)
     codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
         spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
     raw = fs.open(p)
     stream = codec.createInputStream(raw) if codec is not None else raw
     try:
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding), 65536)
-        line = reader.readLine()
-        return (line or "")[:limit]
+        return (reader.readLine() or "").lstrip("\ufeff")
     finally:
         stream.close()
 
@@ -110,36 +124,82 @@ def detect_separator(header: str) -> str | None:
     return None
 
 
+def header_columns(line: str, sep: str) -> tuple[str, ...]:
+    return tuple(c.strip() for c in next(csv.reader([line], delimiter=sep), []))
+
+
+def header_lines(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> list[str]:
+    """The header of every file, read in parallel."""
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        return list(pool.map(lambda f: header_line(spark, f, encoding), files))
+
+
+def unreadable_files(spark: SparkSession, files: Sequence[str]) -> list[str]:
+    """The files that can't be read to their end (e.g. half-written archives).
+    Each file is read once, a few jobs at a time; nothing is collected."""
+    def broken(path: str) -> bool:
+        try:
+            spark.read.text(path).write.format("noop").mode("overwrite").save()
+            return False
+        except Exception:  # noqa: BLE001 - any failure to read is what is asked for; the file is reported
+            return True
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        return [f for f, bad in zip(files, pool.map(broken, files)) if bad]
+
+
 @dataclass
 class FolderScan:
     df: DataFrame | None
     groups: list[tuple[str, list[str], list[str]]] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
+    unreadable: list[str] = field(default_factory=list)
 
 
-def read_drifting_folder(spark: SparkSession, folder: str | list[str], suffix: str = ".csv",
-                         encoding: str = "UTF-8") -> FolderScan:
-    files = folder if isinstance(folder, list) else list_files(spark, folder, suffix)
+def _grouped(spark: SparkSession, files: Sequence[str], sep: str | None, encoding: str, file_column: str | None) -> FolderScan:
+    """One scan for each (separator, header), unioned by name."""
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     skipped = []
-    for f in files:
-        head = header_line(spark, f, encoding).lstrip("﻿")
-        sep = detect_separator(head)
-        if sep is None:
+    for f, head in zip(files, header_lines(spark, files, encoding)):
+        used = sep or detect_separator(head)
+        if used is None or not head:
             skipped.append(f)
             continue
-        cols = tuple(c.strip().strip('"') for c in head.split(sep))
-        groups.setdefault((sep, cols), []).append(f)
-    parts = []
-    desc = []
-    for (sep, cols), fl in groups.items():
-        parts.append(read_delimited(spark, fl, string_schema(list(cols)), sep=sep,
-                                    encoding=encoding, suffix=None))
-        desc.append((sep, list(cols), fl))
+        groups.setdefault((used, header_columns(head, used)), []).append(f)
     df = None
-    for p in parts:
-        df = p if df is None else df.unionByName(p, allowMissingColumns=True)
-    return FolderScan(df, desc, skipped)
+    for (used, cols), fl in groups.items():
+        part = read_delimited(spark, fl, string_schema(list(cols)), sep=used, encoding=encoding, suffix=None)
+        if file_column:
+            part = part.withColumn(file_column, F.col("_metadata.file_path"))
+        df = part if df is None else df.unionByName(part, allowMissingColumns=True)
+    return FolderScan(df, [(used, list(cols), fl) for (used, cols), fl in groups.items()], skipped)
+
+
+def read_by_header(spark: SparkSession, files: str | Sequence[str], columns: Sequence[str] | None = None, sep: str = ";",
+                   encoding: str = "UTF-8", file_column: str | None = None) -> DataFrame:
+    """All columns as text, by name. ``files``: a file, a folder or a list of
+    files; ``columns``: the ones to select; ``file_column``: adds the path of
+    each row's file."""
+    if isinstance(files, str):
+        files = data_files(spark, files)
+    scan = _grouped(spark, list(files), sep, encoding, file_column)
+    if scan.df is None:
+        raise ValueError(f"no header in {list(files)}")
+    if columns is None:
+        return scan.df
+    have = set(scan.df.columns)
+    missing = [c for c in columns if c not in have]
+    if missing:
+        raise ValueError(f"columns {missing} are in none of {list(files)}; there are {sorted(have)}")
+    return scan.df.select(*[F.col(f"`{c}`") for c in columns], *([file_column] if file_column else []))
+
+
+def read_drifting_folder(spark: SparkSession, folder: str | list[str], suffix: str = ".csv",
+                         encoding: str = "UTF-8", skip_unreadable: bool = False) -> FolderScan:
+    files = folder if isinstance(folder, list) else list_files(spark, folder, suffix)
+    bad = unreadable_files(spark, files) if skip_unreadable else []
+    scan = _grouped(spark, [f for f in files if f not in set(bad)], None, encoding, None)
+    scan.unreadable = bad
+    return scan
 
 
 # ------------------------------------------------------------ sinks
@@ -147,30 +207,36 @@ def read_drifting_folder(spark: SparkSession, folder: str | list[str], suffix: s
 def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite",
                     partition_by: list[str] | None = None, files_per_partition: int | None = None,
                     max_records_per_file: int | None = None, skip_empty: bool = True) -> bool:
-    """Write with header and separator. Returns False (and writes nothing)
-    for an empty result when ``skip_empty``.
-
-    ``files_per_partition`` with ``partition_by``: rows are shuffled by
-    (partition columns, a deterministic salt in [0, n)), so each output
-    partition (e.g. a month) is written by up to n tasks - never one task
-    per month - and holds at most n files. ``max_records_per_file`` bounds
-    file size independently."""
-    if skip_empty and df.isEmpty():
-        return False
-    out = df
+    """Write with header and separator. Returns False for an empty result,
+    of which nothing stays in place when ``skip_empty``.
+
+    With ``partition_by`` the rows are rebalanced by those columns: a small
+    output partition (e.g. a month) is one file, a large one is split over
+    several writers by its size. ``files_per_partition`` asks for at most n
+    files each instead, dealt by a deterministic salt.
+    ``max_records_per_file`` bounds file size independently."""
+    seen = Observation()
+    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    quoted = [F.col(f"`{c}`") for c in partition_by or []]
     if files_per_partition:
         if partition_by:
             salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
-            out = out.repartition(*[F.col(f"`{c}`") for c in partition_by], salt)
+            out = out.repartition(*quoted, salt)
         else:
             out = out.repartition(files_per_partition)
+    elif partition_by:
+        out = out.hint("rebalance", *quoted)
     w = out.write.mode(mode).option("header", True).option("sep", sep)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)
-    return True
+    empty = seen.get["rows"] == 0
+    if empty and skip_empty and mode == "overwrite":
+        fs, p = hadoop_fs(df.sparkSession, path)
+        fs.delete(p, True)
+    return not empty
 
 
 def append_log(df: DataFrame, path: str, sep: str = ";") -> None:

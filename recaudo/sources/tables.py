@@ -10,7 +10,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
-_HANDLES: dict[tuple[int, str], DataFrame] = {}
+_HANDLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(name)
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     df = _HANDLES.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)

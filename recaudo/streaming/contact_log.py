@@ -23,6 +23,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.delimited import hadoop_fs
+
 
 def start_hourly_counts(spark: SparkSession, source: str, schema, ts: str, key: str,
                         by: dict[str, Column], sink: str, checkpoint: str,
@@ -32,6 +34,10 @@ def start_hourly_counts(spark: SparkSession, source: str, schema, ts: str, key:
     r = spark.readStream.schema(schema)
     if files_per_trigger:
         r = r.option("maxFilesPerTrigger", files_per_trigger)
+    # a folder of log files, or one file: the stream source lists folders, so a file is picked from its folder
+    fs, p = hadoop_fs(spark, source)
+    if fs.getFileStatus(p).isFile():
+        r, source = r.option("pathGlobFilter", p.getName()), p.getParent().toString()
     s = r.parquet(source)
     ts_type = s.schema[ts].dataType
     # watermarks need a zoned timestamp; wall-clock logs (timestamp_ntz) are
@@ -51,8 +57,25 @@ def start_hourly_counts(spark: SparkSession, source: str, schema, ts: str, key:
     return w.start()
 
 
+def run_hourly_counts(spark: SparkSession, source: str, schema, ts: str, key: str, by: dict[str, Column],
+                      sink: str, checkpoint: str, **options) -> dict[str, int]:
+    """Run the stream over what is there and stop. Returns {"rows", "late"}:
+    the rows read and those that came later than the watermark allows."""
+    q = start_hourly_counts(spark, source, schema, ts, key, by, sink, checkpoint, **options)
+    q.awaitTermination()
+    seen = [p for p in q.recentProgress]
+    return {"rows": sum(p["numInputRows"] for p in seen),
+            "late": sum(s["numRowsDroppedByWatermark"] for p in seen for s in p["stateOperators"])}
+
+
 def current_counts(spark: SparkSession, sink: str, keys: Sequence[str] = ("hora",)) -> DataFrame:
-    """Latest count per key over all micro-batches written so far."""
+    """Latest count per key over the micro-batches written so far."""
     d = spark.read.parquet(sink)
     latest = d.groupBy(*keys).agg(F.max(F.struct("batch", "n")).alias("_l"))
     return latest.select(*keys, F.col("_l")["n"].alias("n"))
+
+
+def compact(spark: SparkSession, sink: str, keys: Sequence[str], into: str) -> None:
+    """Writes the current counts as batch 0 of a new sink folder, from which
+    readers go on; the old folder's batches are then no longer needed."""
+    current_counts(spark, sink, keys).write.mode("overwrite").parquet(os.path.join(into, "batch=0"))

@@ -56,15 +56,14 @@ def _src(spark):
     ], "CUENTA_NEXT string, CUENTA string, DOCUMENTO string, MARCA string, `FECHA INGRESO` string, "
        "`FECHA RETIRO` string, PORCENTAJE string, `DIAS ASIGNADA` string, `DIAS RETIRADA` string, "
        "`RANGO DE DIAS` string, `ESTADO CUENTA` string")
-    contacts = mk([("D1", "100-", "2", "", "1", "Celular Email")],
-                  "identificacion string, cuenta string, NumMovil string, NumFijo string, NumEmail string, "
-                  "`Filtro Demografico` string")
+    contacts = mk([("D1", "100-", "3001234567", "a@b.co"), ("D2", "1.00", "3007654321", None)],    # two documents, one account
+                  "identificacion string, cuenta string, phone1 string, email1 string")
     touches = mk([("1.00", "100", "potencial", "3", "0", "1", "0")],
                  "Cuenta_Real string, Cuenta_Sin_Punto string, marca string, `Toques por SMS` string, "
                  "`Toques por EMAIL` string, `Toques por BOT` string, `Toques por IVR` string")
-    queues = mk([("100", "1/4/2025", "10", "R1"), ("100", "3/4/2025", "20", "R2")],
+    queues = mk([("1.00", "raro", "10", "R1"), ("100", "3/4/2025", "20", "R2")],
                 "Cuenta string, Fecha string, Valor string, Referencia string")
-    ranking = mk([("100", "4", "ACTIVO")], "CUENTA string, SERVICIOS string, ESTADO string")
+    ranking = mk([("1.0-0", "4", "ACTIVO"), ("100", "9", None)], "CUENTA string, SERVICIOS string, ESTADO string")
     exc_doc = mk([("444",)], "DOCUMENTO string")
     exc_acc = mk([("500",), ("500",)], "CUENTA string")
     psa = mk([("100", "2"), ("100", "1")], "CUENTA string, RECUENTO string")
@@ -88,7 +87,10 @@ def test_monthly_consolidation_fixture(spark):
     assert a["DS_VAR_filtro_reporte_gestion"] == "CDIR CIND"
     assert a["AD_toques_por_sms"] == 3
     assert a["AD_recuento_pagos_sin_aplicar"] == 3 and a["AD_filtro_pagos_sin_aplicar"] == "Aplica"
-    assert a["AD_filtro_colas"] == "APLICA"
+    assert a["AD_filtro_colas"] == "APLICA" and a["AD_estado_ranking"] == "ACTIVO"       # a missing state comes last
+    assert (a["FLT_phone1"], a["FLT_phone2"], a["FLT_email1"]) == ("3001234567", "3007654321", "a@b.co")
+    assert a["DS_VAR_filtro_demograficos"] == "Celular Email"
+    assert out.columns.index("DOCUMENTO") > out.columns.index("AD_filtro_colas")
     b = got["400-"]
     assert b["DS_VAR_departamento"] == "VACIO"
     assert b["AD_exclusion_documento"] == "APLICA"
@@ -169,3 +171,20 @@ def test_command_line_monthly(spark, tmp_path):
     back = read_delimited(spark, out, None, sep=";", suffix=None)
     assert sorted((r["mes"], r["BG_cuenta_next"]) for r in back.collect()) == \
         [(m, k) for m in ("2025-03", "2025-04") for k in ("100-", "400-", "500-")]
+
+
+def test_read_months_matches_columns_by_name(spark, tmp_path):
+    layout = {k: v.replace(" ", "_") for k, v in monthly.DEFAULT_LAYOUT.items()}
+    for month, text in (("01", "CUENTA_NEXT;Marca;Ciudad\n1;M;CALI\n"), ("02", "CUENTA_NEXT;Ciudad;Extra;Marca\n1;CALI;x;M\n")):
+        path = tmp_path / layout["base"].format(year=2025, month=month)
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(text, encoding="utf-8")
+    out = monthly.read_source(spark, str(tmp_path), "base", [(2025, 1), (2025, 2)], layout)
+    got = sorted((r.mes, r.CUENTA_NEXT, r.Marca, r.Ciudad, r.Extra) for r in out.collect())
+    assert got == [("2025-01", "1", "M", "CALI", None), ("2025-02", "1", "M", "CALI", "x")]
+
+
+def test_null_comes_last_among_survivors(spark):
+    from recaudo.operators.topn import keyed_distinct
+    df = spark.createDataFrame([("k", None, "a"), ("k", "2", "b"), ("k", "3", "c")], "k string, o string, v string")
+    assert [tuple(r) for r in keyed_distinct(df, ["k"], ["o"]).collect()] == [("k", "2", "b")]

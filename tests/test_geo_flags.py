@@ -64,15 +64,20 @@ def test_multi_flags_numeric_document(spark):
                    4: ("No aplica", "No aplica")}
 
 
-def test_multi_flags_hot_document_split_is_exact(spark):
-    import random
-    rnd = random.Random(5)
-    rows = [(f"a{i}", "HOT" if i % 3 else f"d{i % 17}", rnd.choice(["RR", "SGA"]), rnd.choice(["x", "y"]))
-            for i in range(300)] + [(f"n{i}", None, "RR", "x") for i in range(5)]
-    df = spark.createDataFrame(rows, "cuenta string, doc string, crm string, marca string")
-    plain = flags.multi_flags(df, "doc", "cuenta", {"mp": "crm", "mm": "marca"}, hot_rows=10**9)
-    split = flags.multi_flags(df, "doc", "cuenta", {"mp": "crm", "mm": "marca"}, hot_rows=50)
-    a = sorted(tuple(r) for r in plain.collect())
-    b = sorted(tuple(r) for r in split.collect())
-    assert a == b and len(b) == 305
-    assert "_salt" in split._jdf.queryExecution().analyzed().toString()
+def test_department_of_known_cities(spark):
+    # later entries of a group win, as in the reports: the names that decide the order
+    rows = [(1, "BOGOTA", "CUNDINAMARCA", 2), (1, "ARMENIA", "QUINDIO", 1), (2, "ARMENIA", "ANTIOQUIA", 1),
+            (3, "CUCUTA", "N. DE SANTANDER", 1), (4, "CUCUTA", "SANTANDER", 1), (5, "CALI", "VALLE", 1), (2, "CALI", "VALLE DEL CAUCA", 2)]
+    cities = [("Bogota/DC", "CUNDINAMARCA"), ("armenia", "ANTIOQUIA"), ("CUCUTA NORTE", "SANTANDER"), ("Cali", "VALLE DEL CAUCA"),
+              (None, "VACIO"), ("", "VACIO"), ("Antioquia", "ANTIOQUIA"), ("Lejos", "NO IDENTIFICADO")]
+    df = spark.createDataFrame([(c,) for c, _ in cities], "c string")
+    got = {r.c: r.departamento for r in geo.resolve_departments(df, "c", geo.pattern_table(spark, rows)).collect()}
+    assert got == dict(cities)
+
+
+def test_unidentified_cities_and_unparsable_dates(spark):
+    from recaudo.operators import profile
+    df = spark.createDataFrame([("Lejos", "31/02/2025"), ("Lejos", "1/4/2025"), (None, " "), ("Cali", "raro")], "c string, f string")
+    pats = geo.pattern_table(spark, [(1, "CALI", "VALLE DEL CAUCA", 1)])
+    assert [tuple(r) for r in profile.unidentified_cities(df, "c", pats).collect()] == [("Lejos", 2)]
+    assert sorted(tuple(r) for r in profile.unparsable_dates(df, "f").collect()) == [("31/02/2025", 1), ("raro", 1)]

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from recaudo.operators import geo
-from recaudo.operators.joins import broadcast_if_small, spread_null_key, spread_small_input, union_aggregate
+from recaudo.operators.joins import broadcast_if_small, spread_null_key
 from recaudo.session import cut_lineage, scratch_path
 
 
@@ -20,28 +20,12 @@ def test_broadcast_only_below_the_bound(spark):
     assert not _is_broadcast_hint(broadcast_if_small(small, max_rows=9))
 
 
-def test_spread_small_input(spark):
-    one = spark.range(1000).coalesce(1)
-    spread = spread_small_input(one, slots=4)
-    assert spread.rdd.getNumPartitions() == 4
-    assert sorted(r.id for r in spread.collect()) == list(range(1000))
-    many = spark.range(0, 1000, numPartitions=8)
-    assert spread_small_input(many, slots=4) is many
-
-
 def test_spread_null_key_never_matches_and_spreads(spark):
     df = spark.createDataFrame([("a", "1"), (None, "2"), (None, "3")], "k string, acc string")
     keys = [r[0] for r in df.select(spread_null_key(F.col("k"), F.col("acc"))).collect()]
     assert keys[0] == "a" and keys[1] != keys[2] and keys[1].startswith("\u0000")
 
 
-def test_union_aggregate_is_a_full_outer_join(spark):
-    a = spark.createDataFrame([("1", 10), ("2", 20)], "k string, x int")
-    b = spark.createDataFrame([("2", "b2"), ("3", "b3")], "k string, y string")
-    out = union_aggregate([(a, {"x": F.col("x")}), (b, {"y": F.col("y")})], ["k"])
-    assert sorted(tuple(r) for r in out.collect()) == [("1", 10, None), ("2", 20, "b2"), ("3", None, "b3")]
-
-
 def test_pattern_dictionary_from_csv(spark):
     folder = scratch_path(spark, "patterns")
     os.makedirs(folder)

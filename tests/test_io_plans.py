@@ -4,6 +4,7 @@ literal fixtures."""
 import datetime as dt
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from recaudo.plans.assignment import assignment_base
@@ -70,7 +71,7 @@ def test_assignment_pipeline(spark):
     assert (a["FECHA INGRESO"], a["FECHA RETIRO"], a["ESTADO CUENTA"]) == ("1/4/2025", "4/4/2025", "Recuperada")
     assert [a[f"Dia_{d}"] for d in range(1, 6)] == ["Asignada", "Asignada", "Asignada", "Retirada", ""]
     assert (a["DIAS ASIGNADA"], a["DIAS RETIRADA"], a["RANGO DE DIAS"]) == (3, 1, 4)
-    assert a["PORCENTAJE"] == 12.5 and a["VALOR DESCUENTO"] == "17500,00"
+    assert a["PORCENTAJE"] == "12.5" and a["VALOR DESCUENTO"] == "17500,00"
     assert a["VALOR DEUDA"] == "20000,00" and a["RANGO CON DESCUENTO"] == "1 Menos a 20 mil"
     assert (a["DOCUMENTO"], a["TIPO DE DOCUMENTO"], a["NOMBRE"]) == ("100", "Cedula de Ciudadania", "PEDRO PEREZ")
     assert (a["MULTICUENTA"], a["MULTIPRODUCTO"], a["MULTIMORA"]) == ("Aplica", "Aplica", "Aplica")
@@ -166,3 +167,77 @@ def test_drifting_folder_reads_gzipped_exports(spark):
     scan = merge_export_folder(spark, base, 6, 2024)
     assert scan.skipped == []
     assert sorted((r.Cuenta_Real, r.Marca) for r in scan.df.collect()) == [("7.7-", "churn"), ("8.8-", None)]
+
+
+def test_command_line_reads_columns_by_name(spark):
+    from recaudo.__main__ import main
+    base = scratch_path(spark, "cli-names")
+    _write(f"{base}/c.csv", "cuenta;identificacion;origen;dato\n111;CC9;web;3001234567\n")
+    assert main(["contacts", "--input", f"{base}/c.csv", "--month", "3", "--year", "2025", "--out", f"{base}/out_c"]) == 0
+    r = delimited.read_delimited(spark, f"{base}/out_c", None, suffix=None).collect()
+    assert [(x.identificacion, x.cuenta, x.phone1) for x in r] == [("CC9", "111-", "3001234567")]
+    for ch in ("SMS", "EMAIL", "BOT", "IVR"):
+        _write(f"{base}/t/Consolidado {ch}.csv", "Fecha,Cantidad,Cuenta_Real,Cuenta_Sin_Punto,Marca\n1/4/2025,7,1.5,15,CHURN\n")
+    assert main(["touches", "--input", f"{base}/t", "--month", "3", "--year", "2025", "--out", f"{base}/out_t"]) == 0
+    r = delimited.read_delimited(spark, f"{base}/out_t", None, suffix=None).collect()
+    assert [(x.Cuenta_Real, x["Toques por SMS"]) for x in r] == [("1.5", "7")]
+    _write(f"{base}/d/d.csv", "otro;PORCENTAJE;CUENTA\nx;12.345;55\n")
+    got = delimited.read_by_header(spark, f"{base}/d", ["CUENTA", "PORCENTAJE"]).collect()
+    assert [tuple(x) for x in got] == [("55", "12.345")]
+    with pytest.raises(ValueError, match="Falta"):
+        delimited.read_by_header(spark, f"{base}/d", ["Falta"])
+
+
+def test_half_written_file_raises_or_is_reported(spark):
+    import gzip
+    base = scratch_path(spark, "half")
+    os.makedirs(base)
+    body = "Cuenta_Real;Cuenta_Sin_Punto\n" + "".join(f"{k}.{k};{k}\n" for k in range(20000))
+    whole = gzip.compress(body.encode())
+    for name, data in (("a.csv.gz", whole), ("b.csv.gz", whole[:len(whole) // 2])):
+        with open(f"{base}/{name}", "wb") as f:
+            f.write(data)
+    with pytest.raises(Exception):
+        merge_export_folder(spark, base, 6, 2024).df.count()
+    scan = merge_export_folder(spark, base, 6, 2024, skip_unreadable=True)
+    assert [os.path.basename(p) for p in scan.unreadable] == ["b.csv.gz"] and scan.df.count() == 20000
+
+
+def test_header_of_any_length_keeps_its_columns(spark):
+    base = scratch_path(spark, "wide")
+    names = [f"column_{k:06d}_{'x' * 300}" for k in range(4000)]
+    _write(f"{base}/w.csv", ";".join(names) + "\n" + ";".join(["1"] * 4000) + "\n")
+    assert delimited.header_columns(delimited.header_line(spark, f"{base}/w.csv"), ";") == tuple(names)
+
+
+def test_write_runs_the_plan_once_and_bounds_the_files(spark):
+    base = scratch_path(spark, "once")
+    seen = spark.sparkContext.accumulator(0)
+    df = spark.range(0, 5000, numPartitions=8).select(F.col("id"), F.concat(F.lit("2025-0"), (F.col("id") % 3 + 1).cast("string")).alias("mes"))
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    assert delimited.write_delimited(df.mapInArrow(count, "id long, mes string"), f"{base}/out", partition_by=["mes"])
+    assert seen.value == 5000
+    for month in os.listdir(f"{base}/out"):
+        assert len([f for f in os.listdir(f"{base}/out/{month}") if f.endswith(".csv")]) <= 2
+
+
+def test_percentages_keep_their_decimals(spark):
+    from recaudo.operators.discount import apply_discounts
+    base = spark.createDataFrame([("1-", "100000.00"), ("2-", "50.00")], "k string, debt string").select("k", F.col("debt").cast("decimal(18,2)").alias("debt"))
+    disc = spark.createDataFrame([("1-", "12.345"), ("1-", "9.5"), ("1-", "raro"), ("2-", None)], "c string, p string")
+    got = {r.k: (str(r.valor_descuento), r.porcentaje_texto, r.filtro_descuento) for r in apply_discounts(base, disc, "k", "c", "debt", "p").collect()}
+    assert got == {"1-": ("87655.000000", "12.345", "Aplica"), "2-": ("0.000000", "0", "No Aplica")}
+
+
+def test_undated_rows_are_reported_not_a_second_account(spark):
+    from recaudo.operators import calendar
+    from recaudo.plans.assignment import assignment_days
+    raw = spark.createDataFrame([_raw_row("CC7", "55", "BSCS", "Y", "N", "N", "1000", "30", "Ana", d) for d in ("1/4/2025", "junk", None)],
+                                ", ".join(f"`{i}_` string" for i in range(1, 58)))
+    disc = spark.createDataFrame([], "CUENTA string, PORCENTAJE string")
+    assert assignment_base(raw, disc).count() == 1
+    assert [tuple(r) for r in calendar.undated_rows(assignment_days(raw), ["CUENTA"], "_fecha").collect()] == [("55-", 2)]

@@ -140,3 +140,10 @@ def test_day_band(spark):
     assert got == ["Fuera de rango", "1 Entre 1 a 4 dias", "1 Entre 1 a 4 dias", "2 Entre 5 a 8 dias",
                    "7 Entre 25 a 28 dias", "8 Entre 29 a 31 dias", "8 Entre 29 a 31 dias", "Fuera de rango",
                    "Fuera de rango"]
+
+
+def test_strict_names_follow_the_pass_order(spark):
+    from recaudo.functions.text import clean_person_name
+    rows = [("Sr. José  Peña 2 ", "JOSPENA"), ("A ANA & CIA.", "ANA & CIA"), (None, None)]
+    df = spark.createDataFrame([(a,) for a, _ in rows], "n string")
+    assert [r[0] for r in df.select(clean_person_name("n", strict=True)).collect()][1:] == [b for _, b in rows][1:]
