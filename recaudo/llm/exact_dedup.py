@@ -75,9 +75,12 @@ def maybe_repeated(hashed: DataFrame, sha: str, slots_per_row: int = 8, hashes:
 
 
 def _keepers(suspects: DataFrame) -> DataFrame:
+    """text_sha256, keep_id, group_size of every text that has copies."""
     best = F.min(F.struct((-F.col("n_code")).alias("neg"), F.col("doc_id").isNull().alias("no_id"), F.col("doc_id")))
-    return (suspects.groupBy("text_sha256").agg(best.alias("best"), F.count("*").alias("group_size"))
-            .select("text_sha256", F.col("best.doc_id").alias("keep_id"), "group_size"))
+    groups = (suspects.groupBy("text_sha256").agg(best.alias("best"), F.count("*").alias("group_size")).filter("group_size > 1")
+              .select("text_sha256", F.col("best.doc_id").alias("keep_id"), "group_size"))
+    # a table of its own: the join with the suspects then has two plain exchanges, whose hot groups AQE splits
+    return written(groups, "exact-keepers")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **bloom) -> DataFrame:
@@ -91,8 +94,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), "text_sha256")
     suspects = flagged.filter("suspect")
+    keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     shuffled = suspects.join(_keepers(suspects), "text_sha256", "left").select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+        "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        F.col("doc_id").eqNullSafe(keep).alias("kept"), "text_sha256")
     return straight.unionByName(shuffled)
 
 
@@ -105,9 +110,9 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     suspects = flagged.filter("__suspect")
     keepers = _keepers(suspects.select(F.col(id_col).alias("doc_id"), F.col(sha).alias("text_sha256"),
                                        F.length(text_of(text_col)).alias("n_code")))
-    keepers = keepers.select(F.col("text_sha256").alias(sha), F.col("keep_id").alias("__keep_id"))
-    stay = suspects.join(keepers, (suspects[sha] == keepers[sha])
-                         & suspects[id_col].eqNullSafe(keepers["__keep_id"]), "left_semi")
+    keepers = keepers.select(F.col("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep_id"))
+    goes = F.col("__sha").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("__keep_id"))
+    stay = suspects.join(keepers, suspects[sha] == keepers["__sha"], "left").filter(~goes).drop("__sha", "__keep_id")
     return flagged.filter(~F.col("__suspect")).unionByName(stay).drop(sha, "__suspect")
 
 
