@@ -203,8 +203,9 @@ def _hub_pairs(members: DataFrame, links: DataFrame, hubs: int = 3) -> DataFrame
     """Every member of a dense region with the region's members that have the most links so far."""
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
     top = Window.partitionBy("region").orderBy(F.desc("degree"), "id")
-    hub = (members.join(degree, "id").withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= hubs)
-           .select("region", F.col("id").alias("hub")))
+    # a table of its own: the join below then has two plain exchanges, whose hot regions AQE splits
+    hub = written(members.join(degree, "id").withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= hubs)
+                  .select("region", F.col("id").alias("hub")), "near-hubs")
     return (members.join(hub, "region").filter("id != hub")
             .select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct())
 
