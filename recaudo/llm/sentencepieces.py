@@ -96,6 +96,8 @@ class Pieces:
                      for p, _, kind in model["pieces"]]
         self.arcs: dict[str | None, _Arcs] = {}
         self.known = _Count()
+        self.ends: dict[str, str] = {}           # the last piece of a text at the start of a unit
+        self.code = {p: i.to_bytes(4, "little") for p, i in usable.items()}
         self.units: dict[str, bytes] = {}
         self.table_size = table_size
 
@@ -127,20 +129,28 @@ class Pieces:
         return arcs
 
     def _window(self, unit: str) -> list[str]:
-        """Pieces of a BPE unit that fits into one window."""
-        behind, last, ids, reach = [self._behind(None)], [""], self.ids, self.reach.get
-        for end in range(1, len(unit) + 1):
+        """Pieces of a BPE unit that fits into one window. The best way to a
+        node depends on the text before it alone, so it is remembered by that
+        text: units with a known beginning go on from there. ``ends`` holds
+        with a text all its beginnings."""
+        ends, ids, reach = self.ends, self.ids, self.reach.get
+        if len(ends) > 2 * self.table_size:
+            ends.clear()
+        known = len(unit)
+        while known and unit[:known] not in ends:
+            known -= 1
+        for end in range(known + 1, len(unit) + 1):
             first = end - reach(unit[end - 3:end], 2) if end > 2 else 0
             for node in range(first if first > 0 else 0, end):
                 piece = unit[node:end]
-                if (piece in ids or node + 1 == end) and behind[node][piece]:
+                if (piece in ids or node + 1 == end) and self._behind(ends[unit[:node]] if node else None)[piece]:
                     break
-            last.append(piece)
-            behind.append(self._behind(piece))
+            ends[unit[:end]] = piece
         out, end = [], len(unit)
         while end:
-            out.append(last[end])
-            end -= len(last[end])
+            piece = ends[unit[:end]]
+            out.append(piece)
+            end -= len(piece)
         return out[::-1]
 
     def stream(self, chars: Iterable[str]) -> Iterator[str]:
@@ -193,13 +203,13 @@ class Pieces:
         return out[::-1]
 
     # --- texts -------------------------------------------------------------
-    def piece_ids(self, piece: str) -> list[int]:
-        known = self.ids.get(piece)
-        return [known] if known is not None else [self.byte[b] for b in piece.encode("utf-8", "surrogatepass")]
+    def _byte_ids(self, piece: str) -> bytes:
+        return b"".join(self.byte[b].to_bytes(4, "little") for b in piece.encode("utf-8", "surrogatepass"))
 
     def _unit(self, unit: str) -> bytes:
         pieces = self._window(unit) if self.kind == BPE and len(unit) <= 2 * self.longest else self.stream(unit)
-        ids = np.array([i for p in pieces for i in self.piece_ids(p)], np.int32).tobytes()
+        code = self.code
+        ids = b"".join([code[p] if p in code else self._byte_ids(p) for p in pieces])
         if len(self.units) >= self.table_size:
             self.units.clear()
         if len(unit) <= 64:
@@ -208,15 +218,15 @@ class Pieces:
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
-            return np.empty(0, np.int32)
-        literal = np.array([self.byte[b] for b in MARK.encode()], np.int32).tobytes()
+            return np.empty(0, "<i4")
+        literal = self._byte_ids(MARK)
         out = []
         for k, part in enumerate(((" " if self.prefix else "") + text).split(MARK)):
             if k:
                 out.append(literal)
             get, make = self.units.get, self._unit
             out += [get(u) or make(u) for u in self.unit.findall(part.replace(" ", MARK))]
-        return np.frombuffer(b"".join(out), np.int32)
+        return np.frombuffer(b"".join(out), "<i4")
 
     def decode(self, ids) -> str:
         text = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
