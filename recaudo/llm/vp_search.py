@@ -155,11 +155,25 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame | None = None, k:
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-#: Production parameter of op2: prunes more than the exact search; see the README for its measured recall.
-FACTOR = 1.15
+#: Production parameter of op2: exact. On the 64-dimensional test vectors no factor with a recall above
+#: 0.98 saves more than 7 % of the distances (README), so there is nothing to gain from a larger one here.
+FACTOR = 1.0
+
+ORACLE = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+s AS (
+  SELECT q.vec_id AS query_id, x.vec_id, list_reduce(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * x.e[i]), lambda a, b: a + b) AS score
+  FROM v q JOIN v x ON len(q.e) = len(x.e) AND q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0),
+r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
 
 
-@register("op2_vp_neighbours")
+@register("op2_vp_neighbours", ORACLE)
 def op2_vp_neighbours(spark, sf_dir):
     vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest_neighbours(vectors, vectors.filter("vec_id % 20 = 0"), factor=FACTOR)
