@@ -75,24 +75,26 @@ def features(text: bytes, buckets: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def train(rows: list[tuple[bytes, int]], buckets: int, dim: int, epochs: int, rate: float, seed: int) -> tuple[np.ndarray, float]:
+def counted(text: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The text's buckets and each one's share of its features."""
+    at, n = np.unique(features(text, buckets), return_counts=True)
+    return at.astype(np.int32), (n / max(1, n.sum())).astype(np.float32)
+
+
+def train(sparse: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, buckets: int, dim: int, epochs: int, rate: float,
+          seed: int) -> tuple[np.ndarray, float]:
     """(weight of each bucket, bias): the log-odds of label 1 are the mean
     weight over a text's features plus the bias. The softmax of two outputs
     depends on their difference alone, so the vectors are folded with it."""
     rng = np.random.default_rng(seed)
-    label = np.array([y for _, y in rows], np.int64)
-    if not len(rows) or label.min() == label.max():
-        share = min(max(float(label.mean()) if len(rows) else 0.5, 1e-6), 1 - 1e-6)
+    if not len(label) or label.min() == label.max():
+        share = min(max(float(label.mean()) if len(label) else 0.5, 1e-6), 1 - 1e-6)
         return np.zeros(buckets), float(np.log(share / (1 - share)))
-    sparse = []
-    for text, _ in rows:
-        at, n = np.unique(features(text, buckets), return_counts=True)
-        sparse.append((at, (n / max(1, n.sum())).astype(np.float32)))
     vectors = (rng.random((buckets, dim), np.float32) - 0.5) / dim
     output, bias = np.zeros((dim, 2), np.float32), np.log(np.bincount(label, minlength=2) / len(label))
-    steps, done = epochs * len(rows), 0
+    steps, done = epochs * len(label), 0
     for _ in range(epochs):
-        for k in rng.permutation(len(rows)):
+        for k in rng.permutation(len(label)):
             at, share = sparse[k]
             step = rate * (1 - done / steps)
             done += 1
@@ -111,13 +113,23 @@ def train(rows: list[tuple[bytes, int]], buckets: int, dim: int, epochs: int, ra
 
 
 def fit(sample: DataFrame, buckets: int, dim: int, epochs: int, rate: float, seed: int) -> tuple[np.ndarray, float]:
-    """Trains in one task on the bounded ``sample`` (doc_id, label, text)."""
+    """Counts features of the bounded ``sample`` (doc_id, label, text) where
+    its rows are, at most ``buckets`` numbers a row however long its text, and
+    trains on them in one task."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [counted(t.as_py().encode("utf-8", "surrogatepass"), buckets) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a.tobytes() for a, _ in found], pa.binary()),
+                                              pa.array([n.tobytes() for _, n in found], pa.binary())], ["doc_id", "label", "buckets", "shares"])
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["doc_id", "label", "text"])
-        weights, bias = train([(t.encode("utf-8", "surrogatepass"), int(y)) for t, y in zip(group.text, group.label)], buckets, dim, epochs, rate, seed)
+        group = group.sort_values(["doc_id", "label", "buckets", "shares"])
+        sparse = [(np.frombuffer(a, np.int32), np.frombuffer(n, np.float32)) for a, n in zip(group.buckets, group.shares)]
+        weights, bias = train(sparse, group.label.to_numpy(np.int64), buckets, dim, epochs, rate, seed)
         return pd.DataFrame({"weights": [weights.tobytes()], "bias": [bias]})
 
-    got = sample.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(run, "weights binary, bias double").collect()
+    rows = sample.select("doc_id", "label", "text").mapInArrow(count, "doc_id long, label int, buckets binary, shares binary")
+    got = rows.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(run, "weights binary, bias double").collect()
     return (np.frombuffer(got[0].weights), got[0].bias) if got else (np.zeros(buckets), 0.0)
 
 
