@@ -241,3 +241,21 @@ def test_undated_rows_are_reported_not_a_second_account(spark):
     disc = spark.createDataFrame([], "CUENTA string, PORCENTAJE string")
     assert assignment_base(raw, disc).count() == 1
     assert [tuple(r) for r in calendar.undated_rows(assignment_days(raw), ["CUENTA"], "_fecha").collect()] == [("55-", 2)]
+
+
+def test_stream_counts_late_rows_and_compacts(spark):
+    from recaudo.streaming.contact_log import compact, current_counts, run_hourly_counts
+    base = scratch_path(spark, "late-test")
+    schema = "event_id bigint, ts timestamp_ntz, event_type string"
+    t0 = dt.datetime(2024, 1, 1, 8, 0)
+    at = lambda h: t0 + dt.timedelta(hours=h)
+    run = lambda: run_hourly_counts(spark, base + "/in", spark.read.schema(schema).parquet(base + "/in").schema, "ts", "event_id",
+                                    {"estado": F.lit("Sent")}, base + "/out", base + "/ckpt", files_per_trigger=1)
+    spark.createDataFrame([(1, at(0), "a"), (2, at(9), "a")], schema).coalesce(1).write.mode("append").parquet(base + "/in")
+    assert run() == {"rows": 2, "late": 0}
+    spark.createDataFrame([(3, at(1), "late"), (4, at(9), "a")], schema).coalesce(1).write.mode("append").parquet(base + "/in")
+    assert run() == {"rows": 2, "late": 1}
+    now = sorted(tuple(r) for r in current_counts(spark, base + "/out", ["hora", "estado"]).collect())
+    assert now == [(at(0), "Sent", 1), (at(9), "Sent", 2)]
+    compact(spark, base + "/out", ["hora", "estado"], base + "/compact")
+    assert sorted(tuple(r) for r in current_counts(spark, base + "/compact", ["hora", "estado"]).collect()) == now

@@ -14,7 +14,8 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 KEY = ["calendar_status", "first_row_per_key", "slots_topn", "multi_flags", "touch_union_agg",
-       "touch_consolidate", "substring_lookup", "arrears_days", "consolidate_left", "contact_slots"]
+       "touch_consolidate", "substring_lookup", "arrears_days", "consolidate_left", "contact_slots",
+       "assignment_table", "monthly_consolidation"]
 
 
 def simplify(plan: str) -> str:
