@@ -90,7 +90,8 @@ def with_features(found: DataFrame, grams: DataFrame) -> DataFrame:
              .select("letters", F.explode(_grams(F.col("letters"))).alias("gram")))
     covered = (parts.join(F.broadcast(grams.withColumn("known", F.lit(1.0))), "gram", "left").groupBy("letters")
                .agg(F.avg(F.coalesce("known", F.lit(0.0))).alias("known")))
-    return keyed.join(covered, "letters", "left").drop("letters").withColumns({
+    # a table of its own: the join then has two plain exchanges, so AQE splits a frequent value (or none at all, as in numbers)
+    return keyed.join(written(covered, "secret-coverage"), "letters", "left").drop("letters").withColumns({
         "length": n, "upper": _count(v, "[A-Z]") / n, "digit": _count(v, "[0-9]") / n, "other": _count(v, "[^A-Za-z0-9]") / n,
         "transitions": _count(v, "(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])") / n,
         "coverage": F.coalesce("known", F.lit(0.0)),
