@@ -29,8 +29,8 @@ bounded by orders * window.
 
 Null, empty and blank texts have an empty set and link with nothing. Rows
 that repeat a doc_id are one document if their texts are equal, and link by
-their texts otherwise. Rows with a null id take no part in linking. Other
-columns are not read.
+their texts otherwise. A row with a null id gets the component of the documents
+with its very text, or null; it links nothing. Other columns are not read.
 """
 
 from __future__ import annotations

@@ -314,3 +314,23 @@ def test_pipeline_stages_against_brute_force(spark):
     assert sorted(r.doc_id for r in last) == sorted(r.doc_id for r in after) and all(r.round_trip for r in last)
     p = sentencepieces.Pieces(sentencepieces.load_model())
     assert all(p.decode(r.ids) == text[r.doc_id] for r in last)
+
+
+def test_pipeline_stages_on_odd_and_empty_tables(spark):
+    rows = [(None, None, None, None, None), (1, None, None, "s", 0), (2, "", "en", None, 0), (2, "", "en", None, 0), (3, "one two three four five six", None, "s", 5),
+            (4, "One two  three four five six", None, "s", 5), (5, "word " * 40_000, "en", "t", 9)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for given in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        docs = given
+        for name, stage in corpus_pipeline.STAGES:
+            docs = stage(spark, docs, LARGER)
+            if name != "sentencepiece":
+                assert docs.columns == given.columns
+        out = docs.collect()
+        assert all(r.round_trip for r in out) and (out or given.isEmpty())
+
+
+def test_near_duplicates_with_null_ids(spark):
+    docs = spark.createDataFrame([(None, "a b c d e f"), (None, None), (7, "a b c d e f"), (8, "a b c d e f")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()), key=str)
+    assert (7, 7, True) in got and (8, 7, False) in got and len(got) == 4
