@@ -2,8 +2,8 @@
 
 Every round hangs the neighbours of a row under the smallest id it knows,
 first from the side of the larger ids, then from that of the smaller ones,
-until all links are stars. Nothing is collected but a count and a checksum a
-round; each round's links are written to the shared folder. A hub with very
+until all links are stars. Nothing is collected but whether they are; each
+round's links are written to the shared folder. A hub with very
 many links is pre-aggregated (its minimum) and its links are joined back by a
 plain equi-join, which AQE splits.
 """
@@ -18,7 +18,7 @@ from .common import written
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:
@@ -27,15 +27,19 @@ def _small_star(links: DataFrame) -> DataFrame:
     return under.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every id hangs on one smaller id, on which nothing else but leaves hang."""
+    ends = links.select(F.col("a").alias("id"), F.col("b").alias("under")).union(links.select(F.col("b").alias("id"), F.lit(None).cast("long").alias("under")))
+    seen = ends.groupBy("id").agg(F.min("under").alias("least"), F.max("under").alias("most"), F.max(F.col("under").isNull()).alias("is_centre"))
+    return seen.filter("least < most or (is_centre and least is not null)").isEmpty()
+
+
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """id, component (smallest id reachable) for every id that has a link."""
-    state = written(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a != b").distinct(), "links")
-    check = None
+    state = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a != b")
     while True:
-        now = state.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first()
-        if tuple(now) == check:
-            break
-        check = tuple(now)
         state = written(_small_star(_large_star(state)), "links")
+        if _all_stars(state):
+            break
     return state.select(F.col("a").alias("id"), F.col("b").alias("component")).union(
         state.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
