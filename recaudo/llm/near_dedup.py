@@ -214,13 +214,13 @@ def near_links(docs: DataFrame, classes: DataFrame, width: int, trees: int, dept
     """id, component of every class that links with another class.
     ``docs``: id, text of all documents; ``classes``: id, n, labels."""
     found = written(forest(classes, trees, depth, min_depth, window, percent), "near-forest")
-    members = found.filter("region is not null").select(F.col("a").alias("id"), "region").distinct()
+    members = written(found.filter("region is not null").select(F.col("a").alias("id"), "region").distinct(), "near-members")
     pairs = written(found.filter("b is not null").groupBy("a", "b").agg(F.sum("common").alias("weight")), "near-pairs")
     each = pairs.select(F.explode(F.array("a", "b")).alias("end"), "a", "b", "weight")
     ends = each.select(F.col("end").alias("id")).union(members.select("id")).distinct()
     sets = written(shingle_sets(docs.join(ends, "id", "left_semi").select("id", "text"), width), "near-sets")
-    best = (each.withColumn("rank", F.row_number().over(Window.partitionBy("end").orderBy(F.desc("weight"), "a", "b")))
-            .filter("rank <= 3").select("a", "b").distinct())
+    best = written(each.withColumn("rank", F.row_number().over(Window.partitionBy("end").orderBy(F.desc("weight"), "a", "b")))
+                   .filter("rank <= 3").select("a", "b").distinct(), "near-best")
     links = written(confirmed(best, sets, percent), "near-links")
     component = connected_components(links)
     todo = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
