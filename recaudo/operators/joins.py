@@ -1,5 +1,4 @@
-"""Join helpers: bounded / checked broadcast, one-row-per-key right sides and
-null-key spreading.
+"""Join helpers: bounded / checked broadcast and null-key spreading.
 
 Rules the library follows:
 
@@ -15,8 +14,6 @@ Rules the library follows:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,12 +37,6 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-def one_row_per_key(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
-    """Right side reduced to one row per key before joining (D13: no fan-out
-    on unkeyed lists). Partial aggregation handles hot keys map-side."""
-    return df.groupBy(*keys).agg(*aggs)
-
-
 def spread_null_key(key: Column, spread: Column) -> Column:
     """Join key that never matches when ``key`` is NULL and spreads such rows
     over all partitions (instead of one hot NULL partition):
