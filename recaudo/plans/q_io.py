@@ -95,6 +95,71 @@ def csv_month_drift(spark, sf):
     return base_only.select("mes", "CUENTA_NEXT", "Marca", "Ciudad", "Extra")
 
 
+# ------------------------------------------------------------ single files, sinks
+
+@register("csv_by_name", """
+SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment FROM customer""")
+def csv_by_name(spark, sf):
+    base = scratch_path(spark, "csv-by-name")
+    c = table(spark, sf, "customer").select("c_mktsegment", F.lit("x").alias("otro"), "c_name", F.col("c_custkey").cast("string").alias("c_custkey"))
+    delimited.write_delimited(c, base, sep=",")
+    return delimited.read_by_header(spark, base, ["c_custkey", "c_name", "c_mktsegment"], sep=",")
+
+
+@register("csv_inferred", """
+SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, CAST(s_acctbal AS DOUBLE) AS s_acctbal FROM supplier""")
+def csv_inferred(spark, sf):
+    base = scratch_path(spark, "csv-inferred")
+    delimited.write_delimited(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal"), base)
+    return delimited.read_delimited(spark, base, infer=True)
+
+
+# the log grows by appended batches; an empty result leaves nothing behind
+@register("csv_append_log", """
+SELECT o_orderstatus AS estado, count(*) AS n, false AS vacio_escrito FROM orders GROUP BY 1""")
+def csv_append_log(spark, sf):
+    base = scratch_path(spark, "csv-log")
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("cuenta"), F.col("o_orderstatus").alias("estado"))
+    for odd in (0, 1):
+        delimited.append_log(o.where(F.col("cuenta").cast("bigint") % 2 == odd), os.path.join(base, "log"))
+    wrote_empty = delimited.write_delimited(o.where(F.lit(False)), os.path.join(base, "empty"))
+    log = delimited.read_by_header(spark, os.path.join(base, "log"), ["estado"])
+    return log.groupBy("estado").agg(F.count(F.lit(1)).alias("n"), F.lit(wrote_empty).alias("vacio_escrito"))
+
+
+# at most two files for each output partition
+@register("csv_files_per_partition", """
+SELECT o_orderstatus AS estado, count(*) AS n, true AS pocos_archivos FROM orders GROUP BY 1""")
+def csv_files_per_partition(spark, sf):
+    base = scratch_path(spark, "csv-files")
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").alias("estado"))
+    delimited.write_delimited(o, base, partition_by=["estado"], files_per_partition=2)
+    back = delimited.read_delimited(spark, base, "o_orderkey bigint, estado string", suffix=None)
+    return back.groupBy("estado").agg(F.count(F.lit(1)).alias("n"),
+                                      (F.count_distinct(F.col("_metadata.file_path")) <= 2).alias("pocos_archivos"))
+
+
+# files without a separator and files that break off are left out and reported
+@register("csv_skipped_report", """
+SELECT count(*) AS filas, 1 AS sin_separador, 1 AS ilegibles FROM supplier""")
+def csv_skipped_report(spark, sf):
+    base = scratch_path(spark, "csv-skipped")
+    s = table(spark, sf, "supplier")
+    delimited.write_delimited(s.select(F.col("s_suppkey").alias("Cuenta_Real"), "s_name"), os.path.join(base, "good"))
+    delimited.write_delimited(s.select(F.col("s_name").alias("solo")).coalesce(1), os.path.join(base, "plain"), sep="|")
+    # a gzip name over text that is no gzip: it can't be read to its end
+    s.select("s_name").coalesce(1).write.text(os.path.join(base, "text"))
+    fs, folder = delimited.hadoop_fs(spark, os.path.join(base, "text"))
+    jvm = spark.sparkContext._jvm
+    text = next(f.getPath() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    broken = jvm.org.apache.hadoop.fs.Path(os.path.join(base, "broken.csv.gz"))
+    fs.rename(text, broken)
+    files = [f for d in ("good", "plain") for f in delimited.list_files(spark, os.path.join(base, d))] + [broken.toString()]
+    scan = delimited.read_drifting_folder(spark, files, skip_unreadable=True)
+    return scan.df.agg(F.count(F.lit(1)).alias("filas"), F.lit(len(scan.skipped)).alias("sin_separador"),
+                       F.lit(len(scan.unreadable)).alias("ilegibles"))
+
+
 # ------------------------------------------------------------ streaming log
 # events play the contact-attempt log: the stream reads the given table as it
 # stands (one scan, no staging copy), counts attempts per hour and status,

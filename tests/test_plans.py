@@ -8,7 +8,8 @@ from recaudo.plans.catalog import QUERIES
 from tools.check_oracle import table_hash
 
 SF = "/root/testdata/sf0.001"
-WRITES = {"csv_roundtrip", "csv_drift_merge", "csv_month_drift", "contact_log_stream"}   # plan after a write/stream
+WRITES = {"csv_roundtrip", "csv_drift_merge", "csv_month_drift", "csv_by_name", "csv_inferred",
+          "csv_append_log", "csv_files_per_partition", "csv_skipped_report", "contact_log_stream"}   # plan after a write/stream
 
 
 def _plan(spark, name):
