@@ -13,9 +13,20 @@ held against its three rows with the most confirmed links, again and again
 while that finds links, so that variants of one text that resemble the text
 but not each other come together.
 
+What is then still apart in large regions is compared by a prefix filter. All
+shingles have one order, rare ones first (by how often the rows of large
+regions hold their bucket of ``BUCKETS``, then by hash). Of two sets at the
+threshold the larger shares one of its first n - ceil(0.8 n) + 1 shingles with
+the first n - ceil(2 * 0.8 n / 1.8) + 1 of the smaller, at places that leave
+enough shingles behind them. Rows of different components that do are
+candidates, however many: text that all rows of a region share stands behind
+their own shingles and makes none unless it could make a link. A shingle of
+many rows is dealt out by a salt that its count gives.
+
 A pair of similarity 0.8 shares 3 of 3 values in one order with probability
-0.51, so 24 orders miss it with probability 4e-8. A pair that a boundary between two sorted parts separates is looked
-for in the other orders.
+0.51, so 24 orders miss it with probability 4e-8; the region it then shares is
+compared whole. A pair that a boundary between two sorted parts separates is
+looked for in the other orders.
 
 Candidates are confirmed on whole sets: 100 * intersection >= 80 * union. The
 three likeliest candidates of every document are confirmed first; of the rest
@@ -25,7 +36,7 @@ change the result.
 Equal sets are one class from the start, so copies cost one row each. The
 sorted orders are dealt out by range of (order, label, id), so neither a hot
 label nor a hot region lands in one task; candidates of one document are
-bounded by orders * window.
+bounded by orders * window, and by the prefix filter in large regions.
 
 Null, empty and blank texts have an empty set and link with nothing. Rows
 that repeat a doc_id are one document if their texts are equal, and link by
@@ -46,6 +57,8 @@ from .common import read_table, text_of, written
 from .components import connected_components
 from .registry import register
 
+BUCKETS = 1 << 20       # counters of shingles, the bound of what is broadcast
+SALT_ROWS = 2048        # rows of one shingle under one salt
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -199,6 +212,13 @@ def _apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
             .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
+def _merged(component: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with more links."""
+    if links.isEmpty():
+        return component
+    return connected_components(component.select(F.col("id").alias("a"), F.col("component").alias("b")).union(links))
+
+
 def _hub_pairs(members: DataFrame, links: DataFrame, hubs: int = 3) -> DataFrame:
     """Every member of a dense region with the region's members that have the most links so far."""
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
@@ -209,6 +229,70 @@ def _hub_pairs(members: DataFrame, links: DataFrame, hubs: int = 3) -> DataFrame
             .select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct())
 
 
+def _bucket(shingles: np.ndarray) -> np.ndarray:
+    return (_mixed(shingles.view(np.uint64)) & np.uint64(BUCKETS - 1)).astype(np.int64)
+
+
+def _lists(column: pa.Array) -> Iterator[np.ndarray]:
+    ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return (values[a:b] for a, b in zip(ends[:-1], ends[1:]))
+
+
+def shingle_counts(sets: DataFrame) -> np.ndarray:
+    """How many (row, shingle) of ``sets`` fall into each bucket; 0 for 0 and 1."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for s in _lists(batch.column(0)):
+                np.add.at(count, _bucket(s), 1)
+        hit = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(hit), pa.array(count[hit])], ["bucket", "n"])
+    counts = np.zeros(BUCKETS, np.int64)
+    rows = sets.select("shingles").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).filter("n > 1").toArrow()   # at most BUCKETS
+    counts[rows.column("bucket").to_numpy()] = rows.column("n").to_numpy()
+    return counts
+
+
+def prefixes(sets: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
+    """The first shingles of each set of (id, component, shingles), rare ones
+    first: a row for the sets no larger (smaller, salt of the id), and one a
+    salt for those no smaller."""
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+    names = ["shingle", "salt", "smaller", "id", "component", "n", "place"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part, out = batch.slice(at, 256), []
+                for i, c, s in zip(part.column(0).to_numpy(), part.column(1).to_numpy(), _lists(part.column(2))):
+                    n, often = len(s), shared.value[_bucket(s)]
+                    first = np.lexsort((s, often))[:n - -(-percent * n // 100) + 1]
+                    s, salts, place = s[first], 1 + often[first] // SALT_ROWS, np.arange(len(first))
+                    few = n - -(-2 * percent * n // (100 + percent)) + 1
+                    own = int(_mixed(np.array([i]).view(np.uint64))[0] >> np.uint64(1))
+                    turn = np.arange(salts.sum()) - np.repeat(np.cumsum(salts) - salts, salts)
+                    k = few + len(turn)
+                    out.append((np.concatenate([s[:few], np.repeat(s, salts)]), np.concatenate([own % salts[:few], turn]), np.arange(k) < few,
+                                np.full(k, i), np.full(k, c), np.full(k, n), np.concatenate([place[:few], np.repeat(place, salts)])))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names)
+    return (sets.select("id", "component", "shingles").filter("size(shingles) > 0")
+            .mapInArrow(run, "shingle long, salt long, smaller boolean, id long, component long, n long, place long"))
+
+
+def _prefix_pairs(members: DataFrame, sets: DataFrame, component: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) of members in different components that can be similar enough."""
+    inside = sets.join(members.select("id").distinct(), "id", "left_semi")
+    rows = (inside.join(component, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "shingles"))
+    parts = written(prefixes(rows, percent, shingle_counts(inside)), "near-prefixes")
+    small, large = (parts.filter(F.col("smaller") == y).select("shingle", "salt", *[F.col(c).alias(c[0] + y_) for c in ("id", "component", "n", "place")])
+                    for y, y_ in ((True, "0"), (False, "1")))
+    left = F.least(F.col("n0") - F.col("p0"), F.col("n1") - F.col("p1"))        # shared from here on, at most
+    return (small.join(large, ["shingle", "salt"])
+            .filter((F.col("c0") != F.col("c1")) & ((F.col("n0") < F.col("n1")) | (F.col("n0") == F.col("n1")) & (F.col("i0") < F.col("i1")))
+                    & (100 * F.col("n0") >= percent * F.col("n1")) & ((100 + percent) * left >= percent * (F.col("n0") + F.col("n1"))))
+            .select(F.greatest("i0", "i1").alias("a"), F.least("i0", "i1").alias("b")).distinct())
+
+
 def near_links(docs: DataFrame, classes: DataFrame, width: int, trees: int, depth: int, min_depth: int, window: int, percent: int) -> DataFrame:
     """id, component of every class that links with another class.
     ``docs``: id, text of all documents; ``classes``: id, n, labels."""
@@ -227,10 +311,13 @@ def near_links(docs: DataFrame, classes: DataFrame, width: int, trees: int, dept
         todo = _apart(todo.union(_hub_pairs(members, links)).distinct(), component)
         more = written(confirmed(todo, sets, percent), "near-links")
         if more.isEmpty():
-            return component
+            break
         links = links.union(more)
-        component = connected_components(component.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more))
+        component = _merged(component, more)
         todo = more.limit(0)          # the other candidates are confirmed or refuted; better hubs may be known now
+    if members.isEmpty():
+        return component
+    return _merged(component, written(confirmed(_prefix_pairs(members, sets, component, percent), sets, percent), "near-links"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 24, depth: int = 8, min_depth: int = 3,
