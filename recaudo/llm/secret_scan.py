@@ -1,11 +1,14 @@
 r"""Secret scan with a random forest that removes false positives.
 
-Candidates are runs of 16 or more letters, digits, ``+ / _ -`` and shorter
-values that are assigned to a name like password or token. Each gets
+Candidates are runs of 16 or more letters, digits, ``+ / _ -`` and values of
+six or more characters that are assigned to a name like password or token,
+which a suffix (``_PROD``) and a closing quote may follow. A value goes to its
+closing quote in the line, or to white space; a run inside a longer value is a
+candidate too. Each gets
 features: length; shares of upper-case letters, digits and other characters;
 transitions between character classes a character; coverage by the corpus'
 own dictionary (share of its three-letter sequences that are among the
-``dictionary`` most frequent of all words of up to 64 letters); whether it stands in a path; and
+``dictionary`` most frequent of all words); whether it stands in a path; and
 its neighbouring words (a name of a secret before it, an assignment, quotes,
 words of documentation around it). A random forest over them gives the chance
 that a finding is a secret.
@@ -38,10 +41,13 @@ from .registry import register
 from .spans import match_spans
 
 NAMES = r"passw(?:or)?d|pwd|secret|token|api[_-]?key|access[_-]?key|credential"
-#: Runs of 16 or more key characters, and shorter values that are assigned to a secret's name.
+SUFFIX = r"(?:[0-9_.-][A-Za-z0-9_.-]{0,23}+)?+"
+#: Runs of 16 or more key characters, and values that are assigned to a secret's name.
 RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+"
-LEAD = rf"(?i:{NAMES})\s{{0,2}}[=:]\s{{0,2}}[\x22']?"
-ASSIGNED = LEAD + r"[^\s\x22']{6,15}+(?![A-Za-z0-9+/_-])"
+LEAD = rf"(?i:{NAMES}){SUFFIX}[\x22']?\s{{0,2}}[=:]\s{{0,2}}[\x22']?+"
+# to the quote that opened it, where the line has it, else to white space or a quote
+ASSIGNED = LEAD + (r"(?:(?<=\x22)(?!.{0,5}(?<!\\)\x22).{6,}?(?=(?<!\\)\x22)|(?<=')(?!.{0,5}(?<!\\)').{6,}?(?=(?<!\\)')"
+                   r"|[^\s\x22']{6,}+(?:'(?![\s,;)}\]]|$)[^\s\x22']++)*+)")
 #: Published key formats (fixed values).
 FORMATS = r"^(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})$"
 PLACEHOLDER = r"(?i)example|placeholder|changeme|your[_-]|xxxx|dummy|sample|0123456789|(.)\1{7}"
@@ -61,7 +67,8 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     lead = lambda s: F.length(F.regexp_extract(s["value"], "^" + LEAD, 0))
     short = F.transform(short, lambda s: F.struct((s["start"] + lead(s)).alias("start"), s["end"].alias("end"), F.substr(s["value"], lead(s) + 1).alias("value")))
     long = match_spans(F.col("text"), RUN)
-    both = F.concat(long, F.filter(short, lambda s: ~F.exists(long, lambda r: (r["start"] < s["end"]) & (s["start"] < r["end"]))))
+    # not again what is a run but for closing punctuation
+    both = F.concat(long, F.filter(short, lambda s: ~F.exists(long, lambda r: (r["start"] == s["start"]) & F.substr(s["value"], F.length(r["value"]) + 1).rlike(r"^[,;.:)}\]>]*$"))))
     hit = F.transform(both, lambda s: F.struct(
         s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
         F.substr(F.col("text"), F.greatest(F.lit(1), s["start"] - CONTEXT + 1), F.least(F.lit(CONTEXT), s["start"])).alias("before"),
@@ -70,13 +77,15 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def _grams(word: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.length(word) - 2), lambda i: F.substr(word, i, F.lit(3)))
+    # a substring's place is counted from the start, so long words are searched instead
+    return (F.when(F.length(word) <= 64, F.transform(F.sequence(F.lit(1), F.length(word) - 2), lambda i: F.substr(word, i, F.lit(3))))
+            .otherwise(F.regexp_extract_all(word, F.lit(r"(?=(\p{L}{3}))"), F.lit(1))))
 
 
 def dictionary_of(docs: DataFrame, size: int, text_col: str = "text") -> DataFrame:
     """The ``size`` most frequent three-letter sequences of all words."""
     words = (docs.select(F.explode(F.regexp_extract_all(F.lower(text_of(text_col)), F.lit(r"\p{L}{3,}+"), F.lit(0))).alias("word"))
-             .groupBy("word").agg(F.count("*").alias("n")).filter(F.length("word") <= 64))
+             .groupBy("word").agg(F.count("*").alias("n")))
     return (words.select("n", F.explode(_grams(F.col("word"))).alias("gram")).groupBy("gram").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), "gram").limit(size).select("gram"))
 
@@ -96,7 +105,7 @@ def with_features(found: DataFrame, grams: DataFrame) -> DataFrame:
         "transitions": _count(v, "(?<=[a-z])(?=[A-Z0-9])|(?<=[A-Z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])") / n,
         "coverage": F.coalesce("known", F.lit(0.0)),
         "in_path": (F.col("before").rlike(r"[/\\.]$") | F.col("after").rlike(r"^[/\\]|^\.[a-z]{2,4}\b") | v.rlike("^/|/.*/") | F.coalesce(F.col("path").rlike(r"(?i)test|example|sample|[/\\]"), F.lit(False))).cast("double"),
-        "named": F.col("before").rlike(rf"(?i)(?:{NAMES})[^\p{{L}}]{{0,6}}$").cast("double"),
+        "named": F.col("before").rlike(rf"(?i)(?:{NAMES}){SUFFIX}[^\p{{L}}]{{0,6}}$").cast("double"),
         "assigned": F.col("before").rlike(r"[=:]\s{0,2}[\x22']?$").cast("double"),
         "quoted": (F.col("before").rlike(r"[\x22']$") & F.col("after").rlike(r"^[\x22']")).cast("double"),
         "documentation": near.rlike(r"example|commit|sha|hash|checksum|uuid|http").cast("double"),
