@@ -1,14 +1,18 @@
 """Approximate nearest neighbours by vantage-point trees, one per shard.
 
-Nearness is the inner product. Each vector x gets one more component
-sqrt(M^2 - |x|^2), where M is the largest norm, and a query gets a zero there:
+Nearness is the inner product. The points of a shard are dealt into bands of
+norms within a factor of two, each with a tree of its own, searched from the
+largest norms on. In a band, with M its largest norm, each vector x gets one
+more component sqrt(M^2 - |x|^2) and a query, scaled to norm M, a zero there:
 the Euclidean distance then orders candidates as the inner product does, and
 it obeys the triangle inequality that a vantage-point tree prunes by. At a
 node with median distance mu, a query at distance d from the vantage point
-and with k-th best distance tau needs the far side only where
-``factor * |d - mu| <= tau``. Factor one is exact; a larger factor prunes more.
+and with the k-th best product lifted to a distance tau needs the far side
+only where ``factor * |d - mu| <= tau``, with room for rounding; a band is
+left out for queries whose k-th best product is over |q| M. Factor one is
+exact, at any norms; a larger factor prunes more. The leaves compare exact
+products, ties by the smallest id, so rounding loses no vector.
 
-Vectors are dealt into shards by a hash of their id and queries into blocks.
 One task joins one shard with one block of queries, builds the shard's tree
 (bounded by the shard) and walks it with all queries of the block at once.
 Every shard returns its nearest ``k`` for each query, which a ranked window
@@ -37,11 +41,18 @@ from .registry import register
 RESULT = "query_id long, vec_id long, score double"
 
 
-class VPTree:
-    """Tree over the rows of ``x`` (distinct points, already augmented)."""
+EPS = float(np.finfo(np.float64).eps)
+
 
-    def __init__(self, x: np.ndarray, leaf: int = 256, seed: int = 5):
-        self.x, self.leaf, rng = x, leaf, np.random.default_rng(seed)
+class VPTree:
+    """Tree over the rows of ``x`` (distinct points, of norm ``norm`` at most, lifted to it)."""
+
+    def __init__(self, x: np.ndarray, norm: float, leaf: int = 256, seed: int = 5):
+        # in units of the norm, so that squares neither overflow nor vanish
+        x = x / norm
+        self.x = np.hstack([x, np.sqrt(np.maximum(1.0 - (x * x).sum(axis=1), 0.0))[:, None]])
+        # a distance's error: the root of the error of its square
+        self.leaf, self.slack, rng = leaf, 8 * np.sqrt((x.shape[1] + 8) * EPS), np.random.default_rng(seed)
         self.root = self._build(np.arange(len(x)), rng)
 
     def _build(self, rows: np.ndarray, rng):
@@ -57,32 +68,25 @@ class VPTree:
                 return rows
         return v, mu, self._build(rows[inside], rng), self._build(rows[~inside], rng)
 
-    def nearest(self, q: np.ndarray, k: int, factor: float = 1.0):
-        """(positions, distances) of the k nearest points of each query; -1 where there are fewer."""
-        best = np.full((len(q), k), np.inf)
-        at = np.full((len(q), k), -1, np.int64)
-        slack = 1e-9 * (1.0 + float(np.abs(self.x).max(initial=0.0)))
+    def visit(self, q: np.ndarray, who: np.ndarray, tau, leaf, factor: float = 1.0) -> None:
+        """Calls leaf(who, points) for all leaves that the queries ``who`` (rows
+        of ``q``, of norm one) need; ``tau(who)`` is the distance up to which points count."""
+        q = np.hstack([q, np.zeros((len(q), 1))])
 
-        def visit(node, who):
+        def walk(node, who):
             if not len(who):
                 return
             if isinstance(node, np.ndarray):
-                d = np.concatenate([best[who], _distances(q[who], self.x[node])], axis=1)
-                ids = np.concatenate([at[who], np.broadcast_to(node, (len(who), len(node)))], axis=1)
-                if d.shape[1] > k:
-                    pick = np.argpartition(d, k - 1, axis=1)[:, :k]
-                    d, ids = np.take_along_axis(d, pick, 1), np.take_along_axis(ids, pick, 1)
-                best[who], at[who] = d, ids
+                leaf(who, node)
                 return
             v, mu, inner, outer = node
             d = _distances(q[who], self.x[v][None, :])[:, 0]
             for first, second, side in ((inner, outer, d <= mu), (outer, inner, d > mu)):
                 mine, gap = who[side], np.abs(d[side] - mu)
-                visit(first, mine)
-                visit(second, mine[factor * gap <= best[mine].max(axis=1, initial=0.0) + slack])
+                walk(first, mine)
+                walk(second, mine[factor * (gap - self.slack) <= tau(mine) + self.slack])
 
-        visit(self.root, np.arange(len(q)))
-        return at, best
+        walk(self.root, who)
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -98,16 +102,58 @@ def _products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return total
 
 
-def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, factor: float, norm: float, spare: int = 4) -> pd.DataFrame:
+def _norms(x: np.ndarray) -> np.ndarray:
+    largest = np.abs(x).max(axis=1, initial=0.0)
+    return largest * np.sqrt(((x / largest[:, None]) ** 2).sum(axis=1)) * (1 + 1e-12)
+
+
+def _best_points(points: np.ndarray, first: np.ndarray, q: np.ndarray, k: int, factor: float):
+    """(row of q, point, score) of the ``k`` points of largest product, then
+    smallest first id, for each query."""
+    size, long = _norms(points), _norms(q)
+    score, at = np.full((len(q), k), -np.inf), np.full((len(q), k), -1, np.int64)
+    unit = q / long[:, None]
+    room = 4 * (q.shape[1] + 8) * EPS                     # rounding of a product of unit vectors, either way of summing
+    band = np.frexp(size)[1]
+    for b in np.unique(band)[::-1]:
+        rows = np.flatnonzero(band == b)
+        norm = size[rows].max()
+        tree = VPTree(points[rows], norm)
+        scaled = points[rows] / norm
+
+        def least(who):                                   # the k-th best product in units of the band
+            with np.errstate(over="ignore"):
+                return score[who, -1] / long[who] / norm - room
+
+        def leaf(who, node):
+            near = unit[who] @ scaled[node].T >= least(who)[:, None]
+            i, j = np.nonzero(near)
+            if not len(i):
+                return
+            new = _products(q[who[i]], points[rows[node[j]]])
+            hit, place = np.unique(i, return_inverse=True)
+            row = np.concatenate([place, np.repeat(np.arange(len(hit)), k)])
+            value = np.concatenate([new, score[who[hit]].ravel()])
+            point = np.concatenate([rows[node[j]], at[who[hit]].ravel()])
+            by = np.lexsort((first[point], -value, row))
+            row, value, point = row[by], value[by], point[by]
+            top = np.arange(len(row)) - np.searchsorted(row, row) < k
+            score[who[hit]], at[who[hit]] = value[top].reshape(-1, k), point[top].reshape(-1, k)
+
+        tree.visit(unit, np.flatnonzero(least(np.arange(len(q))) <= 1.0), lambda who: np.sqrt(np.maximum(2.0 - 2.0 * least(who), 0.0)), leaf, factor)
+    row, col = np.nonzero(at >= 0)
+    return row, at[row, col], score[row, col]
+
+
+def search_shard(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, factor: float) -> pd.DataFrame:
     """The nearest k of a shard for each query, by tree."""
     points, of = np.unique(x, axis=0, return_inverse=True)
     order = np.lexsort((ids, of.ravel()))
     start = np.searchsorted(of.ravel()[order], np.arange(len(points) + 1))
-    tree = VPTree(np.hstack([points, np.sqrt(np.maximum(norm * norm - (points * points).sum(axis=1), 0.0))[:, None]]))
-    at, _ = tree.nearest(np.hstack([q, np.zeros((len(q), 1))]), min(k + spare, len(points)), factor)
-    row, col = np.nonzero(at >= 0)
-    point = at[row, col]
-    score = _products(q[row], points[point])
+    # more points than k, as some may hold the query's own id alone
+    own = np.unique(np.stack([ids, of.ravel()], axis=1), axis=0)[:, 0]
+    spare = int(np.unique(own[np.isin(own, query_ids)], return_counts=True)[1].max(initial=1))
+    row, point, score = _best_points(points, ids[order[start[:-1]]], q, k + spare, factor)
     # a point stands for its first k + 1 ids (one may be the query's own)
     many = np.minimum(start[point + 1] - start[point], k + 1)
     row, score = np.repeat(row, many), np.repeat(score, many)
@@ -135,16 +181,14 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame | None = None, k:
 
     points = written(usable(vectors), "vectors")
     asked = points if queries is None else written(usable(queries), "queries")
-    stats = points.agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)).alias("norm2")).first()
-    shards = max(1, -(-stats.n // shard_rows))
+    shards = max(1, -(-points.count() // shard_rows))
     blocks = max(1, -(-asked.count() // block_rows))
-    norm = float(np.sqrt(stats.norm2 or 0.0)) * (1 + 1e-12)
 
     def run(key, points: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(points) or not len(asked):
             return pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
         x, q = (np.stack(df["v"].to_numpy()).astype(np.float64) for df in (points, asked))
-        return search_shard(points["id"].to_numpy(), x, asked["id"].to_numpy(), q, k, factor, norm)
+        return search_shard(points["id"].to_numpy(), x, asked["id"].to_numpy(), q, k, factor)
 
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     place = lambda seed, n: F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(n)).cast("int")

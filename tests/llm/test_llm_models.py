@@ -153,6 +153,26 @@ def test_vector_search_is_exact_at_factor_one(spark):
     assert vp_search.nearest_neighbours(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("case", ["ties", "huge", "tiny", "mixed"])
+def test_vector_search_with_ties_and_far_norms(case):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(900, 12))
+    if case == "ties":                                     # distinct vectors, most products equal
+        x = np.unique(rng.integers(0, 2, (900, 12)), axis=0)[1:].astype(float)
+    elif case == "huge":
+        x[17] *= 1e8
+    elif case == "tiny":
+        x[::2] *= 1e-9
+    else:
+        x *= 10.0 ** rng.integers(-60, 60, 900)[:, None]
+    ids = rng.permutation(len(x)) * 3
+    rows = [(int(i), list(map(float, v))) for i, v in zip(ids, x)]
+    got = {}
+    for r in vp_search.search_shard(ids, x, ids[:60], x[:60], 7, 1.0).itertuples():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert got == nearest_by_brute_force(rows, rows[:60], 7)
+
+
 def test_relaxed_pruning_keeps_recall(spark):
     table = read_table(spark, LARGER, "embeddings")
     asked = table.filter("vec_id % 20 = 0")
