@@ -258,6 +258,21 @@ def test_toxic_passages_and_held_out_labels(spark):
             assert inside == inside.strip() and any(model.word(w) is not None for w in toxicity.WORD.findall(inside.lower()))
 
 
+def test_toxic_phrases_of_fixed_wording_are_learned(spark):
+    rnd = random.Random(21)
+    words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(3, 9))) for _ in range(400)]
+    rows = []
+    for k in range(500):
+        text = [rnd.choice(words) for _ in range(60)]
+        if k % 5 == 0:
+            text[:0] = ["you", "filthy", "vermin", "crawl"]       # always after the same words
+        rows.append((k, int(k % 5 == 0), " ".join(text)))
+    table = lambda part: spark.createDataFrame(part, "doc_id long, label int, text string")
+    model = toxicity.fit(table(rows[:350]))
+    got = {r.doc_id: r.score >= 0.5 for r in toxicity.score(table(rows[350:]), model).collect()}
+    assert all(got[k] == (y == 1) for k, y, _ in rows[350:])
+
+
 # --- SentencePiece -------------------------------------------------------------
 ODD = ["", " ", "a", "  two  spaces ", "tab\tand\nline\r\n", "▁", "x▁y ▁ ▁▁z", "<s> </s> <unk> <0x0A>", "中文 テスト 😀 \x00\x01", "ſ ﬁ Å Å", "a" * 5000, " " * 700, "!" * 333 + "?" * 40, "the" * 3000]
 
