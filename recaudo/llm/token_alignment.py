@@ -106,9 +106,12 @@ def common_ends(a: np.ndarray, b: np.ndarray, work: int = 1 << 14) -> tuple[np.n
             found.append(np.stack([i[k] + hit, j[k] + at[hit]]))
         if i[k + 1] and j[k + 1] < len(b) and a[i[k + 1] - 1] == b[j[k + 1]]:     # cut between two equal ends
             found.append(np.array([[i[k + 1] - 1], [j[k + 1]]]))
-    # two cuts may stand between the same ends, if a piece is empty
-    shared = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.empty((2, 0), np.int64)
-    return shared[0], shared[1]
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    # pieces come in order; two cuts may stand between the same ends, if one has nothing of a side
+    shared = np.concatenate(found, axis=1)
+    once = np.diff(shared[0], prepend=-1) > 0
+    return shared[0][once], shared[1][once]
 
 
 class Aligner:
