@@ -58,6 +58,7 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--end", required=True, help="yyyy-mm")
     m.add_argument("--patterns", required=True, help="CSV ord;pattern;department;grp")
     m.add_argument("--out", required=True)
+    m.add_argument("--changed-only", action="store_true", help="only months whose files changed since they were written; others keep their folders")
     args = ap.parse_args(argv)
 
     spark = get_session(args.master)
@@ -88,10 +89,15 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "monthly":
         from .operators import geo
         from .plans import monthly
-        src = monthly.read_months(spark, args.input, monthly.month_range(_ym(args.start), _ym(args.end)))
+        months = monthly.month_range(_ym(args.start), _ym(args.end))
+        pats = geo.read_pattern_table(spark, args.patterns)
+        if args.changed_only:
+            for month, rows in monthly.rerun_months(spark, args.input, args.out, months, pats).items():
+                print(f"{month}: {rows} rows" if rows else f"{month}: no rows, left as it was", file=sys.stderr)
+            return 0
+        src = monthly.read_months(spark, args.input, months)
         for p in src.missing:
             print(f"missing monthly file: {p}", file=sys.stderr)
-        pats = geo.read_pattern_table(spark, args.patterns)
         monthly.write_monthly(monthly.monthly_consolidation(src, pats), args.out)
     return 0
 

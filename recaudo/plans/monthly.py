@@ -23,6 +23,7 @@ from ..functions import bands, classify, dates, fixed, keys
 from ..functions.text import clean_header
 from ..operators import consolidate, contacts, geo, joins, outcomes
 from ..operators.topn import keyed_distinct, slot_columns
+from ..sources import committed
 from ..sources.delimited import data_files, read_by_header
 
 MONTH = "mes"
@@ -79,16 +80,23 @@ def month_range(start: tuple[int, int], end: tuple[int, int]) -> list[tuple[int,
 
 def read_months(spark: SparkSession, folder: str, months: list[tuple[int, int]],
                 layout: dict[str, str] = DEFAULT_LAYOUT, sep: str = ";",
-                encoding: str | None = None) -> MonthlySources:
+                encoding: str | None = None, other_months: list[tuple[int, int]] = ()) -> MonthlySources:
     """All months of every source as one DataFrame per source, by column
     name: one scan for all monthly files with the same header, unioned by
     name; the month comes from the file name
     (``{year}-{month}`` in the layout, read back from
-    ``_metadata.file_path``, whose URI encoding leaves digits and '-' alone)."""
+    ``_metadata.file_path``, whose URI encoding leaves digits and '-' alone).
+    A source without a file in ``months`` takes its columns, and no row, from
+    ``other_months``."""
     out = {}
     missing: list[str] = []
     for f in fields(MonthlySources)[:11]:
-        out[f.name] = read_source(spark, folder, f.name, months, layout, sep, encoding, missing)
+        try:
+            out[f.name] = read_source(spark, folder, f.name, months, layout, sep, encoding, missing)
+        except FileNotFoundError:
+            if not other_months:
+                raise
+            out[f.name] = read_source(spark, folder, f.name, list(other_months), layout, sep, encoding).limit(0)
     return MonthlySources(**out, missing=missing)
 
 
@@ -100,7 +108,7 @@ def read_source(spark: SparkSession, folder: str, name: str, months: list[tuple[
     if "{year}-{month}" not in layout[name]:
         raise ValueError(f"layout for {name} must contain '{{year}}-{{month}}'")
     paths = [os.path.join(folder, layout[name].format(year=y, month=f"{m:02d}")) for y, m in months]
-    present = [p for p in paths if _exists(spark, p)]
+    present = [p for p in paths if committed.exists(spark, p)]
     if missing is not None:
         missing += [p for p in paths if p not in present]
     if not present:
@@ -112,10 +120,13 @@ def read_source(spark: SparkSession, folder: str, name: str, months: list[tuple[
     return df.withColumn(MONTH, F.regexp_extract("_file", rf"{before}(\d{{4}}-\d{{2}}){after}", 1)).drop("_file")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def month_files(spark: SparkSession, folder: str, months: list[tuple[int, int]], layout: dict[str, str] = DEFAULT_LAYOUT) -> dict[str, list[str]]:
+    """Month -> the files of all sources that it is made from."""
+    out = {}
+    for y, m in months:
+        paths = [os.path.join(folder, p.format(year=y, month=f"{m:02d}")) for p in layout.values()]
+        out[f"{y}-{m:02d}"] = [f for p in paths if committed.exists(spark, p) for f in data_files(spark, p)]
+    return out
 
 
 def _acc(c: str) -> Column:
@@ -239,3 +250,16 @@ def write_monthly(df: DataFrame, path: str, sep: str = ";", files_per_month: int
     """One folder per month (``mes=yyyy-MM``)."""
     from ..sources.delimited import write_delimited
     return write_delimited(df, path, sep=sep, partition_by=[MONTH], files_per_partition=files_per_month)
+
+
+def rerun_months(spark: SparkSession, folder: str, out_path: str, months: list[tuple[int, int]], patterns: geo.PatternDictionary,
+                 layout: dict[str, str] = DEFAULT_LAYOUT, sep: str = ";", encoding: str | None = None) -> dict[str, int]:
+    """Consolidates only the months whose files changed since they were last
+    written, in one job, and rewrites their folders; the others keep their
+    files. Returns month -> rows. A month without base rows keeps what it had."""
+    files = month_files(spark, folder, months, layout)
+    stale = committed.stale_partitions(spark, out_path, files)
+    if not stale:
+        return {}
+    src = read_months(spark, folder, [(y, m) for y, m in months if f"{y}-{m:02d}" in stale], layout, sep, encoding, months)
+    return committed.rewrite_partitions(monthly_consolidation(src, patterns), out_path, MONTH, {v: files[v] for v in stale}, sep)

@@ -11,7 +11,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sources import delimited
+from ..sources import committed, delimited
 from ..sources.tables import table
 from .folder_merge import merge_export_folder
 from .registry import register
@@ -127,6 +127,67 @@ def csv_append_log(spark, sf):
     return log.groupBy("estado").agg(F.count(F.lit(1)).alias("n"), F.lit(wrote_empty).alias("vacio_escrito"))
 
 
+# written twice, the second time from a filter that finds nothing: the first
+# output is read back, and no staging folder is left beside it
+@register("csv_committed_rewrite", """
+SELECT o_orderstatus AS estado, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total,
+       true AS primera, false AS segunda, true AS sin_restos
+FROM orders GROUP BY 1""")
+def csv_committed_rewrite(spark, sf):
+    base = scratch_path(spark, "csv-committed")
+    out = os.path.join(base, "reporte")
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("cuenta"), F.col("o_orderstatus").alias("estado"),
+                                          F.col("o_totalprice").cast("decimal(18,2)").alias("valor"))
+    first = delimited.write_delimited(o, out, partition_by=["estado"])
+    second = delimited.write_delimited(o.where("valor < 0"), out, partition_by=["estado"])
+    fs, folder = delimited.hadoop_fs(spark, base)
+    clean = [s.getPath().getName() for s in fs.listStatus(folder)] == ["reporte"]
+    back = delimited.read_delimited(spark, out, "cuenta string, valor decimal(18,2), estado string", suffix=None)
+    return back.groupBy("estado").agg(F.count(F.lit(1)).alias("n"), F.sum("valor").alias("total"), F.lit(first).alias("primera"),
+                                      F.lit(second).alias("segunda"), F.lit(clean).alias("sin_restos"))
+
+
+# three months of orders; the file of one is then corrected. A re-run finds
+# that month stale by its manifest and rewrites its folder alone
+@register("csv_month_rerun", """
+SELECT mes, CASE WHEN mes = '2025-02' THEN lower(o_orderpriority) ELSE o_orderpriority END AS prioridad, count(*) AS n,
+       mes <> '2025-02' AS intacto, '2025-01 2025-02 2025-03' AS primera_vez, '' AS sin_cambios, '2025-02' AS corregido
+FROM (SELECT *, '2025-0' || CAST(1 + o_orderkey % 3 AS VARCHAR) AS mes FROM orders) GROUP BY ALL""")
+def csv_month_rerun(spark, sf):
+    base = scratch_path(spark, "csv-rerun")
+    out, months = os.path.join(base, "out"), ["2025-01", "2025-02", "2025-03"]
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("cuenta"), F.col("o_orderpriority").alias("prioridad"),
+                                          F.concat(F.lit("2025-0"), (F.col("o_orderkey") % 3 + 1).cast("string")).alias("mes"))
+    source = lambda m: os.path.join(base, "in", m)
+    for m in months:
+        delimited.write_delimited(o.where(F.col("mes") == m).drop("mes"), source(m))
+
+    def rerun() -> str:
+        files = {m: delimited.data_files(spark, source(m)) for m in months}
+        stale = {m: files[m] for m in committed.stale_partitions(spark, out, files)}
+        if stale:
+            parts = [delimited.read_by_header(spark, f).withColumn("mes", F.lit(m)) for m, f in stale.items()]
+            df = parts[0]
+            for p in parts[1:]:
+                df = df.unionByName(p)
+            committed.rewrite_partitions(df, out, "mes", stale)
+        return " ".join(sorted(stale))
+
+    def written_files() -> dict[str, list[str]]:
+        return {m: delimited.list_files(spark, os.path.join(out, f"mes={m}")) for m in months}
+    first = rerun()
+    before = written_files()
+    again = rerun()
+    delimited.write_delimited(o.where("mes = '2025-02'").select("cuenta", F.lower("prioridad").alias("prioridad")), source("2025-02"))
+    corrected = rerun()
+    after = written_files()
+    kept = F.col("mes").isin(*[m for m in months if before[m] == after[m]])
+    back = delimited.read_delimited(spark, out, "cuenta bigint, prioridad string, mes string", suffix=None)
+    return (back.groupBy("mes", "prioridad").agg(F.count(F.lit(1)).alias("n"))
+            .select("mes", "prioridad", "n", kept.alias("intacto"), F.lit(first).alias("primera_vez"), F.lit(again).alias("sin_cambios"),
+                    F.lit(corrected).alias("corregido")))
+
+
 # at most two files for each output partition
 @register("csv_files_per_partition", """
 SELECT o_orderstatus AS estado, count(*) AS n, true AS pocos_archivos FROM orders GROUP BY 1""")

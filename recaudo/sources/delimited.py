@@ -17,7 +17,10 @@
 * ``write_delimited``: header, separator, overwrite/append, optional
   ``partitionBy`` (e.g. year/month) with the rows rebalanced by it, so that a
   partition gets few files and a large one several writers. The plan runs
-  once: the rows are counted while they are written.
+  once: the rows are counted while they are written. An overwrite is staged
+  and swapped in when it is whole (:mod:`.committed`), so an empty or failed
+  run leaves the earlier output as it was; ``append_log`` adds its files when
+  all are written.
 """
 
 from __future__ import annotations
@@ -31,6 +34,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .committed import staged_append, staged_write
+from .files import hadoop_fs
+
 #: Header lines (metadata) that are read at a time.
 HEADER_THREADS = 16
 
@@ -75,12 +81,6 @@ def corrupt_rows(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ file sniffing
 
-def hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def list_files(spark: SparkSession, folder: str, suffix: str = ".csv") -> list[str]:
     """Data files of a folder with the suffix (also compressed: ``.csv.gz``)."""
     fs, p = hadoop_fs(spark, folder)
@@ -208,37 +208,40 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overw
                     partition_by: list[str] | None = None, files_per_partition: int | None = None,
                     max_records_per_file: int | None = None, skip_empty: bool = True) -> bool:
     """Write with header and separator. Returns False for an empty result,
-    of which nothing stays in place when ``skip_empty``.
+    which leaves an earlier output in place (and writes nothing where there
+    was none) when ``skip_empty``.
 
     With ``partition_by`` the rows are rebalanced by those columns: a small
     output partition (e.g. a month) is one file, a large one is split over
     several writers by its size. ``files_per_partition`` asks for at most n
     files each instead, dealt by a deterministic salt.
-    ``max_records_per_file`` bounds file size independently."""
-    seen = Observation()
-    out = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    ``max_records_per_file`` bounds file size independently.
+    ``mode="append"`` adds to partitions in place, by Spark's own commit."""
     quoted = [F.col(f"`{c}`") for c in partition_by or []]
-    if files_per_partition:
-        if partition_by:
+
+    def arrange(out: DataFrame) -> DataFrame:
+        if files_per_partition and partition_by:
             salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
-            out = out.repartition(*quoted, salt)
-        else:
-            out = out.repartition(files_per_partition)
-    elif partition_by:
-        out = out.hint("rebalance", *quoted)
-    w = out.write.mode(mode).option("header", True).option("sep", sep)
-    if max_records_per_file:
-        w = w.option("maxRecordsPerFile", max_records_per_file)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.csv(path)
-    empty = seen.get["rows"] == 0
-    if empty and skip_empty and mode == "overwrite":
-        fs, p = hadoop_fs(df.sparkSession, path)
-        fs.delete(p, True)
-    return not empty
-
-
-def append_log(df: DataFrame, path: str, sep: str = ";") -> None:
-    """Append-only log sink (every file carries its header)."""
-    df.write.mode("append").option("header", True).option("sep", sep).csv(path)
+            return out.repartition(*quoted, salt)
+        if files_per_partition:
+            return out.repartition(files_per_partition)
+        return out.hint("rebalance", *quoted) if partition_by else out
+
+    def write(w, folder: str) -> None:
+        w = w.option("header", True).option("sep", sep)
+        if max_records_per_file:
+            w = w.option("maxRecordsPerFile", max_records_per_file)
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.csv(folder)
+
+    if mode == "overwrite":
+        return staged_write(df, path, write, arrange, keep_empty=not skip_empty) > 0
+    seen = Observation()
+    write(arrange(df).observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode), path)
+    return seen.get["rows"] > 0
+
+
+def append_log(df: DataFrame, path: str, sep: str = ";") -> bool:
+    """Append-only log sink (every file carries its header). False if there was nothing to add."""
+    return staged_append(df, path, lambda w, folder: w.option("header", True).option("sep", sep).csv(folder)) > 0
