@@ -6,17 +6,23 @@ is consulted first, then group 2; a city that matches nothing keeps its own
 text, which counts when it is itself a department name; NULL / '' cities are
 ``VACIO``; everything else is ``NO IDENTIFICADO``.
 
-Plan (no nested CASE of ~1,100 branches, no nested-loop join):
+Plan (no nested CASE of ~1,100 branches, no nested-loop join, and work that
+grows with the texts, not with texts times patterns):
 
 1. distinct normalised cities (shuffle of a small, partially aggregated set);
-2. each distinct city explodes into its substrings of exactly the lengths
-   that occur among the patterns;
-3. equi-join with the pattern table (broadcast: its size is known, or
-   checked by a bounded count);
+2. an inverted index of the patterns: each stands under ONE of its trigrams,
+   the one that fewest patterns hold (patterns of one or two characters under
+   themselves), so patterns with a common beginning don't meet under it;
+3. each distinct city explodes into its different trigrams, one probe row
+   each, which join the index on the trigram; what they find is confirmed by
+   ``contains``, and as a pattern has one entry, it is found once;
 4. highest ``ord`` per (city, group) via ``max(struct(ord, department))``;
 5. the resolved city table joins back to the rows on the city (AQE splits a
    hot city; the table has one row per distinct city that matched; rows
    without a city are spread, as they match nothing).
+
+The index of a dictionary of known size is broadcast; one read from a file
+joins as Spark plans it from its size at run time.
 """
 
 from __future__ import annotations
@@ -27,9 +33,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .joins import broadcast_bounded, broadcast_if_small
+from .joins import broadcast_bounded
 
 PATTERN_SCHEMA = "ord int, pattern string, department string, grp int"
+#: Characters of an index entry.
+GRAM = 3
 
 
 def normalise_city(c: Column | str) -> Column:
@@ -41,15 +49,37 @@ def normalise_city(c: Column | str) -> Column:
 @dataclass
 class PatternDictionary:
     """The (ord, pattern, department, grp) table plus what the plan needs to
-    know about it: the distinct pattern lengths and, when known, its size."""
+    know about it: the distinct pattern lengths (None: any) and, when known,
+    its size."""
     df: DataFrame
-    lengths: list[int]
+    lengths: list[int] | None = None
     rows: int | None = None
 
-    def broadcast(self) -> DataFrame:
-        if self.rows is not None:
-            return broadcast_bounded(self.df, self.rows, reason="pattern dictionary of known size")
-        return broadcast_if_small(self.df)
+    @property
+    def gram_sizes(self) -> list[int]:
+        """Sizes of the index entries: three characters, or the whole of a shorter pattern."""
+        return list(range(1, GRAM + 1)) if self.lengths is None else sorted({min(n, GRAM) for n in self.lengths})
+
+    def index(self) -> DataFrame:
+        """gram, pattern, ord, department, grp: a row a pattern."""
+        p = self.df.select("ord", "pattern", "department", "grp")
+        entries = p.withColumn("gram", F.explode(grams_of(F.col("pattern"), [GRAM], whole=True)))
+        held = entries.groupBy("gram").agg(F.count(F.lit(1)).alias("held"))
+        index = (entries.join(held, "gram").groupBy("ord", "pattern", "department", "grp")
+                 .agg(F.min(F.struct("held", "gram"))["gram"].alias("gram")))
+        if self.rows is None:
+            return index
+        return broadcast_bounded(index, self.rows, reason="pattern dictionary of known size")
+
+
+def grams_of(text: Column, sizes: list[int], whole: bool = False) -> Column:
+    """The different substrings of the given sizes. ``whole``: a text that is
+    shorter than the first size is its only one."""
+    def of_size(n: int) -> Column:
+        # one-argument lambda: transform() reads two arguments as (x, index)
+        short = F.when(F.length(text) > 0, F.array(text)).otherwise(F.array().cast("array<string>")) if whole else F.array().cast("array<string>")
+        return F.when(F.length(text) >= n, F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, n))).otherwise(short)
+    return F.array_distinct(F.flatten(F.array(*[of_size(n) for n in sizes])) if sizes else F.array().cast("array<string>"))
 
 
 def pattern_table(spark: SparkSession, rows) -> PatternDictionary:
@@ -63,34 +93,27 @@ def pattern_table(spark: SparkSession, rows) -> PatternDictionary:
 def read_pattern_table(spark: SparkSession, path: str, sep: str = ";") -> PatternDictionary:
     """Pattern dictionary from a CSV file with header ord;pattern;department;grp.
     One small job reads the distinct pattern lengths (bounded by the longest
-    pattern); the table is broadcast after a bounded size check."""
+    pattern)."""
     df = spark.read.schema(PATTERN_SCHEMA).option("header", True).option("sep", sep).csv(path) \
         .where(F.col("pattern").isNotNull() & (F.length("pattern") > 0))
     lengths = sorted(r[0] for r in df.select(F.length("pattern")).distinct().collect())
     return PatternDictionary(df, lengths)
 
 
+def pattern_hits(texts: DataFrame, text: str, patterns: PatternDictionary) -> DataFrame:
+    """``texts``: one row per distinct text (column ``text``). Returns
+    (``_city``, ord, pattern, department, grp): every pattern that each text contains."""
+    probes = texts.select(F.col(text).alias("_city"), F.explode(grams_of(F.col(text), patterns.gram_sizes)).alias("gram"))
+    return probes.join(patterns.index(), "gram").where(F.contains("_city", "pattern")).drop("gram")
+
+
 def city_hits(cities: DataFrame, city: str, patterns: PatternDictionary) -> DataFrame:
     """``cities``: one row per distinct normalised city (column ``city``).
     Returns (``_city``, ``_d1``, ``_d2``) for the cities with at least one
     matching pattern: the winning department per group."""
-    pattern_lengths = patterns.lengths
-    c = F.col(city)
-
-    def substrings_of_length(n: int) -> Column:
-        # one-argument lambda: transform() reads two arguments as (x, index)
-        return F.when(F.length(c) >= n,
-                      F.transform(F.sequence(F.lit(1), F.length(c) - n + 1),
-                                  lambda i: F.substring(c, i, n))) \
-            .otherwise(F.array().cast("array<string>"))
-
-    subs = F.flatten(F.array(*([substrings_of_length(n) for n in pattern_lengths]
-                               or [F.array().cast("array<string>")])))
-    exploded = cities.select(c.alias("_city"), F.explode(F.array_distinct(subs)).alias("_sub"))
-    p = patterns.broadcast().select(F.col("pattern").alias("_sub"), "ord", "department", "grp")
     # highest ord per group: max of (ord, department) structs, NULL for the
     # other group (max skips NULLs)
-    return exploded.join(p, "_sub").groupBy("_city").agg(*[
+    return pattern_hits(cities, city, patterns).groupBy("_city").agg(*[
         F.max(F.when(F.col("grp") == g, F.struct("ord", "department")))["department"].alias(f"_d{g}")
         for g in (1, 2)])
 

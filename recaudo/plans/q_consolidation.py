@@ -73,6 +73,34 @@ def substring_lookup(spark, sf):
     return out.select("c_custkey", "ciudad", "departamento")
 
 
+# a dictionary of the size the reports use: every different part name with
+# brand (over a thousand patterns from sf0.01 on) and every supplier, looked
+# up in every part's text; Brand#2 stands in Brand#21, so the last one decides
+@register("pattern_index_lookup", f"""
+WITH p AS (
+  SELECT max(p_partkey) AS ord, upper(p_name || ' ' || p_brand) AS pattern FROM part GROUP BY 2
+  UNION ALL SELECT 100000000 + s_suppkey, upper(s_name) FROM supplier),
+d AS (SELECT ord, pattern, {list(fixed.DEPARTMENTS)}[1 + ord % {len(fixed.DEPARTMENTS)}] AS department, 1 + ord % 2 AS grp FROM p),
+t AS (SELECT p_partkey, upper(p_name || ' ' || p_brand || ' ' || p_type) AS texto FROM part),
+m AS (SELECT texto, arg_max(department, ord) FILTER (grp = 1) AS d1, arg_max(department, ord) FILTER (grp = 2) AS d2, count(*) AS hallados
+      FROM (SELECT DISTINCT texto FROM t) JOIN d ON contains(texto, pattern) GROUP BY 1)
+SELECT p_partkey, texto, coalesce(hallados, 0) AS hallados, coalesce(d1, d2, 'NO IDENTIFICADO') AS departamento FROM t LEFT JOIN m USING (texto)""")
+def pattern_index_lookup(spark, sf):
+    part = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type")
+    named = part.groupBy(F.upper(F.concat_ws(" ", "p_name", "p_brand")).alias("pattern")).agg(F.max("p_partkey").alias("ord"))
+    suppliers = table(spark, sf, "supplier").select(F.upper("s_name").alias("pattern"), (F.col("s_suppkey") + 100_000_000).alias("ord"))
+    names = F.array(*[F.lit(d) for d in fixed.DEPARTMENTS])
+    patterns = geo.PatternDictionary(named.unionByName(suppliers).select(
+        F.col("ord").cast("int").alias("ord"), "pattern", F.get(names, (F.col("ord") % len(fixed.DEPARTMENTS)).cast("int")).alias("department"),
+        (F.col("ord") % 2 + 1).cast("int").alias("grp")), lengths=[geo.GRAM])     # none is shorter than a trigram
+    texts = part.select("p_partkey", F.upper(F.concat_ws(" ", "p_name", "p_brand", "p_type")).alias("texto"))
+    hits = geo.pattern_hits(texts.select("texto").distinct(), "texto", patterns)
+    found = hits.groupBy(F.col("_city").alias("texto")).agg(
+        *[F.max(F.when(F.col("grp") == g, F.struct("ord", "department")))["department"].alias(f"d{g}") for g in (1, 2)], F.count(F.lit(1)).alias("hallados"))
+    return texts.join(found, "texto", "left").select("p_partkey", "texto", F.coalesce("hallados", F.lit(0).cast("bigint")).alias("hallados"),
+                                                     F.coalesce("d1", "d2", F.lit(fixed.CITY_UNRESOLVED)).alias("departamento"))
+
+
 # ------------------------------------------------------------ arrears
 # entry date = ship date, due date = order date, both as d/M/yyyy text (as
 # the source files carry them); pending orders carry an impossible due date.

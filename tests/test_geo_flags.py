@@ -81,3 +81,78 @@ def test_unidentified_cities_and_unparsable_dates(spark):
     pats = geo.pattern_table(spark, [(1, "CALI", "VALLE DEL CAUCA", 1)])
     assert [tuple(r) for r in profile.unidentified_cities(df, "c", pats).collect()] == [("Lejos", 2)]
     assert sorted(tuple(r) for r in profile.unparsable_dates(df, "f").collect()) == [("31/02/2025", 1), ("raro", 1)]
+
+
+# ------------------------------------------------------------ the dictionary's real size and order
+
+def by_definition(city, patterns):
+    """Last matching entry of each group, as the rule is written down."""
+    from recaudo.functions import fixed
+    found = {}
+    for _, pattern, dept, grp in sorted(patterns):
+        if pattern in city:
+            found[grp] = dept
+    for d in (found.get(1, city), found.get(2, city)):
+        if d in fixed.DEPARTMENTS:
+            return d
+    return "NO IDENTIFICADO"
+
+
+def large_dictionary(rng):
+    """1,100 patterns over few letters, so that many contain one another."""
+    from recaudo.functions import fixed
+    departments = [*sorted(fixed.DEPARTMENTS), "SIN NOMBRE"]
+    rows, seen = [], set()
+    while len(rows) < 1100:
+        p = "".join(rng.choice("ABE ") for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 8, 12])))
+        if p not in seen:
+            seen.add(p)
+            rows.append((len(rows) + 1, p, rng.choice(departments), rng.choice([1, 2])))
+    return rows
+
+
+def test_large_dictionary_against_its_definition(spark, tmp_path):
+    import random
+    rng = random.Random(4)
+    rows = large_dictionary(rng)
+    cities = {("".join(rng.choice("ABEX ") for _ in range(rng.randint(1, 14)))) for _ in range(400)} | {"A", "AB", "ABEABEABEABE", "X"}
+    df = spark.createDataFrame([(c,) for c in cities], "c string")
+    want = {c: by_definition(c, rows) for c in cities}
+    from_rows = geo.pattern_table(spark, rows)
+    path = tmp_path / "dictionary.csv"
+    path.write_text("ord;pattern;department;grp\n" + "".join(f'{o};"{p}";{d};{g}\n' for o, p, d, g in rows), encoding="utf-8")
+    from_file = geo.read_pattern_table(spark, str(path))
+    for patterns in (from_rows, geo.PatternDictionary(from_rows.df)):
+        assert {r.c: r.departamento for r in geo.resolve_departments(df, "c", patterns).collect()} == want
+    assert from_file.gram_sizes == from_rows.gram_sizes == [1, 2, 3]
+    hits = geo.pattern_hits(df, "c", from_rows).groupBy("_city").count().collect()
+    assert {r._city: r["count"] for r in hits} == {c: n for c in cities if (n := sum(p in c for _, p, _, _ in rows))}
+
+
+def test_every_pattern_has_one_entry_the_rarest(spark):
+    rows = [(k, f"MUNICIPIO DE {c}{c}{c}", "META", 1) for k, c in enumerate("ABCDEFGH")] + [(9, "X", "META", 2), (10, "YZ", "META", 2)]
+    index = {r.pattern: r.gram for r in geo.pattern_table(spark, rows).index().collect()}
+    assert len(index) == len(rows) and index["X"] == "X" and index["YZ"] == "YZ"
+    assert all(index[f"MUNICIPIO DE {c}{c}{c}"] in (f"E {c}", f" {c}{c}", f"{c}{c}{c}") for c in "ABCDEFGH")
+
+
+def test_probes_are_the_only_rows_made_of_texts(spark):
+    from recaudo.plans.q_consolidation import pattern_index_lookup
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = pattern_index_lookup(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Generate explode") == 3                    # the texts' probes, and the patterns' entries (counted, and chosen)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "gram" in plan and "Contains(" in plan
+
+
+def test_expected_departments_of_known_cities(spark):
+    """The reports' own answers; some are odd because a later list names the city again."""
+    rows = [(1, "CUCUTA", "SANTANDER", 1), (2, "SAN PEDRO", "SUCRE", 1), (3, "FLORENCIA", "CAQUETA", 1), (4, "ARMENIA", "QUINDIO", 1), (5, "ARMENIA", "ANTIOQUIA", 1),
+            (6, "SAN PEDRO", "ANTIOQUIA", 1), (1, "CARTAGENA", "BOLIVAR", 2), (2, "BOGOTA", "CUNDINAMARCA", 2), (3, "PASTO", "NARINO", 2), (4, "CALI", "VALLE DEL CAUCA", 2)]
+    want = {"BOGOTA": "CUNDINAMARCA", "CARTAGENA": "BOLIVAR", "CALI": "VALLE DEL CAUCA", "PASTO": "NARINO", "FLORENCIA": "CAQUETA", "CUCUTA": "SANTANDER",
+            "SAN PEDRO": "ANTIOQUIA", "ARMENIA": "ANTIOQUIA"}
+    df = spark.createDataFrame([(c,) for c in want], "c string")
+    assert {r.c: r.departamento for r in geo.resolve_departments(df, "c", geo.pattern_table(spark, rows)).collect()} == want
