@@ -122,10 +122,15 @@ def assignment_calendar(df: DataFrame, keys: Sequence[str], date_col: str,
     """
     if wide:
         labels = "wide"
-    agg = day_mask_agg(df, keys, date_col, attrs, extra_aggs)
-    months = broadcast_bounded(month_last_days(df if dates is None else dates, date_col), MAX_MONTHS,
-                               reason="one row per calendar month")
-    j = agg.join(months, "month", "left") \
+    return calendar_of(day_mask_agg(df, keys, date_col, attrs, extra_aggs), month_last_days(df if dates is None else dates, date_col),
+                       keys, attrs, labels, day_prefix, list(extra_aggs or {}))
+
+
+def calendar_of(masks: DataFrame, last_days: DataFrame, keys: Sequence[str], attrs: Sequence[str] = (), labels: str | None = "array",
+                day_prefix: str = "dia_", extra: Sequence[str] = ()) -> DataFrame:
+    """The calendar's columns from the folded days (:func:`day_mask_agg`) and the last day of each month."""
+    months = broadcast_bounded(last_days, MAX_MONTHS, reason="one row per calendar month")
+    j = masks.join(months, "month", "left") \
         .withColumn("day_mask", F.coalesce(F.col("day_mask"), F.lit(0).cast("bigint")))
     mask = F.col("day_mask")
     first, last, mlast = F.col("first_day"), F.col("last_day"), F.col("month_last_day")
@@ -135,7 +140,7 @@ def assignment_calendar(df: DataFrame, keys: Sequence[str], date_col: str,
     out.append(day_band(cols["rango_de_dias"]).alias("grupo_rango_de_dias"))
     if attrs:
         out += [F.col("first_row")[a].alias(a) for a in attrs]
-    out += [F.col(n) for n in (extra_aggs or {})]
+    out += [F.col(n) for n in extra]
     if labels:
         out.append(day_status_array("day_mask", "first_day", "last_day", "month_last_day")
                    .alias("day_status"))

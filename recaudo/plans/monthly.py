@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field, fields
 from urllib.parse import quote
 
@@ -23,7 +24,7 @@ from ..functions import bands, classify, dates, fixed, keys
 from ..functions.text import clean_header
 from ..operators import consolidate, contacts, geo, joins, outcomes
 from ..operators.topn import keyed_distinct, slot_columns
-from ..sources import committed
+from ..sources import bucketed, committed
 from ..sources.delimited import data_files, read_by_header
 
 MONTH = "mes"
@@ -203,9 +204,12 @@ def exclude_documents(df: DataFrame, exc_doc: DataFrame) -> DataFrame:
 
 def monthly_consolidation(src: MonthlySources, patterns: geo.PatternDictionary,
                           base_columns: list[str] | None = None, mobile_count=fixed.MOBILE_COUNT_RANGE,
-                          landline_count=fixed.LANDLINE_COUNT_RANGE) -> DataFrame:
+                          landline_count=fixed.LANDLINE_COUNT_RANGE,
+                          store: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """``base_columns``: names, after the renames and header cleaning, of the
     base's columns that the report keeps (default: the report's catalogue).
+    ``store`` keeps the prepared base and sides, e.g. as co-bucketed tables
+    (:func:`bucketed_store`), and hands back what the chain reads.
 
     The department is resolved on the narrow, filtered base; then one chain
     on (account, month), which needs one shuffle of the growing row; the
@@ -215,6 +219,9 @@ def monthly_consolidation(src: MonthlySources, patterns: geo.PatternDictionary,
     kept = {clean_header(RENAMES.get(c, c)) for c in base.columns}
     df = geo.resolve_departments(base, "Ciudad", patterns, out_city="_ciudad") \
         .withColumnRenamed("departamento", "DEPARTAMENTO").drop("_ciudad")
+    if store is not None:
+        df = store(df, "base")
+        sides = [(store(side, f"side{k}"), on) for k, (side, on) in enumerate(sides)]
     df = consolidate.consolidate(df, None, sides)
     df = exclude_documents(df, exc_doc)
     df = df.withColumn("FILTRO DESCUENTO", classify.discount_filter(F.col("PORCENTAJE").try_cast(classify.PERCENTAGE)))
@@ -246,6 +253,13 @@ def monthly_consolidation(src: MonthlySources, patterns: geo.PatternDictionary,
     return consolidate.prefix_families(df, families, keep=[MONTH])
 
 
+def bucketed_store(spark: SparkSession, folder: str, buckets: int, prefix: str = "mensual") -> Callable[[DataFrame, str], DataFrame]:
+    """Keeps each prepared source as a table bucketed by (account, month).
+    The chain over them then joins bucket by bucket, without an exchange,
+    however many reports or re-runs read the same tables."""
+    return lambda df, name: bucketed.write_bucketed(df, f"{prefix}_{name}", KEY, buckets, os.path.join(folder, name))
+
+
 def write_monthly(df: DataFrame, path: str, sep: str = ";", files_per_month: int | None = None) -> bool:
     """One folder per month (``mes=yyyy-MM``)."""
     from ..sources.delimited import write_delimited

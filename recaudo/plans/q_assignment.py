@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import bands, classify, dates, keys, text
 from ..functions import fixed
-from ..operators import calendar, flags, topn
+from ..operators import calendar, calendar_state, flags, topn
+from ..session import scratch_path
 from ..sources.tables import table
 from .registry import register
 
@@ -77,6 +78,17 @@ def calendar_days_wide(spark, sf):
     return calendar.assignment_calendar(_assigned(spark, sf), ["user_id", "event_type"], "ts", labels="wide")
 
 
+# the same calendar kept up by files: the days of a month come in four files,
+# in no order, and one of them twice
+@register("calendar_day_by_day", _CAL_SQL_CTE + "SELECT " + _CAL_SQL_COLS + " FROM j")
+def calendar_day_by_day(spark, sf):
+    state, keys_ = scratch_path(spark, "calendar-state"), ["user_id", "event_type"]
+    days = _assigned(spark, sf)
+    for part in (2, 0, 3, 2, 1):
+        calendar_state.add_days(days.where(F.dayofmonth("ts") % 4 == part), state, keys_, "ts")
+    return calendar_state.calendar_from(calendar_state.read_state(spark, state), keys_, labels=None)
+
+
 # ------------------------------------------------------ portfolio view
 # The driver tables have no receivables columns, so orders x customer are
 # read as a portfolio: one account per order, the customer's market segment

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bands, classify, dates, fixed, keys
 from ..operators import calendar, consolidate, geo, outcomes
+from ..session import scratch_path
 from ..sources.tables import table
 from .registry import register
 from .q_assignment import _CRM_BY_SEGMENT, _case_spark, _case_sql
@@ -674,3 +675,15 @@ def monthly_consolidation(spark, sf):
     from .q_contacts import DOC_LANDLINE, DOC_MOBILE
     return run(_monthly_sources(spark, sf), geo.pattern_table(spark, CITY_PATTERNS),
                mobile_count=DOC_MOBILE, landline_count=DOC_LANDLINE)
+
+
+# the prepared base and its nine sides kept as tables that are bucketed by
+# (account, month); the chain over them has no exchange on the key
+@register("monthly_bucketed", _monthly_sql())
+def monthly_bucketed(spark, sf):
+    from .monthly import bucketed_store
+    from .monthly import monthly_consolidation as run
+    from .q_contacts import DOC_LANDLINE, DOC_MOBILE
+    folder = scratch_path(spark, "monthly-bucketed")
+    store = bucketed_store(spark, folder, int(spark.conf.get("spark.sql.shuffle.partitions")), "mensual_" + folder.rsplit("-", 1)[1])
+    return run(_monthly_sources(spark, sf), geo.pattern_table(spark, CITY_PATTERNS), mobile_count=DOC_MOBILE, landline_count=DOC_LANDLINE, store=store)

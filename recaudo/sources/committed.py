@@ -32,7 +32,8 @@ MANIFEST = "_manifest"
 
 # ------------------------------------------------------------ whole folders
 
-def _beside(spark: SparkSession, path: str, kind: str) -> str:
+def beside(spark: SparkSession, path: str, kind: str) -> str:
+    """A new hidden name in the folder of ``path``."""
     _, p = hadoop_fs(spark, path)
     return f"{p.getParent()}/.{p.getName()}.{kind}-{uuid.uuid4().hex[:12]}"
 
@@ -71,7 +72,7 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
     """``staged`` takes the place of ``path``."""
     previous = None
     if exists(spark, path):
-        previous = _beside(spark, path, "previous")
+        previous = beside(spark, path, "previous")
         _rename(spark, path, previous)
     try:
         _rename(spark, staged, path)
@@ -83,6 +84,18 @@ def swap_in(spark: SparkSession, staged: str, path: str) -> None:
         delete(spark, previous)
 
 
+def swap_partitions(spark: SparkSession, staged: str, path: str) -> list[str]:
+    """Every partition folder (``column=value``) of ``staged`` takes the place
+    of the one in ``path``, one after the other; the others stay. Returns their names."""
+    fs, p = hadoop_fs(spark, staged)
+    names = sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory() and "=" in s.getPath().getName())
+    fs.mkdirs(hadoop_fs(spark, path)[1])
+    for name in names:
+        recover(spark, f"{path.rstrip('/')}/{name}")
+        swap_in(spark, f"{staged}/{name}", f"{path.rstrip('/')}/{name}")
+    return names
+
+
 def staged_write(df: DataFrame, path: str, write: Callable[[DataFrameWriter, str], None], arrange: Callable[[DataFrame], DataFrame] = lambda df: df,
                  keep_empty: bool = False) -> int:
     """Writes ``df`` to a staging folder by ``write(writer, folder)`` and swaps
@@ -90,7 +103,7 @@ def staged_write(df: DataFrame, path: str, write: Callable[[DataFrameWriter, str
     unless ``keep_empty``. ``arrange`` deals the rows out before the write."""
     spark = df.sparkSession
     recover(spark, path)
-    staged = _beside(spark, path, "staging")
+    staged = beside(spark, path, "staging")
     seen = Observation()
     try:
         # counted last: below an exchange that turns out empty, Spark would drop the count with it
@@ -107,7 +120,7 @@ def staged_append(df: DataFrame, path: str, write: Callable[[DataFrameWriter, st
     """Appends the files of ``df`` to a folder when all are written. Returns
     the rows; an empty result adds no file."""
     spark = df.sparkSession
-    staged = _beside(spark, path, "staging")
+    staged = beside(spark, path, "staging")
     seen = Observation()
     try:
         write(df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("error"), staged)

@@ -102,3 +102,62 @@ def test_representative_row_is_earliest_and_deterministic(spark):
     out = {r.acc: r.name for r in calendar.assignment_calendar(df, ["acc"], "fecha", attrs=["name"],
                                                                labels=None).collect()}
     assert out == {"a": "a-first", "b": "only"}
+
+
+# ------------------------------------------------------------ kept up file by file
+
+def assigned_rows(rng, n=400):
+    base = dt.datetime(2025, 1, 5)
+    return [(rng.choice("abcd"), base + dt.timedelta(days=rng.randint(0, 100), hours=rng.randint(0, 23)), f"v{rng.randint(0, 9)}") for _ in range(n)]
+
+
+def test_state_after_any_files_equals_the_batch(spark):
+    from recaudo.operators import calendar_state
+    from recaudo.session import scratch_path
+    rng = random.Random(6)
+    path, keys = scratch_path(spark, "state-test"), ["k"]
+    rows = assigned_rows(rng)
+    files = [rows[i::5] for i in range(5)]
+    order = [3, 0, 3, 1, 4, 2, 0]                                   # in no order, two of them twice
+    schema = "k string, ts timestamp_ntz, v string"
+    seen: list = []
+    for step in order:
+        calendar_state.add_days(spark.createDataFrame(files[step], schema), path, keys, "ts", ["v"])
+        seen += files[step] if step not in order[:order.index(step)] else []
+        if step in (1, 2):
+            batch = calendar.assignment_calendar(spark.createDataFrame([r for s in set(order[:order.index(step) + 1]) for r in files[s]], schema), keys, "ts", ["v"], labels="wide")
+            got = calendar_state.calendar_from(calendar_state.read_state(spark, path), keys, ["v"], labels="wide")
+            assert got.columns == batch.columns
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, batch.collect()), key=repr)
+
+
+def test_a_file_leaves_the_months_alone_that_it_does_not_hold(spark):
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+    from recaudo.operators import calendar_state
+    from recaudo.session import scratch_path
+    path = scratch_path(spark, "state-months")
+    day = lambda m, d, k="a": (k, dt.datetime(2025, m, d))
+    make = lambda *r: spark.createDataFrame(list(r), "k string, ts timestamp_ntz")
+    assert calendar_state.add_days(make(day(1, 3), day(2, 4)), path, ["k"], "ts") == ["month=2025-01-01", "month=2025-02-01"]
+    january = sorted(os.listdir(f"{path}/month=2025-01-01"))
+    assert calendar_state.add_days(make(day(2, 9), day(2, 2, "b")), path, ["k"], "ts") == ["month=2025-02-01"]
+    assert sorted(os.listdir(f"{path}/month=2025-01-01")) == january
+    assert calendar_state.add_days(make(("a", None)), path, ["k"], "ts") == []
+    broken = make(day(1, 9)).withColumn("ts", F.when(F.col("k") == "a", F.raise_error(F.lit("broken")).cast("timestamp_ntz")).otherwise(F.col("ts")))
+    with pytest.raises(Exception, match="broken"):
+        calendar_state.add_days(broken, path, ["k"], "ts")
+    state = calendar_state.read_state(spark, path)
+    assert sorted((r.k, str(r.month), r.first_day, r.last_day) for r in state.collect()) == [("a", "2025-01-01", 3, 3), ("a", "2025-02-01", 4, 9), ("b", "2025-02-01", 2, 2)]
+    folder, name = os.path.split(path)
+    assert [n for n in os.listdir(folder) if n.startswith(f".{name}.")] == []          # no staging left
+
+
+def test_masks_merge_by_key_without_a_second_exchange(spark):
+    from recaudo.operators import calendar_state
+    df = spark.createDataFrame([("a", dt.datetime(2025, 1, 1))], "k string, ts timestamp_ntz")
+    state = calendar.day_mask_agg(df, ["k"], "ts")
+    plan = calendar_state.merge_states(state.unionByName(state), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bit_or" in plan                                  # merged in the tasks before the shuffle
