@@ -11,7 +11,7 @@ import os
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sources import committed, delimited
+from ..sources import committed, delimited, typed
 from ..sources.tables import table
 from .folder_merge import merge_export_folder
 from .registry import register
@@ -114,6 +114,34 @@ def csv_inferred(spark, sf):
     return delimited.read_delimited(spark, base, infer=True)
 
 
+# three exports of the orders whose columns change type from file to file:
+# whole numbers, amounts, an amount that is a word; keys beyond 32 bits in one
+# file; days; and a column that only one file has
+@register("csv_inferred_drift", """
+SELECT CAST(CASE WHEN o_orderkey % 3 = 1 THEN o_orderkey + 10000000000 ELSE o_orderkey END AS BIGINT) AS cuenta,
+       CAST(CASE WHEN o_orderkey % 3 = 0 THEN floor(o_totalprice) ELSE o_totalprice END AS DECIMAL(18,2)) AS valor,
+       CASE WHEN o_orderkey % 3 = 2 THEN 'n/d' ELSE CAST(o_custkey AS VARCHAR) END AS cliente,
+       CASE WHEN o_orderkey % 3 = 1 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS dia,
+       CASE WHEN o_orderkey % 3 = 2 THEN CAST(o_custkey AS INTEGER) END AS extra,
+       lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS codigo
+FROM orders""")
+def csv_inferred_drift(spark, sf):
+    base = scratch_path(spark, "csv-typed")
+    key, text = F.col("o_orderkey"), lambda c: F.col(c).cast("string")
+    o = table(spark, sf, "orders")
+    code = F.lpad(text("o_custkey"), 9, "0").alias("codigo")
+    day, amount = F.to_date("o_orderdate").cast("string").alias("dia"), F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("valor")
+    files = [
+        (o.where(key % 3 == 0).select(text("o_orderkey").alias("cuenta"), F.floor("o_totalprice").cast("string").alias("valor"), text("o_custkey").alias("cliente"), day, code), ";"),
+        (o.where(key % 3 == 1).select(amount, (key + 10_000_000_000).cast("string").alias("cuenta"), code, text("o_custkey").alias("cliente")), ","),
+        (o.where(key % 3 == 2).select(text("o_orderkey").alias("cuenta"), F.lit("n/d").alias("cliente"), amount, day, text("o_custkey").alias("extra"), code), ";"),
+    ]
+    for k, (df, sep) in enumerate(files):
+        delimited.write_delimited(df, os.path.join(base, str(k)), sep=sep)
+    paths = [f for k in range(3) for f in delimited.list_files(spark, os.path.join(base, str(k)))]
+    return typed.read_typed(spark, paths, sep=None).select("cuenta", "valor", "cliente", "dia", "extra", "codigo")
+
+
 # the log grows by appended batches; an empty result leaves nothing behind
 @register("csv_append_log", """
 SELECT o_orderstatus AS estado, count(*) AS n, false AS vacio_escrito FROM orders GROUP BY 1""")

@@ -174,11 +174,11 @@ def _grouped(spark: SparkSession, files: Sequence[str], sep: str | None, encodin
     return FolderScan(df, [(used, list(cols), fl) for (used, cols), fl in groups.items()], skipped)
 
 
-def read_by_header(spark: SparkSession, files: str | Sequence[str], columns: Sequence[str] | None = None, sep: str = ";",
+def read_by_header(spark: SparkSession, files: str | Sequence[str], columns: Sequence[str] | None = None, sep: str | None = ";",
                    encoding: str = "UTF-8", file_column: str | None = None) -> DataFrame:
     """All columns as text, by name. ``files``: a file, a folder or a list of
     files; ``columns``: the ones to select; ``file_column``: adds the path of
-    each row's file."""
+    each row's file; ``sep`` None: comma or semicolon, whichever each header has."""
     if isinstance(files, str):
         files = data_files(spark, files)
     scan = _grouped(spark, list(files), sep, encoding, file_column)
