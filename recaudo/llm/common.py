@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from recaudo.session import scratch_path
 
@@ -23,6 +23,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_with(df: DataFrame, name: str, **totals: Column) -> tuple[DataFrame, dict]:
+    """:func:`written`, with aggregates of the rows that were taken while they were written."""
+    seen = Observation()
+    out = written(df.observe(seen, *[c.alias(k) for k, c in totals.items()]), name)
+    return out, seen.get
+
+
 def text_of(column: str = "text") -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(column), F.lit(""))

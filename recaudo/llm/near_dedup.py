@@ -9,9 +9,9 @@ deeper, value by value, until its parts are that small, and neighbours in the
 sorted order (the longest common prefixes) stay candidates at any size. The
 depth so adapts to each region, and a region never yields more than
 ``window`` candidates a row and order. In a large region every row is also
-held against its three rows with the most confirmed links, again and again
-while that finds links, so that variants of one text that resemble the text
-but not each other come together.
+held against three well linked rows of it (of each third of the ids the one
+with the most confirmed links) that aren't in its component yet, so that
+variants of one text that resemble the text but not each other come together.
 
 What is then still apart in large regions is compared by a prefix filter. All
 shingles have one order, rare ones first (by how often the rows of large
@@ -20,8 +20,10 @@ threshold the larger shares one of its first n - ceil(0.8 n) + 1 shingles with
 the first n - ceil(2 * 0.8 n / 1.8) + 1 of the smaller, at places that leave
 enough shingles behind them. Rows of different components that do are
 candidates, however many: text that all rows of a region share stands behind
-their own shingles and makes none unless it could make a link. A shingle of
-many rows is dealt out by a salt that its count gives.
+their own shingles and makes none unless it could make a link. Of a shingle's
+rows only those of different components are ever put together: the shingle's
+components are paired first (a row a component, however many rows it has), and
+the rows meet by (shingle, component).
 
 A pair of similarity 0.8 shares 3 of 3 values in one order with probability
 0.51, so 24 orders miss it with probability 4e-8; the region it then shares is
@@ -51,14 +53,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .common import read_table, text_of, written
-from .components import connected_components
+from .components import connected_components, merged_components
 from .registry import register
 
 BUCKETS = 1 << 20       # counters of shingles, the bound of what is broadcast
-SALT_ROWS = 2048        # rows of one shingle under one salt
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -212,20 +214,17 @@ def _apart(pairs: DataFrame, component: DataFrame) -> DataFrame:
             .filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
 
-def _merged(component: DataFrame, links: DataFrame) -> DataFrame:
-    """The components with more links."""
-    if links.isEmpty():
-        return component
-    return connected_components(component.select(F.col("id").alias("a"), F.col("component").alias("b")).union(links))
-
-
 def _hub_pairs(members: DataFrame, links: DataFrame, hubs: int = 3) -> DataFrame:
-    """Every member of a dense region with the region's members that have the most links so far."""
+    """Every member (id, region, component) of a dense region with those of the
+    region's well linked members that are in another component: of each
+    ``hubs``-th of the ids the one with the most links."""
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
-    top = Window.partitionBy("region").orderBy(F.desc("degree"), "id")
-    hub = (members.join(degree, "id").withColumn("rank", F.row_number().over(top)).filter(F.col("rank") <= hubs)
-           .select("region", F.col("id").alias("hub")))
-    return (members.join(hub, "region").filter("id != hub")
+    share = F.pmod(F.xxhash64("id"), F.lit(hubs))
+    top = [F.max(F.when(share == k, F.struct("degree", (-F.col("id")).alias("last"), "component"))).alias(f"h{k}") for k in range(hubs)]
+    hub = (members.join(degree, "id").groupBy("region").agg(*top)
+           .select("region", F.explode(F.array(*[f"h{k}" for k in range(hubs)])).alias("h")).filter("h is not null")
+           .select(F.col("region").alias("r"), (-F.col("h.last")).alias("hub"), F.col("h.component").alias("hc")))
+    return (members.join(hub, (F.col("region") == F.col("r")) & (F.col("component") != F.col("hc")))
             .select(F.greatest("id", "hub").alias("a"), F.least("id", "hub").alias("b")).distinct())
 
 
@@ -253,43 +252,49 @@ def shingle_counts(sets: DataFrame) -> np.ndarray:
     return counts
 
 
-def prefixes(sets: DataFrame, percent: int, counts: np.ndarray) -> DataFrame:
+def prefixes(sets: DataFrame, percent: int, counts: Broadcast) -> DataFrame:
     """The first shingles of each set of (id, component, shingles), rare ones
-    first: a row for the sets no larger (smaller, salt of the id), and one a
-    salt for those no smaller."""
-    shared = sets.sparkSession.sparkContext.broadcast(counts)
-    names = ["shingle", "salt", "smaller", "id", "component", "n", "place"]
+    first. ``smaller``: among those that count against sets no smaller. A
+    shingle that no other row can hold is left out."""
+    names = ["shingle", "smaller", "id", "component", "n", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part, out = batch.slice(at, 256), []
                 for i, c, s in zip(part.column(0).to_numpy(), part.column(1).to_numpy(), _lists(part.column(2))):
-                    n, often = len(s), shared.value[_bucket(s)]
+                    n, often = len(s), counts.value[_bucket(s)]
                     first = np.lexsort((s, often))[:n - -(-percent * n // 100) + 1]
-                    s, salts, place = s[first], 1 + often[first] // SALT_ROWS, np.arange(len(first))
-                    few = n - -(-2 * percent * n // (100 + percent)) + 1
-                    own = int(_mixed(np.array([i]).view(np.uint64))[0] >> np.uint64(1))
-                    turn = np.arange(salts.sum()) - np.repeat(np.cumsum(salts) - salts, salts)
-                    k = few + len(turn)
-                    out.append((np.concatenate([s[:few], np.repeat(s, salts)]), np.concatenate([own % salts[:few], turn]), np.arange(k) < few,
-                                np.full(k, i), np.full(k, c), np.full(k, n), np.concatenate([place[:few], np.repeat(place, salts)])))
+                    place = np.flatnonzero(often[first])
+                    s, k = s[first][place], len(place)
+                    out.append((s, place < n - -(-2 * percent * n // (100 + percent)) + 1, np.full(k, i), np.full(k, c), np.full(k, n), place))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names)
     return (sets.select("id", "component", "shingles").filter("size(shingles) > 0")
-            .mapInArrow(run, "shingle long, salt long, smaller boolean, id long, component long, n long, place long"))
+            .mapInArrow(run, "shingle long, smaller boolean, id long, component long, n long, place long"))
 
 
 def _prefix_pairs(members: DataFrame, sets: DataFrame, component: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of members in different components that can be similar enough."""
     inside = sets.join(members.select("id").distinct(), "id", "left_semi")
+    counts = sets.sparkSession.sparkContext.broadcast(shingle_counts(inside))
     rows = (inside.join(component, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "shingles"))
-    parts = written(prefixes(rows, percent, shingle_counts(inside)), "near-prefixes")
-    small, large = (parts.filter(F.col("smaller") == y).select("shingle", "salt", *[F.col(c).alias(c[0] + y_) for c in ("id", "component", "n", "place")])
-                    for y, y_ in ((True, "0"), (False, "1")))
+    parts = written(prefixes(rows, percent, counts), "near-prefixes")
+    counts.destroy()
+    # the components that each shingle brings together, a row a component
+    holds = parts.groupBy("shingle", "component").agg(F.max("smaller").alias("smaller"))
+    shared = holds.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least != most").select("shingle")
+    holds = written(holds.join(shared, "shingle", "left_semi"), "near-holds")
+    apart = (holds.filter("smaller").select("shingle", F.col("component").alias("c0"))
+             .join(holds.select(F.col("shingle").alias("s1"), F.col("component").alias("c1")), (F.col("shingle") == F.col("s1")) & (F.col("c0") != F.col("c1")))
+             .select("shingle", "c0", "c1"))
+    small, large = (df.select("shingle", *[F.col(c).alias(c[0] + y) for c in ("id", "component", "n", "place")])
+                    for df, y in ((parts.filter("smaller"), "0"), (parts, "1")))
     left = F.least(F.col("n0") - F.col("p0"), F.col("n1") - F.col("p1"))        # shared from here on, at most
-    return (small.join(large, ["shingle", "salt"])
-            .filter((F.col("c0") != F.col("c1")) & ((F.col("n0") < F.col("n1")) | (F.col("n0") == F.col("n1")) & (F.col("i0") < F.col("i1")))
-                    & (100 * F.col("n0") >= percent * F.col("n1")) & ((100 + percent) * left >= percent * (F.col("n0") + F.col("n1"))))
+    fits = (((F.col("n0") < F.col("n1")) | (F.col("n0") == F.col("n1")) & (F.col("i0") < F.col("i1")))
+            & (100 * F.col("n0") >= percent * F.col("n1")) & ((100 + percent) * left >= percent * (F.col("n0") + F.col("n1"))))
+    ends = large.select(F.col("shingle").alias("s1"), F.col("c1").alias("d1"), "i1", "n1", "p1")
+    return (small.join(apart, ["shingle", "c0"])
+            .join(ends, (F.col("shingle") == F.col("s1")) & (F.col("c1") == F.col("d1")) & fits)
             .select(F.greatest("i0", "i1").alias("a"), F.least("i0", "i1").alias("b")).distinct())
 
 
@@ -297,7 +302,7 @@ def near_links(docs: DataFrame, classes: DataFrame, width: int, trees: int, dept
     """id, component of every class that links with another class.
     ``docs``: id, text of all documents; ``classes``: id, n, labels."""
     found = written(forest(classes, trees, depth, min_depth, window, percent), "near-forest")
-    members = found.filter("region is not null").select(F.col("a").alias("id"), "region").distinct()
+    members = written(found.filter("region is not null").select(F.col("a").alias("id"), "region").distinct(), "near-members")
     pairs = written(found.filter("b is not null").groupBy("a", "b").agg(F.sum("common").alias("weight")), "near-pairs")
     each = pairs.select(F.explode(F.array("a", "b")).alias("end"), "a", "b", "weight")
     ends = each.select(F.col("end").alias("id")).union(members.select("id")).distinct()
@@ -305,19 +310,14 @@ def near_links(docs: DataFrame, classes: DataFrame, width: int, trees: int, dept
     best = (each.withColumn("rank", F.row_number().over(Window.partitionBy("end").orderBy(F.desc("weight"), "a", "b")))
             .filter("rank <= 3").select("a", "b").distinct())
     links = written(confirmed(best, sets, percent), "near-links")
-    component = connected_components(links)
-    todo = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
-    while True:
-        todo = _apart(todo.union(_hub_pairs(members, links)).distinct(), component)
-        more = written(confirmed(todo, sets, percent), "near-links")
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        component = _merged(component, more)
-        todo = more.limit(0)          # the other candidates are confirmed or refuted; better hubs may be known now
+    component = written(connected_components(links), "components")
+    placed = members.join(component, "id", "left").select("id", "region", F.coalesce("component", "id").alias("component"))
+    rest = pairs.select("a", "b").join(best, ["a", "b"], "left_anti")
+    todo = _apart(rest, component).union(_hub_pairs(placed, links)).distinct()
+    component = merged_components(component, written(confirmed(todo, sets, percent), "near-links"))
     if members.isEmpty():
         return component
-    return _merged(component, written(confirmed(_prefix_pairs(members, sets, component, percent), sets, percent), "near-links"))
+    return merged_components(component, written(confirmed(_prefix_pairs(members, sets, component, percent), sets, percent), "near-links"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, trees: int = 24, depth: int = 8, min_depth: int = 3,

@@ -85,7 +85,7 @@ def test_near_components_against_brute_force(spark):
     assert all(r.kept == (i == r.component_id) for i, r in got.items())
 
 
-def test_pairs_inside_a_boilerplate_region_that_are_no_hubs(spark, monkeypatch):
+def test_pairs_inside_a_boilerplate_region_that_are_no_hubs(spark):
     rnd = random.Random(12)
     word = lambda: "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
     shared, rows = [word() for _ in range(200)], []
@@ -97,10 +97,8 @@ def test_pairs_inside_a_boilerplate_region_that_are_no_hubs(spark, monkeypatch):
     expected = components_by_brute_force(rows, 4)
     assert sum(i != c for i, (_, c) in expected.items()) == 52
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
-    for salt_rows in (near_dedup.SALT_ROWS, 50):
-        monkeypatch.setattr(near_dedup, "SALT_ROWS", salt_rows)
-        got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, width=4).collect()}
-        assert got == expected
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_dedup.near_duplicates(docs, width=4).collect()}
+    assert got == expected
 
 
 def test_near_duplicates_of_repeated_rows_and_empty_tables(spark):
