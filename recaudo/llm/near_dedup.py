@@ -200,7 +200,8 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough."""
-    left, right = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
+    # one plan at every size: the sets shuffle, however few the pairs are
+    left, right = (sets.select(F.col("id").alias(c), F.col("shingles").alias(f"s{c}")).hint("merge") for c in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
     return (pairs.select("a", "b").join(left, "a").join(right, "b")
             .withColumn("both", both)
@@ -280,20 +281,31 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame, component: DataFrame, per
     rows = (inside.join(component, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "shingles"))
     parts = written(prefixes(rows, percent, counts), "near-prefixes")
     counts.destroy()
-    # the components that each shingle brings together, a row a component
-    holds = parts.groupBy("shingle", "component").agg(F.max("smaller").alias("smaller"))
+    # the components that each shingle brings together, a row a component, with the bounds of its rows
+    spare = F.col("n") - F.col("place")                                         # shared from here on, at most
+    holds = parts.groupBy("shingle", "component").agg(
+        F.max("smaller").alias("smaller"), F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.max(spare).alias("spare"),
+        F.min(F.when(F.col("smaller"), F.col("n"))).alias("least_small"), F.max(F.when(F.col("smaller"), F.col("n"))).alias("most_small"),
+        F.max(F.when(F.col("smaller"), spare)).alias("spare_small"))
     shared = holds.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least != most").select("shingle")
     holds = written(holds.join(shared, "shingle", "left_semi"), "near-holds")
-    apart = (holds.filter("smaller").select("shingle", F.col("component").alias("c0"))
-             .join(holds.select(F.col("shingle").alias("s1"), F.col("component").alias("c1")), (F.col("shingle") == F.col("s1")) & (F.col("c0") != F.col("c1")))
-             .select("shingle", "c0", "c1"))
+    may_fit = ((F.col("least_small") <= F.col("most_n")) & (100 * F.col("most_small") >= percent * F.col("least_n"))
+               & ((100 + percent) * F.least("spare_small", "spare") >= percent * (F.col("least_small") + F.greatest("least_n", "least_small"))))
+    apart = (holds.filter("smaller").select("shingle", F.col("component").alias("c0"), "least_small", "most_small", "spare_small")
+             .join(holds.select(F.col("shingle").alias("s1"), F.col("component").alias("c1"), "least_n", "most_n", "spare"),
+                   (F.col("shingle") == F.col("s1")) & (F.col("c0") != F.col("c1")) & may_fit)
+             .select("shingle", "c0", "c1", "least_n", "most_n", "spare"))
     small, large = (df.select("shingle", *[F.col(c).alias(c[0] + y) for c in ("id", "component", "n", "place")])
                     for df, y in ((parts.filter("smaller"), "0"), (parts, "1")))
     left = F.least(F.col("n0") - F.col("p0"), F.col("n1") - F.col("p1"))        # shared from here on, at most
     fits = (((F.col("n0") < F.col("n1")) | (F.col("n0") == F.col("n1")) & (F.col("i0") < F.col("i1")))
             & (100 * F.col("n0") >= percent * F.col("n1")) & ((100 + percent) * left >= percent * (F.col("n0") + F.col("n1"))))
     ends = large.select(F.col("shingle").alias("s1"), F.col("c1").alias("d1"), "i1", "n1", "p1")
-    return (small.join(apart, ["shingle", "c0"])
+    # each row by itself against the other component's bounds, then against its rows
+    reaches = ((F.col("n0") <= F.col("most_n")) & (100 * F.col("n0") >= percent * F.col("least_n"))
+               & ((100 + percent) * F.least(F.col("n0") - F.col("p0"), F.col("spare")) >= percent * (F.col("n0") + F.greatest("least_n", "n0"))))
+    starts = small.select(F.col("shingle").alias("s0"), F.col("c0").alias("d0"), "i0", "n0", "p0")
+    return (starts.join(apart, (F.col("s0") == F.col("shingle")) & (F.col("d0") == F.col("c0")) & reaches)
             .join(ends, (F.col("shingle") == F.col("s1")) & (F.col("c1") == F.col("d1")) & fits)
             .select(F.greatest("i0", "i1").alias("a"), F.least("i0", "i1").alias("b")).distinct())
 
