@@ -276,7 +276,7 @@ def prefixes(sets: DataFrame, percent: int, counts: Broadcast) -> DataFrame:
 
 def _prefix_pairs(members: DataFrame, sets: DataFrame, component: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of members in different components that can be similar enough."""
-    inside = sets.join(members.select("id").distinct(), "id", "left_semi")
+    inside = sets.join(members.select("id").distinct().hint("merge"), "id", "left_semi")
     counts = sets.sparkSession.sparkContext.broadcast(shingle_counts(inside))
     rows = (inside.join(component, "id", "left").select("id", F.coalesce("component", "id").alias("component"), "shingles"))
     parts = written(prefixes(rows, percent, counts), "near-prefixes")
@@ -318,7 +318,7 @@ def near_links(docs: DataFrame, classes: DataFrame, width: int, trees: int, dept
     pairs = written(found.filter("b is not null").groupBy("a", "b").agg(F.sum("common").alias("weight")), "near-pairs")
     each = pairs.select(F.explode(F.array("a", "b")).alias("end"), "a", "b", "weight")
     ends = each.select(F.col("end").alias("id")).union(members.select("id")).distinct()
-    sets = written(shingle_sets(docs.join(ends, "id", "left_semi").select("id", "text"), width), "near-sets")
+    sets = written(shingle_sets(docs.join(ends.hint("merge"), "id", "left_semi").select("id", "text"), width), "near-sets")
     best = (each.withColumn("rank", F.row_number().over(Window.partitionBy("end").orderBy(F.desc("weight"), "a", "b")))
             .filter("rank <= 3").select("a", "b").distinct())
     links = written(confirmed(best, sets, percent), "near-links")
