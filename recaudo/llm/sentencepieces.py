@@ -6,14 +6,18 @@ model the best way has the highest sum of scores. For a BPE model it is the
 way on which every two neighbouring pieces stay apart when their text is
 merged anew by rank; exactly one such way leads to each node, and it is what
 applying all merges to the text gives, so ids equal SentencePiece's own.
-Only the nodes of the last ``longest`` characters can still be extended. When
-the backpointers of all of them lead through one boundary, the ids before it
-are committed and forgotten; the window stays as short as the text allows.
+The arcs that end at a node are found by walking back through a trie of the
+reversed pieces. Only the nodes of the last ``longest`` characters can still
+be extended. When the backpointers of all of them lead through one boundary,
+the ids before it are committed and forgotten; the window stays as short as
+the text allows. All text goes through this one stream.
 
 No piece spans a boundary between a character and a following space mark, or
 the sides of a character that no longer piece contains, so all ways meet
-there; units between such boundaries are encoded once and kept in a bounded
-table of recent units.
+there and everything is committed; between two such boundaries stands a unit,
+whose ids a bounded table of recent units remembers. Whether two pieces stay
+apart is decided once for each pair, by walking down their last merges from
+the boundary, and remembered in a bounded table too.
 
 Text normalisation is SentencePiece's identity rule with a dummy prefix.
 A literal U+2581, which SentencePiece would turn into a space, is written as
@@ -58,22 +62,6 @@ def load_model(path: str = MODEL) -> dict:
             "pieces": [(p.piece, p.score, p.type) for p in model.pieces]}
 
 
-class _Count:
-    count = 0
-
-
-class _Arcs(dict):
-    """What is known of the pieces that may follow one piece."""
-
-    def __init__(self, pieces: "Pieces", before: str | None):
-        self.pieces, self.before = pieces, before
-
-    def __missing__(self, piece: str) -> bool:
-        self.pieces.known.count += 1
-        self[piece] = known = self.pieces.may_follow(self.before, piece)
-        return known
-
-
 class Pieces:
     """Encoder and decoder over one piece table."""
 
@@ -84,27 +72,38 @@ class Pieces:
         self.byte = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(model["pieces"]) if kind == BYTE}
         self.unknown = min(self.score.values()) - 10
         self.longest = max(map(len, usable))
-        self.reach: dict[str, int] = {}          # the longest piece that ends with these three characters
-        for p in usable:
-            if len(p) > 2:
-                self.reach[p[-3:]] = max(len(p), self.reach.get(p[-3:], 0))
+        self.back: dict = {}                     # trie of the reversed pieces; the id of a piece stands under ""
+        for p, i in usable.items():
+            node = self.back
+            for c in reversed(p):
+                node = node.setdefault(c, {})
+            node[""] = i
         joined = {c for p in usable if len(p) > 1 for c in p}
         inner = any(MARK in p.lstrip(MARK) for p in usable)
         letters = "[" + "".join(map(re.escape, sorted(joined - {MARK}))) + "]" if joined - {MARK} else "(?!)"
         self.unit = re.compile("(?s).+" if inner else f"{MARK}*{letters}+|{MARK}+|(?s:.)")
         self.text = [bytes([int(p[3:5], 16)]) if kind == BYTE else p.replace(MARK, " ").encode() if kind in (NORMAL, USER_DEFINED) else b""
                      for p, _, kind in model["pieces"]]
-        self.arcs: dict[str | None, _Arcs] = {}
-        self.known = _Count()
-        self.ends: dict[str, str] = {}           # the last piece of a text at the start of a unit
-        self.code = {p: i.to_bytes(4, "little") for p, i in usable.items()}
+        self.piece = [p for p, _, _ in model["pieces"]]
+        # merges come by rank; a single character is there from the start
+        order = sorted(set(self.score.values()), reverse=True)
+        rank = {v: k for k, v in enumerate(order)}
+        self.rank = {i: rank[self.score[p]] if len(p) > 1 else -1 for p, i in usable.items()}
+        self.splits: dict[int, tuple[int, int] | None] = {}
+        self.apart: dict[int, bool] = {}         # id * 2^32 + id behind it
+        self.code = [i.to_bytes(4, "little") for i in range(len(self.piece))]
         self.units: dict[str, bytes] = {}
         self.table_size = table_size
 
     # --- lattice -----------------------------------------------------------
-    def merged(self, text: str) -> list[str]:
-        """All merges applied to a short text: best score first, then leftmost."""
-        parts = list(text)
+    # ids from len(self.piece) on stand for single characters outside the vocabulary
+
+    def _text(self, i: int) -> str:
+        return self.piece[i] if i < len(self.piece) else chr(i - len(self.piece))
+
+    def merged(self, text: str) -> tuple[list[str], tuple[str, str] | None]:
+        """All merges applied to a short text, best score first, then leftmost; the last pair that was merged."""
+        parts, last = list(text), None
         while True:
             best, at = None, -1
             for k in range(len(parts) - 1):
@@ -112,78 +111,98 @@ class Pieces:
                 if s is not None and (best is None or s > best):
                     best, at = s, k
             if at < 0:
-                return parts
+                return parts, last
+            last = (parts[at], parts[at + 1])
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
 
-    def may_follow(self, before: str | None, piece: str) -> bool:
-        """Whether the arc ``piece`` may follow ``before`` (None: the start of a unit)."""
-        return before is None or self.merged(before + piece) == [before, piece]
-
-    def _behind(self, before: str | None) -> "_Arcs":
-        arcs = self.arcs.get(before)
-        if arcs is None:
-            if self.known.count > 2 * self.table_size:
-                self.arcs.clear()
-                self.known.count = 0
-            arcs = self.arcs[before] = _Arcs(self, before)
-        return arcs
-
-    def _window(self, unit: str) -> list[str]:
-        """Pieces of a BPE unit that fits into one window. The best way to a
-        node depends on the text before it alone, so it is remembered by that
-        text: units with a known beginning go on from there. ``ends`` holds
-        with a text all its beginnings."""
-        ends, ids, reach = self.ends, self.ids, self.reach.get
-        if len(ends) > 2 * self.table_size:
-            ends.clear()
-        known = len(unit)
-        while known and unit[:known] not in ends:
-            known -= 1
-        for end in range(known + 1, len(unit) + 1):
-            first = end - reach(unit[end - 3:end], 2) if end > 2 else 0
-            for node in range(first if first > 0 else 0, end):
-                piece = unit[node:end]
-                if (piece in ids or node + 1 == end) and self._behind(ends[unit[:node]] if node else None)[piece]:
-                    break
-            ends[unit[:end]] = piece
-        out, end = [], len(unit)
-        while end:
-            piece = ends[unit[:end]]
-            out.append(piece)
-            end -= len(piece)
-        return out[::-1]
+    def _split(self, i: int) -> tuple[int, int] | None:
+        """The two pieces whose merge gives a longer piece; None if its
+        merges don't give it, or go through a character outside the vocabulary."""
+        if i not in self.splits:
+            parts, last = self.merged(self.piece[i])
+            ids = tuple(self.ids.get(p, -1) for p in last or ())
+            self.splits[i] = ids if len(parts) == 1 and len(ids) == 2 and min(ids) >= 0 else None
+        return self.splits[i]
+
+    def stays_apart(self, before: int, i: int) -> bool:
+        """Whether piece ``i`` may follow ``before`` (-1: the start of a unit).
+        Only pairs at the boundary can merge over it: the right ends of
+        ``before`` and the left ends of ``i``, as far as they are there at a time."""
+        if before < 0:
+            return i >= len(self.piece) or len(self.piece[i]) == 1 or self.merged(self.piece[i])[0] == [self.piece[i]]
+        left, right, limit = before, i, len(self.piece)
+        while left < len(self.piece) and right < len(self.piece):
+            joined = self.ids.get(self.piece[left] + self.piece[right])
+            if joined is not None and self.rank[joined] < limit:
+                return False
+            if self.rank[left] > self.rank[right]:
+                limit, parts = self.rank[left], self._split(left)
+            elif self.rank[right] >= 0:
+                limit, parts = self.rank[right] + 1, self._split(right)
+            else:
+                return True
+            if parts is None:
+                break
+            if self.rank[left] > self.rank[right]:
+                left = parts[1]
+            else:
+                right = parts[0]
+        texts = [self._text(before), self._text(i)]
+        return self.merged("".join(texts))[0] == texts
+
+    def _known(self, before: int, i: int) -> bool:
+        if len(self.apart) > 2 * self.table_size:
+            self.apart.clear()
+        known = self.apart[before << 32 | i] = self.stays_apart(before, i)
+        return known
 
-    def stream(self, chars: Iterable[str]) -> Iterator[str]:
-        """Pieces of a stream of characters, each as soon as it is certain.
-        ``held`` begins at the last committed boundary; back[k] is the length
-        of the piece that ends at its node k, cost[k] the best sum of scores."""
-        held, back, cost, start = "", [0], [0.0], None      # start: the piece before the boundary
+    def walk(self, chars: Iterable[str]) -> Iterator[int]:
+        """Ids of a stream of characters, each as soon as it is certain.
+        ``held`` begins at the last committed boundary; last[k] is the piece
+        that ends at its node k, back[k] its length, cost[k] the best sum of scores."""
+        held, back, last, cost, end = "", [0], [-1], [0.0], 0
+        trie, apart, known, bpe, outside, longest = self.back, self.apart.get, self._known, self.kind == BPE, len(self.piece), self.longest
         for c in chars:
             held += c
-            end = len(held)
-            best, take = None, 1
-            for size in range(min(self.longest, end), 0, -1):
-                piece, node = held[end - size:], end - size
-                if size > 1 and piece not in self.ids:
-                    continue
-                if self.kind == BPE:
-                    if self._behind(held[node - back[node]:node] if node else start)[piece]:
-                        take = size
+            end += 1
+            node, k, best, take, piece = trie, end, None, 1, -1
+            while k:
+                k -= 1
+                node = node.get(held[k])
+                if node is None:
+                    break
+                i = node.get("")
+                if i is None:
+                    if k + 1 < end or bpe:
+                        continue
+                    i = outside + ord(c)                 # within pieces, but none by itself
+                if bpe:
+                    ok = apart(last[k] << 32 | i)
+                    if ok is None:
+                        ok = known(last[k], i)
+                    if ok:
+                        take, piece = end - k, i         # the only way to this node
                         break
                 else:
-                    total = cost[node] + self.score.get(piece, self.unknown)
-                    if best is None or total > best:
-                        best, take = total, size
+                    total = cost[k] + (self.score[self.piece[i]] if i < outside else self.unknown)
+                    if best is None or total >= best:
+                        best, take, piece = total, end - k, i
+            if piece < 0:
+                piece, best = self.ids.get(c, outside + ord(c)), cost[end - 1] + self.unknown
             back.append(take)
+            last.append(piece)
             cost.append(best or 0.0)
-            if end % (2 * self.longest) == 0:
+            if end >= longest:
                 meet = self._meeting(back, end)
                 if meet:
-                    pieces = self._pieces(held, back, meet)
-                    yield from pieces
-                    start = pieces[-1]
-                    held, back, cost = held[meet:], [0, *back[meet + 1:]], [x - cost[meet] for x in cost[meet:]]
-        yield from self._pieces(held, back, len(held))
+                    yield from self._way(back, last, meet)
+                    held, back, last, cost, end = held[meet:], back[meet:], last[meet:], [x - cost[meet] for x in cost[meet:]], end - meet
+                    back[0] = 0
+        yield from self._way(back, last, end)
+
+    def stream(self, chars: Iterable[str]) -> Iterator[str]:
+        """The pieces of :meth:`walk` as text."""
+        return map(self._text, self.walk(chars))
 
     def _meeting(self, back: list[int], end: int) -> int:
         """The last boundary that the ways to all extendable nodes pass."""
@@ -195,10 +214,10 @@ class Pieces:
         return live.pop()
 
     @staticmethod
-    def _pieces(held: str, back: list[int], end: int) -> list[str]:
+    def _way(back: list[int], last: list[int], end: int) -> list[int]:
         out = []
         while end > 0:
-            out.append(held[end - back[end]:end])
+            out.append(last[end])
             end -= back[end]
         return out[::-1]
 
@@ -207,9 +226,8 @@ class Pieces:
         return b"".join(self.byte[b].to_bytes(4, "little") for b in piece.encode("utf-8", "surrogatepass"))
 
     def _unit(self, unit: str) -> bytes:
-        pieces = self._window(unit) if self.kind == BPE and len(unit) <= 2 * self.longest else self.stream(unit)
-        code = self.code
-        ids = b"".join([code[p] if p in code else self._byte_ids(p) for p in pieces])
+        code, inside = self.code, len(self.piece)
+        ids = b"".join([code[i] if i < inside else self._byte_ids(chr(i - inside)) for i in self.walk(unit)])
         if len(self.units) >= self.table_size:
             self.units.clear()
         if len(unit) <= 64:
