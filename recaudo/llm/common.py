@@ -38,3 +38,16 @@ def text_of(column: str = "text") -> Column:
 def bucket_of(doc_id: str, buckets: int) -> Column:
     """crc32 of the id as text, modulo ``buckets`` (the fold of a label)."""
     return F.pmod(F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")), F.lit(buckets))
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns as one struct: beside it other columns may have any name."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, or with underscores behind it where a column has it already (names differ by more than case)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name

@@ -15,9 +15,10 @@ Null text counts as empty, and empty texts equal each other. Two rows are
 equal when their texts are identical without white space; the row with the
 most code points, then the smallest id, stays. Rows that repeat a doc_id and
 a text are copies of one document: each of them names that id as its keeper.
-A null id sorts after all others. Other columns, whatever their names, are
-not read by :func:`exact_duplicates` and pass through
-:func:`drop_exact_duplicates` unchanged.
+A null id sorts after all others. :func:`drop_exact_duplicates` keeps one row
+a group, also of rows that repeat an id (a file loaded twice). Other columns,
+whatever their names, are not read by :func:`exact_duplicates` and pass
+through :func:`drop_exact_duplicates` unchanged.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import SPACES, read_table, text_of, written
+from .common import SPACES, read_table, text_of, whole_row, written
 from .registry import register
 
 CHUNK_BITS = 32768      # bits of one bitmap_construct_agg result
@@ -102,18 +103,20 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **bloom) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Rows that the
-    filter finds unique never shuffle."""
-    sha = "__text_sha256"
-    hashed = docs.withColumn(sha, F.sha2(normalised(text_of(text_col)).cast("binary"), 256))
-    flagged = hashed.withColumn("__suspect", maybe_repeated(hashed.select(sha), sha, **bloom))
-    suspects = flagged.filter("__suspect")
-    keepers = _keepers(suspects.select(F.col(id_col).alias("doc_id"), F.col(sha).alias("text_sha256"),
-                                       F.length(text_of(text_col)).alias("n_code")))
-    keepers = keepers.select(F.col("text_sha256").alias("__sha"), F.col("keep_id").alias("__keep_id"))
-    goes = F.col("__sha").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("__keep_id"))
-    stay = suspects.join(keepers, suspects[sha] == keepers["__sha"], "left").filter(~goes).drop("__sha", "__keep_id")
-    return flagged.filter(~F.col("__suspect")).unionByName(stay).drop(sha, "__suspect")
+    """One row of each group of equal texts, with all its columns: of the
+    longest original texts the smallest id, of rows that repeat an id the one
+    whose columns hash least. Texts are read and hashed once, and written with
+    their hashes; rows that the filter finds unique never shuffle."""
+    rows = written(docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"),
+                               F.sha2(normalised(text_of(text_col)).cast("binary"), 256).alias("sha"),
+                               (-F.length(text_of(text_col))).alias("neg"), F.monotonically_increasing_id().alias("place")), "exact-rows")
+    flagged = rows.withColumn("suspect", maybe_repeated(rows.select("sha"), "sha", **bloom))
+    suspects = flagged.filter("suspect")
+    best = F.min(F.struct("neg", F.col("id").isNull().alias("no_id"), "id", "hash", "place"))
+    keepers = written(suspects.select("sha", "neg", "id", F.xxhash64(F.to_json("row")).alias("hash"), "place").groupBy("sha").agg(best.alias("best"))
+                      .select(F.col("sha").alias("of_sha"), F.col("best.place").alias("keep_place")), "exact-keepers")
+    stay = suspects.join(keepers, (F.col("sha") == F.col("of_sha")) & (F.col("place") == F.col("keep_place")), "left_semi")
+    return flagged.filter(~F.col("suspect")).select("row.*").unionByName(stay.select("row.*"))
 
 
 ORACLE = r"""

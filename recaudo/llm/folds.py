@@ -15,10 +15,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, in_train
     largest label). The chosen labels, bounded by ``max_rows``, are broadcast
     to the documents, which don't shuffle."""
     chosen = (labels.filter(in_training & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
-              .groupBy(F.col(id_col).alias("__id")).agg(F.max(label_col).cast("int").alias("label"))
-              .orderBy(F.xxhash64("__id"), "__id").limit(max_rows))
-    return (docs.join(F.broadcast(chosen), docs[id_col] == chosen["__id"])
-            .select(F.col("__id").alias("doc_id"), "label", text_of(text_col).alias("text")))
+              .groupBy(F.col(id_col).alias("doc_id")).agg(F.max(label_col).cast("int").alias("label"))
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows))
+    # only the two columns that are asked for, so others may have any name
+    rows = docs.select(F.col(id_col).alias("row_id"), text_of(text_col).alias("text"))
+    return (rows.join(F.broadcast(chosen), F.col("row_id") == F.col("doc_id"))
+            .select("doc_id", "label", "text"))
 
 
 def fold_is(buckets: int, held_out: int, id_col: str = "doc_id") -> Column:

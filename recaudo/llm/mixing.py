@@ -6,7 +6,9 @@ the inverse of the Poisson distribution with that mean at a uniform number
 that is hashed from (seed, doc_id), so a rerun, a lost executor or another
 partitioning gives the same counts. Documents are exploded by their counts
 and dealt out by a hash of (seed, doc_id, copy), sorted by it: a global
-random order in one shuffle.
+random order in one shuffle. A document of more than ``CHUNK`` copies (a source of
+few rows with a large share) is exploded in two steps with a shuffle between
+them, so that no task makes all its copies.
 
 Only DataFrame functions. A hot source is pre-aggregated before its size is
 known, and its documents never meet in one task: the rates, one row a source,
@@ -15,8 +17,9 @@ small enough for Spark to broadcast, and AQE splits the source otherwise.
 
 Null text counts as empty; each document's size is its code points plus one,
 so a source of empty texts has a rate too. A null source is a source of its
-own. Rows that repeat a doc_id get the same count each. Columns named copy,
-mix_rate or mix_key are replaced, all others kept. An empty table gives
+own. Rows that repeat a doc_id get the same count each. All columns are kept,
+whatever their names; where the input has a column copy, mix_rate or mix_key,
+the added one has an underscore behind its name. An empty table gives
 an empty result. Sources without a given weight get ``default_weight``.
 """
 
@@ -24,11 +27,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import read_table, text_of, written
+from .common import free_name, read_table, text_of, whole_row, written
 from .registry import register
 
 #: A mean above this is split into equal parts whose counts are added, so that exp(-mean) stays well above zero.
 PART = 500.0
+#: Copies of a document that one row is exploded into at once.
+CHUNK = 1024
 
 
 def uniform(seed: int, *parts: Column) -> Column:
@@ -65,17 +70,20 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, default_weight
     """The columns of ``docs`` plus copy (from 1), mix_rate and mix_key, in
     the order of mix_key within each part."""
     rates = (source_rates(docs, weights, default_weight, scale, source_col, text_col)
-             .select(F.col("source").alias("__source"), F.col("rate").alias("mix_rate"),
-                     F.col("parts").alias("__parts"), F.col("cdf").alias("__cdf")))
-    counted = docs.join(rates, docs[source_col].eqNullSafe(rates["__source"]), "inner")
-    draws = F.transform(F.sequence(F.lit(1), F.col("__parts")), lambda i: uniform(seed, F.col(id_col), i))
-    count = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("__cdf", lambda c: u >= c)))
-    copies = (counted.withColumn("__count", count).filter("__count > 0")
-              .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("__count"))))
-              .withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
-                                                       F.col("copy").cast("string"))))
-              .drop("__source", "__parts", "__cdf", "__count"))
-    return copies.repartition("mix_key").sortWithinPartitions("mix_key")
+             .select(F.col("source").alias("of_source"), F.col("rate").alias("mix_rate"), "parts", "cdf"))
+    rows = docs.select(whole_row(docs).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"))
+    draws = F.transform(F.sequence(F.lit(1), F.col("parts")), lambda i: uniform(seed, F.col("id"), i))
+    count = F.aggregate(draws, F.lit(0), lambda n, u: n + F.size(F.filter("cdf", lambda c: u >= c)))
+    counted = (rows.join(rates, F.col("source").eqNullSafe(F.col("of_source")), "inner")
+               .select("row", "id", "mix_rate", count.alias("count")))
+    few = counted.filter(F.col("count").between(1, CHUNK)).withColumn("first", F.lit(1))
+    many = (counted.filter(F.col("count") > CHUNK).withColumn("first", F.explode(F.sequence(F.lit(1), F.col("count"), F.lit(CHUNK))))
+            .withColumn("count", F.least(F.lit(CHUNK), F.col("count") - F.col("first") + 1)))
+    chunks = few.unionByName(many.repartition(F.xxhash64("id", "first")))
+    copies = chunks.withColumn("copy", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("count") - 1)))
+    key = F.md5(F.concat_ws(":", F.lit(f"order{seed}"), F.coalesce(F.col("id").cast("string"), F.lit("null")), F.col("copy").cast("string")))
+    dealt = copies.withColumn("mix_key", key).repartition("mix_key").sortWithinPartitions("mix_key")
+    return dealt.select("row.*", *[F.col(c).alias(free_name(c, docs.columns)) for c in ("copy", "mix_rate", "mix_key")])
 
 
 #: Production parameters of op9_mixing and of the pipeline: each source the same share, as large a mixture as the input.

@@ -368,7 +368,7 @@ def test_pipeline_stages_against_brute_force(spark):
 
 
 def test_pipeline_stages_on_odd_and_empty_tables(spark):
-    rows = [(None, None, None, None, None), (1, None, None, "s", 0), (2, "", "en", None, 0), (2, "", "en", None, 0), (3, "one two three four five six", None, "s", 5),
+    rows = [(None, None, None, None, None), (1, None, None, "s", 0), (2, "", "en", None, 0), (2, "", "en", None, 0), (9, "twice", "en", "s", 5), (9, "twice", "en", "s", 5), (3, "one two three four five six", None, "s", 5),
             (4, "One two  three four five six", None, "s", 5), (5, "word " * 40_000, "en", "t", 9)]
     schema = "doc_id long, text string, lang string, source string, n_chars long"
     for given in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):

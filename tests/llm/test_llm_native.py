@@ -47,6 +47,18 @@ def test_exact_drop_keeps_columns_and_empty_tables(spark):
     out = exact_dedup.drop_exact_duplicates(docs)
     assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == [1, 3, 4]
     assert exact_dedup.exact_duplicates(docs.limit(0)).count() == 0
+    assert exact_dedup.drop_exact_duplicates(docs.limit(0)).count() == 0
+
+
+def test_exact_drop_keeps_one_row_of_a_file_loaded_twice(spark):
+    rows = [(k, f"text {k % 7}" + " " * (k % 3)) for k in range(60)] + [(None, "text 1"), (None, "only here"), (None, "only here"), (99, "alone")]
+    once = docs_of(spark, rows)
+    out = exact_dedup.drop_exact_duplicates(once.union(once).union(once).repartition(5))
+    texts = ["".join((r.text or "").split()) for r in out.collect()]
+    assert len(texts) == len(set(texts)) == 9
+    alone = {r.text: r.doc_id for r in out.collect()}
+    want = {r.text_sha256: r.keep_id for r in exact_dedup.exact_duplicates(once).collect()}
+    assert sorted(map(str, alone.values())) == sorted(map(str, want.values()))
 
 
 # --- mixing ------------------------------------------------------------------
@@ -86,6 +98,14 @@ def test_mixing_of_a_very_high_rate(spark):
     assert abs(n - 2000.5) < 5 * 2000 ** 0.5
 
 
+def test_mixing_explodes_many_copies_in_parts(spark, monkeypatch):
+    docs = docs_of(spark, [(1, "x")], "small").union(docs_of(spark, [(k, "y" * 1999) for k in range(2, 6)], "large"))
+    whole = sorted(map(tuple, mixing.mix(docs).collect()), key=repr)
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    assert sorted(map(tuple, mixing.mix(docs).collect()), key=repr) == whole
+    assert sorted(r.copy for r in mixing.mix(docs).filter("doc_id = 1").collect()) == list(range(1, len([w for w in whole if w[0] == 1]) + 1))
+
+
 # --- chat --------------------------------------------------------------------
 def reference_digest(turns):
     convs = {}
