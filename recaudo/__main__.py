@@ -41,6 +41,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--month", type=int, required=True)
     c.add_argument("--year", type=int, required=True)
     c.add_argument("--out", required=True)
+    c.add_argument("--by-slot-code", action="store_true", help="files in the order of the slot code: mobiles first, then landlines")
     t = sub.add_parser("touches")
     t.add_argument("--input", required=True)
     t.add_argument("--month", type=int, required=True)
@@ -71,9 +72,9 @@ def main(argv: list[str] | None = None) -> int:
                                                                     F.lpad("MES DE ASIGNACION", 2, "0"))),
                                   args.out, partition_by=["mes"])
     elif args.cmd == "contacts":
-        from .plans.contact_plan import contact_table
+        from .plans.contact_plan import contact_table, write_contact_table
         raw = delimited.read_by_header(spark, args.input, ["identificacion", "cuenta", "dato"])
-        delimited.write_delimited(contact_table(raw, args.month, args.year), args.out)
+        (write_contact_table if args.by_slot_code else delimited.write_delimited)(contact_table(raw, args.month, args.year), args.out)
     elif args.cmd == "touches":
         from .plans.touch_plan import read_channels, touch_table
         delimited.write_delimited(touch_table(read_channels(spark, args.input), args.month, args.year), args.out)

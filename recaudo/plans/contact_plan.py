@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed, keys
 from ..operators import contacts
 from ..operators.topn import slot_columns
+from ..sources.delimited import write_delimited
 
 
 def contact_table(raw: DataFrame, month: int, year: int,
@@ -44,3 +45,10 @@ def contact_table(raw: DataFrame, month: int, year: int,
     if order_by_slot_code:
         out = out.orderBy(contacts.slot_order_code(slot_columns("phone", phone_slots)))
     return out
+
+
+def write_contact_table(table: DataFrame, path: str, phone_slots: int = fixed.PHONE_SLOTS, sep: str = ";") -> bool:
+    """Writes a contact table so that its files, read by name, list the rows
+    by slot code (mobiles first, then landlines, then empty slots), then account."""
+    code = contacts.slot_order_code(slot_columns("phone", phone_slots))
+    return write_delimited(table, path, sep=sep, order_by=[code, "cuenta", "identificacion"])

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from ..sources import committed, delimited, typed
+from ..sources import committed, delimited, quarantine, typed
 from ..sources.tables import table
 from .folder_merge import merge_export_folder
 from .registry import register
@@ -216,6 +217,64 @@ def csv_month_rerun(spark, sf):
                     F.lit(corrected).alias("corregido")))
 
 
+# the customers sorted by segment and balance: read by file name, no file
+# begins before its predecessor ends, and no row stands before the one above it
+@register("csv_ordered_files", """
+SELECT c_mktsegment AS segmento, count(*) AS n, CAST(max(CAST(c_acctbal AS DECIMAL(12,2))) AS DECIMAL(12,2)) AS mayor, true AS ordenado
+FROM customer GROUP BY 1""")
+def csv_ordered_files(spark, sf):
+    base = scratch_path(spark, "csv-ordered")
+    c = table(spark, sf, "customer").select(F.col("c_mktsegment").alias("segmento"), F.col("c_acctbal").cast("decimal(12,2)").alias("saldo"), F.col("c_custkey").alias("cuenta"))
+    delimited.write_delimited(c, base, order_by=["segmento", F.desc("saldo")], max_records_per_file=400)
+    back = (delimited.read_delimited(spark, base, "segmento string, saldo decimal(12,2), cuenta bigint", suffix=None)
+            .select("segmento", "saldo", F.struct("segmento", (-F.col("saldo")).alias("saldo")).alias("k"),
+                    F.col("_metadata.file_name").alias("f"), F.monotonically_increasing_id().alias("i")))
+    files = back.groupBy("f").agg(F.min("k").alias("low"), F.max("k").alias("high"))
+    later = files.select((F.lag("high").over(Window.orderBy("f")) > F.col("low")).alias("wrong"))               # a row a file
+    inside = back.select((F.lag("k").over(Window.partitionBy("f").orderBy("i")) > F.col("k")).alias("wrong"))   # at most 400 rows a file
+    ordered = later.unionByName(inside).where("wrong").isEmpty()
+    return back.groupBy("segmento").agg(F.count(F.lit(1)).alias("n"), F.max("saldo").alias("mayor"), F.lit(ordered).alias("ordenado"))
+
+
+# one file of a source in UTF-8, one in Latin-1, headers with accents too
+@register("csv_charsets", """
+SELECT CASE WHEN s_suppkey % 2 = 0 THEN 'UTF-8' ELSE 'ISO-8859-1' END AS origen, CAST(s_suppkey AS VARCHAR) AS "código",
+       'Señor Muñoz nº ' || s_name AS "razón social" FROM supplier""")
+def csv_charsets(spark, sf):
+    base = scratch_path(spark, "csv-charsets")
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("código"), F.concat(F.lit("Señor Muñoz nº "), "s_name").alias("razón social"))
+    for k, charset in enumerate(delimited.CHARSETS):
+        delimited.write_delimited(s.where(F.col("`código`").cast("bigint") % 2 == k), os.path.join(base, charset), encoding=charset)
+    files = [f for x in delimited.CHARSETS for f in delimited.list_files(spark, os.path.join(base, x))]
+    back = delimited.read_by_header(spark, files, encoding=delimited.DETECT, file_column="_file")
+    return back.select(F.regexp_extract("_file", "(UTF-8|ISO-8859-1)/[^/]*$", 1).alias("origen"), "código", "razón social")
+
+
+# orders as files by priority, some rows with a value too few or too many:
+# good rows are read, broken ones are reported with their file and line
+@register("csv_quarantine", """
+WITH n AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) AS fila FROM orders)
+SELECT left(o_orderpriority, 1) AS archivo, fila + 1 AS linea,
+       CASE WHEN o_orderkey % 10 = 3 THEN o_orderkey || ';' || o_orderstatus ELSE o_orderkey || ';' || o_orderstatus || ';' || o_custkey || ';x;y' END AS registro,
+       (SELECT count(*) FROM orders WHERE o_orderkey % 10 NOT IN (3, 7)) AS buenas
+FROM n WHERE o_orderkey % 10 IN (3, 7)""")
+def csv_quarantine(spark, sf):
+    base = scratch_path(spark, "csv-quarantine")
+    row = F.row_number().over(Window.partitionBy("o_orderpriority").orderBy("o_orderkey"))
+    kind = F.col("o_orderkey") % 10
+    o = table(spark, sf, "orders").select(
+        F.substring("o_orderpriority", 1, 1).alias("archivo"), row.alias("fila"),
+        F.concat_ws(";", F.col("o_orderkey"), "o_orderstatus", F.when(kind != 3, F.col("o_custkey").cast("string")), F.when(kind == 7, F.lit("x;y"))).alias("value"))
+    heads = o.select("archivo").distinct().select("archivo", F.lit(0).alias("fila"), F.lit("cuenta;estado;cliente").alias("value"))
+    (o.unionByName(heads).repartition("archivo").sortWithinPartitions("archivo", "fila").select("value", "archivo")
+     .write.partitionBy("archivo").option("compression", "none").text(base))
+    fs, folder = delimited.hadoop_fs(spark, base)
+    files = [f for d in fs.listStatus(folder) if d.isDirectory() for f in delimited.list_files(spark, d.getPath().toString(), ".txt")]
+    rows = quarantine.read_sorted(spark, files, sep=";")
+    return rows.bad.select(F.regexp_extract("file", "archivo=([^/]*)/", 1).alias("archivo"), F.col("line").alias("linea"), F.col("record").alias("registro"),
+                           F.lit(rows.good.count()).cast("bigint").alias("buenas"))
+
+
 # at most two files for each output partition
 @register("csv_files_per_partition", """
 SELECT o_orderstatus AS estado, count(*) AS n, true AS pocos_archivos FROM orders GROUP BY 1""")

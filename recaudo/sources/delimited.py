@@ -5,7 +5,9 @@
   in parallel, through the Hadoop file system so any cluster store works);
   files with the same separator and header share ONE distributed CSV scan;
   the scans are unioned by name (missing columns -> NULL). ``columns`` are
-  selected by name, and a name that no file has is an error.
+  selected by name, and a name that no file has is an error. With
+  ``encoding="detect"`` the charset is found a file (:func:`charsets`) and is
+  part of what makes files share a scan.
 * ``read_drifting_folder``: the same for a folder of ``,`` and ``;`` files. A
   file whose header has neither is reported as skipped; a comma in the header
   wins over a semicolon. ``skip_unreadable`` reads every file once beforehand
@@ -29,8 +31,9 @@ import csv
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -128,12 +131,6 @@ def header_columns(line: str, sep: str) -> tuple[str, ...]:
     return tuple(c.strip() for c in next(csv.reader([line], delimiter=sep), []))
 
 
-def header_lines(spark: SparkSession, files: Sequence[str], encoding: str = "UTF-8") -> list[str]:
-    """The header of every file, read in parallel."""
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        return list(pool.map(lambda f: header_line(spark, f, encoding), files))
-
-
 def unreadable_files(spark: SparkSession, files: Sequence[str]) -> list[str]:
     """The files that can't be read to their end (e.g. half-written archives).
     Each file is read once, a few jobs at a time; nothing is collected."""
@@ -147,6 +144,30 @@ def unreadable_files(spark: SparkSession, files: Sequence[str]) -> list[str]:
         return [f for f, bad in zip(files, pool.map(broken, files)) if bad]
 
 
+#: ``encoding`` that stands for UTF-8 or Latin-1, whichever a file is.
+DETECT = "detect"
+CHARSETS = ("UTF-8", "ISO-8859-1")
+
+
+def charsets(spark: SparkSession, files: Sequence[str]) -> dict[str, str]:
+    """File -> UTF-8 where all its bytes are valid UTF-8, else Latin-1. The
+    text source hands lines over as the bytes they are, and no character of
+    more than one byte holds a line end, so lines tell for the file. One job
+    for all files; a row a file comes back."""
+    if not files:
+        return {}
+    seen = (spark.read.text(list(files)).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("utf8"))
+            .groupBy("file").agg(F.min("utf8").alias("utf8")).collect())
+    other = {unquote(r.file) for r in seen if not r.utf8}
+    return {f: CHARSETS[1] if hadoop_uri(spark, f) in other else CHARSETS[0] for f in files}
+
+
+def hadoop_uri(spark: SparkSession, path: str) -> str:
+    """The path as Spark's file metadata has it, decoded (``file:///a b``)."""
+    fs, p = hadoop_fs(spark, path)
+    return unquote(spark._jvm.org.apache.spark.paths.SparkPath.fromPath(fs.makeQualified(p)).urlEncoded())
+
+
 @dataclass
 class FolderScan:
     df: DataFrame | None
@@ -155,23 +176,33 @@ class FolderScan:
     unreadable: list[str] = field(default_factory=list)
 
 
-def _grouped(spark: SparkSession, files: Sequence[str], sep: str | None, encoding: str, file_column: str | None) -> FolderScan:
-    """One scan for each (separator, header), unioned by name."""
-    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+def header_groups(spark: SparkSession, files: Sequence[str], sep: str | None = None, encoding: str = "UTF-8"
+                  ) -> tuple[dict[tuple[str, tuple[str, ...], str], list[str]], list[str]]:
+    """(separator, columns, charset) -> files that share them; the files without a header or separator."""
+    found = charsets(spark, files) if encoding == DETECT else dict.fromkeys(files, encoding)
+    groups: dict[tuple[str, tuple[str, ...], str], list[str]] = {}
     skipped = []
-    for f, head in zip(files, header_lines(spark, files, encoding)):
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        heads = list(pool.map(lambda f: header_line(spark, f, found[f]), files))
+    for f, head in zip(files, heads):
         used = sep or detect_separator(head)
         if used is None or not head:
             skipped.append(f)
             continue
-        groups.setdefault((used, header_columns(head, used)), []).append(f)
+        groups.setdefault((used, header_columns(head, used), found[f]), []).append(f)
+    return groups, skipped
+
+
+def _grouped(spark: SparkSession, files: Sequence[str], sep: str | None, encoding: str, file_column: str | None) -> FolderScan:
+    """One scan for each (separator, header, charset), unioned by name."""
+    groups, skipped = header_groups(spark, files, sep, encoding)
     df = None
-    for (used, cols), fl in groups.items():
-        part = read_delimited(spark, fl, string_schema(list(cols)), sep=used, encoding=encoding, suffix=None)
+    for (used, cols, charset), fl in groups.items():
+        part = read_delimited(spark, fl, string_schema(list(cols)), sep=used, encoding=charset, suffix=None)
         if file_column:
             part = part.withColumn(file_column, F.col("_metadata.file_path"))
         df = part if df is None else df.unionByName(part, allowMissingColumns=True)
-    return FolderScan(df, [(used, list(cols), fl) for (used, cols), fl in groups.items()], skipped)
+    return FolderScan(df, [(used, list(cols), fl) for (used, cols, _), fl in groups.items()], skipped)
 
 
 def read_by_header(spark: SparkSession, files: str | Sequence[str], columns: Sequence[str] | None = None, sep: str | None = ";",
@@ -206,7 +237,8 @@ def read_drifting_folder(spark: SparkSession, folder: str | list[str], suffix: s
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite",
                     partition_by: list[str] | None = None, files_per_partition: int | None = None,
-                    max_records_per_file: int | None = None, skip_empty: bool = True) -> bool:
+                    max_records_per_file: int | None = None, skip_empty: bool = True,
+                    order_by: Sequence[Column | str] = (), encoding: str | None = None) -> bool:
     """Write with header and separator. Returns False for an empty result,
     which leaves an earlier output in place (and writes nothing where there
     was none) when ``skip_empty``.
@@ -216,10 +248,19 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overw
     several writers by its size. ``files_per_partition`` asks for at most n
     files each instead, dealt by a deterministic salt.
     ``max_records_per_file`` bounds file size independently.
+    ``order_by`` writes a table that is sorted when its files are read in the
+    order of their names: rows are dealt out by ranges of the order, equal
+    ones by their hash (so a frequent value spreads), and sorted in each file.
     ``mode="append"`` adds to partitions in place, by Spark's own commit."""
     quoted = [F.col(f"`{c}`") for c in partition_by or []]
 
+    if order_by and (partition_by or files_per_partition):
+        raise ValueError("order_by is the layout of a whole table; it can't go with partitions")
+
     def arrange(out: DataFrame) -> DataFrame:
+        if order_by:
+            order = [*order_by, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]
+            return out.repartitionByRange(*order).sortWithinPartitions(*order)
         if files_per_partition and partition_by:
             salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(files_per_partition))
             return out.repartition(*quoted, salt)
@@ -229,6 +270,8 @@ def write_delimited(df: DataFrame, path: str, sep: str = ";", mode: str = "overw
 
     def write(w, folder: str) -> None:
         w = w.option("header", True).option("sep", sep)
+        if encoding:
+            w = w.option("encoding", encoding)
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
         if partition_by:

@@ -9,7 +9,7 @@ from tools.check_oracle import table_hash
 
 SF = "/root/testdata/sf0.001"
 WRITES = {"csv_roundtrip", "csv_drift_merge", "csv_month_drift", "csv_by_name", "csv_inferred",
-          "csv_append_log", "csv_inferred_drift", "calendar_day_by_day", "monthly_bucketed", "csv_committed_rewrite", "csv_month_rerun", "csv_files_per_partition", "csv_skipped_report", "contact_log_stream"}   # plan after a write/stream
+          "csv_append_log", "csv_ordered_files", "csv_charsets", "csv_quarantine", "csv_inferred_drift", "calendar_day_by_day", "monthly_bucketed", "csv_committed_rewrite", "csv_month_rerun", "csv_files_per_partition", "csv_skipped_report", "contact_log_stream"}   # plan after a write/stream
 
 
 def _plan(spark, name):
