@@ -31,11 +31,13 @@ kinds every finding is kept with score 0.5. Other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from recaudo.session import scratch_path
+
 from .common import read_table, text_of, written
 from .registry import register
 from .spans import match_spans
@@ -77,9 +79,8 @@ def findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
 
 
 def _grams(word: Column) -> Column:
-    # a substring's place is counted from the start, so long words are searched instead
-    return (F.when(F.length(word) <= 64, F.transform(F.sequence(F.lit(1), F.length(word) - 2), lambda i: F.substr(word, i, F.lit(3))))
-            .otherwise(F.regexp_extract_all(word, F.lit(r"(?=(\p{L}{3}))"), F.lit(1))))
+    """The three-letter sequences of a word of letters, in time linear in it."""
+    return F.regexp_extract_all(word, F.lit(r"(?=(\p{L}{3}))"), F.lit(1))
 
 
 def dictionary_of(docs: DataFrame, size: int, text_col: str = "text") -> DataFrame:
@@ -123,12 +124,18 @@ def label_findings(found: DataFrame) -> DataFrame:
 
 def train_forest(labelled: DataFrame, max_train: int = 20_000, trees: int = 40, depth: int = 6, seed: int = 11):
     """A forest from rows with FEATURES and label; None without both labels."""
-    sample = written(labelled.filter("label is not null").dropDuplicates(["value"]).orderBy(F.xxhash64("value"), "value").limit(max_train)
-                     .select(*FEATURES, F.col("label").cast("double").alias("label")), "secret-sample")
+    # of findings with one value the one with the least features, so the forest is the same in every run
+    one = (labelled.filter("label is not null").groupBy("value").agg(F.min(F.struct(*FEATURES, F.col("label").cast("double").alias("label"))).alias("f")))
+    sample = written(one.orderBy(F.xxhash64("value"), "value").limit(max_train).select("f.*"), "secret-sample")
     if sample.select("label").distinct().count() < 2:
         return None
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, subsamplingRate=0.8).fit(rows)
+    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, subsamplingRate=0.8).fit(rows)
+    # a fitted forest holds its training summary and with it the session, which can't go to the tasks once it has
+    # observed a write; the forest that is read back has none
+    path = scratch_path(labelled.sparkSession, "secret-forest")
+    forest.write().save(path)
+    return RandomForestClassificationModel.load(path)
 
 
 def scan_secrets(docs: DataFrame, labelled: DataFrame | None = None, dictionary: int = 2000, threshold: float = 0.5, **columns) -> DataFrame:

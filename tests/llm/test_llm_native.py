@@ -256,3 +256,31 @@ def test_assigned_secrets_are_taken_whole(spark):
 def test_long_words_count_in_the_dictionary(spark):
     docs = spark.createDataFrame([(1, "xyz" * 200), (2, "abcd")], "doc_id long, text string")
     assert {r.gram for r in secret_scan.dictionary_of(docs, 3).collect()} == {"xyz", "yzx", "zxy"}
+
+
+# --- spans -----------------------------------------------------------------------
+def test_spans_of_very_many_matches(spark):
+    import re
+    import time
+    from recaudo.llm.spans import match_spans
+    rng = random.Random(5)
+    texts = ["", "none here", "a1", "1", "é1 𝄞22 x"] + ["".join(rng.choice("ab1\U0001d11e") for _ in range(rng.randint(0, 900))) for _ in range(60)]
+    texts += ["1 " * n for n in (255, 256, 257, 511, 512, 513)]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = {r.k: [(s.start, s.end, s.value) for s in r.s] for r in df.select("k", match_spans(F.col("t"), "[0-9]+").alias("s")).collect()}
+    assert got == {k: [(m.start(), m.end(), m[0]) for m in re.finditer("[0-9]+", t)] for k, t in enumerate(texts)}
+    many = spark.createDataFrame([("ab 12345 " * 100_000,)], "t string")
+    begin = time.perf_counter()
+    last = many.select(F.element_at(match_spans(F.col("t"), "[0-9]+"), -1)["end"].alias("e"), F.size(match_spans(F.col("t"), "[0-9]+")).alias("n")).first()
+    assert tuple(last) == (899_999, 100_000) and time.perf_counter() - begin < 60
+
+
+def test_forest_scores_after_an_observed_write_and_the_same_again(spark):
+    from pyspark.sql import Observation
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 3}
+    docs = secret_docs(spark)
+    docs = docs[0] if isinstance(docs, tuple) else docs
+    runs = [sorted(map(tuple, secret_scan.scan_secrets(d).collect())) for d in (docs, docs.repartition(5))]
+    assert runs[0] == runs[1]
