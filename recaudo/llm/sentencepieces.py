@@ -65,19 +65,20 @@ def load_model(path: str = MODEL) -> dict:
 class Pieces:
     """Encoder and decoder over one piece table."""
 
-    def __init__(self, model: dict, table_size: int = 300_000):
+    def __init__(self, model: dict, table_size: int = 500_000):
         usable = {p: i for i, (p, _, kind) in enumerate(model["pieces"]) if kind in (NORMAL, USER_DEFINED)}
         self.ids, self.kind, self.prefix = usable, model["kind"], model["prefix"]
         self.score = {p: model["pieces"][i][1] for p, i in usable.items()}
         self.byte = {int(p[3:5], 16): i for i, (p, _, kind) in enumerate(model["pieces"]) if kind == BYTE}
         self.unknown = min(self.score.values()) - 10
         self.longest = max(map(len, usable))
-        self.back: dict = {}                     # trie of the reversed pieces; the id of a piece stands under ""
+        self.back: dict = {}                     # trie of the reversed pieces: character -> [id of the piece or -1, its children]
         for p, i in usable.items():
-            node = self.back
+            children = self.back
             for c in reversed(p):
-                node = node.setdefault(c, {})
-            node[""] = i
+                node = children.setdefault(c, [-1, {}])
+                children = node[1]
+            node[0] = i
         joined = {c for p in usable if len(p) > 1 for c in p}
         inner = any(MARK in p.lstrip(MARK) for p in usable)
         letters = "[" + "".join(map(re.escape, sorted(joined - {MARK}))) + "]" if joined - {MARK} else "(?!)"
@@ -93,6 +94,8 @@ class Pieces:
         self.apart: dict[int, bool] = {}         # id * 2^32 + id behind it
         self.code = [i.to_bytes(4, "little") for i in range(len(self.piece))]
         self.units: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.spaced = not inner
         self.table_size = table_size
 
     # --- lattice -----------------------------------------------------------
@@ -164,34 +167,38 @@ class Pieces:
         trie, apart, known, bpe, outside, longest = self.back, self.apart.get, self._known, self.kind == BPE, len(self.piece), self.longest
         for c in chars:
             held += c
+            k = end
             end += 1
-            node, k, best, take, piece = trie, end, None, 1, -1
-            while k:
+            node = trie.get(c)
+            if node is None or node[0] < 0:              # within pieces at most, but none by itself
+                i, children = outside + ord(c), node[1] if node else {}
+            else:
+                i, children = node
+            best, take, piece = None, 1, i
+            while True:
+                if i >= 0:
+                    if bpe:
+                        ok = apart(last[k] << 32 | i)
+                        if ok is None:
+                            ok = known(last[k], i)
+                        if ok:
+                            take, piece = end - k, i     # the only way to this node
+                            break
+                    else:
+                        total = cost[k] + (self.score[self.piece[i]] if i < outside else self.unknown)
+                        if best is None or total >= best:
+                            best, take, piece = total, end - k, i
+                if not k:
+                    break
                 k -= 1
-                node = node.get(held[k])
+                node = children.get(held[k])
                 if node is None:
                     break
-                i = node.get("")
-                if i is None:
-                    if k + 1 < end or bpe:
-                        continue
-                    i = outside + ord(c)                 # within pieces, but none by itself
-                if bpe:
-                    ok = apart(last[k] << 32 | i)
-                    if ok is None:
-                        ok = known(last[k], i)
-                    if ok:
-                        take, piece = end - k, i         # the only way to this node
-                        break
-                else:
-                    total = cost[k] + (self.score[self.piece[i]] if i < outside else self.unknown)
-                    if best is None or total >= best:
-                        best, take, piece = total, end - k, i
-            if piece < 0:
-                piece, best = self.ids.get(c, outside + ord(c)), cost[end - 1] + self.unknown
+                i, children = node
             back.append(take)
             last.append(piece)
-            cost.append(best or 0.0)
+            if not bpe:
+                cost.append(best)
             if end >= longest:
                 meet = self._meeting(back, end)
                 if meet:
@@ -225,15 +232,32 @@ class Pieces:
     def _byte_ids(self, piece: str) -> bytes:
         return b"".join(self.byte[b].to_bytes(4, "little") for b in piece.encode("utf-8", "surrogatepass"))
 
-    def _unit(self, unit: str) -> bytes:
+    def _ids(self, unit: str) -> bytes:
         code, inside = self.code, len(self.piece)
-        ids = b"".join([code[i] if i < inside else self._byte_ids(chr(i - inside)) for i in self.walk(unit)])
+        return b"".join([code[i] if i < inside else self._byte_ids(chr(i - inside)) for i in self.walk(unit)])
+
+    def _unit(self, unit: str) -> bytes:
+        ids = self._ids(unit)
         if len(self.units) >= self.table_size:
             self.units.clear()
         if len(unit) <= 64:
             self.units[unit] = ids
         return ids
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a space mark and a word, by its units; remembered."""
+        units = self.unit.findall(MARK + word)
+        if len(units) == 1:
+            ids = self._ids(units[0])
+        else:
+            get, make = self.units.get, self._unit
+            ids = b"".join([get(u) or make(u) for u in units])
+        if len(self.words) >= self.table_size:
+            self.words.clear()
+        if len(word) <= 64:
+            self.words[word] = ids
+        return ids
+
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.empty(0, "<i4")
@@ -242,8 +266,15 @@ class Pieces:
         for k, part in enumerate(((" " if self.prefix else "") + text).split(MARK)):
             if k:
                 out.append(literal)
-            get, make = self.units.get, self._unit
-            out += [get(u) or make(u) for u in self.unit.findall(part.replace(" ", MARK))]
+            words = part.split(" ")
+            if self.spaced and "" not in words[1:]:      # a space mark begins a unit, unless another one stands before it
+                if words[0]:
+                    out += [self.units.get(u) or self._unit(u) for u in self.unit.findall(words[0])]
+                get, make = self.words.get, self._word
+                out += [get(w) or make(w) for w in words[1:]]
+            else:
+                get, make = self.units.get, self._unit
+                out += [get(u) or make(u) for u in self.unit.findall(part.replace(" ", MARK))]
         return np.frombuffer(b"".join(out), "<i4")
 
     def decode(self, ids) -> str:
