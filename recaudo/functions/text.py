@@ -25,6 +25,13 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _without(x: Column, text: str, to: str) -> Column:
+    """Every match of ``text`` becomes ``to``; a text without pattern signs is searched as it is."""
+    if re.search(r"[.^$*+?{}\[\]\\|()]", text):
+        return F.regexp_replace(x, text, to)
+    return F.replace(x, F.lit(text), F.lit(to))
+
+
 def strict_person_name(c: Column | str) -> Column:
     """The reports' own pass order, letter for letter: each fixed text is
     deleted where it stands, so words may glue together and accented vowels
@@ -32,14 +39,14 @@ def strict_person_name(c: Column | str) -> Column:
     cleaned rule."""
     x = F.upper(_c(c))
     for wrong in fixed.STRICT_N:
-        x = F.regexp_replace(x, wrong, "N")
+        x = _without(x, wrong, "N")
     for wrong, right in fixed.STRICT_LETTERS:
-        x = F.regexp_replace(x, wrong, right)
+        x = _without(x, wrong, right)
     for text in fixed.STRICT_DELETED:
-        x = F.regexp_replace(x, text, "")
+        x = _without(x, text, "")
     x = F.regexp_replace(x, "[^A-Z& ]", "")
     for text in fixed.STRICT_DELETED_LAST:
-        x = F.regexp_replace(x, text, "")
+        x = _without(x, text, "")
     return F.regexp_replace(x, r"^(A\s+| )+", "")
 
 

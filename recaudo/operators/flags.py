@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.keys import blank_to_null
+from .hot_keys import hot_left_join
 from .joins import spread_null_key
 
 
@@ -26,11 +27,14 @@ def _flag(cond: Column) -> Column:
 
 
 def multi_flags(df: DataFrame, doc: str, spread: str,
-                distinct_flags: dict[str, str], rows_flag: str = "multicuenta") -> DataFrame:
+                distinct_flags: dict[str, str], rows_flag: str = "multicuenta",
+                hot_share: float | None = None, salts: int = 64) -> DataFrame:
     """Adds ``rows_flag`` (more than one row for the document) and, for each
     ``{flag_name: column}``, a flag that the column takes more than one
     distinct non-NULL value within the document. ``spread`` is a near-unique
-    column used to spread NULL documents."""
+    column used to spread NULL documents. With ``hot_share`` documents that
+    hold at least that share of the rows are found by a sketch and dealt over
+    ``salts`` keys (:mod:`.hot_keys`), for plans that don't rely on AQE."""
     key = blank_to_null(F.col(doc))
     per_doc = (
         df.select(key.alias("_doc"), *[F.col(c).alias(f"_v_{n}") for n, c in distinct_flags.items()])
@@ -41,7 +45,8 @@ def multi_flags(df: DataFrame, doc: str, spread: str,
         .withColumn("_doc", F.col("_doc").cast("string")).withColumnRenamed("_doc", "_jk")
     )
     detail = df.withColumn("_jk", spread_null_key(key, F.col(spread)))
-    j = detail.join(per_doc, "_jk", "left")
+    j = detail.join(per_doc, "_jk", "left") if hot_share is None else \
+        hot_left_join(detail, per_doc, "_jk", spread, hot_share, salts)
     out = j.withColumn(rows_flag, _flag(F.col("_n") > 1))
     for n in distinct_flags:
         out = out.withColumn(n, _flag(F.col(f"_m_{n}")))

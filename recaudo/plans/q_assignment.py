@@ -374,6 +374,26 @@ def multi_flags(spark, sf):
     return out.select("o_orderkey", "documento", "multicuenta", "multiproducto", "multimora")
 
 
+# Finished and pending orders, two thirds of all, stand under one collective document.
+
+@register("multi_flags_hot", """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus IN ('F', 'P') THEN 'COLECTIVO' ELSE CAST(o_custkey AS VARCHAR) END AS documento,
+                  o_orderstatus, o_orderpriority FROM orders)
+SELECT o_orderkey, documento,
+  CASE WHEN count(*) OVER w > 1 THEN 'Aplica' ELSE 'No aplica' END AS multicuenta,
+  CASE WHEN max(o_orderstatus) OVER w > min(o_orderstatus) OVER w THEN 'Aplica' ELSE 'No aplica' END AS multiproducto,
+  CASE WHEN max(o_orderpriority) OVER w > min(o_orderpriority) OVER w THEN 'Aplica' ELSE 'No aplica' END AS multimora
+FROM o WINDOW w AS (PARTITION BY documento)""")
+def multi_flags_hot(spark, sf):
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus").isin("F", "P"), "COLECTIVO")
+        .otherwise(F.col("o_custkey").cast("string")).alias("documento"),
+        "o_orderstatus", "o_orderpriority")
+    out = flags.multi_flags(o, "documento", "o_orderkey",
+                            {"multiproducto": "o_orderstatus", "multimora": "o_orderpriority"}, hot_share=0.01)
+    return out.select("o_orderkey", "documento", "multicuenta", "multiproducto", "multimora")
+
+
 # ------------------------------------------------------ whole assignment base
 # The reference's main pipeline end to end: orders x customer rendered in
 # the positional 57-column text layout of the daily assignment files (one

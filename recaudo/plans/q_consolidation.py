@@ -138,14 +138,17 @@ FROM d""")
 def arrears_days(spark, sf):
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    # the due date is written and read once an order, not once a line
     due = F.when(F.col("o_orderstatus") == "P",
                  F.concat(F.lit("31/02/"), F.year("o_orderdate").cast("string"))) \
         .otherwise(dates.format_dmy("o_orderdate"))
-    t = j.select("l_orderkey", "l_linenumber", dates.format_dmy("l_shipdate").alias("fecha_ingreso"),
-                 due.alias("fecha_vencimiento"))
-    d, band = dates.arrears("fecha_ingreso", "fecha_vencimiento")
-    return t.select("*", d.alias("dias_mora"), band.alias("rango_de_dias_mora"))
+    o = o.select("o_orderkey", due.alias("fecha_vencimiento")) \
+        .withColumn("_vence", dates.parse_dmy("fecha_vencimiento"))
+    t = li.join(o, li.l_orderkey == o.o_orderkey) \
+        .select("l_orderkey", "l_linenumber", dates.format_dmy("l_shipdate").alias("fecha_ingreso"),
+                "fecha_vencimiento", "_vence") \
+        .withColumn("dias_mora", F.datediff(dates.parse_dmy("fecha_ingreso"), "_vence")).drop("_vence")
+    return t.withColumn("rango_de_dias_mora", bands.arrears_band("dias_mora"))
 
 
 # ------------------------------------------------------------ consolidation

@@ -326,3 +326,33 @@ def contact_log_stream(spark, sf):
     run_hourly_counts(spark, os.path.join(sf, "events.parquet"), table(spark, sf, "events").schema, "ts", "event_id",
                       {"estado": status}, sink, ckpt)
     return current_counts(spark, sink, ["hora", "estado"])
+
+
+# Failed attempts are reported after all others. What is then older than the
+# watermark is no longer counted but kept: late rows by hour and status.
+
+_LATE_AFTER = "10 days"
+
+
+@register("contact_log_late", f"""
+WITH e AS (SELECT *, event_type = 'error' AS second FROM events),
+w AS (SELECT epoch_ms(max(ts)) - epoch_ms(TIMESTAMP '1970-01-01' + INTERVAL '{_LATE_AFTER}') AS mark FROM e WHERE NOT second),
+k AS (SELECT e.*, CASE WHEN second AND epoch_ms(ts) <= mark THEN 'late' ELSE 'counted' END AS tipo FROM e, w)
+SELECT tipo, date_trunc('hour', ts) AS hora, CASE WHEN event_type = 'error' THEN 'Not sent' ELSE 'Sent' END AS estado,
+       count(*) AS n
+FROM k GROUP BY ALL""")
+def contact_log_late(spark, sf):
+    from ..streaming.late_rows import LATE, hourly_counts, kept_rows, start_keeping_late
+    base = scratch_path(spark, "contact-log-late")
+    landing, sink, ckpt = (os.path.join(base, x) for x in ("in", "out", "ckpt"))
+    e = table(spark, sf, "events")
+    status = F.when(F.col("event_type") == "error", "Not sent").otherwise("Sent")
+    for delivery in (F.col("event_type") != "error", F.col("event_type") == "error"):
+        e.where(delivery).write.mode("append").parquet(landing)
+        start_keeping_late(spark, landing, e.schema, "ts", "event_id", {"estado": status}, sink, ckpt,
+                           watermark=_LATE_AFTER, slots=32).awaitTermination()
+    late = kept_rows(spark, sink, e.schema, LATE).groupBy(F.date_trunc("hour", "ts").cast(e.schema["ts"].dataType).alias("hora"), status.alias("estado")) \
+        .agg(F.count(F.lit(1)).alias("n"))
+    counted = hourly_counts(spark, sink, ["hora", "estado"])
+    return counted.withColumn("tipo", F.lit("counted")).unionByName(late.withColumn("tipo", F.lit("late"))) \
+        .select("tipo", "hora", "estado", "n")

@@ -18,10 +18,12 @@ The reference appends one row per attempt to a log file. As a stream:
 from __future__ import annotations
 
 import os
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..sources.delimited import hadoop_fs
 
@@ -61,11 +63,44 @@ def run_hourly_counts(spark: SparkSession, source: str, schema, ts: str, key: st
                       sink: str, checkpoint: str, **options) -> dict[str, int]:
     """Run the stream over what is there and stop. Returns {"rows", "late"}:
     the rows read and those that came later than the watermark allows."""
-    q = start_hourly_counts(spark, source, schema, ts, key, by, sink, checkpoint, **options)
-    q.awaitTermination()
-    seen = [p for p in q.recentProgress]
-    return {"rows": sum(p["numInputRows"] for p in seen),
-            "late": sum(s["numRowsDroppedByWatermark"] for p in seen for s in p["stateOperators"])}
+    seen = _Progress()
+    spark.streams.addListener(seen)
+    try:
+        q = start_hourly_counts(spark, source, schema, ts, key, by, sink, checkpoint, **options)
+        q.awaitTermination()
+        seen.wait_for(str(q.runId))
+    finally:
+        spark.streams.removeListener(seen)
+    mine = [p for p in seen.updates if str(p.runId) == str(q.runId)]
+    return {"rows": sum(p.numInputRows for p in mine),
+            "late": sum(s.numRowsDroppedByWatermark for p in mine for s in p.stateOperators)}
+
+
+class _Progress(StreamingQueryListener):
+    """All progress updates; the query itself keeps its latest ones only."""
+
+    def __init__(self):
+        self.updates, self.ended, self.news = [], set(), threading.Condition()
+
+    def onQueryStarted(self, event):
+        pass
+
+    def onQueryProgress(self, event):
+        self.updates.append(event.progress)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        with self.news:
+            self.ended.add(str(event.runId))
+            self.news.notify_all()
+
+    def wait_for(self, run_id: str, seconds: float = 60.0) -> None:
+        """Until the updates of a run are all here: they come in order, the end last."""
+        with self.news:
+            if not self.news.wait_for(lambda: run_id in self.ended, seconds):
+                raise TimeoutError("the end of the query was not reported")
 
 
 def current_counts(spark: SparkSession, sink: str, keys: Sequence[str] = ("hora",)) -> DataFrame:
