@@ -14,7 +14,8 @@ PMI(t, e) / IC(e) = log(n(t, e) N / (n(t) n(e))) / log(N / n(e)) of the
 entity's information, 1 if the entity is in every line with the term. Terms
 that disclose at least ``threshold`` of an entity, in at least
 ``min_support`` different lines, are spans too, of kind ``term``, in every
-document that holds the entity. Counts cover all lines of all documents;
+document that says them, whether it holds the entity or not: that is where
+they give it away. Counts cover all lines of all documents;
 copies of a line count, but not as different ones. In
 :func:`sanitised` base spans and terms that disclose at least ``remove`` are
 cut to their kind's label; other terms are generalised to their first letter.
@@ -25,8 +26,8 @@ few entities times its own words, never pairs of lines.
 
 Null text counts as empty; a document without spans has zero counts, the
 digest of the empty string and an empty list. Repeated rows get a row each;
-rows that repeat an id share the terms found for that id. Other columns are
-not read.
+terms are found by the text's digest, once for equal texts, so ids play no
+part in it. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -119,25 +120,29 @@ def find_pii(docs: DataFrame, threshold: float = 0.8, min_support: int = 3, id_c
     """doc_id, text, base (array of base spans) and terms (array of
     struct<start,end,value,disclosure>) for every row of ``docs``. The text is
     given for rows with spans only, so rows without any don't carry it along."""
-    read = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
+    read = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text")).withColumn("digest", F.md5(F.col("text").cast("binary")))
     found = written(read.withColumn("base", base_spans(F.col("text")))
                     .withColumn("text", F.when(F.size("base") > 0, F.col("text"))), "pii-base")
     marked = found.filter(F.size("base") > 0)
-    telling = written(disclosing_terms(read.select("text"), marked, threshold, min_support), "pii-terms")
-    of_doc = (marked.select("doc_id", F.explode("base").alias("s")).select("doc_id", entity(F.col("s.kind"), F.col("s.value")).alias("entity")).distinct()
-              .join(telling, "entity").groupBy("doc_id", "term").agg(F.max("disclosure").alias("disclosure"))
-              .groupBy("doc_id").agg(F.collect_list(F.struct("term", "disclosure")).alias("telling"))
-              .withColumnRenamed("doc_id", "__id"))
+    telling = written(disclosing_terms(read.select("text"), marked, threshold, min_support)
+                      .groupBy("term").agg(F.max("disclosure").alias("disclosure")), "pii-terms")
+    # a text's telling terms; equal texts merge before they shuffle
+    said = written(read.select("digest", F.explode(terms_of(F.col("text"))).alias("term")).join(telling, "term")
+                   .groupBy("digest").agg(F.collect_set(F.struct("term", "disclosure")).alias("telling")), "pii-said")
 
     def place(s):
-        hit = F.filter("telling", lambda t: t["term"] == F.lower(s["value"]))
-        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.get(hit, F.lit(0))["disclosure"].alias("disclosure"))
+        at = F.array_position(F.col("telling.term"), F.lower(s["value"])).cast("int")
+        return F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), F.get(F.col("telling.disclosure"), at - 1).alias("disclosure"))
     terms = F.filter(F.transform(match_spans(F.col("text"), TERM), place), lambda s: s["disclosure"].isNotNull()
                      & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     none = F.array().cast("array<struct<start:int,end:int,value:string,disclosure:double>>")
-    with_terms = (marked.join(of_doc, marked["doc_id"].eqNullSafe(of_doc["__id"]), "left")
-                  .select("doc_id", "text", "base", F.when(F.col("telling").isNotNull(), terms).otherwise(none).alias("terms")))
-    return with_terms.unionByName(found.filter(F.size("base") == 0).withColumn("terms", none))
+    with_base = marked.join(said, "digest", "left").select("doc_id", "text", "base", F.when(F.col("telling").isNotNull(), terms).otherwise(none).alias("terms"))
+    # texts without base spans: those with telling terms are read again, the others are not needed
+    no_base = F.array().cast(found.schema["base"].dataType)
+    with_terms = (read.join(said, "digest").join(marked.select("digest").distinct(), "digest", "left_anti")
+                  .withColumn("base", no_base).select("doc_id", "text", "base", terms.alias("terms")))
+    clean = found.filter(F.size("base") == 0).join(said.select("digest"), "digest", "left_anti").select("doc_id", "text", "base", none.alias("terms"))
+    return with_base.unionByName(with_terms).unionByName(clean)
 
 
 def sanitised(found: DataFrame, remove: float = 0.95) -> DataFrame:
@@ -149,7 +154,7 @@ def sanitised(found: DataFrame, remove: float = 0.95) -> DataFrame:
     step = lambda a, s: F.when(s["end"] > a["before"], a).otherwise(
         F.struct(F.overlay(a["text"], s["to"], s["start"] + 1, s["end"] - s["start"]).alias("text"), s["start"].alias("before")))
     clean = F.aggregate(F.reverse(F.array_sort(F.concat(cut, told))), F.struct(F.col("text").alias("text"), F.lit(2 ** 31 - 1).alias("before")), step, lambda a: a["text"])
-    return found.filter(F.size("base") > 0).select("doc_id", clean.alias("text"))
+    return found.filter((F.size("base") > 0) | (F.size("terms") > 0)).select("doc_id", clean.alias("text"))
 
 
 def pii_digest(found: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 brute-force versions, with nulls, empty and long texts, ties, repeated rows,
 empty tables and clashing column names."""
 
+import collections
 import hashlib
+import math
 import random
 import re
 
@@ -207,6 +209,72 @@ def test_telling_terms_are_found_and_generalised(spark):
     assert pii.pii_digest(pii.find_pii(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
 
 
+def disclosures_by_definition(texts, threshold, min_support):
+    """term -> largest disclosure, from the lines as they stand."""
+    lines = [x for t in texts for x in (t or "").split("\n")]
+    held, words = [], collections.Counter()
+    for line in lines:
+        here = set(re.findall(r"[^\W\d_]{4,}", line.lower()))
+        words.update(here)
+        spans = plain_spans(line)
+        rest = line
+        for _, s, e in spans:
+            rest = rest.replace(line[s:e], " ")
+        for name in {line[s:e].lower() if k in ("email", "ip") else k + re.sub(r"\D", "", line[s:e]) for k, s, e in spans}:
+            held.append((name, line, set(re.findall(r"[^\W\d_]{4,}", rest.lower()))))
+    n_e, n_te, seen = collections.Counter(), collections.Counter(), collections.defaultdict(set)
+    for name, line, terms in held:
+        n_e[name] += 1
+        for t in terms:
+            n_te[name, t] += 1
+            seen[name, t].add(line)
+    out = {}
+    for (name, t), both in n_te.items():
+        if len(seen[name, t]) >= min_support and n_e[name] < len(lines):
+            value = math.log(both * len(lines) / (words[t] * n_e[name])) / math.log(len(lines) / n_e[name])
+            if value >= threshold:
+                out[t] = max(value, out.get(t, 0.0))
+    return out
+
+
+def test_disclosure_by_definition_and_terms_in_every_document(spark):
+    rnd = random.Random(12)
+    names, mails = ["Quixley", "Ostrava", "Bramble", "Tolk"], ["ana@mail.org", "bo@mail.org", "+1 555 010 99887"]
+    fill = "note about here plain words nothing filler line".split()
+    rows = []
+    for k in range(160):
+        lines = []
+        for _ in range(rnd.randrange(1, 4)):
+            words = [rnd.choice(fill) for _ in range(4)]
+            which = rnd.randrange(6)
+            if which < 3:
+                words.insert(rnd.randrange(5), names[which])
+                if rnd.random() < 0.9:
+                    words.append(mails[which])
+            elif which == 3:
+                words.append(names[3])
+            lines.append(" ".join(words) + f" {rnd.randrange(90)}")
+        rows.append((k, "\n".join(lines)))
+    rows += [(200, "Quixley came again"), (201, "Quixley came again"), (None, "Quixley came again"), (202, "nobody came"), (203, None)]
+    found = pii.find_pii(spark.createDataFrame(rows, "doc_id long, text string")).cache()
+    want = disclosures_by_definition([t for _, t in rows], 0.8, 3)
+    assert {"quixley", "bramble"} & set(want) and "tolk" not in want
+    got = collections.Counter()
+    for r in found.collect():
+        got.update((r.doc_id, s.start, s.value.lower(), round(s.disclosure, 9)) for s in r.terms)
+    expected = collections.Counter()
+    for k, t in rows:
+        spans = plain_spans(t or "")
+        for m in re.finditer(r"[^\W\d_]{4,}", t or ""):
+            w = m.group().lower()
+            if w in want and not any(s < m.end() and m.start() < e for _, s, e in spans):
+                expected[(k, m.start(), w, round(want[w], 9))] += 1
+    assert got == expected and found.count() == len(rows)
+    assert any(k == 200 for k, *_ in got) == ("quixley" in want)
+    clean = [r.text for r in pii.sanitised(found).filter("doc_id = 200").collect()]
+    assert ("quixley" in want) == bool(clean) and all("Quixley" not in t for t in clean)
+
+
 # --- secrets -----------------------------------------------------------------
 def secret_docs(spark):
     rnd = random.Random(6)
