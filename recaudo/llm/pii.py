@@ -34,6 +34,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from recaudo.operators.hot_keys import hot_left_join
+
 from .common import read_table, text_of, written
 from .registry import register
 from .spans import match_spans
@@ -136,12 +138,19 @@ def find_pii(docs: DataFrame, threshold: float = 0.8, min_support: int = 3, id_c
     terms = F.filter(F.transform(match_spans(F.col("text"), TERM), place), lambda s: s["disclosure"].isNotNull()
                      & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     none = F.array().cast("array<struct<start:int,end:int,value:string,disclosure:double>>")
-    with_base = marked.join(said, "digest", "left").select("doc_id", "text", "base", F.when(F.col("telling").isNotNull(), terms).otherwise(none).alias("terms"))
+    # copies of one text have one digest: frequent ones are dealt over salts. What has base spans is told apart
+    # on the distinct digests, so that only rows with something to add are joined to their texts
+    held = marked.select("digest").distinct().withColumn("held", F.lit(True))
+    said = written(said.join(held, "digest", "left"), "pii-said-held")
+    told = hot_left_join(marked, said.drop("held"), "digest", "doc_id")
+    with_base = told.select("doc_id", "text", "base", F.when(F.col("telling").isNotNull(), terms).otherwise(none).alias("terms"))
     # texts without base spans: those with telling terms are read again, the others are not needed
     no_base = F.array().cast(found.schema["base"].dataType)
-    with_terms = (read.join(said, "digest").join(marked.select("digest").distinct(), "digest", "left_anti")
+    new = said.filter(F.col("held").isNull()).drop("held")
+    with_terms = (hot_left_join(read, new, "digest", "doc_id").filter(F.col("telling").isNotNull())
                   .withColumn("base", no_base).select("doc_id", "text", "base", terms.alias("terms")))
-    clean = found.filter(F.size("base") == 0).join(said.select("digest"), "digest", "left_anti").select("doc_id", "text", "base", none.alias("terms"))
+    clean = (hot_left_join(found.filter(F.size("base") == 0), new, "digest", "doc_id").filter(F.col("telling").isNull())
+             .select("doc_id", "text", "base", none.alias("terms")))
     return with_base.unionByName(with_terms).unionByName(clean)
 
 
