@@ -31,26 +31,25 @@ def brand(mark_potential, mark_prepotential, mark_writeoff, mark_refinanced,
                                         mark_writeoff, mark_refinanced))
     crm, campaign, debt_age = _c(crm), _c(campaign), _c(debt_age)
     rr_sga = crm.isin("RR", "SGA")
-    base = (
+    special = campaign.isin(*fixed.PREPOTENCIAL_ESPECIAL_CAMPAIGNS)
+    # the debt age, which may itself be spelled as a brand, passes the merge and the special case as well
+    by_age = (
+        F.when(debt_age.isin(*fixed.BRAND_ARREARS_MERGED), F.lit(fixed.BRAND_ARREARS_MERGED_LABEL))
+        .when((debt_age == fixed.BRAND_PREPOTENCIAL) & (crm == "BSCS") & special, F.lit(fixed.BRAND_PREPOTENCIAL_ESPECIAL))
+        .otherwise(debt_age)
+    )
+    return (
         F.when((m5 == "Y") & (crm == "BSCS"), F.lit(fixed.BRAND_POTENCIAL))
         .when((m5 == "Y") & rr_sga, F.lit(fixed.BRAND_CHURN))
         .when((m5 == "Y") & (crm == "ASCARD"), F.lit(fixed.BRAND_PROVISION))
-        .when((m6 == "Y") & (crm == "BSCS"), F.lit(fixed.BRAND_PREPOTENCIAL))
+        .when((m6 == "Y") & (crm == "BSCS"),
+              F.when(special, F.lit(fixed.BRAND_PREPOTENCIAL_ESPECIAL)).otherwise(F.lit(fixed.BRAND_PREPOTENCIAL)))
         .when((m6 == "Y") & rr_sga, F.lit(fixed.BRAND_PRECHURN))
         .when((m6 == "Y") & (crm == "ASCARD"), F.lit(fixed.BRAND_PREPROVISION))
         .when(m7 == "Y", F.lit(fixed.BRAND_CASTIGO))
         .when((m5 == "N") & (m6 == "N") & (m7 == "N") & (m43 == "Y"),
               F.lit(fixed.BRAND_POTENCIAL_A_CASTIGAR))
-        .otherwise(debt_age)
-    )
-    # second pass over the first-pass brand (Catalyst shares the common
-    # sub-expression)
-    return (
-        F.when(base.isin(*fixed.BRAND_ARREARS_MERGED), F.lit(fixed.BRAND_ARREARS_MERGED_LABEL))
-        .when((base == fixed.BRAND_PREPOTENCIAL) & (crm == "BSCS")
-              & campaign.isin(*fixed.PREPOTENCIAL_ESPECIAL_CAMPAIGNS),
-              F.lit(fixed.BRAND_PREPOTENCIAL_ESPECIAL))
-        .otherwise(base)
+        .otherwise(by_age)
     )
 
 
@@ -75,13 +74,13 @@ def reference_flag(ref: Column | str) -> Column:
 
 
 def document_letters(doc: Column | str) -> Column:
-    return F.regexp_replace(_c(doc), "[^a-zA-Z]", "")
+    return F.regexp_replace(_c(doc), "[^a-zA-Z]+", "")
 
 
 def document_number(doc: Column | str) -> Column:
     """Digits of the document; '' when there are none (use
     ``keys.blank_to_null`` before grouping on it)."""
-    return F.regexp_replace(_c(doc), "[^0-9]", "")
+    return F.regexp_replace(_c(doc), "[^0-9]+", "")
 
 
 def document_type(doc: Column | str) -> Column:

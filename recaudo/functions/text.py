@@ -77,7 +77,7 @@ def clean_person_name(c: Column | str, strict: bool = False) -> Column:
     x = F.upper(x)
     x = F.translate(x, ACCENTED, PLAIN)
     # keep only what the honorific rule needs; the rest becomes a blank
-    x = F.regexp_replace(x, r"[^A-Z&()/. ]", " ")
+    x = F.regexp_replace(x, r"[^A-Z&()/. ]+", " ")
     x = F.when(x.contains("("), F.regexp_replace(x, r"\((A|AS|ES)\)", "$1")).otherwise(x)
     honor = "|".join(HONORIFICS)
     # every honorific contains "SR" or "SENOR": the regex runs only then

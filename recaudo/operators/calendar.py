@@ -43,7 +43,6 @@ def day_mask_agg(df: DataFrame, keys: Sequence[str], date_col: str,
     ``last_day`` and, when ``attrs`` are given, a struct ``first_row`` with
     those columns from the row with the earliest date (ties: smallest
     values, so the choice is deterministic)."""
-    df = df.where(F.col(date_col).isNotNull())
     d = F.to_date(F.col(date_col))
     day = F.dayofmonth(d)
     aggs = [
@@ -54,7 +53,11 @@ def day_mask_agg(df: DataFrame, keys: Sequence[str], date_col: str,
     if attrs:
         aggs.append(F.min(F.struct(d.alias("_d"), *[F.col(a) for a in attrs])).alias("first_row"))
     aggs += [c.alias(n) for n, c in (extra_aggs or {}).items()]
-    return df.groupBy(*[F.col(k) for k in keys], F.trunc(d, "month").alias("month")).agg(*aggs)
+    out = df.groupBy(*[F.col(k) for k in keys], F.trunc(d, "month").alias("month")).agg(*aggs)
+    # rows without a date fold into a group without a day, left out here: a filter on the date
+    # itself would parse it twice a row. The condition reads every day aggregate, so that plans
+    # which read this table twice need the same columns of it and share one shuffle.
+    return out.where((F.col("day_mask") > 0) & (F.col("first_day") <= F.col("last_day")))
 
 
 def undated_rows(df: DataFrame, keys: Sequence[str], date_col: str) -> DataFrame:
@@ -92,17 +95,16 @@ def calendar_columns(mask: Column, first: Column, last: Column, month_last: Colu
     }
 
 
-_LABEL_SQL = (
-    "CASE WHEN shiftright({m}, d - 1) & 1 = 1 THEN '" + fixed.DAY_ASSIGNED + "' "
-    "WHEN {f} < d AND {l} > d THEN '" + fixed.DAY_GAP + "' "
-    "WHEN {l} + 1 = d AND {ml} >= d THEN '" + fixed.DAY_WITHDRAWN + "' ELSE '' END")
-
-
 def day_status_array(mask: str, first: str, last: str, month_last: str) -> Column:
-    """All 31 day labels as one ``array<string>`` (one expression, built by
-    the SQL parser in a single call instead of 31 CASE trees)."""
-    body = _LABEL_SQL.format(m=mask, f=first, l=last, ml=month_last)
-    return F.expr(f"transform(sequence(1, {fixed.DAY_SLOTS}), d -> {body})")
+    """All 31 day labels as one ``array<string>``. Before the first day and
+    after the last the labels are constant, so only the days between (one for
+    most accounts) are looked up in the mask."""
+    return F.expr(
+        f"coalesce(slice(concat(array_repeat('', {first} - 1), "
+        f"transform(sequence({first}, {last}), d -> CASE WHEN shiftright({mask}, d - 1) & 1 = 1 "
+        f"THEN '{fixed.DAY_ASSIGNED}' ELSE '{fixed.DAY_GAP}' END), "
+        f"CASE WHEN {last} < {month_last} THEN array('{fixed.DAY_WITHDRAWN}') ELSE array('') END, "
+        f"array_repeat('', {fixed.DAY_SLOTS} - {last})), 1, {fixed.DAY_SLOTS}), array_repeat('', {fixed.DAY_SLOTS}))")
 
 
 def assignment_calendar(df: DataFrame, keys: Sequence[str], date_col: str,
@@ -127,8 +129,9 @@ def assignment_calendar(df: DataFrame, keys: Sequence[str], date_col: str,
 
 
 def calendar_of(masks: DataFrame, last_days: DataFrame, keys: Sequence[str], attrs: Sequence[str] = (), labels: str | None = "array",
-                day_prefix: str = "dia_", extra: Sequence[str] = ()) -> DataFrame:
-    """The calendar's columns from the folded days (:func:`day_mask_agg`) and the last day of each month."""
+                day_prefix: str = "dia_", extra: Sequence[str | Column] = ()) -> DataFrame:
+    """The calendar's columns from the folded days (:func:`day_mask_agg`) and the last day of each month.
+    ``extra``: further columns of ``masks``, or expressions over them."""
     months = broadcast_bounded(last_days, MAX_MONTHS, reason="one row per calendar month")
     j = masks.join(months, "month", "left") \
         .withColumn("day_mask", F.coalesce(F.col("day_mask"), F.lit(0).cast("bigint")))
@@ -140,7 +143,7 @@ def calendar_of(masks: DataFrame, last_days: DataFrame, keys: Sequence[str], att
     out.append(day_band(cols["rango_de_dias"]).alias("grupo_rango_de_dias"))
     if attrs:
         out += [F.col("first_row")[a].alias(a) for a in attrs]
-    out += [F.col(n) for n in extra]
+    out += [F.col(f"`{n}`") if isinstance(n, str) else n for n in extra]
     if labels:
         out.append(day_status_array("day_mask", "first_day", "last_day", "month_last_day")
                    .alias("day_status"))

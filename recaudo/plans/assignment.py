@@ -32,6 +32,12 @@ DAY_COLUMNS = [f"Dia_{d}" for d in range(1, fixed.DAY_SLOTS + 1)]
 _ROW_ATTRS = ["DOCUMENTO", "TIPO DE DOCUMENTO", "CUENTA_NEXT", "MARCA", "CRM", "SEGMENTO",
               "CUSTOMER TYPE", "RANGO DEUDA", "VALOR DEUDA", "FECHA VENCIMIENTO", "REFERENCIA",
               "FILTRO REFERENCIA", "NOMBRE"]
+# what the joins need of the row, and what the calendar's columns are derived from
+_JOIN_ATTRS = ["DOCUMENTO", "CUENTA_NEXT", "MARCA", "CRM", "VALOR DEUDA"]
+_DAYS = ["CUENTA", "month", "day_mask", "first_day", "last_day"]
+CALENDAR_NAMES = {"fecha_ingreso": "FECHA INGRESO", "fecha_retiro": "FECHA RETIRO", "grupo_rango_de_dias": "GRUPO RANGO DE DIAS",
+                  "rango_de_dias": "RANGO DE DIAS", "dias_asignada": "DIAS ASIGNADA", "dias_retirada": "DIAS RETIRADA",
+                  "estado_cuenta": "ESTADO CUENTA"}
 # raw columns the row-level rules read (kept from the earliest row of the month)
 RAW_USED = ["1_", "2_", "3_", "5_", "6_", "7_", "9_", "12_", "13_", "24_", "26_", "27_", "42_", "43_"]
 
@@ -72,36 +78,33 @@ def assignment_base(raw: DataFrame, discounts: DataFrame, dates_of: DataFrame |
     row-level rules run once per account and month instead of once per
     assigned day. ``dates_of``: columns ``3_`` and ``57_`` of ``raw``, where
     they can be read without the joins that build the other columns."""
-    days = assignment_days(raw)
-    cal = calendar.assignment_calendar(days, ["CUENTA"], "_fecha", attrs=RAW_USED, labels="array",
-                                       dates=(raw if dates_of is None else dates_of).where(F.col("3_") != HEADER_MARK)
-                                       .select(dates.parse_dmy("57_").alias("_fecha")))
-    cal = cal.select("*", *[e.alias(n) for n, e in row_columns().items()])
-    out = cal.select(
-        "CUENTA", "month", *_ROW_ATTRS,
-        F.col("fecha_ingreso").alias("FECHA INGRESO"),
-        F.col("fecha_retiro").alias("FECHA RETIRO"),
-        F.col("grupo_rango_de_dias").alias("GRUPO RANGO DE DIAS"),
-        F.col("rango_de_dias").alias("RANGO DE DIAS"),
-        F.col("dias_asignada").alias("DIAS ASIGNADA"),
-        F.col("dias_retirada").alias("DIAS RETIRADA"),
-        F.col("estado_cuenta").alias("ESTADO CUENTA"),
-        F.date_format("month", "M").alias("MES DE ASIGNACION"),
-        F.date_format("month", "yyyy").alias("PERIODO DE ASIGNACION"),
-        *[F.col("day_status")[d - 1].alias(f"Dia_{d}") for d in range(1, fixed.DAY_SLOTS + 1)],
-    )
+    masks = calendar.day_mask_agg(assignment_days(raw), ["CUENTA"], "_fecha", RAW_USED)
+    # the joins carry the raw row and the folded days; the rules that no join needs and the labels come last
+    rules = row_columns()
+    out = masks.select(*_DAYS, *[F.col("first_row")[a].alias(a) for a in RAW_USED]) \
+        .withColumns({n: rules[n] for n in _JOIN_ATTRS})
     disc = discounts.select(keys.account_key("CUENTA").alias("_dk"),
                             F.col("PORCENTAJE").alias("_pt"))
     out = apply_discounts(out, disc, "CUENTA_NEXT", "_dk", "VALOR DEUDA", "_pt")
     out = out.drop("porcentaje", "filtro_descuento", "valor_descuento_texto")
     out = out.withColumnsRenamed({"porcentaje_texto": "PORCENTAJE", "valor_descuento": "VALOR DESCUENTO",
                                   "rango_con_descuento": "RANGO CON DESCUENTO"})
-    # flags per document within the month (one file set = one month)
+    # flags per document within the month (one file set = one month); the document leads,
+    # so that sorts are decided by the key's first bytes
     out = out.withColumn("_doc_month", F.when(F.col("DOCUMENTO").isNotNull(),
-                                              F.concat_ws("|", F.col("month").cast("string"), F.col("DOCUMENTO"))))
+                                              F.concat_ws("|", F.col("DOCUMENTO"), F.col("month").cast("string"))))
     out = flags.multi_flags(out, "_doc_month", "CUENTA",
                             {"MULTIPRODUCTO": "CRM", "MULTIMORA": "MARCA"}, rows_flag="MULTICUENTA")
-    out = out.withColumns({
+    last_days = calendar.month_last_days((raw if dates_of is None else dates_of).where(F.col("3_") != HEADER_MARK)
+                                         .select(dates.parse_dmy("57_").alias("_fecha")), "_fecha")
+    # the rules stand in the labels' projection, which Spark compiles function by function; with
+    # the joins they would make one method that the JVM doesn't compile
+    out = calendar.calendar_of(out, last_days, ["CUENTA"], labels="array", extra=[
+        *[c for c in out.columns if c not in _DAYS and c not in RAW_USED], *[rules[n].alias(n) for n in _ROW_ATTRS if n not in _JOIN_ATTRS]])
+    out = out.withColumnsRenamed(CALENDAR_NAMES).withColumns({
+        "MES DE ASIGNACION": F.date_format("month", "M"),
+        "PERIODO DE ASIGNACION": F.date_format("month", "yyyy"),
+        **{f"Dia_{d}": F.col("day_status")[d - 1] for d in range(1, fixed.DAY_SLOTS + 1)},
         "VALOR DEUDA": classify.decimal_comma(F.col("VALOR DEUDA")),
         "VALOR DESCUENTO": classify.decimal_comma(F.col("VALOR DESCUENTO").cast("decimal(18,2)")),
     })
