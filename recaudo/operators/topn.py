@@ -35,9 +35,12 @@ def first_row_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def keyed_distinct(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the survivor chosen by ``order`` (deterministic
-    replacement of ``dropDuplicates(keys)``)."""
-    cols = [c for c in df.columns]
-    return first_row_per_key(df, keys, order, cols).select(*[F.col(f"`{c}`") for c in cols])
+    replacement of ``dropDuplicates(keys)``): the row that
+    :func:`first_row_per_key` picks, by a rank that leaves wide rows as they
+    are (Spark keeps one row a key and task before the shuffle)."""
+    rest = [c for c in df.columns if c not in order and c not in keys]
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in [*order, *rest]])
+    return df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
 
 
 def ranked_values(df: DataFrame, keys: Sequence[str], value: str, n: int,

@@ -190,7 +190,8 @@ def prepare_sources(src: MonthlySources, mobile_count=fixed.MOBILE_COUNT_RANGE,
         .withColumn("FILTRO_REPORTE_GESTION", outcomes.outcome_label(
             "CANTIDAD_CONTACTO_DIRECTO", "CANTIDAD_CONTACTO_INDIRECTO", "CANTIDAD_NOCONTACTO"))
 
-    return base, [(side, KEY) for side in (demo, touch, data, queues, ranking, exc_acc, psa, ng, report)], exc_doc
+    # every join copies the row so far: the wide sides (contact slots, assignment) come last
+    return base, [(side, KEY) for side in (queues, exc_acc, psa, ng, ranking, touch, report, demo, data)], exc_doc
 
 
 def exclude_documents(df: DataFrame, exc_doc: DataFrame) -> DataFrame:
